@@ -11,7 +11,7 @@ from editflow.functions import text
 from editflow.operators import counts, filters, joins, metrics, models, parse, series
 from editflow.plans.jobs import train_and_score
 from editflow.schema import BUS, CALENDAR_COLUMNS, EDIT_COLUMNS, STORED
-from editflow.session import configure, scratch_path
+from editflow.session import configure, materialize, scratch_path
 from editflow.sources import bus, catalog, edits as edit_table, lines, models as model_table
 from editflow.streaming import counting, sinks
 
@@ -65,9 +65,10 @@ def _profile(hourly: DataFrame) -> DataFrame:
             F.min("n").cast("double"), F.sum("n").cast("double") / F.count("*"), F.max("n").cast("double")
         ).alias("centres")
     )
-    return stats.select(
+    profile = stats.select(
         "channel", F.lit(1).alias("week"), F.posexplode("centres").alias("cluster", "centre")
     )
+    return materialize(profile, "profile")
 
 
 def _edit_stream(spark, sf_dir):

@@ -29,7 +29,8 @@ def parse_irc(lines: DataFrame) -> DataFrame:
 
     def matched(g: Column) -> Column:
         size = F.get(g, 4)
-        return (F.size(g) == 6) & ((size == "") | size.try_cast("bigint").isNotNull())
+        in_range = (size == "") | size.try_cast("bigint").isNotNull()
+        return (F.size(g) == 6) & in_range & ~F.contains("raw", F.lit("\n"))
 
     def message(g: Column) -> Column:
         return F.struct(
@@ -42,8 +43,7 @@ def parse_irc(lines: DataFrame) -> DataFrame:
         )
 
     kept = [c for c in lines.columns if c != "raw"]
-    single_line = lines.where(~F.contains("raw", F.lit("\n")))
-    return single_line.select(
+    return lines.select(
         *kept, F.inline(F.transform(F.filter(F.array(groups), matched), message))
     )
 

@@ -74,14 +74,14 @@ def write_edits(df: DataFrame, path: str, wall: str = "utc", on_conflict: str =
     """
     spark = df.sparkSession
     stored = calendar_fields(df, wall).select(*STORED.fieldNames())
-    batch = materialize(latest_per_key(stored), "batch")
     try:
         table = spark.read.schema(STORED).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return _append(batch, path)
+        return _append(latest_per_key(stored), path)
 
+    batch = materialize(latest_per_key(stored), "batch")
     # At most one row per calendar day of the batch.
     days = [tuple(row) for row in batch.select(*STORED_PARTITIONS).distinct().collect()]
     if not days:
