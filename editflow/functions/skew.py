@@ -72,37 +72,41 @@ def running(
     )
 
 
-def numbered(
-    rows: DataFrame, order: Sequence[str], out: str, keys: Sequence[str] = ()
-) -> DataFrame:
-    """Row numbers from 1 in `order`, per key, without one task per key.
+def placed(rows: DataFrame, order: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Rows range-sorted over keys and order, with their partition and place in it.
 
-    The rows are range-sorted over keys and order, with the read position as the
-    last resort so that exact copies also spread. A row's number is its position
-    in its own partition plus the counts of the partitions before it. The sorted
-    rows are written out first: both passes must see the same partitions.
+    The read position is the last resort of the order, so that exact copies also
+    spread. The sorted rows are written out: later passes must see the same
+    partitions.
     """
-    keys = list(keys)
-    placed = (
+    ranged = (
         rows.withColumn("_read", F.monotonically_increasing_id())
         .orderBy(*keys, *order, "_read")
         .drop("_read")
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_place", 33))
     )
-    placed = materialize(placed, "numbered")
-    runs = placed.groupBy(*keys, "_part").agg(
+    return materialize(ranged, "placed")
+
+
+def numbered(
+    rows: DataFrame, order: Sequence[str], out: str, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Row numbers from 1 in `order`, per key, without one task per key.
+
+    A row's number is its place in its own partition plus the number of rows of
+    its key in the partitions before it.
+    """
+    keys = list(keys)
+    ranged = placed(rows, order, keys)
+    runs = ranged.groupBy(*keys, "_part").agg(
         F.count("*").alias("_size"), F.min("_place").alias("_first")
     )
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(
-        *keys,
-        "_part",
-        (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-    )
-    runs = materialize(runs, "runs")
+    shift = F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first") + 1
+    runs = materialize(runs.select(*keys, "_part", shift.alias("_shift")), "runs")
     return (
-        lookup_join(placed, runs, keys + ["_part"], spread=["_place"])
+        lookup_join(ranged, runs, keys + ["_part"], spread=["_place"])
         .withColumn(out, F.col("_place") + F.col("_shift"))
         .drop("_place", "_part", "_shift")
     )
