@@ -1,8 +1,11 @@
-"""The message bus: frames of a key and a value, both binary."""
+"""The message bus: frames of a key and a value, both binary.
+
+The Avro codec needs the spark-avro package, a Kafka bus the Kafka connector;
+Spark says so when they are missing.
+"""
 
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +39,7 @@ def encode_bus(df: DataFrame, codec: str = "json") -> DataFrame:
     if codec == "avro":
         from pyspark.sql.avro.functions import to_avro
 
-        value = _with_avro(lambda: to_avro(_wire_record(), AVRO_SCHEMA))
+        value = to_avro(_wire_record(), AVRO_SCHEMA)
     else:
         value = F.encode(F.to_json(_wire_record()), "UTF-8")
     return df.select(F.encode("channel", "UTF-8").alias("key"), value.alias("value"))
@@ -47,20 +50,13 @@ def decode_bus(df: DataFrame, codec: str = "json") -> DataFrame:
     if codec == "avro":
         from pyspark.sql.avro.functions import from_avro
 
-        record = _with_avro(lambda: from_avro("value", AVRO_SCHEMA, {"mode": "PERMISSIVE"}))
+        record = from_avro("value", AVRO_SCHEMA, {"mode": "PERMISSIVE"})
     else:
         record = F.from_json(F.decode("value", "UTF-8"), WIRE)
     kept = [c for c in df.columns if c not in ("key", "value")]
     return normalize_edits(df.withColumn("_record", record).select(*kept, "_record.*"))
 
 
-def _with_avro(build):
-    try:
-        return build()
-    except (AnalysisException, TypeError) as error:
-        raise RuntimeError("the avro codec needs the spark-avro package on the class path") from error
-
-
 def read_bus(spark: SparkSession, options: dict[str, str], start: str = "committed") -> DataFrame:
     """Stream of frames. A restarted query goes on from its checkpoint.
 
@@ -73,10 +69,7 @@ def read_bus(spark: SparkSession, options: dict[str, str], start: str = "committ
     if source == "kafka":
         first = "latest" if start == "latest" else "earliest"
         reader = spark.readStream.format("kafka").option("startingOffsets", first)
-        try:
-            frames = reader.options(**options).load()
-        except AnalysisException as error:
-            raise RuntimeError("the bus needs the Kafka connector on the class path") from error
+        frames = reader.options(**options).load()
     else:
         frames = spark.readStream.format(source).schema(BUS).options(**options).load()
     return frames.select("key", "value")

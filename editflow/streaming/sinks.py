@@ -111,7 +111,7 @@ def stream_score(
         spark = batch.sparkSession
         batch = batch.persist()
         try:
-            if batch.isEmpty():
+            if batch.count() == 0:
                 return
             seen = _latest_state(spark, f"{path}/state", batch_id)
             marks = batch.select("bucket", "channel", "n")
@@ -146,13 +146,21 @@ def _latest_state(spark, path: str, before: int) -> DataFrame | None:
 
 
 def on_flush(stream: DataFrame, fn: Sink, checkpoint: str, once: bool = False):
-    """Call fn with the counts of each batch; an error in fn is logged and the query goes on."""
+    """Call fn with the counts of each batch; an error in fn is logged and the query goes on.
+
+    The counts are complete before fn runs, so their state is saved whatever fn does.
+    """
 
     def call(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
         try:
-            fn(batch, batch_id)
-        except Exception:
-            log.exception("error in the flush callback of batch %s", batch_id)
+            batch.count()
+            try:
+                fn(batch, batch_id)
+            except Exception:
+                log.exception("error in the flush callback of batch %s", batch_id)
+        finally:
+            batch.unpersist()
 
     return start(stream, call, checkpoint, once)
 
