@@ -4,7 +4,7 @@ import sys
 import time
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks.oracle import oracle_sql
 from checks.queries import queries
@@ -44,8 +44,7 @@ def rows_of(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
     return [columns[i] for i in order], sorted(ordered, key=repr)
 
 
-def compare(spark: SparkSession, connection, sf_dir: str, name: str) -> tuple[str, int]:
-    df = queries()[name](spark, sf_dir)
+def compare(df: DataFrame, connection, name: str) -> tuple[str, int]:
     got = rows_of(df.columns, df.collect())
     sql = oracle_sql().get(name)
     if sql is None:
@@ -66,7 +65,7 @@ def main() -> None:
     for name in names or queries():
         begun = time.perf_counter()
         try:
-            outcome, size = compare(spark, connection, sf_dir, name)
+            outcome, size = compare(queries()[name](spark, sf_dir), connection, name)
         except Exception as error:
             outcome, size = f"failed: {type(error).__name__} {str(error)[:600]}", 0
         print(f"{name:24s} {size:7d} {time.perf_counter() - begun:6.2f}s  {outcome}", flush=True)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editflow.operators.parse import calendar_fields, typed_edits
+from editflow.sources.lines import spread
 
 EDITS = """
 select event_id, ts, user_id,
@@ -74,7 +75,7 @@ EVENTS_SCHEMA = (
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    rows = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

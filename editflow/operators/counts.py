@@ -4,7 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from editflow.functions.skew import running
+from editflow.operators.filters import filter_channel, filter_week
 from editflow.schema import ALL_MESSAGES
+from editflow.session import materialize
 
 
 def _windowed(df: DataFrame, interval: str) -> DataFrame:
@@ -58,8 +60,9 @@ def count_items(df: DataFrame) -> DataFrame:
 
 def inserted_total(df: DataFrame, interval: str = "10 seconds") -> DataFrame:
     """Running number of edits at the end of each interval."""
-    per_interval = count_all(df, interval).withColumn("_day", F.date_trunc("day", "bucket"))
-    totals = running(per_interval, [], "_day", "bucket", "n", "inserted")
+    per_interval = materialize(count_all(df, interval), "counts")
+    daily = per_interval.withColumn("_day", F.date_trunc("day", "bucket"))
+    totals = running(daily, [], "_day", "bucket", "n", "inserted")
     return totals.select("bucket", "n", "inserted")
 
 
@@ -78,8 +81,6 @@ def week_cells(df: DataFrame, grain: str = "minute") -> DataFrame:
 def weekly_minute_counts(
     df: DataFrame, channel: str, week: int, grain: str = "minute", year: int | None = None
 ) -> DataFrame:
-    from editflow.operators.filters import filter_channel, filter_week
-
     return week_cells(filter_week(filter_channel(df, channel), week, year), grain).drop("channel")
 
 

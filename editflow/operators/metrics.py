@@ -63,9 +63,10 @@ def metric_gauge(
             F.max("_set.amount").alias("_base"),
             F.coalesce(F.sum(F.when(adjusts & later, amount)), F.lit(0.0)).alias("_moved"),
         )
-        .withColumn("_day", F.date_trunc("day", "bucket"))
     )
-    summed = running(per_interval, ["name"], "_day", "bucket", "_moved", "_total").withColumn(
+    per_interval = materialize(per_interval, "gauges")
+    daily = per_interval.withColumn("_day", F.date_trunc("day", "bucket"))
+    summed = running(daily, ["name"], "_day", "bucket", "_moved", "_total").withColumn(
         "_anchor",
         F.when(
             F.col("_base").isNotNull(),
@@ -101,11 +102,11 @@ def metric_timing(
     of neighbouring values, so no task holds all samples of a metric.
     """
     keys = ["bucket", "name"]
-    cells = (
-        _events(events, TIMING, interval)
-        .groupBy(*keys, F.col("value").cast("bigint").alias("value"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_block", F.floor(F.col("value") / VALUE_BLOCK))
+    per_value = _events(events, TIMING, interval).groupBy(
+        *keys, F.col("value").cast("bigint").alias("value")
+    )
+    cells = materialize(per_value.agg(F.count("*").alias("_n")), "samples").withColumn(
+        "_block", F.floor(F.col("value") / VALUE_BLOCK)
     )
     ranked = running(cells, keys, "_block", "value", "_n", "_through")
     totals = cells.groupBy(*keys).agg(F.sum("_n").alias("samples"))

@@ -20,31 +20,23 @@ def parse_irc(lines: DataFrame) -> DataFrame:
 
     Lines that do not match as a whole, or whose delta is beyond 64 bits, give no
     row. All groups come out of one match: the dot never matches a newline, so a
-    newline is a safe separator between them. The match runs inside a generator,
-    whose output is not copied into later filters, so it runs once per line.
+    newline is a safe separator between them.
     """
     groups = F.split(
         F.regexp_replace("raw", r"\A" + IRC_LINE + r"\z", "$1\n$2\n$3\n$4\n$6\n$7"), "\n", -1
     )
-
-    def matched(g: Column) -> Column:
-        size = F.get(g, 4)
-        in_range = (size == "") | size.try_cast("bigint").isNotNull()
-        return (F.size(g) == 6) & in_range & ~F.contains("raw", F.lit("\n"))
-
-    def message(g: Column) -> Column:
-        return F.struct(
-            F.get(g, 0).alias("page"),
-            F.regexp_replace(F.get(g, 1), r"\s+", "").alias("flags"),
-            F.get(g, 2).alias("diff_url"),
-            F.get(g, 3).alias("user"),
-            F.coalesce(F.get(g, 4).try_cast("bigint"), F.lit(0)).alias("delta"),
-            F.get(g, 5).alias("comment"),
-        )
-
-    kept = [c for c in lines.columns if c != "raw"]
-    return lines.select(
-        *kept, F.inline(F.transform(F.filter(F.array(groups), matched), message))
+    single_line = ~F.contains("raw", F.lit("\n"))
+    matched = once(lines, {"_g": F.when(single_line, groups)})
+    page, flags, diff_url, user, size, comment = [F.get("_g", F.lit(i)) for i in range(6)]
+    delta = size.try_cast("bigint")
+    return matched.where((F.size("_g") == 6) & ((size == "") | delta.isNotNull())).select(
+        *[c for c in lines.columns if c != "raw"],
+        page.alias("page"),
+        F.regexp_replace(flags, r"\s+", "").alias("flags"),
+        diff_url.alias("diff_url"),
+        user.alias("user"),
+        F.coalesce(delta, F.lit(0)).alias("delta"),
+        comment.alias("comment"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from editflow.functions.intervals import interval_micros
 from editflow.functions.skew import numbered
 from editflow.schema import STORED_KEY
+from editflow.session import materialize
 
 # Slots that one row expands to when a series is filled.
 FILL_BLOCK = 10_000
@@ -16,11 +17,12 @@ FILL_BLOCK = 10_000
 def zero_fill(counts: DataFrame, interval: str) -> DataFrame:
     """A row for each interval of each channel, from its first one to the last of all.
 
-    A series is cut into blocks that are spread before they are expanded, so a
-    long series is not built by one task.
+    The counts are used three times and written out once for that. A series is cut
+    into blocks that are spread before they are expanded, so a long series is not
+    built by one task.
     """
     step = interval_micros(interval)
-    slotted = counts.withColumn("_slot", F.expr(f"unix_micros(bucket) div {step}"))
+    slotted = materialize(counts.select("bucket", "channel", "n"), "counts").withColumn("_slot", F.expr(f"unix_micros(bucket) div {step}"))
     last = slotted.select(F.max("_slot")).scalar()
     first_slots = slotted.groupBy("channel").agg(F.min("_slot").alias("_first"))
     blocks = first_slots.withColumn("_last", last).withColumn(

@@ -7,6 +7,7 @@ from editflow.operators.counts import count_by_channel
 from editflow.operators.models import EPSILON, TOLERANCE, detect_anomalies, fit_all_models
 from editflow.operators.parse import calendar_fields, typed_edits
 from editflow.operators.series import zero_fill
+from editflow.session import materialize
 
 
 def train_and_score(
@@ -19,8 +20,11 @@ def train_and_score(
     eps: float = EPSILON,
     tol: float = TOLERANCE,
 ) -> DataFrame:
-    """Learn normal activity from one ISO week and score the intervals after it."""
-    edits = calendar_fields(typed_edits(lines).select("ts", "channel"))
+    """Learn normal activity from one ISO week and score the intervals after it.
+
+    The lines are parsed once; training and counting read the two columns they need.
+    """
+    edits = calendar_fields(materialize(typed_edits(lines).select("ts", "channel"), "edits"))
     models = fit_all_models(edits, week, k, iterations, tol, grain)
     counts = zero_fill(count_by_channel(edits, interval), interval)
     return detect_anomalies(counts.where(F.weekofyear("bucket") > week), models, eps)

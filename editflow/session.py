@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,15 +40,42 @@ def checkpoint_root(spark: SparkSession) -> str:
     return (root or context.getCheckpointDir()).rstrip("/")
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder, removed when the session's JVM ends."""
+    """A new path below the shared folder, removed with its scope or when the JVM ends."""
     path = f"{checkpoint_root(spark)}/editflow-{label}-{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system, jvm_path = _file_system(spark, path)
     file_system.deleteOnExit(jvm_path)
+    if _scope.get() is not None:
+        _scope.get().append(path)
     return path
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    file_system, jvm_path = _file_system(spark, path)
+    file_system.delete(jvm_path, True)
+    file_system.cancelDeleteOnExit(jvm_path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the scratch tables made inside, so that a long-running stream leaves none behind."""
+    token = _scope.set([])
+    try:
+        yield
+    finally:
+        for path in _scope.get():
+            remove_path(spark, path)
+        _scope.reset(token)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back.
 

@@ -9,6 +9,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from editflow.functions.generate import once
 from editflow.functions.text import flags_to_text, iso_millis
 from editflow.operators.parse import normalize_edits
 from editflow.schema import BUS, WIRE, WIRE_FIELDS
@@ -54,7 +55,7 @@ def decode_bus(df: DataFrame, codec: str = "json") -> DataFrame:
     else:
         record = F.from_json(F.decode("value", "UTF-8"), WIRE)
     kept = [c for c in df.columns if c not in ("key", "value")]
-    return normalize_edits(df.withColumn("_record", record).select(*kept, "_record.*"))
+    return normalize_edits(once(df, {"_record": record}).select(*kept, "_record.*"))
 
 
 def read_bus(spark: SparkSession, options: dict[str, str], start: str = "committed") -> DataFrame:

@@ -11,7 +11,7 @@ from editflow.operators.filters import filter_channel, filter_week
 from editflow.operators.parse import calendar_fields
 from editflow.operators.series import clustering_order
 from editflow.schema import STORED, STORED_KEY, STORED_PARTITIONS
-from editflow.session import materialize
+from editflow.session import materialize, scratch_scope
 
 
 @functools.cache
@@ -68,28 +68,39 @@ def write_edits(df: DataFrame, path: str, wall: str = "utc", on_conflict: str =
     """Store typed edits; an equal key overwrites.
 
     Folders without a stored key of the batch are only added to. A folder that
-    holds such a key is rewritten from a copy made beside the table, with
+    holds such a key is rewritten from a copy made beside the table; with
     on_conflict='keep' the stored row stays and nothing is rewritten. `keep` is
     the same as `replace` for redelivered edits, which do not differ.
     """
-    spark = df.sparkSession
-    stored = calendar_fields(df, wall).select(*STORED.fieldNames())
+    rows = latest_per_key(calendar_fields(df, wall).select(*STORED.fieldNames()))
     try:
-        table = spark.read.schema(STORED).parquet(path)
+        table = df.sparkSession.read.schema(STORED).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return _append(latest_per_key(stored), path)
+        _write(rows, path, "append")
+        return
+    with scratch_scope(df.sparkSession):
+        _upsert(materialize(rows, "batch"), table, path, on_conflict)
 
-    batch = materialize(latest_per_key(stored), "batch")
+
+def _upsert(batch: DataFrame, table: DataFrame, path: str, on_conflict: str) -> None:
     # At most one row per calendar day of the batch.
-    days = [tuple(row) for row in batch.select(*STORED_PARTITIONS).distinct().collect()]
-    if not days:
-        return None
-    touched = table.where(_in_days(days))
+    spans = batch.groupBy(*STORED_PARTITIONS).agg(F.min("time"), F.max("time")).collect()
+    if not spans:
+        return
+    days = [tuple(span)[:3] for span in spans]
+    first, last = min(span[3] for span in spans), max(span[4] for span in spans)
+    # Files are sorted by time, so a batch of some minutes meets few row groups.
+    known = (
+        table.where(_in_days(days))
+        .where(F.col("time").between(first, last))
+        .select(*STORED_KEY)
+        .join(batch.select(*STORED_KEY), STORED_KEY, "left_semi")
+    )
     if on_conflict == "keep":
-        return _append(batch.join(touched.select(*STORED_KEY), STORED_KEY, "left_anti"), path)
-    known = touched.select(*STORED_KEY).join(batch.select(*STORED_KEY), STORED_KEY, "left_semi")
+        _write(batch.join(known, STORED_KEY, "left_anti"), path, "append")
+        return
     conflicts = [tuple(row) for row in known.select(*STORED_PARTITIONS).distinct().collect()]
     if conflicts:
         held = table.where(_in_days(conflicts)).join(
@@ -97,10 +108,9 @@ def write_edits(df: DataFrame, path: str, wall: str = "utc", on_conflict: str =
         )
         merged = held.unionByName(batch.where(_in_days(conflicts)))
         _write(materialize(merged, "merged"), path, "overwrite")
-        batch = batch.where(~_in_days(conflicts))
-    if len(conflicts) < len(days):
-        _append(batch, path)
-    return None
+    fresh = [day for day in days if day not in conflicts]
+    if fresh:
+        _write(batch.where(_in_days(fresh)), path, "append")
 
 
 def _in_days(days: list[tuple[int, int, int]]):
@@ -115,10 +125,6 @@ def _in_days(days: list[tuple[int, int, int]]):
     return functools.reduce(lambda a, b: a | b, parts)
 
 
-def _append(df: DataFrame, path: str) -> None:
-    _write(df, path, "append")
-
-
 def _write(df: DataFrame, path: str, mode: str) -> None:
     writer = clustering_order(df).write.mode(mode).partitionBy(*STORED_PARTITIONS)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)

@@ -18,6 +18,12 @@ def stream_lines(spark: SparkSession, directory: str, max_files: int = 1000) ->
     return reader.text(directory).withColumnRenamed("value", "raw")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan of a few files that cannot be split over all cores, before it is parsed."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def json_lines(df: DataFrame, view: str = "source") -> DataFrame:
     """One JSON object per edit, in column `line`.
 

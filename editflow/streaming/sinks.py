@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from editflow.operators.models import EPSILON, detect_anomalies
 from editflow.operators.parse import split_rejects
 from editflow.operators.series import zero_fill
-from editflow.session import materialize
+from editflow.session import materialize, remove_path, scratch_scope
 from editflow.sources.bus import decode_bus, encode_bus
 from editflow.sources.edits import write_edits
 
@@ -25,7 +25,12 @@ Sink = Callable[[DataFrame, int], None]
 
 def start(stream: DataFrame, sink: Sink, checkpoint: str, once: bool = False, mode="append"):
     """Run `sink` on each micro-batch; `once` stops after what is there now."""
-    writer = stream.writeStream.outputMode(mode).foreachBatch(sink)
+
+    def scoped(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            sink(batch, batch_id)
+
+    writer = stream.writeStream.outputMode(mode).foreachBatch(scoped)
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
@@ -109,40 +114,44 @@ def stream_score(
 
     def score(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
+        batch.persist()
         try:
             if batch.count() == 0:
                 return
-            seen = _latest_state(spark, f"{path}/state", batch_id)
-            marks = batch.select("bucket", "channel", "n")
-            if seen is not None:
-                marks = marks.unionByName(seen.withColumn("n", F.lit(0).cast("bigint")))
-            filled = zero_fill(marks, interval)
-            if seen is not None:
-                done = seen.select("channel", F.col("bucket").alias("_done"))
-                filled = filled.join(done, "channel", "left").where(
-                    F.col("_done").isNull() | (F.col("bucket") > F.col("_done"))
-                ).drop("_done")
+            states = _states(spark, f"{path}/state", before=batch_id)
+            rows = batch.select("bucket", "channel", "n")
+            if states:
+                seen = spark.read.parquet(f"{path}/state/batch={states[-1]}")
+                marks = seen.select("bucket", "channel", F.lit(0).cast("bigint").alias("n"))
+                done = seen.withColumnRenamed("bucket", "_done")
+                new = F.col("_done").isNull() | (F.col("bucket") > F.col("_done"))
+                filled = zero_fill(rows.unionByName(marks), interval)
+                filled = filled.join(done, "channel", "left").where(new).drop("_done")
+            else:
+                filled = zero_fill(rows, interval)
             filled = materialize(filled, "filled")
             scored = detect_anomalies(filled, models, eps)
             scored.write.mode("overwrite").parquet(f"{path}/scored/batch={batch_id}")
             reached = filled.groupBy("channel").agg(F.max("bucket").alias("bucket"))
             reached.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+            # The state before this one is needed if this batch is run again.
+            for old in states[:-1]:
+                remove_path(spark, f"{path}/state/batch={old}")
         finally:
             batch.unpersist()
 
     return start(counts, score, checkpoint, once)
 
 
-def _latest_state(spark, path: str, before: int) -> DataFrame | None:
+def _states(spark, path: str, before: int) -> list[int]:
+    """Numbers of the batches whose state is stored, in order; two at most."""
     try:
-        states = spark.read.parquet(path).where(F.col("batch") < before)
+        listed = spark.read.parquet(path).select("batch").distinct().collect()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-    newest = states.select(F.max("batch")).scalar()
-    return states.where(F.col("batch") == newest).select("channel", "bucket")
+        return []
+    return sorted(row.batch for row in listed if row.batch < before)
 
 
 def on_flush(stream: DataFrame, fn: Sink, checkpoint: str, once: bool = False):

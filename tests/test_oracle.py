@@ -25,8 +25,9 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", list(queries()))
 def test_query(spark, database, name):
-    outcome, rows = compare.compare(spark, database, SF_DIR, name)
+    df = queries()[name](spark, SF_DIR)
+    outcome, rows = compare.compare(df, database, name)
     assert outcome in ("equal", "rows only")
     assert rows > 0
-    plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|InPandas", plan)
