@@ -198,7 +198,7 @@ _EDIT_MICROS = _EDIT.format(ts="epoch_us(ts)")
 _EDIT_MILLIS = _EDIT.format(ts="epoch_us(ts) // 1000 * 1000")
 _CALENDAR = "year, month, week, day, hour, minute, weekday, time, day_minute"
 _JSON_EDIT = """is_robot, channel, epoch_us(ts) as ts, array_to_string(flags, '|') as flags,
-  len(flags) as flag_count, is_unpatrolled, page, diff_url, added, deleted, comment, is_new, is_minor,
+  cast(len(flags) as int) as flag_count, is_unpatrolled, page, diff_url, added, deleted, comment, is_new, is_minor,
   delta, "user", namespace"""
 _CLOSED = "bucket + interval 1 hour <= (select max(ts) from typed)"
 
@@ -302,7 +302,7 @@ union all select 'published', count(*) from json_typed where ok
     q["assign_id"] = _with(["typed"], "select event_id, id from typed")
     q["split_flags"] = _with(
         ["json_flags"],
-        "select event_id, len(flags) as flag_count, array_to_string(flags, '|') as flags from json_flags where ok",
+        "select event_id, cast(len(flags) as int) as flag_count, array_to_string(flags, '|') as flags from json_flags where ok",
     )
     q["join_flags"] = _with(
         ["json_flags"],

@@ -28,7 +28,9 @@ def zero_fill(counts: DataFrame, interval: str) -> DataFrame:
     blocks = first_slots.withColumn("_last", last).withColumn(
         "_block", F.explode(F.expr(f"sequence(_first div {FILL_BLOCK}, _last div {FILL_BLOCK})"))
     )
-    slots = blocks.repartition("channel", "_block").select(
+    # With a number given, the few rows of the blocks are not merged into one task again.
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = blocks.repartition(tasks, "channel", "_block").select(
         "channel",
         F.explode(
             F.sequence(
