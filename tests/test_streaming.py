@@ -2,12 +2,14 @@
 
 import datetime
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from editflow.operators import counts, models, series
 from editflow.schema import BUS, EDIT_COLUMNS, MODEL, STORED
+from editflow.session import checkpoint_root
 from editflow.sources import bus, edits as table
 from editflow.streaming import counting, sinks
 from tests.data import edit_frame, skewed_events
@@ -73,6 +75,8 @@ def test_stream_score_fills_between_batches_and_survives_a_rerun(spark, folder):
     assert sorted(map(tuple, got)) == sorted(map(tuple, expected.select(*shown).collect()))
     batches = spark.read.parquet(f"{out}/scored").select("batch").distinct().count()
     assert batches > 2
+    # The state of the last batch and of the one before it, whatever the number of batches.
+    assert spark.read.parquet(f"{out}/state").select("batch").distinct().count() == 2
 
 
 def test_stream_store_and_restart(spark, folder):
@@ -88,6 +92,19 @@ def test_stream_store_and_restart(spark, folder):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, edits.collect()))
 
 
+def test_scratch_tables_go_with_their_batch(spark, folder):
+    landing, path = folder("bus"), folder("edits")
+    edits, options = edit_frame(spark, 60), {"format": "parquet", "path": landing}
+    table.write_edits(edits.limit(20), path)
+    bus.write_bus(bus.encode_bus(edits), options)
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = {name for name in os.listdir(root) if "batch" in name or "merged" in name}
+    sinks.stream_store(bus.read_bus(spark, options), path, folder("offsets"), once=True).awaitTermination()
+    after = {name for name in os.listdir(root) if "batch" in name or "merged" in name}
+    assert after == before
+    assert spark.read.schema(STORED).parquet(path).count() == 60
+
+
 def test_stream_ingest_counts_but_does_not_publish_rejects(spark, folder):
     from editflow.operators.parse import assign_id, parse_json_edits
     from editflow.sources.lines import stream_lines, write_json_lines
