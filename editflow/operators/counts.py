@@ -27,9 +27,8 @@ def count_by_channel(df: DataFrame, interval: str = "10 seconds") -> DataFrame:
     return counted.select(_bucket(), "channel", "n")
 
 
-def count_rollup(df: DataFrame, interval: str = "10 seconds") -> DataFrame:
-    """Both levels at once; the edits are read and counted once, the totals add up the counts."""
-    per_channel = count_by_channel(df, interval)
+def with_totals(per_channel: DataFrame) -> DataFrame:
+    """Counts per channel and their sums over all channels, by counter name."""
     both = per_channel.groupingSets([["bucket"], ["bucket", "channel"]], "bucket", "channel").agg(
         F.sum("n").alias("n"), F.grouping("channel").alias("_total")
     )
@@ -37,6 +36,11 @@ def count_rollup(df: DataFrame, interval: str = "10 seconds") -> DataFrame:
     return both.select("bucket", name.alias("name"), "n")
 
 
+def count_rollup(df: DataFrame, interval: str = "10 seconds") -> DataFrame:
+    """Both levels at once; the edits are read and counted once, the totals add up the counts."""
+    return with_totals(count_by_channel(df, interval))
+
+
 def count_matching(
     df: DataFrame, name: str, predicate: Column, interval: str, start: int = 0
 ) -> DataFrame:

@@ -51,13 +51,12 @@ def metric_gauge(
         F.trim(F.col(value).cast("string")).alias("_text"),
     )
     adjusts = F.col("_text").rlike(r"\A[+-]")
-    amount = F.col("_text").cast("double")
+    amount = F.col("_text").try_cast("double")
     latest = F.max(F.when(~adjusts, F.struct("_at", amount.alias("amount")))).alias("_set")
     last_set = materialize(sent.groupBy("bucket", "name").agg(latest), "gauges")
-    spread = ["_at"]
     later = F.col("_set").isNull() | (F.col("_at") > F.col("_set._at"))
     per_interval = (
-        lookup_join(sent, last_set, ["bucket", "name"], spread=spread)
+        lookup_join(sent, last_set, ["bucket", "name"], spread=["_at"])
         .groupBy("bucket", "name")
         .agg(
             F.max("_set.amount").alias("_base"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from editflow.functions import text, validity
 from editflow.functions.calendar import calendar_columns
 from editflow.functions.generate import once
-from editflow.schema import EDIT_COLUMNS, WIRE_FIELDS
+from editflow.schema import ALL_MESSAGES, EDIT_COLUMNS, WIRE_FIELDS
 
 # Layout of a colour-coded change line. Fixed value.
 IRC_LINE = (
@@ -177,7 +177,7 @@ def ui_feed(df: DataFrame) -> DataFrame:
 
 def metric_name(df: DataFrame) -> DataFrame:
     """Counter, anomaly and dashboard names; a row without channel counts all messages."""
-    counter = F.coalesce(F.col("channel"), F.lit("all-messages"))
+    counter = F.coalesce(F.col("channel"), F.lit(ALL_MESSAGES))
     return df.withColumns(
         {
             "counter_name": counter,

@@ -1,13 +1,134 @@
-"""Batch jobs from captured lines to anomalies."""
+"""End-to-end jobs: ingest, store, count, train, score and feed.
 
-from pyspark.sql import DataFrame
+`bus` holds the options of the Kafka source or sink, or names another `format`.
+The streaming jobs give their query; `once` stops it after what is there now.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editflow.operators.counts import count_by_channel
-from editflow.operators.models import EPSILON, TOLERANCE, detect_anomalies, fit_all_models
-from editflow.operators.parse import calendar_fields, typed_edits
+from editflow.operators.counts import count_by_channel, with_totals
+from editflow.operators.joins import route_edits
+from editflow.operators.models import CLUSTERS, EPSILON, TOLERANCE, detect_anomalies, fit_all_models
+from editflow.operators.parse import (
+    assign_id,
+    calendar_fields,
+    parse_json_edits,
+    split_rejects,
+    typed_edits,
+)
 from editflow.operators.series import zero_fill
 from editflow.session import materialize
+from editflow.sources.bus import decode_bus, read_bus, write_bus
+from editflow.sources.edits import read_edits
+from editflow.sources.lines import json_lines, stream_lines
+from editflow.sources.models import load_models, metric_rows, save_models
+from editflow.streaming.counting import stream_counts
+from editflow.streaming.sinks import (
+    Sink,
+    batch_folder,
+    for_each_edit,
+    on_flush,
+    stream_ingest,
+    stream_score,
+    stream_store,
+)
+
+
+def _edits(spark: SparkSession, bus: dict[str, str], codec: str, start: str = "committed"):
+    good, _ = split_rejects(decode_bus(read_bus(spark, bus, start), codec))
+    return good
+
+
+def ingest(
+    spark: SparkSession, landing: str, bus: dict[str, str], checkpoint: str, codec="json", once=False
+):
+    """JSON lines that land in a folder to the bus; bad lines are left out."""
+    parsed = assign_id(parse_json_edits(stream_lines(spark, landing)))
+
+    def publish(frames: DataFrame, batch_id: int) -> None:
+        write_bus(frames, bus)
+
+    return stream_ingest(parsed, publish, checkpoint, codec=codec, once=once)
+
+
+def store(
+    spark: SparkSession, bus: dict[str, str], table: str, checkpoint: str, codec="json", once=False
+):
+    """The bus to the stored table; redelivered edits overwrite themselves."""
+    return stream_store(read_bus(spark, bus), table, checkpoint, codec, once)
+
+
+def count(
+    spark: SparkSession,
+    bus: dict[str, str],
+    path: str,
+    checkpoint: str,
+    interval: str = "10 seconds",
+    watermark: str = "10 seconds",
+    codec="json",
+    once=False,
+):
+    """Counts per interval of every channel and of all messages, as metric rows."""
+    write = batch_folder(path)
+
+    def flush(batch: DataFrame, batch_id: int) -> None:
+        # The counts of one interval close together, so its total is complete.
+        write(metric_rows(with_totals(batch)), batch_id)
+
+    counts = stream_counts(_edits(spark, bus, codec), interval, watermark)
+    return on_flush(counts, flush, checkpoint, once)
+
+
+def train(
+    spark: SparkSession,
+    table: str,
+    model_path: str,
+    week: int,
+    channel: str | None = None,
+    year: int | None = None,
+    k: int = CLUSTERS,
+    grain: str = "minute",
+) -> None:
+    """Fit and save the models of one ISO week, for one channel or all."""
+    columns = ["channel", "year", "week", "weekday", "hour", "day_minute"]
+    edits = read_edits(spark, table, channel, week, columns, year)
+    save_models(fit_all_models(edits, week, k, grain=grain, year=year), model_path)
+
+
+def score(
+    spark: SparkSession,
+    bus: dict[str, str],
+    model_path: str,
+    path: str,
+    checkpoint: str,
+    interval: str = "60 seconds",
+    watermark: str = "10 seconds",
+    eps: float = EPSILON,
+    codec="json",
+    once=False,
+):
+    """Counts of the bus against the saved models; a channel without a model is not scored."""
+    counts = stream_counts(_edits(spark, bus, codec), interval, watermark)
+    models = load_models(spark, model_path)
+    return stream_score(counts, models, path, checkpoint, interval, eps, once)
+
+
+def feed(
+    spark: SparkSession,
+    bus: dict[str, str],
+    subscriptions: DataFrame,
+    send: Sink,
+    checkpoint: str,
+    codec="json",
+    once=False,
+):
+    """Live JSON of each edit for each subscriber of its channel, from now on."""
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        send(json_lines(route_edits(batch, subscriptions), "live", keep=["subscriber"]), batch_id)
+
+    return for_each_edit(_edits(spark, bus, codec, start="latest"), route, checkpoint, once)
 
 
 def train_and_score(
@@ -20,7 +141,7 @@ def train_and_score(
     eps: float = EPSILON,
     tol: float = TOLERANCE,
 ) -> DataFrame:
-    """Learn normal activity from one ISO week and score the intervals after it.
+    """Learn normal activity from one ISO week and score the intervals after it, in one batch.
 
     The lines are parsed once; training and counting read the two columns they need.
     """

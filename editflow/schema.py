@@ -6,14 +6,6 @@ lines and bus records use camelCase keys; WIRE_FIELDS maps one to the other.
 
 from pyspark.sql import types as T
 
-RAW_LINE = T.StructType(
-    [
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("channel", T.StringType()),
-        T.StructField("raw", T.StringType()),
-    ]
-)
-
 # (wire key, column, wire type). Names, types and order of the wire record.
 WIRE_FIELDS = [
     ("id", "id", "string"),

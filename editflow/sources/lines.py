@@ -1,5 +1,7 @@
 """Text lines and JSON lines."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +26,8 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def json_lines(df: DataFrame, view: str = "source") -> DataFrame:
-    """One JSON object per edit, in column `line`.
+def json_lines(df: DataFrame, view: str = "source", keep: Sequence[str] = ()) -> DataFrame:
+    """One JSON object per edit, in column `line`, beside the columns to keep.
 
     The source view has 15 keys. The live view has the id as well, flags as a list
     and the timestamp in milliseconds.
@@ -41,7 +43,7 @@ def json_lines(df: DataFrame, view: str = "source") -> DataFrame:
         elif column == "flags" and not live:
             value = flags_to_text(value)
         columns.append(value.alias(key))
-    return df.select(F.to_json(F.struct(*columns)).alias("line"))
+    return df.select(*keep, F.to_json(F.struct(*columns)).alias("line"))
 
 
 def write_json_lines(df: DataFrame, path: str, view: str = "source") -> None:

@@ -24,9 +24,11 @@ def load_models(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], MODEL)
 
 
-def write_metrics(df: DataFrame, path: str) -> None:
-    """Append counter results (bucket, name, n) with their counter line."""
+def metric_rows(df: DataFrame) -> DataFrame:
+    """Counter results (bucket, name, n) with their counter line."""
     line = F.concat("name", F.lit(":"), F.col("n").cast("string"), F.lit("|c"))
-    df.select("bucket", "name", F.col("n").alias("value"), line.alias("line")).write.mode(
-        "append"
-    ).parquet(path)
+    return df.select("bucket", "name", F.col("n").alias("value"), line.alias("line"))
+
+
+def write_metrics(df: DataFrame, path: str) -> None:
+    metric_rows(df).write.mode("append").parquet(path)
