@@ -26,6 +26,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# A table of keys with no more rows than this (16 bytes each) may be sent to all executors.
+BROADCAST_KEYS = 2_000_000
+
+
+def having(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is in `wanted`, a stored table of one key column.
+
+    The keys are counted: up to BROADCAST_KEYS they go to the rows, beyond that both
+    sides are shuffled.
+    """
+    small = wanted.count() <= BROADCAST_KEYS
+    return rows.join(wanted.hint("broadcast") if small else wanted, key, "left_semi")
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
