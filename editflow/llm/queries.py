@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from editflow.llm.embeddings import near_vectors
 from editflow.llm.minhash import near_copies
 from editflow.llm.tables import table
+from editflow.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +18,18 @@ def op1_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity(docs, table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_copies,)}
+    return {f.__name__: f for f in (op1_near_copies, op9_toxicity, op10_near_vectors)}
 
 
 def oracle_sql() -> dict[str, str]:
