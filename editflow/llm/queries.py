@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from editflow.llm.decontam import contaminated
 from editflow.llm.embeddings import near_vectors
 from editflow.llm.minhash import near_copies
 from editflow.llm.tables import table
@@ -18,6 +19,10 @@ def op1_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = toxicity(docs, table(spark, sf_dir, "labels"))
@@ -29,7 +34,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_copies, op9_toxicity, op10_near_vectors)}
+    return {f.__name__: f for f in (op1_near_copies, op7_decontamination, op9_toxicity, op10_near_vectors)}
 
 
 def oracle_sql() -> dict[str, str]:
