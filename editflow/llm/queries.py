@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from editflow.llm.decontam import contaminated
 from editflow.llm.embeddings import near_vectors
 from editflow.llm.minhash import near_copies
+from editflow.llm.suffix import without_repeats
 from editflow.llm.tables import table
 from editflow.llm.toxicity import toxicity
 
@@ -19,6 +21,13 @@ def op1_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -34,7 +43,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_copies, op7_decontamination, op9_toxicity, op10_near_vectors)}
+    return {f.__name__: f for f in (op1_near_copies, op5_suffix_dedup, op7_decontamination, op9_toxicity, op10_near_vectors)}
 
 
 def oracle_sql() -> dict[str, str]:
