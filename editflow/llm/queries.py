@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from editflow.llm.decontam import contaminated
 from editflow.llm.embeddings import near_vectors
 from editflow.llm.minhash import near_copies
+from editflow.llm.mixing import mixed
 from editflow.llm.suffix import without_repeats
 from editflow.llm.tables import table
 from editflow.llm.toxicity import toxicity
+from editflow.llm.warc import archived
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +23,16 @@ def op1_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = archived(table(spark, sf_dir, "pages"), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = without_repeats(table(spark, sf_dir, "documents"))
     return found.select(
@@ -43,8 +55,24 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_copies, op5_suffix_dedup, op7_decontamination, op9_toxicity, op10_near_vectors)}
+    return {f.__name__: f for f in (op1_near_copies, op2_warc, op4_mixing, op5_suffix_dedup, op7_decontamination, op9_toxicity, op10_near_vectors)}
+
+
+# Equal payloads of at least 100 bytes: the smallest page_id is the response.
+_WARC = """
+with p as (
+  select page_id, coalesce(html, '') as payload from pages
+), d as (
+  select page_id, octet_length(encode(payload)) as n, sha256(payload) as digest from p
+), f as (
+  select digest, min(page_id) as first from d where n >= 100 group by digest
+)
+select page_id, n as payload_bytes, d.digest as payload_digest,
+       case when first is not null and page_id <> first then 'revisit' else 'response' end as record_type,
+       case when first is not null and page_id <> first then first end as refers_to
+from d left join f on d.digest = f.digest
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc": _WARC}
