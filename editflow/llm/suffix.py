@@ -10,14 +10,17 @@ common prefix are ordered by blind tries, which compare each suffix with the gro
 first and branch where they differ. What is equal in all LENGTH bytes is one string, and
 all but its first occurrence are repeats.
 
-A task that sees an anchor often says so, and then all windows of that anchor are dealt
-by their own hash instead, after the task has set aside those it has seen before. So a
-bucket holds a bounded number of segments per task, whatever a string's frequency.
+A task that sees an anchor often says so, and then segments of that anchor are dealt by
+the longer of the two strings beside it, GRAM + SIDE bytes that their windows also hold.
+If a task sees one of these often, too, its windows are dealt by their own hash, after the
+task has set aside those it has seen before. So a bucket holds a bounded number of
+segments per task, whatever a string's frequency.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -28,18 +31,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editflow.functions.skew import numbered
-from editflow.llm.tables import bytes_of, runs, shuffle_width, stored
+from editflow.llm.tables import bytes_of, having, shuffle_width, stored
 from editflow.llm.words import keys, mix
 
 LENGTH = 100
 GRAM = 24
-SHALLOW = 32
+SIDE = (LENGTH - GRAM) // 2  # for strings of LENGTH bytes
+SHALLOW = 16
 # An anchor is frequent if one task sees it this often in FLUSH bytes of text.
 FREQUENT = 8
 FLUSH = 32 << 20
-# Windows that are sorted at once, and bytes of text that are hashed at once.
-SORTED = 400_000
+# Bytes of text that are hashed at once.
 PIECE = 1 << 18
+# Texts are compressed for shuffles with a dictionary from a bounded sample of beginnings.
+SAMPLE_TEXTS = 400
+SAMPLE_BYTES = 4 << 10
 
 _ANCHOR = "key long, doc long, place long"
 _SEGMENT = "bucket long, doc long, start long, n int, shift int, body binary"
@@ -68,7 +74,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         texts = stored(one.join(order, ["doc_id", "digest"]).select("doc", "text"), "texts")
     else:
         texts = named.select(F.col("doc_id").alias("doc"), "text")
-    result = cut(texts, repeats(texts, length), length)
+    words = dictionary(texts)
+    result = cut(texts, repeats(texts, length, words), length, words)
     if repeated:
         each = named.select("doc_id", F.sha2("text", 256).alias("digest"))
         result = each.join(order, ["doc_id", "digest"]).join(result, "doc").drop("doc", "digest")
@@ -84,37 +91,73 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return result.unionByName(alone)
 
 
-def repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeats(texts: DataFrame, length: int = LENGTH, words: bytes = b"") -> DataFrame:
     """doc, start, n: windows at start, start + 1, ... n of them, that also start earlier."""
     width = shuffle_width(texts.sparkSession)
     anchors = texts.mapInArrow(partial(_anchors, length=length), _ANCHOR)
     anchors = anchors.repartition(width, "key").sortWithinPartitions("key", "doc", "place")
     shared = anchors.mapInArrow(_shared, _ANCHOR)
     per_doc = shared.groupBy("doc").agg(F.collect_list(F.struct("place", "key")).alias("anchors"))
-    located = packed(texts).join(per_doc, "doc").sortWithinPartitions("doc")
-    segments = stored(located.mapInArrow(partial(_segments, length=length), _SEGMENT), "segments")
-    ordered = segments.where("bucket is not null").repartition(width, "bucket")
-    ordered = ordered.sortWithinPartitions("bucket", "doc", "start")
-    sorted_out = ordered.mapInArrow(partial(_sorted, length=length), _COVER)
-    return segments.where("bucket is null").select("doc", "start", "n").unionByName(sorted_out)
-
-
-def cut(texts: DataFrame, covers: DataFrame, length: int = LENGTH) -> DataFrame:
+    per_doc = stored(per_doc, "anchors")
+    holders = having(texts, per_doc.select("doc"), "doc")
+    located = packed(holders, words).join(per_doc, "doc").sortWithinPartitions("doc")
+    cut_up = partial(_segments, length=length, words=words)
+    segments = stored(located.mapInArrow(cut_up, _SEGMENT), "segments")
+    order = partial(_sorted, length=length)
+
+    def ordered(rows: DataFrame) -> DataFrame:
+        rows = rows.repartition(width, "bucket").sortWithinPartitions("bucket", "doc", "start")
+        return rows.mapInArrow(order, _SEGMENT)
+
+    known = F.col("bucket").isNull()
+    window = F.col("shift") < 0
+    first = stored(ordered(segments.where(~known & ~window)), "ordered")
+    windows = segments.where(~known & window).unionByName(first.where(~known))
+    covers = segments.where(known).unionByName(first.where(known)).unionByName(ordered(windows))
+    return covers.select("doc", "start", "n")
+
+
+def cut(texts: DataFrame, covers: DataFrame, length: int = LENGTH, words: bytes = b"") -> DataFrame:
     """doc, n_bytes, n_removed, n_spans, kept of every text."""
     per_doc = covers.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("covers"))
-    joined = packed(texts).join(per_doc, "doc", "left")
-    return joined.mapInArrow(
-        partial(_cut, length=length), "doc long, n_bytes long, n_removed long, n_spans long, kept binary"
+    per_doc = stored(per_doc, "covers")
+    ids = per_doc.select("doc")
+    joined = packed(having(texts, ids, "doc"), words).join(per_doc, "doc")
+    less = joined.mapInArrow(
+        partial(_cut, length=length, words=words),
+        "doc long, n_bytes long, n_removed long, n_spans long, kept binary",
+    )
+    whole = having(texts, ids, "doc", "left_anti").select(
+        "doc",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.lit(0).cast("long").alias("n_removed"),
+        F.lit(0).cast("long").alias("n_spans"),
+        F.col("text").alias("kept"),
     )
+    return less.unionByName(whole)
+
 
+def dictionary(texts: DataFrame) -> bytes:
+    beginnings = texts.select(F.substring("text", 1, SAMPLE_BYTES).alias("text"), F.xxhash64("doc").alias("h"))
+    rows = beginnings.orderBy("h", "text").limit(SAMPLE_TEXTS).collect()
+    samples = [bytes(r["text"]) for r in rows if r["text"]]
+    try:
+        return zstandard.train_dictionary(64 << 10, samples).as_bytes() if len(samples) > 50 else b""
+    except zstandard.ZstdError:
+        return b""
 
-def packed(texts: DataFrame) -> DataFrame:
+
+def packed(texts: DataFrame, words: bytes) -> DataFrame:
     """Texts compressed one by one, for shuffles."""
-    return texts.mapInArrow(_pack, "doc long, packed binary")
+    return texts.mapInArrow(partial(_pack, words=words), "doc long, packed binary")
+
 
+def _dictionary(words: bytes) -> zstandard.ZstdCompressionDict | None:
+    return zstandard.ZstdCompressionDict(words) if words else None
 
-def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    press = zstandard.ZstdCompressor(level=3)
+
+def _pack(batches: Iterable[pa.RecordBatch], words: bytes) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(words))
     for batch in batches:
         small = [press.compress(t.as_buffer()) for t in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.binary())], ["doc", "packed"])
@@ -247,16 +290,42 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(kept)
 
 
-def _segments(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Bodies of segments under their anchor; windows of frequent anchors under their own hash.
+def _segments(
+    batches: Iterable[pa.RecordBatch], length: int, words: bytes
+) -> Iterator[pa.RecordBatch]:
+    """Bodies of segments under their anchor, or under a longer string beside a frequent one.
 
     Texts come in order, so what this task has seen before is a repeat: bucket is null.
+    Windows of what is still frequent stand alone under their own hash, with shift -1, and
+    a row without body marks the bucket they left.
     """
-    press = zstandard.ZstdDecompressor()
+    press = zstandard.ZstdDecompressor(_dictionary(words))
     seen: set[bytes] = set()
+    out: list[tuple] = []
+    sides: list[tuple] = []
+    size = 0
+
+    def add(rows: list[tuple], bucket: int, doc: int, start: int, n: int, shift: int, body: bytes) -> None:
+        digest = hashlib.blake2b(body + shift.to_bytes(2, "little", signed=True), digest_size=16).digest()
+        if digest in seen:
+            out.append((None, doc, start, n, 0, None))
+            return
+        seen.add(digest)
+        rows.append((bucket, doc, start, n, shift, body))
+
+    def split_frequent() -> None:
+        count = Counter(row[0] for row in sides)
+        for row in sides:
+            if count[row[0]] < FREQUENT:
+                out.append(row)
+            else:
+                for one in _windows(*row, length):
+                    add(out, *one)
+        out.extend((key, _FIRST, 0, 0, 0, None) for key, n in count.items() if n >= FREQUENT)
+        sides.clear()
+
     for batch in batches:
         docs = batch.column(0).to_pylist()
-        out: list[tuple] = []
         for row, doc in enumerate(docs):
             text = _unpacked(press, batch.column(1)[row])
             listed = batch.column(2)[row].values
@@ -270,30 +339,46 @@ def _segments(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Rec
                 ((place >> 10) & 255).tolist(),
                 ((place >> 2) & 255).tolist(),
             ):
-                body = text[start : start + count + length - 1]
                 if kind == _SINGLE:
-                    digest = hashlib.blake2b(body + bytes((shift,)), digest_size=16).digest()
-                    if digest in seen:
-                        out.append((None, doc, start, count, 0, None))
-                    else:
-                        seen.add(digest)
-                        out.append((bucket, doc, start, count, shift, body))
+                    add(out, bucket, doc, start, count, shift, text[start : start + count + length - 1])
                     continue
-                for i in range(count):
-                    window = body[i : i + length]
-                    digest = hashlib.blake2b(window, digest_size=16).digest()
-                    if digest in seen:
-                        out.append((None, doc, start + i, 1, 0, None))
-                    else:
-                        seen.add(digest)
-                        out.append((int.from_bytes(digest[:8], "little", signed=True), doc, start + i, 1, 0, window))
+                at = start + shift
+                # Windows with SIDE bytes before the anchor, and those with as many after it.
+                left = min(count, max(0, shift - SIDE + 1))
+                for low, high, beside in (
+                    (0, left, text[at - SIDE : at + GRAM] if left else b""),
+                    (left, count, text[at : at + GRAM + SIDE]),
+                ):
+                    if high > low:
+                        body = text[start + low : start + high + length - 1]
+                        add(sides, _key(beside), doc, start + low, high - low, shift - low, body)
+                        size += len(body)
             if len(seen) > 1_000_000:
                 seen.clear()
+            if size >= FLUSH:
+                split_frequent()
+                size = 0
             if len(out) >= 20_000:
                 yield _batch(out)
                 out = []
-        if out:
-            yield _batch(out)
+    split_frequent()
+    if out:
+        yield _batch(out)
+
+
+_FIRST = -(1 << 63)
+
+
+def _key(string: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little", signed=True)
+
+
+def _windows(
+    bucket: int, doc: int, start: int, n: int, shift: int, body: bytes, length: int
+) -> Iterator[tuple]:
+    for i in range(n):
+        window = body[i : i + length]
+        yield _key(window), doc, start + i, 1, -1, window
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -318,46 +403,73 @@ def _merged(rows: list[tuple]) -> list[tuple]:
 
 
 def _sorted(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[int, pa.RecordBatch]] = []
-    windows, number = 0, 0
-    for _, piece, fresh in runs(batches, ["bucket"]):
-        if fresh:
-            number += 1
-            if windows >= SORTED:
-                yield _order(held, length)
-                held, windows = [], 0
-        held.append((number, piece))
-        windows += int(np.sum(piece.column("n").to_numpy()))
-    if held:
-        yield _order(held, length)
-
-
-def _order(held: list[tuple[int, pa.RecordBatch]], length: int) -> pa.RecordBatch:
-    """Repeats in some whole buckets, whose rows are in the order of text and place."""
-    rows = pa.Table.from_batches([piece for _, piece in held]).combine_chunks()
-    bucket = np.repeat([n for n, _ in held], [p.num_rows for _, p in held])
-    doc, start, n, shift = (rows[c].to_numpy() for c in ("doc", "start", "n", "shift"))
-    data, starts = bytes_of(rows["body"].combine_chunks())
-    many = np.bincount(bucket)[bucket] > 1
-    use = np.flatnonzero(many)
-    row = np.repeat(use, n[use])
-    inside = np.arange(len(row)) - np.repeat(np.cumsum(n[use]) - n[use], n[use])
-    # Equal windows have their anchor at the same place.
-    group = bucket[row] * 256 + shift[row] - inside
-    repeat = repeated_suffixes(data, starts[row] + inside, group, length)
-    row, inside = row[repeat], inside[repeat]
-    first = np.flatnonzero(
-        np.append(True, (row[1:] != row[:-1]) | (inside[1:] != inside[:-1] + 1)) if len(row) else np.zeros(0, bool)
-    )
-    count = np.diff(np.append(first, len(row)))
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(doc[row[first]]),
-            pa.array(start[row[first]] + inside[first]),
-            pa.array(count.astype(np.int32)),
-        ],
-        ["doc", "start", "n"],
-    )
+    """Repeats (bucket null) of whole buckets; windows of marked buckets, which are to be dealt anew."""
+    kept: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        if kept is not None:
+            rows = pa.concat_tables([kept, rows]).combine_chunks()
+        bucket = rows["bucket"].to_numpy()
+        last = int(np.searchsorted(bucket, bucket[-1], "left"))
+        if last:
+            yield from _order(rows.slice(0, last), length)
+        kept = rows.slice(last)
+    if kept is not None:
+        yield from _order(kept.combine_chunks(), length)
+
+
+def _order(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
+    """Rows are whole buckets, in the order of bucket, text and place."""
+    bucket, doc, start, n, shift = (rows[c].to_numpy() for c in ("bucket", "doc", "start", "n", "shift"))
+    first = np.append(True, bucket[1:] != bucket[:-1])
+    number = np.cumsum(first) - 1
+    marked = (n[first] == 0)[number]
+    out: list[tuple] = []
+    if marked.any():
+        bodies = rows["body"].take(pa.array(np.flatnonzero(marked))).to_pylist()
+        for row, body in zip(np.flatnonzero(marked).tolist(), bodies):
+            if n[row]:
+                out.extend(_windows(0, int(doc[row]), int(start[row]), int(n[row]), 0, body, length))
+            if len(out) >= 20_000:
+                yield _batch(out)
+                out = []
+    use = np.flatnonzero((np.bincount(number)[number] > 1) & ~marked)
+    rows = rows.take(pa.array(use)).combine_chunks()
+    number, doc, start, n = (c[use] for c in (number, doc, start, n))
+    shift = np.maximum(shift[use], 0)
+    # Equal segments first: all windows of the later ones are repeats.
+    alike: set[tuple] = set()
+    fresh = np.ones(len(use), bool)
+    for row, body in enumerate(rows["body"].to_pylist()):
+        mark = (number[row], shift[row], body)
+        if mark in alike:
+            fresh[row] = False
+            out.append((None, int(doc[row]), int(start[row]), int(n[row]), 0, None))
+        alike.add(mark)
+    use = np.flatnonzero(fresh)
+    use = use[np.bincount(number[use], minlength=number.max() + 1 if len(number) else 0)[number[use]] > 1]
+    if len(use):
+        data, starts = bytes_of(rows["body"].combine_chunks() if rows.num_rows else pa.array([], pa.binary()))
+        row = np.repeat(use, n[use])
+        inside = np.arange(len(row)) - np.repeat(np.cumsum(n[use]) - n[use], n[use])
+        # Equal windows have their anchor at the same place.
+        group = number[row] * 256 + shift[row] - inside
+        repeat = repeated_suffixes(data, starts[row] + inside, group, length)
+        row, inside = row[repeat], inside[repeat]
+        if len(row):
+            begin = np.append(True, (row[1:] != row[:-1]) | (inside[1:] != inside[:-1] + 1))
+            begin = np.flatnonzero(begin)
+            count = np.diff(np.append(begin, len(row)))
+            out.extend(
+                (None, d, s, c, 0, None)
+                for d, s, c in zip(
+                    doc[row[begin]].tolist(), (start[row[begin]] + inside[begin]).tolist(), count.tolist()
+                )
+            )
+    if out:
+        yield _batch(out)
 
 
 def repeated_suffixes(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
@@ -389,7 +501,7 @@ def repeated_suffixes(data: np.ndarray, at: np.ndarray, group: np.ndarray, lengt
 
 def _partition(index: np.ndarray, group: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order by group, word and index; number the parts, and leave out those of one suffix."""
-    order = np.lexsort((index, word, group))
+    order = np.lexsort((word, group))  # stable, and index rises
     index, group, word = index[order], group[order], word[order]
     if not len(index):
         return index, group
@@ -399,8 +511,10 @@ def _partition(index: np.ndarray, group: np.ndarray, word: np.ndarray) -> tuple[
     return index[more], number[more]
 
 
-def _cut(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    press = zstandard.ZstdDecompressor()
+def _cut(
+    batches: Iterable[pa.RecordBatch], length: int, words: bytes
+) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdDecompressor(_dictionary(words))
     for batch in batches:
         out: list[tuple] = []
         for row in range(batch.num_rows):

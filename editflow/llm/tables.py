@@ -30,14 +30,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 BROADCAST_KEYS = 2_000_000
 
 
-def having(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is in `wanted`, a stored table of one key column.
+def having(rows: DataFrame, wanted: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """The rows whose key is in `wanted`, a stored table of one key column; with left_anti, is not.
 
     The keys are counted: up to BROADCAST_KEYS they go to the rows, beyond that both
     sides are shuffled.
     """
     small = wanted.count() <= BROADCAST_KEYS
-    return rows.join(wanted.hint("broadcast") if small else wanted, key, "left_semi")
+    return rows.join(wanted.hint("broadcast") if small else wanted, key, how)
 
 
 def shuffle_width(spark: SparkSession) -> int:
