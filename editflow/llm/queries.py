@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from editflow.llm.decontam import contaminated
 from editflow.llm.embeddings import near_vectors
+from editflow.llm.licences import licences, licences_sql
 from editflow.llm.minhash import near_copies
 from editflow.llm.mixing import mixed
+from editflow.llm.perplexity import quality
 from editflow.llm.suffix import without_repeats
 from editflow.llm.tables import table
+from editflow.llm.toolcalls import as_messages, linked_calls
 from editflow.llm.toxicity import toxicity
 from editflow.llm.warc import archived
 
@@ -28,6 +31,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls = linked_calls(as_messages(table(spark, sf_dir, "conversations")))
+    return calls.withColumn("result_chars", F.length("result").cast("long")).drop("result")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -40,10 +48,19 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = toxicity(docs, table(spark, sf_dir, "labels"))
@@ -55,7 +72,19 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_copies, op2_warc, op4_mixing, op5_suffix_dedup, op7_decontamination, op9_toxicity, op10_near_vectors)}
+    found = (
+        op1_near_copies,
+        op2_warc,
+        op3_tool_calls,
+        op4_mixing,
+        op5_suffix_dedup,
+        op6_licences,
+        op7_decontamination,
+        op8_quality,
+        op9_toxicity,
+        op10_near_vectors,
+    )
+    return {f.__name__: f for f in found}
 
 
 # Equal payloads of at least 100 bytes: the smallest page_id is the response.
@@ -74,5 +103,39 @@ from d left join f on d.digest = f.digest
 """
 
 
+# Turns of others than the assistant are calls, each after the one up to three turns before.
+_TOOL_CALLS = """
+with recursive asks as (
+  select conv_id, turn, min(coalesce(role, '')) as role, min(coalesce(text, '')) as text
+  from conversations
+  where conv_id is not null and turn is not null and role is distinct from 'assistant'
+  group by conv_id, turn
+), before as (
+  select a.conv_id, a.turn, max(b.turn) as named
+  from asks a join asks b on a.conv_id = b.conv_id and b.turn between a.turn - 3 and a.turn - 1
+  group by a.conv_id, a.turn
+), chain as (
+  select conv_id, turn, 0::bigint as level from asks
+  where (conv_id, turn) not in (select (conv_id, turn) from before)
+  union all
+  select b.conv_id, b.turn, c.level + 1 from before b join chain c on b.conv_id = c.conv_id and b.named = c.turn
+), answers as (
+  select conv_id, turn, min(text) as text from conversations where role = 'assistant' group by conv_id, turn
+), told as (
+  select *, length(text)::bigint as chars,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::bigint as words
+  from asks
+)
+select t.conv_id, t.turn, t.turn::varchar as call_id,
+       case when t.role = 'system' then 'configure' else 'reply' end as name,
+       c.level,
+       '{"chars":' || chars || ',"role":"' || t.role || '","words":' || words || '}' as arguments,
+       chars >= 1 and words >= 1 and t.role in ('user', 'system') as valid,
+       r.turn as result_turn, length(r.text)::bigint as result_chars
+from told t join chain c using (conv_id, turn)
+left join answers r on r.conv_id = t.conv_id and r.turn = t.turn + 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": _WARC}
+    return {"op2_warc": _WARC, "op3_tool_calls": _TOOL_CALLS, "op6_licences": licences_sql()}
