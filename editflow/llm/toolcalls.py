@@ -143,7 +143,10 @@ def fits(name: Column, arguments: Column, schemas: Mapping[str, Mapping[str, tup
         good = F.size(F.array_except(F.map_keys(known), names)) == 0
         for field, (kind, required, bound) in fields.items():
             value = F.try_variant_get(arguments, f"$.{field}", kind)
+            # The type is that of the JSON value: a number in quotes is a string.
+            written = F.schema_of_variant(F.try_variant_get(arguments, f"$.{field}", "variant"))
             within = value >= bound if kind == "bigint" else value.isin(*bound)
+            within &= written == kind.upper()
             there = F.array_contains(F.map_keys(known), field)
             good &= F.when(there, F.coalesce(within, F.lit(False))).otherwise(F.lit(not required))
         out = F.when(name == tool, good).otherwise(out)
