@@ -171,7 +171,8 @@ _PARTS["scored"] = (
     """
 select bucket, channel, n, cluster, centre, abs(n - centre) as distance,
   centre * cast(0.05 as double) < abs(n - centre) as is_anomaly
-from filled join models using (channel) where weekofyear(bucket) > 1
+from filled join models using (channel)
+where bucket >= (select date_trunc('week', min(ts)) + interval 7 day from typed where weekofyear(ts) = 1)
 qualify row_number() over (partition by bucket, channel order by abs(n - centre), cluster) = 1
 """,
 )

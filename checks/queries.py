@@ -582,7 +582,7 @@ def detect_anomalies(spark, sf_dir):
 @query
 def stream_counts(spark, sf_dir):
     out = scratch_path(spark, "out")
-    stream = counting.stream_counts(_edit_stream(spark, sf_dir), "1 hour")
+    stream = counting.stream_counts(_edit_stream(spark, sf_dir), "1 hour", "0 seconds")
     _finish(sinks.start(stream, sinks.batch_folder(out), scratch_path(spark, "offsets"), once=True))
     return spark.read.parquet(out).select("bucket", "channel", "n")
 
@@ -590,7 +590,7 @@ def stream_counts(spark, sf_dir):
 @query
 def stream_score(spark, sf_dir):
     out = scratch_path(spark, "out")
-    stream = counting.stream_counts(_edit_stream(spark, sf_dir), "1 hour")
+    stream = counting.stream_counts(_edit_stream(spark, sf_dir), "1 hour", "0 seconds")
     profile = _profile(_hourly(spark, sf_dir))
     offsets = scratch_path(spark, "offsets")
     _finish(sinks.stream_score(stream, profile, out, offsets, "1 hour", once=True))
@@ -645,7 +645,7 @@ def on_flush(spark, sf_dir):
         store(batch, batch_id)
         raise ValueError("raised after the counts were stored")
 
-    stream = counting.stream_counts(_edit_stream(spark, sf_dir), "1 hour")
+    stream = counting.stream_counts(_edit_stream(spark, sf_dir), "1 hour", "0 seconds")
     _finish(sinks.on_flush(stream, flush, scratch_path(spark, "offsets"), once=True))
     return spark.read.parquet(out).select("bucket", "channel", "n")
 

@@ -52,7 +52,7 @@ def metric_gauge(
     )
     adjusts = F.col("_text").rlike(r"\A[+-]")
     amount = F.col("_text").try_cast("double")
-    latest = F.max(F.when(~adjusts, F.struct("_at", amount.alias("amount")))).alias("_set")
+    latest = F.max(F.when(~adjusts & amount.isNotNull(), F.struct("_at", amount.alias("amount")))).alias("_set")
     last_set = materialize(sent.groupBy("bucket", "name").agg(latest), "gauges")
     later = F.col("_set").isNull() | (F.col("_at") > F.col("_set._at"))
     per_interval = (

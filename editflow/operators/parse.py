@@ -171,6 +171,19 @@ def typed_edits(lines: DataFrame) -> DataFrame:
     return split_flags(edits.where(in_range)).withColumns(sizes).select(*kept, *EDIT_COLUMNS)
 
 
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """The lines of which typed_edits gives no row, with the reason."""
+    size = F.regexp_extract("raw", r"\A" + IRC_LINE + r"\z", 6)
+    matches = F.col("raw").rlike(r"\A" + IRC_LINE + r"\z") & ~F.contains("raw", F.lit("\n"))
+    delta = size.try_cast("bigint")
+    reason = (
+        F.when(F.col("raw").isNull() | ~matches, "no change line")
+        .when((size != "") & delta.isNull(), "delta beyond 64 bits")
+        .when(F.abs(delta.cast("decimal(20,0)")) > 2**31 - 1, "delta beyond 32 bits")
+    )
+    return once(lines, {"reason": reason}).where("reason is not null")
+
+
 def ui_feed(df: DataFrame) -> DataFrame:
     return df.select("user", F.col("page").alias("text"), F.col("ts").alias("timestamp"), "diff_url")
 

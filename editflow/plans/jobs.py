@@ -4,6 +4,8 @@
 The streaming jobs give their query; `once` stops it after what is there now.
 """
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,13 +30,17 @@ from editflow.streaming.sinks import (
     Sink,
     batch_folder,
     for_each_edit,
-    on_flush,
+    start,
     stream_ingest,
     stream_score,
     stream_store,
 )
 
 
+# How long an interval waits for edits that come out of order.
+WATERMARK = "10 minutes"
+
+
 def _edits(spark: SparkSession, bus: dict[str, str], codec: str, start: str = "committed"):
     good, _ = split_rejects(decode_bus(read_bus(spark, bus, start), codec))
     return good
@@ -53,10 +59,20 @@ def ingest(
 
 
 def store(
-    spark: SparkSession, bus: dict[str, str], table: str, checkpoint: str, codec="json", once=False
+    spark: SparkSession,
+    bus: dict[str, str],
+    table: str,
+    checkpoint: str,
+    codec="json",
+    once=False,
+    on_conflict: str = "keep",
 ):
-    """The bus to the stored table; redelivered edits overwrite themselves."""
-    return stream_store(read_bus(spark, bus), table, checkpoint, codec, once)
+    """The bus to the stored table.
+
+    Ids are made of the content, so a redelivered edit doesn't differ from the stored
+    one, and no day is rewritten for it; on_conflict='replace' rewrites.
+    """
+    return stream_store(read_bus(spark, bus), table, checkpoint, codec, once, on_conflict)
 
 
 def count(
@@ -65,19 +81,23 @@ def count(
     path: str,
     checkpoint: str,
     interval: str = "10 seconds",
-    watermark: str = "10 seconds",
+    watermark: str = WATERMARK,
     codec="json",
     once=False,
 ):
-    """Counts per interval of every channel and of all messages, as metric rows."""
+    """Counts per interval of every channel and of all messages, as metric rows.
+
+    An error in the store stops the query, and the batch is run again.
+    `dropped_late` of the query gives the edits that came after their interval closed.
+    """
     write = batch_folder(path)
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         # The counts of one interval close together, so its total is complete.
-        write(metric_rows(with_totals(batch)), batch_id)
+        write(metric_rows(with_totals(materialize(batch, "counts"))), batch_id)
 
     counts = stream_counts(_edits(spark, bus, codec), interval, watermark)
-    return on_flush(counts, flush, checkpoint, once)
+    return start(counts, flush, checkpoint, once)
 
 
 def train(
@@ -103,7 +123,7 @@ def score(
     path: str,
     checkpoint: str,
     interval: str = "60 seconds",
-    watermark: str = "10 seconds",
+    watermark: str = WATERMARK,
     eps: float = EPSILON,
     codec="json",
     once=False,
@@ -140,12 +160,26 @@ def train_and_score(
     grain: str = "hour",
     eps: float = EPSILON,
     tol: float = TOLERANCE,
+    year: int | None = None,
 ) -> DataFrame:
     """Learn normal activity from one ISO week and score the intervals after it, in one batch.
 
-    The lines are parsed once; training and counting read the two columns they need.
+    `year` is the ISO year of the week; without it, the first one in which the week has
+    edits. Intervals before the week are not scored, those of later years are. The
+    lines are parsed once; training and counting read the two columns they need.
     """
-    edits = calendar_fields(materialize(typed_edits(lines).select("ts", "channel"), "edits"))
-    models = fit_all_models(edits, week, k, iterations, tol, grain)
+    edits = materialize(typed_edits(lines).select("ts", "channel"), "edits")
+    begin = _first_day(edits, week) if year is None else datetime.date.fromisocalendar(year, week, 1)
+    if begin is None:
+        begin = datetime.date.max - datetime.timedelta(days=7)
+    end = F.lit(begin + datetime.timedelta(days=7)).cast("timestamp")
+    trained = edits.where((F.col("ts") >= F.lit(begin).cast("timestamp")) & (F.col("ts") < end))
+    models = fit_all_models(calendar_fields(trained), week, k, iterations, tol, grain)
     counts = zero_fill(count_by_channel(edits, interval), interval)
-    return detect_anomalies(counts.where(F.weekofyear("bucket") > week), models, eps)
+    return detect_anomalies(counts.where(F.col("bucket") >= end), models, eps)
+
+
+def _first_day(edits: DataFrame, week: int) -> datetime.date | None:
+    """Monday of the first week with this ISO number that has edits."""
+    first = edits.where(F.weekofyear("ts") == week).agg(F.min(F.to_date("ts"))).first()[0]
+    return first and first - datetime.timedelta(days=first.weekday())

@@ -58,6 +58,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern names, in order."""
+    file_system, jvm_path = _file_system(spark, pattern)
+    return sorted(str(found.getPath()) for found in file_system.globStatus(jvm_path) or [])
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     file_system, jvm_path = _file_system(spark, path)
     file_system.delete(jvm_path, True)

@@ -2,6 +2,7 @@
 
 import datetime
 import functools
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,7 +12,7 @@ from editflow.operators.filters import filter_channel, filter_week
 from editflow.operators.parse import calendar_fields
 from editflow.operators.series import clustering_order
 from editflow.schema import STORED, STORED_KEY, STORED_PARTITIONS
-from editflow.session import materialize, scratch_scope
+from editflow.session import list_paths, materialize, remove_path, scratch_scope
 
 
 @functools.cache
@@ -71,7 +72,11 @@ def write_edits(df: DataFrame, path: str, wall: str = "utc", on_conflict: str =
     holds such a key is rewritten from a copy made beside the table; with
     on_conflict='keep' the stored row stays and nothing is rewritten. `keep` is
     the same as `replace` for redelivered edits, which do not differ.
+
+    The copy stays beside the table until the rewrite is through. If it fails half-way,
+    the next write completes it first.
     """
+    recover(df.sparkSession, path)
     rows = latest_per_key(calendar_fields(df, wall).select(*STORED.fieldNames()))
     try:
         table = df.sparkSession.read.schema(STORED).parquet(path)
@@ -84,6 +89,22 @@ def write_edits(df: DataFrame, path: str, wall: str = "utc", on_conflict: str =
         _upsert(materialize(rows, "batch"), table, path, on_conflict)
 
 
+# Readers of the table pass over names that begin so.
+_PENDING = "_pending-"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put complete copies of rewritten days into the table, and remove incomplete ones.
+
+    A copy is written before the table is touched, so an incomplete one means that the
+    table still has the days as they were.
+    """
+    for copy in list_paths(spark, f"{path}/{_PENDING}*"):
+        if list_paths(spark, f"{copy}/_SUCCESS"):
+            _write(spark.read.schema(STORED).parquet(copy), path, "overwrite")
+        remove_path(spark, copy)
+
+
 def _upsert(batch: DataFrame, table: DataFrame, path: str, on_conflict: str) -> None:
     # At most one row per calendar day of the batch.
     spans = batch.groupBy(*STORED_PARTITIONS).agg(F.min("time"), F.max("time")).collect()
@@ -107,7 +128,9 @@ def _upsert(batch: DataFrame, table: DataFrame, path: str, on_conflict: str) ->
             batch.select(*STORED_KEY), STORED_KEY, "left_anti"
         )
         merged = held.unionByName(batch.where(_in_days(conflicts)))
-        _write(materialize(merged, "merged"), path, "overwrite")
+        # The writer marks the copy as complete when all of it is there.
+        merged.write.parquet(f"{path}/{_PENDING}{uuid.uuid4().hex}")
+        recover(batch.sparkSession, path)
     fresh = [day for day in days if day not in conflicts]
     if fresh:
         _write(batch.where(_in_days(fresh)), path, "append")

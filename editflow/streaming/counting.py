@@ -9,12 +9,14 @@ from editflow.schema import ALL_MESSAGES
 
 def stream_counts(
     stream: DataFrame,
-    interval: str = "10 seconds",
-    watermark: str = "0 seconds",
+    interval: str,
+    watermark: str,
     time: str = "event",
 ) -> DataFrame:
     """Tumbling counts per channel, final once the watermark has passed an interval.
 
+    An edit that comes later than the watermark is not counted, so the caller states
+    it; `dropped_late` tells how many there were.
     time='processing' counts by the moment of arrival instead of the edit's time.
     """
     if time == "processing":
@@ -22,6 +24,15 @@ def stream_counts(
     return count_by_channel(stream.withWatermark("ts", watermark), interval)
 
 
+def dropped_late(query) -> int:
+    """Rows that a streaming query has dropped as too late, of the batches it still reports."""
+    return sum(
+        state.get("numRowsDroppedByWatermark", 0)
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+
+
 def total_messages(stream: DataFrame) -> DataFrame:
     """Endless running count; write it in complete mode."""
     return stream.groupBy().agg(F.count("*").alias("n")).select(

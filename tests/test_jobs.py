@@ -28,7 +28,7 @@ def test_lines_to_anomalies(spark, folder):
     without_id = [c for c in EDIT_COLUMNS if c != "id"]
     assert sorted(stored.select(*without_id).collect()) == sorted(edits.select(*without_id).collect())
 
-    jobs.count(spark, bus, metrics, folder("offsets"), "1 day", once=True).awaitTermination()
+    jobs.count(spark, bus, metrics, folder("offsets"), "1 day", "10 seconds", once=True).awaitTermination()
     rows = spark.read.parquet(metrics).collect()
     expected = Counter()
     newest = edits.agg(F.max("ts")).first()[0]
@@ -44,7 +44,7 @@ def test_lines_to_anomalies(spark, folder):
     jobs.train(spark, table, model_path, week, channel="#de.wikipedia", year=2024, k=2, grain="hour")
     trained = load_models(spark, model_path)
     assert {r.channel for r in trained.collect()} == {"#de.wikipedia", "#en.wikipedia"}
-    jobs.score(spark, bus, model_path, scored, folder("offsets"), "1 day", once=True).awaitTermination()
+    jobs.score(spark, bus, model_path, scored, folder("offsets"), "1 day", "10 seconds", once=True).awaitTermination()
     found = spark.read.parquet(f"{scored}/scored")
     assert found.where("is_anomaly").count() > 0
 
@@ -62,3 +62,17 @@ def test_lines_to_anomalies(spark, folder):
         ("b", "#de.wikipedia"): per_channel["#de.wikipedia"],
         ("b", "#en.wikipedia"): per_channel["#en.wikipedia"],
     }
+
+
+def test_scoring_knows_the_year_of_the_week(spark):
+    from tests.data import irc_line
+
+    days = {"2023-12-20": 9, "2024-01-01": 2, "2024-01-03": 2, "2024-01-09": 2, "2025-01-01": 9}
+    rows = [
+        (f"{day} 10:{i:02d}:00", "#c", irc_line(f"p{i}", "", "(+1)")) for day, n in days.items() for i in range(n)
+    ]
+    lines = spark.createDataFrame(rows, "t string, channel string, raw string")
+    lines = lines.select(F.to_timestamp("t").alias("ts"), "channel", "raw")
+    found = jobs.train_and_score(lines, 1, 1, year=2024, interval="1 day", grain="hour")
+    got = {str(r.bucket)[:10]: r.n for r in found.where("n > 0").collect()}
+    assert got == {"2024-01-09": 2, "2025-01-01": 9}

@@ -98,3 +98,9 @@ def test_metric_lines(spark):
         "name string, value int, kind string, rate double",
     )
     assert [r.line for r in metrics.metric_lines(df).collect()] == ["a:5|c", "b:-3|g", "c:320|ms|@0.1"]
+
+
+def test_text_that_is_no_number_does_not_set_a_gauge(spark):
+    rows = [(i, i, "m", 0, text, 1.0, "g") for i, text in enumerate(["+5", "abc", "+2"])]
+    found = metrics.metric_gauge(frame(spark, rows), "1 minute", value="setting", order=["ts", "event_id"])
+    assert [r.value for r in found.collect()] == [7.0]

@@ -12,7 +12,7 @@ from editflow.schema import BUS, EDIT_COLUMNS, MODEL, STORED
 from editflow.session import checkpoint_root
 from editflow.sources import bus, edits as table
 from editflow.streaming import counting, sinks
-from tests.data import edit_frame, skewed_events
+from tests.data import at, edit_frame, skewed_events
 from tests.test_skew import events
 
 SCHEMA = "id string, ts timestamp, channel string"
@@ -51,7 +51,7 @@ def test_stream_counts_equal_the_batch_for_closed_intervals(spark, folder):
 
 def test_processing_time_counts(spark, folder):
     path, out = in_files(spark, folder, skewed_events(50), 1), folder("out")
-    counted = counting.stream_counts(stream(spark, path), "1 hour", time="processing")
+    counted = counting.stream_counts(stream(spark, path), "1 hour", "0 seconds", time="processing")
     query = sinks.start(counted, sinks.batch_folder(out), folder("offsets"), once=True, mode="update")
     query.awaitTermination()
     got = spark.read.parquet(out)
@@ -63,7 +63,7 @@ def test_stream_score_fills_between_batches_and_survives_a_rerun(spark, folder):
     rows = [(f"i{n}", s, c) for n, (_, s, c) in enumerate(skewed_events(300))]
     path, out, offsets = in_files(spark, folder, rows, 6), folder("out"), folder("offsets")
     trained = spark.createDataFrame([("#en.wikipedia", 1, 0, 2.0), ("#c1.wikipedia", 1, 0, 0.0)], MODEL)
-    counted = counting.stream_counts(stream(spark, path), "1 hour")
+    counted = counting.stream_counts(stream(spark, path), "1 hour", "0 seconds")
     sinks.stream_score(counted, trained, out, offsets, "1 hour", once=True).awaitTermination()
     # A second run finds nothing new.
     sinks.stream_score(counted, trained, out, offsets, "1 hour", once=True).awaitTermination()
@@ -151,7 +151,7 @@ def test_an_error_in_a_flush_callback_does_not_stop_the_counts(spark, folder):
         seen.append(batch_id)
         raise ValueError("callback")
 
-    counted = counting.stream_counts(stream(spark, path), "1 hour")
+    counted = counting.stream_counts(stream(spark, path), "1 hour", "0 seconds")
     sinks.on_flush(counted, flush, folder("offsets"), once=True).awaitTermination()
     assert len(seen) >= 3
 
@@ -194,3 +194,35 @@ def test_flagship_job(spark):
     assert result.count() > 0
     first = result.agg(F.min("bucket")).first()[0] / 1e6
     assert datetime.datetime.fromtimestamp(first, datetime.timezone.utc).isocalendar().week == 2
+
+
+def test_late_edits_are_counted_as_dropped(spark, folder):
+    events = [("a", 0, "x"), ("b", 7200, "x"), ("c", 14400, "x"), ("late", 10, "x"), ("d", 21600, "x")]
+    path = folder("in")
+    for place, event in enumerate(events):
+        frame = spark.createDataFrame([(at(event[1]), event[2])], "ts timestamp, channel string")
+        frame.coalesce(1).write.parquet(f"{path}/p={place}")
+    source = spark.readStream.schema("ts timestamp, channel string").option("maxFilesPerTrigger", 1)
+    counted = counting.stream_counts(source.parquet(f"{path}/*"), "1 hour", "0 seconds")
+    query = sinks.start(counted, lambda batch, batch_id: batch.count(), folder("offsets"), once=True)
+    query.awaitTermination()
+    assert counting.dropped_late(query) == 1
+
+
+def test_an_error_in_the_store_of_counts_stops_the_count_job(spark, folder, monkeypatch):
+    from editflow.plans import jobs
+    from editflow.sources.bus import encode_bus, write_bus
+
+    bus = {"format": "parquet", "path": folder("bus")}
+    write_bus(encode_bus(edit_frame(spark, 60), "json"), bus)
+
+    def no_store(path):
+        def write(batch, batch_id):
+            raise OSError("storage")
+
+        return write
+
+    monkeypatch.setattr(jobs, "batch_folder", no_store)
+    query = jobs.count(spark, bus, folder("metrics"), folder("offsets"), "1 hour", "0 seconds", once=True)
+    with pytest.raises(Exception, match="storage"):
+        query.awaitTermination()

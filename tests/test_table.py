@@ -196,3 +196,23 @@ def test_channel_catalog(spark):
 
 def test_checkpoint_root_is_the_session_setting(spark):
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_a_rewrite_that_fails_half_way_is_completed_by_the_next_write(spark, folder, monkeypatch):
+    path = folder("edits")
+    edits = edit_frame(spark, 120)
+    table.write_edits(edits, path)
+    newer = edits.limit(20).withColumn("comment", F.lit("changed"))
+
+    def fail(df, path, mode):
+        raise OSError("storage")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(table, "_write", fail)
+        with pytest.raises(OSError, match="storage"):
+            table.write_edits(newer, path)
+    assert rows(stored(spark, path)) == rows(edits)
+    table.write_edits(edits.limit(0), path)
+    expected = newer.unionByName(edits.join(newer.select("id"), "id", "left_anti").select(*EDIT_COLUMNS))
+    assert rows(stored(spark, path)) == rows(expected)
+    assert table.list_paths(spark, f"{path}/_pending-*") == []
