@@ -2,7 +2,8 @@
 
 A message with calls holds {"tool_calls": [{"id", "name", "arguments", "after": [ids]}]};
 a result holds {"tool_call_id", "content"}. Calls and results meet in a hash join by
-conversation and identifier. Calls are ordered so that each comes after those it names.
+conversation and identifier. Calls are ordered so that each comes after those it names,
+where chains of calls are followed by doubling.
 Arguments are checked against schemas, and written as JSON with sorted keys and no
 blanks. Only built-in expressions.
 """
@@ -154,22 +155,85 @@ def fits(name: Column, arguments: Column, schemas: Mapping[str, Mapping[str, tup
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """conv_id, call_id, level: rounds release the calls whose named calls are all released.
+    """conv_id, call_id, level: the longest chain of earlier calls; none for calls in or after a cycle.
 
-    A round costs one join; there are as many rounds as the longest chain has calls.
+    A call that names one known call only passes its level on. Such chains are followed by
+    doubling: after k rounds a call points 2^k calls back, or at the call where its chain
+    starts. That is a root, or a call that names several. Only the latter are released
+    in turn, so a long conversation costs rounds by the logarithm of its length plus its
+    longest chain of calls with several names.
     """
-    edges = calls.select("conv_id", "call_id", F.explode("after").alias("named")).distinct()
     known = calls.select("conv_id", F.col("call_id").alias("named"))
-    waiting = stored(edges.join(known, ["conv_id", "named"]), "waiting")
-    free = calls.select("conv_id", "call_id").join(waiting, ["conv_id", "call_id"], "left_anti")
-    done = [stored(free.withColumn("level", F.lit(0).cast("long")), "level")]
-    while not waiting.isEmpty():
-        released = done[-1].select("conv_id", F.col("call_id").alias("named"))
-        left = stored(waiting.join(released, ["conv_id", "named"], "left_anti"), "waiting")
-        ready = waiting.select("conv_id", "call_id").distinct().join(left, ["conv_id", "call_id"], "left_anti")
-        ready = stored(ready.withColumn("level", F.lit(len(done)).cast("long")), "level")
-        if ready.isEmpty():
-            break
+    named = calls.select("conv_id", "call_id", F.explode("after").alias("named")).distinct()
+    edges = stored(named.join(known, ["conv_id", "named"]), "edges")
+    ends = stored(_chains(calls, edges), "ends")
+    level = ends.where("root").select("conv_id", "call_id", F.col("distance").alias("level"))
+    several = ends.where("not root and call_id = top").select("conv_id", "call_id")
+    if several.isEmpty():
+        return level
+    starts = _released(edges.join(several, ["conv_id", "call_id"]), ends)
+    later = ends.where("not root").join(starts.withColumnRenamed("call_id", "top"), ["conv_id", "top"])
+    later = later.select("conv_id", "call_id", (F.col("level") + F.col("distance")).alias("level"))
+    return level.unionByName(later)
+
+
+def _chains(calls: DataFrame, edges: DataFrame) -> DataFrame:
+    """conv_id, call_id, top, distance, root: where each call's chain starts, and how far back.
+
+    root says that top names no known call. Chains that end in a cycle are left out.
+    """
+    names = edges.groupBy("conv_id", "call_id").agg(F.count("*").alias("n"), F.min("named").alias("named"))
+    one = F.col("n") == 1
+    first = calls.select("conv_id", "call_id").join(names, ["conv_id", "call_id"], "left").select(
+        "conv_id",
+        "call_id",
+        F.when(one, F.col("named")).otherwise(F.col("call_id")).alias("top"),
+        F.when(one, 1).otherwise(0).cast("long").alias("distance"),
+        F.when(F.col("n").isNull(), True).when(~one, False).alias("root"),
+    )
+    rounds, before = [stored(first, "chains")], -1
+    while True:
+        going = rounds[-1].where("root is null")
+        # A round ends some chains if any are left that end at all.
+        left = going.count()
+        ended = reduce(DataFrame.unionByName, [r.where("root is not null") for r in rounds])
+        if left in (0, before):
+            return ended
+        before = left
+        step = ended.unionByName(going).select(
+            "conv_id",
+            F.col("call_id").alias("top"),
+            F.col("top").alias("_top"),
+            F.col("distance").alias("_distance"),
+            "root",
+        )
+        further = going.drop("root").join(step, ["conv_id", "top"]).select(
+            "conv_id",
+            "call_id",
+            F.col("_top").alias("top"),
+            (F.col("distance") + F.col("_distance")).alias("distance"),
+            "root",
+        )
+        rounds.append(stored(further, "chains"))
+
+
+def _released(edges: DataFrame, ends: DataFrame) -> DataFrame:
+    """conv_id, call_id, level of the calls that name several, each once all it names have a level."""
+    back = ends.withColumnRenamed("call_id", "named")
+    far = F.col("distance") + 1
+    waiting = edges.join(back, ["conv_id", "named"], "left").select(
+        "conv_id", "call_id", "top", far.alias("far"), F.when(F.col("root"), far).alias("level")
+    )
+    waiting, done = stored(waiting, "waiting"), []
+    while True:
+        ready = waiting.groupBy("conv_id", "call_id").agg(
+            F.bool_and(F.col("level").isNotNull()).alias("ready"), F.max("level").alias("level")
+        )
+        ready = stored(ready.where("ready").drop("ready"), "ready")
         done.append(ready)
-        waiting = left
-    return reduce(DataFrame.unionByName, done)
+        if ready.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        there = ready.select("conv_id", F.col("call_id").alias("top"), F.col("level").alias("_level"))
+        rest = waiting.join(ready, ["conv_id", "call_id"], "left_anti").join(there, ["conv_id", "top"], "left")
+        level = F.coalesce("level", F.col("_level") + F.col("far"))
+        waiting = stored(rest.select("conv_id", "call_id", "top", "far", level.alias("level")), "waiting")

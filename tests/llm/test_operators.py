@@ -246,6 +246,34 @@ def test_calls_are_linked_ordered_and_checked(spark):
     )
 
 
+def levels_by_hand(calls):
+    """Rounds over one conversation: call -> the calls it names."""
+    level = {}
+    while True:
+        free = [c for c in calls if c not in level and all(a in level for a in calls[c] if a in calls)]
+        if not free:
+            return level
+        level |= {c: max([level[a] + 1 for a in calls[c] if a in calls], default=0) for c in free}
+
+
+def test_levels_of_long_chains_meetings_and_cycles(spark):
+    rng = random.Random(5)
+    conversations = {"chain": {str(t): [str(t - 1)] * (t > 0) for t in range(90)}}
+    for conv in ("mixed", "cycle"):
+        names = conversations[conv] = {}
+        for t in range(60):
+            several = rng.choice([0, 1, 1, 1, 1, 1, 2, 3]) * (t > 0)
+            names[str(t)] = [str(rng.randrange(max(0, t - 4), t)) for _ in range(several)]
+    conversations["cycle"]["20"] = ["26", "unknown"]
+    conversations["cycle"]["40"] = ["40"]
+    conversations["all"] = {"a": ["b"], "b": ["a"]}
+    rows = [(v, int(c) if c.isdigit() else 0, c, a) for v, calls in conversations.items() for c, a in calls.items()]
+    frame = spark.createDataFrame(rows, "conv_id string, turn long, call_id string, after array<string>")
+    got = {(r.conv_id, r.call_id): r.level for r in toolcalls.levels(frame).collect()}
+    want = {(v, c): n for v, calls in conversations.items() for c, n in levels_by_hand(calls).items()}
+    assert got == want and max(want.values()) == 89 and len(want) < len(rows)
+
+
 def test_mix_meets_its_targets_and_runs_agree(spark):
     rng = random.Random(9)
     rows = [(i, f"s{i % 4}" if i % 9 else None, " ".join(words(rng, int(rng.paretovariate(1.2) * 5) % 900))) for i in range(900)]
