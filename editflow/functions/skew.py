@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from editflow.session import materialize
 
-# A lookup side is broadcast only if it has been counted and has no more rows than this.
+# A lookup side is broadcast only if it has been measured and has no more rows and bytes than this.
 BROADCAST_ROWS = 200_000
-SALTS = 64
+BROADCAST_BYTES = 64 << 20
 
 
 def lookup_join(
@@ -19,21 +19,29 @@ def lookup_join(
     spread: Sequence[str],
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Join a large frame with a lookup frame, inner or left.
 
-    A lookup of a checked size is broadcast and the large side does not move.
-    Beyond that size the large side is salted by its `spread` columns and the
-    lookup repeated once per salt, so the rows of a hot key go to many tasks.
+    A lookup of a checked size is broadcast and the large side does not move. Beyond that
+    size both sides move. Keys that hold more than one of `parts` equal shares of the rows
+    (the shuffle partitions, if not given), which are fewer than `parts`, are then dealt
+    by `spread` over as many salts as they hold shares; only their lookup rows are repeated.
     """
     on = list(on)
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*lookup.columns)))), F.lit(0))
+    count, written = lookup.agg(F.count("*"), size).first()
+    if count <= broadcast_rows and written <= BROADCAST_BYTES:
         return rows.join(F.broadcast(lookup), on, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
-    repeated = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    )
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = materialize(rows.groupBy(*on).agg(F.count("*").alias("_held")), "held")
+    total = held.select(F.sum("_held")).scalar()
+    share = F.col("_held") * parts / total
+    hot = F.broadcast(held.where(share > 1).select(*on, F.ceil(share).alias("_salts")))
+    salt = F.pmod(F.xxhash64(*spread), F.coalesce("_salts", F.lit(1)))
+    salted = rows.join(hot, on, "left").withColumn("_salt", salt).drop("_salts")
+    salts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)) - 1)
+    repeated = lookup.join(hot, on, "left").withColumn("_salt", F.explode(salts)).drop("_salts")
     return salted.join(repeated, on + ["_salt"], how).drop("_salt")
 
 

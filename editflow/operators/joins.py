@@ -55,10 +55,13 @@ def route_edits(edits: DataFrame, subscriptions: DataFrame) -> DataFrame:
     """Each edit once per subscriber of its channel or of the catch-all.
 
     An edit goes out under two routes, its channel and the catch-all, so that one
-    equality join covers both kinds of subscription.
+    equality join covers both kinds of subscription; the catch-all only if anyone wants it.
     """
     wanted = subscriptions.select("subscriber", F.lower("channel").alias("route"))
-    routes = F.array_distinct(F.array("channel", F.lit(CATCH_ALL)))
-    routed = edits.withColumn("route", F.explode(routes))
+    if wanted.where(F.col("route") == CATCH_ALL).isEmpty():
+        routed = edits.withColumn("route", F.col("channel"))
+    else:
+        routes = F.array_distinct(F.array("channel", F.lit(CATCH_ALL)))
+        routed = edits.withColumn("route", F.explode(routes))
     spread = ["id"] if "id" in edits.columns else edits.columns
     return lookup_join(routed, wanted, ["route"], spread=spread).drop("route")

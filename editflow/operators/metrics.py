@@ -98,11 +98,12 @@ def metric_timing(
 
     Percentiles interpolate between the two samples around the rank. Samples are
     first counted per distinct value; the ranks run over those counts in blocks
-    of neighbouring values, so no task holds all samples of a metric.
+    of neighbouring values, so no task holds all samples of a metric. Fractions stay.
     """
     keys = ["bucket", "name"]
+    whole = events.schema["value"].dataType.typeName() in ("byte", "short", "integer", "long")
     per_value = _events(events, TIMING, interval).groupBy(
-        *keys, F.col("value").cast("bigint").alias("value")
+        *keys, F.col("value").cast("bigint" if whole else "double").alias("value")
     )
     cells = materialize(per_value.agg(F.count("*").alias("_n")), "samples").withColumn(
         "_block", F.floor(F.col("value") / VALUE_BLOCK)

@@ -49,7 +49,7 @@ def _edits(spark: SparkSession, bus: dict[str, str], codec: str, start: str = "c
 def ingest(
     spark: SparkSession, landing: str, bus: dict[str, str], checkpoint: str, codec="json", once=False
 ):
-    """JSON lines that land in a folder to the bus; bad lines are left out."""
+    """JSON lines that land in a folder to the bus, at least once; bad lines are left out."""
     parsed = assign_id(parse_json_edits(stream_lines(spark, landing)))
 
     def publish(frames: DataFrame, batch_id: int) -> None:
@@ -128,10 +128,12 @@ def score(
     codec="json",
     once=False,
 ):
-    """Counts of the bus against the saved models; a channel without a model is not scored."""
+    """Counts of the bus against the saved models; a channel without a model is not scored.
+
+    The models are loaded for each batch, so that a later `train` counts without a restart.
+    """
     counts = stream_counts(_edits(spark, bus, codec), interval, watermark)
-    models = load_models(spark, model_path)
-    return stream_score(counts, models, path, checkpoint, interval, eps, once)
+    return stream_score(counts, lambda: load_models(spark, model_path), path, checkpoint, interval, eps, once)
 
 
 def feed(

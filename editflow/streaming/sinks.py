@@ -11,12 +11,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from editflow.operators.counts import anomaly_counts
 from editflow.operators.models import EPSILON, detect_anomalies
 from editflow.operators.parse import split_rejects
 from editflow.operators.series import zero_fill
 from editflow.session import materialize, remove_path, scratch_scope
 from editflow.sources.bus import decode_bus, encode_bus
 from editflow.sources.edits import write_edits
+from editflow.sources.models import metric_rows
 
 log = logging.getLogger(__name__)
 
@@ -51,12 +53,10 @@ def fan_out(df: DataFrame, sinks: list[Sink], checkpoint: str | None = None, onc
     """
 
     def feed(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
+        with scratch_scope(batch.sparkSession):
+            whole = materialize(batch, "batch")
             for sink in sinks:
-                sink(batch, batch_id)
-        finally:
-            batch.unpersist()
+                sink(whole, batch_id)
 
     if df.isStreaming:
         return start(df, feed, checkpoint, once)
@@ -99,7 +99,7 @@ def stream_ingest(
 
 def stream_score(
     counts: DataFrame,
-    models: DataFrame,
+    models: DataFrame | Callable[[], DataFrame],
     path: str,
     checkpoint: str,
     interval: str = "60 seconds",
@@ -108,37 +108,39 @@ def stream_score(
 ):
     """Score each interval as it closes.
 
+    `scored` below path gets the rows, `anomalies` the number of unusual intervals per
+    channel as counter rows. `models` may be a function that loads them: it is called for
+    each batch, so that models trained meanwhile count from the next batch on.
     Each batch also stores how far every channel has been scored, so that the next
     one can fill the empty intervals in between; a channel without edits counts 0.
     """
 
     def score(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()
-        try:
-            if batch.count() == 0:
-                return
-            states = _states(spark, f"{path}/state", before=batch_id)
-            rows = batch.select("bucket", "channel", "n")
-            if states:
-                seen = spark.read.parquet(f"{path}/state/batch={states[-1]}")
-                marks = seen.select("bucket", "channel", F.lit(0).cast("bigint").alias("n"))
-                done = seen.withColumnRenamed("bucket", "_done")
-                new = F.col("_done").isNull() | (F.col("bucket") > F.col("_done"))
-                filled = zero_fill(rows.unionByName(marks), interval)
-                filled = filled.join(done, "channel", "left").where(new).drop("_done")
-            else:
-                filled = zero_fill(rows, interval)
-            filled = materialize(filled, "filled")
-            scored = detect_anomalies(filled, models, eps)
-            scored.write.mode("overwrite").parquet(f"{path}/scored/batch={batch_id}")
-            reached = filled.groupBy("channel").agg(F.max("bucket").alias("bucket"))
-            reached.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
-            # The state before this one is needed if this batch is run again.
-            for old in states[:-1]:
-                remove_path(spark, f"{path}/state/batch={old}")
-        finally:
-            batch.unpersist()
+        batch = materialize(batch, "closed")
+        if batch.isEmpty():
+            return
+        states = _states(spark, f"{path}/state", before=batch_id)
+        rows = batch.select("bucket", "channel", "n")
+        if states:
+            seen = spark.read.parquet(f"{path}/state/batch={states[-1]}")
+            marks = seen.select("bucket", "channel", F.lit(0).cast("bigint").alias("n"))
+            done = seen.withColumnRenamed("bucket", "_done")
+            new = F.col("_done").isNull() | (F.col("bucket") > F.col("_done"))
+            filled = zero_fill(rows.unionByName(marks), interval)
+            filled = filled.join(done, "channel", "left").where(new).drop("_done")
+        else:
+            filled = zero_fill(rows, interval)
+        filled = materialize(filled, "filled")
+        known = materialize(models(), "models") if callable(models) else models
+        batch_folder(f"{path}/scored")(detect_anomalies(filled, known, eps), batch_id)
+        scored = spark.read.parquet(f"{path}/scored/batch={batch_id}")
+        batch_folder(f"{path}/anomalies")(metric_rows(anomaly_counts(scored, interval)), batch_id)
+        reached = filled.groupBy("channel").agg(F.max("bucket").alias("bucket"))
+        reached.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+        # The state before this one is needed if this batch is run again.
+        for old in states[:-1]:
+            remove_path(spark, f"{path}/state/batch={old}")
 
     return start(counts, score, checkpoint, once)
 
@@ -161,15 +163,11 @@ def on_flush(stream: DataFrame, fn: Sink, checkpoint: str, once: bool = False):
     """
 
     def call(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        complete = materialize(batch, "flush")
         try:
-            batch.count()
-            try:
-                fn(batch, batch_id)
-            except Exception:
-                log.exception("error in the flush callback of batch %s", batch_id)
-        finally:
-            batch.unpersist()
+            fn(complete, batch_id)
+        except Exception:
+            log.exception("error in the flush callback of batch %s", batch_id)
 
     return start(stream, call, checkpoint, once)
 

@@ -47,6 +47,9 @@ def test_lines_to_anomalies(spark, folder):
     jobs.score(spark, bus, model_path, scored, folder("offsets"), "1 day", "10 seconds", once=True).awaitTermination()
     found = spark.read.parquet(f"{scored}/scored")
     assert found.where("is_anomaly").count() > 0
+    unusual = {(r.bucket, f"{r.channel}-anomaly"): int(r.is_anomaly) for r in found.collect()}
+    counters = spark.read.parquet(f"{scored}/anomalies").collect()
+    assert {(r.bucket, r["name"]): r.value for r in counters} == unusual
 
     sent = folder("sent")
     subscriptions = spark.createDataFrame([("a", "#de.wikipedia"), ("b", "#all.wikipedia")], "subscriber string, channel string")

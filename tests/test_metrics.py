@@ -59,7 +59,7 @@ def test_gauge(spark, monkeypatch, broadcast_rows):
         monkeypatch.setattr(
             metrics,
             "lookup_join",
-            lambda *a, **k: skew.lookup_join(*a, **k, broadcast_rows=0, salts=4),
+            lambda *a, **k: skew.lookup_join(*a, **k, broadcast_rows=0, parts=4),
         )
     rows = metric_rows()
     got = keyed(metrics.metric_gauge(frame(spark, rows), "1 hour", value="setting"))

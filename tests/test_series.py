@@ -132,3 +132,19 @@ def test_clustering_order(spark):
     edits = calendar_fields(edit_frame(spark, 500))
     rows = series.clustering_order(edits).select(*STORED_KEY).collect()
     assert rows == sorted(rows)
+
+
+def test_series_of_counters_are_filled_and_smoothed(spark):
+    rows = [("2023-12-31 22:00:00", "all-messages", 3), ("2024-01-01 01:00:00", "all-messages", 5)]
+    frame = spark.createDataFrame(rows, "t string, name string, n long").select(F.to_timestamp("t").alias("bucket"), "name", "n")
+    filled = series.zero_fill(frame, "1 hour", keys=["name"], empty=2)
+    assert [r.n for r in filled.orderBy("bucket").collect()] == [3, 2, 2, 5]
+    smooth = series.moving_average(filled, 2, keys=["name"]).orderBy("bucket").collect()
+    assert [r.average for r in smooth] == [3, 2.5, 2, 3.5]
+
+
+def test_fill_before_1970(spark):
+    rows = [("1969-12-31 22:00:00", "#c", 1), ("1970-01-01 01:00:00", "#c", 1)]
+    frame = spark.createDataFrame(rows, "t string, channel string, n long").select(F.to_timestamp("t").alias("bucket"), "channel", "n")
+    filled = series.zero_fill(frame, "1 hour").orderBy("bucket").collect()
+    assert [(r.bucket.hour, r.n) for r in filled] == [(22, 1), (23, 0), (0, 0), (1, 1)]

@@ -70,7 +70,7 @@ def test_lookup_join_is_the_same_salted(spark, how):
     rows = events(spark, skewed_events(600))
     lookup = spark.createDataFrame([("#en.wikipedia", 1), ("#c1.wikipedia", 2), ("#x", 3)], "channel string, v int")
     small = lookup_join(rows, lookup, ["channel"], ["id"], how).collect()
-    salted = lookup_join(rows, lookup, ["channel"], ["id"], how, broadcast_rows=1, salts=5)
+    salted = lookup_join(rows, lookup, ["channel"], ["id"], how, broadcast_rows=1, parts=5)
     assert sorted(map(tuple, small), key=repr) == sorted(map(tuple, salted.collect()), key=repr)
     # The rows of the hot channel are spread by the salt.
     assert "_salt" not in salted.columns
