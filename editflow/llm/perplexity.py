@@ -1,87 +1,106 @@
 """Quality of texts by the perplexity of a language model trained on trusted ones.
 
-The model is an interpolated modified Kneser-Ney model of letter trigrams, one per
-language. Letters fall into LETTERS classes, so a language has at most LETTERS ** 3
-counts, whatever the amount of text, and a table of a proven size can go to all tasks.
-Trigram counts of all trusted text are summed per language and cell; continuation
-counts, discounts and context totals come from joins of these count tables, dealt by
-language and context. A text is kept if its perplexity is at most that of a quantile of
-its language's trusted texts.
+The model is an interpolated modified Kneser-Ney model of n-grams of ORDER letters (UTF-16
+units, each as it is, so that an n-gram is one 64-bit number), one per language. Its count
+tables grow with the trusted texts and stay in shards, dealt by language and n-gram:
+continuation counts, discounts, context totals and shares come from joins of them.
+
+Texts are scored in blocks of at most BLOCK bytes. Each block sends its distinct n-grams to
+the shards, gets back the shares of those that the model has, and meets its texts again,
+which were packed meanwhile. So a task holds a block and its part of the model, never the
+whole model. A text is kept if its perplexity is at most that of a quantile of its
+language's trusted texts.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from editflow.llm.tables import having, stored
+from editflow.llm.tables import bytes_of, having, spans, stored
+from editflow.llm.words import mix
 
-LETTERS = 64
+ORDER = 4
+UNIT = 16
 QUANTILE = 0.98
 # Perplexities are counted in steps of 1 / STEPS of their logarithm for the quantiles.
 STEPS = 500
-# Languages whose tables (4 * LETTERS ** 3 bytes each) one pass over the texts holds.
-LANGUAGES = 64
-
-# Classes: 0 blanks, 1 line ends, 2 to 27 a to z, 28 to 47 other letters, 48 capitals, 49
-# digits, 50 to 63 other signs.
-_CLASS = np.zeros(0x250, np.int64)
-_CLASS[:] = 28 + np.arange(0x250) % 20
-_CLASS[:0x80] = 50 + np.arange(0x80) % 14
-_CLASS[[9, 11, 12, 13, 32]] = 0
-_CLASS[10] = 1
-_CLASS[97:123] = np.arange(2, 28)
-_CLASS[65:91] = 48
-_CLASS[0xC0:0xDF] = 48
-_CLASS[48:58] = 49
-
-
-def _cells(text: str) -> np.ndarray:
-    points = np.frombuffer(f" {text} ".encode("utf-32-le", "replace"), np.uint32)
-    known = points < len(_CLASS)
-    c = np.full(len(points), 47)
-    c[known] = _CLASS[points[known]]
-    return (c[:-2] * LETTERS + c[1:-1]) * LETTERS + c[2:]
+# Bytes of the texts that are counted or scored at once; a longer text is a block of its own.
+BLOCK = 16 << 20
+
+
+def _windows(text: str) -> np.ndarray:
+    """The ORDER-grams that end at each letter and at a blank after the text; blanks come before it."""
+    padded = " " * (ORDER - 1) + text + " "
+    units = np.frombuffer(padded.encode("utf-16-le", "replace"), np.uint16).astype(np.uint64)
+    out = units[: len(units) - ORDER + 1].copy()
+    for k in range(1, ORDER):
+        out = out << np.uint64(UNIT) | units[k : len(units) - ORDER + 1 + k]
+    return out
+
+
+def _last(grams: np.ndarray, n: int) -> np.ndarray:
+    """The last n letters of each gram."""
+    return grams & np.uint64((1 << UNIT * n) - 1)
+
+
+def _parts(grams: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Distinct n-grams for n from 0 to ORDER that the probabilities of `grams` are made of."""
+    for n in range(ORDER + 1):
+        found = [_last(grams, n)]
+        if n < ORDER:
+            found.append(_last(grams >> np.uint64(UNIT), n))
+        yield n, np.unique(np.concatenate(found))
 
 
 def _language() -> Column:
     return F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")
 
 
-def trigram_counts(texts: DataFrame) -> DataFrame:
-    """lang, cell, count over all texts (lang, text), combined in each task first."""
-    rows = texts.mapInArrow(_count, "lang string, cell int, count long")
-    return rows.groupBy("lang", "cell").agg(F.sum("count").alias("count"))
+def _text(value: pa.Scalar) -> str:
+    return value.as_buffer().to_pybytes().decode("utf-8", "replace") if value.is_valid else ""
 
 
-def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[str, np.ndarray] = {}
+def _texts(batch: pa.RecordBatch, lang: str) -> dict[str, list[tuple[int, str]]]:
+    """Places and texts per language, without empty ones."""
+    found: dict[str, list[tuple[int, str]]] = {}
+    langs = batch.column(batch.schema.get_field_index(lang)).to_pylist()
+    texts = batch.column(batch.schema.get_field_index("text"))
+    for place, (name, value) in enumerate(zip(langs, texts)):
+        if text := _text(value):
+            found.setdefault(name, []).append((place, text))
+    return found
 
-    def out() -> Iterator[pa.RecordBatch]:
-        for lang, counts in total.items():
-            seen = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(seen), pa.string()), pa.array(seen.astype(np.int32)), pa.array(counts[seen])],
-                ["lang", "cell", "count"],
-            )
 
+def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            if text.is_valid and len(text.as_buffer()):
-                if lang not in total:
-                    if len(total) >= LANGUAGES:
-                        yield from out()
-                        total.clear()
-                    total[lang] = np.zeros(LETTERS**3, np.int64)
-                cells, many = np.unique(_cells(text.as_py()), return_counts=True)
-                total[lang][cells] += many
-    yield from out()
+        _, starts = bytes_of(batch.column(batch.schema.get_field_index("text")))
+        for begin, end in spans(starts, BLOCK):
+            yield batch.slice(begin, end - begin)
+
+
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """lang, gram, count of the ORDER-grams of all texts (lang, text), combined in each block first."""
+    rows = texts.mapInArrow(_count, "lang string, gram long, count long")
+    return rows.groupBy("lang", "gram").agg(F.sum("count").alias("count"))
+
+
+def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _cut(batches):
+        for lang, held in _texts(batch, "lang").items():
+            grams, many = np.unique(np.concatenate([_windows(t) for _, t in held]), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(many)],
+                ["lang", "gram", "count"],
+            )
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
@@ -98,94 +117,164 @@ def _discounts(counts: DataFrame) -> DataFrame:
     return sums.select("lang", *(lowered(k) for k in (1, 2, 3)))
 
 
-def _lowered(counts: DataFrame) -> DataFrame:
-    """Counts with their share after discounting, and what their context leaves to shorter ones.
+def _shares(counts: DataFrame, n: int) -> DataFrame:
+    """lang, n, gram with the share of an n-gram among those of its context after discounting,
+    and with what a context leaves to shorter ones.
 
-    counts: lang, context, cell, count; joined with discounts by language and with totals
+    counts: lang, gram, count. They are joined with discounts by language and with totals
     by language and context.
     """
-    given = counts.join(F.broadcast(_discounts(counts)), "lang")
+    given = counts.join(stored(_discounts(counts), "discounts"), "lang")
     count = F.col("count")
     off = F.when(count == 1, F.col("d1")).when(count == 2, F.col("d2")).otherwise(F.col("d3"))
     given = given.withColumn("off", F.least(off, count.cast("double")))
+    given = given.withColumn("context", F.shiftrightunsigned("gram", UNIT))
     totals = given.groupBy("lang", "context").agg(F.sum("count").alias("total"), F.sum("off").alias("left"))
-    return given.join(totals, ["lang", "context"]).select(
-        "lang", "context", "cell",
-        ((F.col("count") - F.col("off")) / F.col("total")).alias("share"),
-        (F.col("left") / F.col("total")).alias("rest"),
-    )
+    totals = stored(totals, "totals")
+    share = ((count - F.col("off")) / F.col("total")).alias("share")
+    none = F.lit(None).cast("double")
+    grams = given.join(totals, ["lang", "context"]).select(
+        "lang", F.lit(n).alias("n"), "gram", share, none.alias("rest")
+    )
+    rest = (F.col("left") / F.col("total")).alias("rest")
+    contexts = totals.select(
+        "lang", F.lit(n - 1).alias("n"), F.col("context").alias("gram"), none.alias("share"), rest
+    )
+    return grams.unionByName(contexts)
 
 
-@dataclass
-class LanguageModel:
-    """Per language: cost of each of LETTERS ** 3 cells."""
+def model_of(counts: DataFrame) -> DataFrame:
+    """lang, n, gram, share, rest: one row per n-gram that occurs, or is a context, for n from 0 to ORDER.
 
-    costs: dict[str, np.ndarray]
+    The empty gram's share is the chance of any letter, one that never occurs among them.
+    """
+    held = stored(counts, "grams")
+    parts = []
+    for n in range(ORDER, 0, -1):
+        parts.append(_shares(held, n))
+        if n > 1:  # shorter grams count the letters that they follow
+            shorter = F.col("gram").bitwiseAND(F.lit((1 << UNIT * (n - 1)) - 1).cast("long"))
+            held = stored(held.groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("count")), "grams")
+    letters = held.groupBy("lang").agg((1 / (F.count("*") + 1)).alias("share"))
+    none = F.lit(None).cast("double").alias("rest")
+    zero = F.lit(0).cast("long").alias("gram")
+    rows = letters.select("lang", F.lit(0).alias("n"), zero, "share", none)
+    for part in parts:
+        rows = rows.unionByName(part)
+    rows = rows.groupBy("lang", "n", "gram").agg(F.max("share").alias("share"), F.max("rest").alias("rest"))
+    return stored(rows, "model")
 
 
-def model_of(counts: DataFrame) -> list[LanguageModel]:
-    """Models of all languages in counts, LANGUAGES of them in each."""
-    three = stored(counts, "trigrams")
-    two = three.groupBy("lang", F.pmod("cell", F.lit(LETTERS**2)).alias("cell")).agg(F.count("*").alias("count"))
-    one = two.groupBy("lang", F.pmod("cell", F.lit(LETTERS)).alias("cell")).agg(F.count("*").alias("count"))
-    tables = []
-    for order, table in ((3, three), (2, two), (1, one)):
-        context = F.floor(F.col("cell") / LETTERS).cast("int")
-        tables.append(_lowered(table.withColumn("context", context)).withColumn("order", F.lit(order)))
-    rows = stored(tables[0].unionByName(tables[1]).unionByName(tables[2]), "shares")
-    langs = sorted(r["lang"] for r in three.select("lang").distinct().collect())
-    models = []
-    for low in range(0, len(langs), LANGUAGES):
-        some = langs[low : low + LANGUAGES]
-        held = rows.where(F.col("lang").isin(some)).toPandas()  # at most LETTERS ** 3 rows per language and order
-        models.append(LanguageModel({lang: _costs(held[held["lang"] == lang]) for lang in some}))
-    return models
-
-
-def _costs(rows) -> np.ndarray:
-    shorter = np.full(1, 1.0 / LETTERS)
-    for order in (1, 2, 3):
-        mine = rows[rows["order"] == order]
-        share, rest = np.zeros(LETTERS**order), np.ones(LETTERS ** (order - 1))
-        share[mine["cell"].to_numpy()] = mine["share"].to_numpy()
-        rest[mine["context"].to_numpy()] = mine["rest"].to_numpy()
-        lower = np.tile(shorter, LETTERS) if order > 1 else np.repeat(shorter, LETTERS)
-        shorter = share + np.repeat(rest, LETTERS) * lower
-    return -np.log(np.maximum(shorter, 1e-12)).astype(np.float32)
-
-
-def perplexities(docs: DataFrame, models: list[LanguageModel]) -> DataFrame:
-    """docs with log_perplexity: null for null and empty texts, and for languages without a model."""
-    rows = docs.drop("log_perplexity")
-    rows = rows.withColumn("_lang", _language())
-    schema = rows.schema.add("log_perplexity", "double")
+def perplexities(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """docs without text, with log_perplexity: null for null and empty texts, and for languages without a model.
+
+    docs is read twice and must give the same rows in the same order, as a stored table
+    does; if it does not, the job stops.
+    """
+    rows = docs.drop("log_perplexity", "_lang").withColumn("_lang", _language())
+    rows = rows.withColumn("text", F.col("text").cast("string"))
+    asked = rows.select("_lang", "text").mapInArrow(_asked, "block long, lang string, n int, gram long")
+    answers = asked.join(model, ["lang", "n", "gram"], "left")
+    # The empty gram of each block and language stays, with or without a model.
+    answers = answers.where("n = 0 or share is not null or rest is not null").select(
+        "block", "lang", "n", "gram", F.col("share").cast("float"), F.col("rest").cast("float")
+    )
+    packed = rows.mapInArrow(_packed, "block long, rows binary")
+    kept = [field for field in rows.schema.fields if field.name not in ("text", "_lang")]
+    schema = StructType([*kept, StructField("log_perplexity", DoubleType())])
+    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, schema)
+
+
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Blocks with a number made of their partition, place and content."""
+    part = TaskContext.get().partitionId()
+    for place, batch in enumerate(_cut(batches)):
+        data, starts = bytes_of(batch.column(batch.schema.get_field_index("text")))
+        crc = zlib.crc32(np.diff(starts).tobytes(), zlib.crc32(data))
+        number = mix(mix(np.array([part << 32 | place], np.uint64)) ^ np.uint64(crc))
+        yield int(number.view(np.int64)[0]), batch
+
+
+def _asked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block, batch in _blocks(batches):
+        for lang, held in _texts(batch, "_lang").items():
+            whole = np.unique(np.concatenate([_windows(t) for _, t in held]))
+            for n, grams in _parts(whole):
+                many = len(grams)
+                columns = [
+                    pa.array(np.full(many, block)), pa.array([lang] * many, pa.string()),
+                    pa.array(np.full(many, n, np.int32)), pa.array(grams.view(np.int64)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "lang", "n", "gram"])
+
+
+def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block, batch in _blocks(batches):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(batch)
+        packed = pa.array([sink.getvalue().to_pybytes()], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), packed], ["block", "rows"])
+
+
+def _score(blocks: pa.Table, answers: pa.Table) -> pa.Table:
     parts = []
-    for place, model in enumerate(models):
-        mine = rows.where(F.col("_lang").isin(list(model.costs)))
-        parts.append(mine.mapInArrow(partial(_score, model=model), schema))
-    known = [lang for model in models for lang in model.costs]
-    others = rows.where(~F.col("_lang").isin(known)) if known else rows
-    out = others.withColumn("log_perplexity", F.lit(None).cast("double"))
-    for part in parts:
-        out = out.unionByName(part)
-    return out.drop("_lang")
+    for packed in blocks.column("rows"):
+        batch = pa.ipc.open_stream(packed.as_buffer()).read_next_batch()
+        scores: list[float | None] = [None] * batch.num_rows
+        for lang, held in _texts(batch, "_lang").items():
+            mine = answers.filter(pc.equal(answers.column("lang"), lang))
+            if mine.num_rows == 0:
+                raise ValueError("the documents came in another order when they were read again")
+            costs = _costs(mine)
+            if costs is None:
+                continue
+            windows = [_windows(t) for _, t in held]
+            grams, at = np.unique(np.concatenate(windows), return_inverse=True)
+            begins = np.cumsum([0, *map(len, windows[:-1])])
+            sums = np.add.reduceat(costs(grams)[at], begins)
+            for (place, _), total, many in zip(held, sums.tolist(), map(len, windows)):
+                scores[place] = total / many
+        wanted = [name for name in batch.schema.names if name not in ("text", "_lang")]
+        table = pa.Table.from_batches([batch]).select(wanted)
+        parts.append(table.append_column("log_perplexity", pa.array(scores, pa.float64())))
+    return pa.concat_tables(parts)
+
+
+def _costs(answers: pa.Table):
+    """A function from ORDER-grams to their costs, or None without a model."""
+    n = answers.column("n").to_numpy()
+    grams = answers.column("gram").to_numpy().view(np.uint64)
+    share = answers.column("share").to_numpy().astype(np.float64)
+    rest = answers.column("rest").to_numpy().astype(np.float64)
+    base = share[n == 0][0]
+    if np.isnan(base):
+        return None
+    tables = []
+    for size in range(ORDER + 1):
+        rows = np.flatnonzero(n == size)
+        rows = rows[np.argsort(grams[rows])]
+        tables.append((grams[rows], np.nan_to_num(share[rows]), np.where(np.isnan(rest[rows]), 1.0, rest[rows])))
 
+    def of(wanted: np.ndarray, size: int, column: int, missing: float) -> np.ndarray:
+        keys = tables[size][0]
+        if len(keys) == 0:
+            return np.full(len(wanted), missing)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, tables[size][column][at], missing)
 
-def _score(batches: Iterable[pa.RecordBatch], model: LanguageModel) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        langs = batch.column(batch.schema.get_field_index("_lang")).to_pylist()
-        texts = batch.column(batch.schema.get_field_index("text"))
-        out = []
-        for lang, text in zip(langs, texts):
-            whole = text.as_py() if text.is_valid else ""
-            out.append(float(model.costs[lang][_cells(whole)].mean(dtype=np.float64)) if whole else None)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(out, pa.float64())], names=[*batch.schema.names, "log_perplexity"]
-        )
+    def costs(whole: np.ndarray) -> np.ndarray:
+        chance = np.full(len(whole), base)
+        for size in range(1, ORDER + 1):
+            left = of(_last(whole >> np.uint64(UNIT), size - 1), size - 1, 2, 1.0)
+            chance = of(_last(whole, size), size, 1, 0.0) + left * chance
+        return -np.log(np.maximum(chance, 1e-12))
+
+    return costs
 
 
 def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """docs (doc_id, text, lang) with log_perplexity, threshold, kept.
+    """docs (doc_id, text, lang) without text, with log_perplexity, threshold, kept.
 
     Trusted are the documents that labels (doc_id, quality) mark 1. kept says that
     log_perplexity is at most the `quantile` of the trusted texts of the language. Null
@@ -193,15 +282,16 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> D
     trusted text have no threshold and are kept. A null language is one of its own.
     Columns of docs with the names of new ones are replaced, all others stay.
     """
-    docs = docs.drop("log_perplexity", "threshold", "kept")
+    docs = docs.drop("log_perplexity", "threshold", "kept", "_empty")
     trusted = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     trusted = stored(trusted, "trusted")
     good = having(docs, trusted, "doc_id")
-    models = model_of(trigram_counts(good.select(_language(), F.col("text").cast("string"))))
-    scored = stored(perplexities(good.select("doc_id", "lang", "text"), models).drop("text"), "scored")
+    model = model_of(gram_counts(good.select(_language(), F.col("text").cast("string"))))
+    empty = F.coalesce(F.octet_length("text") == 0, F.lit(True))
+    scored = stored(perplexities(docs.withColumn("_empty", empty), model), "scored")
     step = F.ceil(F.col("log_perplexity") * STEPS).cast("long")
-    counts = scored.where("log_perplexity is not null").groupBy(_language(), step.alias("step"))
-    counts = counts.agg(F.count("*").alias("n"))
+    known = having(scored, trusted, "doc_id").where("log_perplexity is not null")
+    counts = known.groupBy(_language(), step.alias("step")).agg(F.count("*").alias("n"))
     upto = Window.partitionBy("lang").orderBy("step")
     whole = Window.partitionBy("lang")
     below = counts.select(
@@ -210,8 +300,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> D
     limits = below.where(F.col("upto") >= F.col("all") * quantile).groupBy("lang")
     limits = stored(limits.agg((F.min("step") / F.lit(float(STEPS))).alias("threshold")), "limits")
     limits = limits.withColumnRenamed("lang", "_lang")
-    rows = perplexities(docs, models).withColumn("_lang", _language())
-    rows = rows.join(F.broadcast(limits), "_lang", "left").drop("_lang")
+    rows = scored.withColumn("_lang", _language()).join(limits, "_lang", "left").drop("_lang")
     within = F.col("log_perplexity") <= F.col("threshold")
-    unknown = F.col("threshold").isNull() & (F.octet_length("text") > 0)
-    return rows.withColumn("kept", F.coalesce(within, unknown, F.lit(False)))
+    unknown = F.col("threshold").isNull() & ~F.col("_empty")
+    return rows.withColumn("kept", F.coalesce(within, unknown, F.lit(False))).drop("_empty")

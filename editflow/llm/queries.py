@@ -58,7 +58,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return quality(docs, table(spark, sf_dir, "labels")).drop("text")
+    return quality(docs, table(spark, sf_dir, "labels"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Each operator against a brute-force version on small tables."""
 
 import collections
+import functools
 import hashlib
 import json
+import math
 import random
 
 import numpy as np
@@ -315,19 +317,77 @@ def test_licence_rules_want_their_sentences_in_order(spark):
     assert got == {0: ("MIT", 1), 1: ("MIT", 2), 2: ("", 2), 3: ("", 2), 4: ("Apache-2.0,CC-BY-NC-4.0", 2), 5: ("", 0), 6: ("", 0)}
 
 
-def test_language_model_sums_to_one_and_finds_junk(spark):
+def plain_model(texts, order=perplexity.ORDER):
+    """Chance of a letter after others under interpolated modified Kneser-Ney, straight from its definition."""
+    seen = {order: collections.Counter()}
+    for text in texts:
+        padded = " " * (order - 1) + text + " "
+        seen[order].update(padded[i : i + order] for i in range(len(text) + 1))
+    for n in range(order - 1, 0, -1):
+        seen[n] = collections.Counter(gram[1:] for gram in seen[n + 1])
+
+    def lowered(n, count):
+        k = min(count, 3)
+        have = collections.Counter(seen[n].values())
+        if not have[k] or not have[1] + have[2]:
+            return min(0.5 * k, count)
+        y = have[1] / (have[1] + 2 * have[2])
+        return min(max(0.0, min(k, k - (k + 1) * y * have[k + 1] / have[k])), count)
+
+    @functools.cache
+    def chance(letter, before):
+        if before is None:
+            return 1 / (len(seen[1]) + 1)
+        n = len(before) + 1
+        shorter = chance(letter, before[1:] if before else None)
+        follow = {g[-1]: c for g, c in seen[n].items() if g[:-1] == before}
+        if not follow:
+            return shorter
+        total, left = sum(follow.values()), sum(lowered(n, c) for c in follow.values())
+        count = follow.get(letter, 0)
+        return ((count - lowered(n, count) if count else 0) + left * shorter) / total
+
+    return chance, list(seen[1])
+
+
+def test_language_model_equals_its_definition_and_finds_junk(spark):
+    order = perplexity.ORDER
     rng = random.Random(10)
-    good = [(i, "en", " ".join(rng.choice(["the", "cat", "sat", "on", "mat"]) for _ in range(40))) for i in range(60)]
+    good = [(i, "en", " ".join(rng.choice(["the", "cat", "sat", "on", "mat", "\U0001f600"]) for _ in range(40))) for i in range(60)]
     junk = [(100 + i, "en", "".join(rng.choice("#%@!zxq ") for _ in range(120))) for i in range(10)]
-    docs = spark.createDataFrame(good + junk + [(200, "xx", "abc"), (201, "en", ""), (202, None, None)], "doc_id long, lang string, text string")
+    others = [(200, "xx", "abc"), (201, "en", ""), (202, None, None), (203, "en", "a"), (204, "en", "Zoë sat")]
+    docs = spark.createDataFrame(good + junk + others, "doc_id long, lang string, text string")
     labels = spark.createDataFrame([(i, 1) for i in range(40)] + [(i, 0) for i in range(100, 105)], "doc_id long, quality int")
-    counts = perplexity.trigram_counts(docs.where("doc_id < 40").select("lang", "text"))
-    costs = perplexity.model_of(counts)[0].costs["en"].reshape(-1, perplexity.LETTERS)
-    assert np.exp(-costs).sum(1) == pytest.approx(1, abs=1e-3)
-    kept = {r.doc_id: r.kept for r in perplexity.quality(docs, labels).collect()}
+    found = {r.doc_id: r for r in perplexity.quality(docs, labels).collect()}
+    kept = {i: r.kept for i, r in found.items()}
     assert not any(kept[i] for i in range(100, 110)) and sum(kept[i] for i in range(60)) >= 55
     assert (kept[200], kept[201], kept[202]) == (True, False, False)
 
+    # Letters are UTF-16 units: a sign beyond 16 bits counts as two.
+    def units(text):
+        data = text.encode("utf-16-le")
+        return "".join(chr(int.from_bytes(data[i : i + 2], "little")) for i in range(0, len(data), 2))
+
+    chance, letters = plain_model([units(t) for i, _, t in good if i < 40])
+    for before in ("", "t", " ca", "the", "xyz"):
+        assert sum(chance(x, before) for x in [*letters, "never"]) == pytest.approx(1)
+    for i, lang, text in good + junk + others:
+        if lang == "en" and text:
+            padded = " " * (order - 1) + units(text) + " "
+            costs = [-math.log(chance(padded[j], padded[j - order + 1 : j])) for j in range(order - 1, len(padded))]
+            assert found[i].log_perplexity == pytest.approx(sum(costs) / len(costs), rel=1e-5), i
+        else:
+            assert found[i].log_perplexity is None
+
+
+def test_language_model_in_blocks_of_any_size(spark):
+    docs = spark.createDataFrame([(i, "en", "abc " * (i % 7)) for i in range(90)], "doc_id long, lang string, text string")
+    model = perplexity.model_of(perplexity.gram_counts(docs.where("doc_id < 20").select("lang", "text")))
+    whole = {r.doc_id: r.log_perplexity for r in perplexity.perplexities(docs.coalesce(1), model).collect()}
+    split = {r.doc_id: r.log_perplexity for r in perplexity.perplexities(docs.repartition(13, "doc_id"), model).collect()}
+    assert len(whole) == len(split) == 90
+    assert all(whole[i] == pytest.approx(split[i]) if whole[i] is not None else split[i] is None for i in whole)
+
 
 def toxic_table(spark, n=400):
     rng = random.Random(11)
