@@ -15,6 +15,7 @@ language's trusted texts.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,6 +36,8 @@ QUANTILE = 0.98
 STEPS = 500
 # Bytes of the texts that are counted or scored at once; a longer text is a block of its own.
 BLOCK = 16 << 20
+# n-grams of a block that are sorted at once.
+PIECE = 1 << 20
 
 
 def _windows(text: str) -> np.ndarray:
@@ -47,6 +50,28 @@ def _windows(text: str) -> np.ndarray:
     return out
 
 
+def _pieces(texts: Iterable[tuple[int, str]]) -> Iterator[tuple[list[int], list[int], np.ndarray]]:
+    """Places, where the grams of each place begin, and grams: at most PIECE of them.
+
+    A text of more than PIECE grams comes in several pieces.
+    """
+    places: list[int] = []
+    parts: list[np.ndarray] = []
+    held = 0
+    for place, text in texts:
+        windows = _windows(text)
+        for begin in range(0, len(windows), PIECE):
+            part = windows[begin : begin + PIECE]
+            if held and held + len(part) > PIECE:
+                yield places, np.cumsum([0, *map(len, parts[:-1])]).tolist(), np.concatenate(parts)
+                places, parts, held = [], [], 0
+            places.append(place)
+            parts.append(part)
+            held += len(part)
+    if held:
+        yield places, np.cumsum([0, *map(len, parts[:-1])]).tolist(), np.concatenate(parts)
+
+
 def _last(grams: np.ndarray, n: int) -> np.ndarray:
     """The last n letters of each gram."""
     return grams & np.uint64((1 << UNIT * n) - 1)
@@ -88,7 +113,7 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def gram_counts(texts: DataFrame) -> DataFrame:
-    """lang, gram, count of the ORDER-grams of all texts (lang, text), combined in each block first."""
+    """lang, gram, count of the ORDER-grams of all texts (lang, text), combined in each piece first."""
     rows = texts.mapInArrow(_count, "lang string, gram long, count long")
     return rows.groupBy("lang", "gram").agg(F.sum("count").alias("count"))
 
@@ -96,11 +121,12 @@ def gram_counts(texts: DataFrame) -> DataFrame:
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _cut(batches):
         for lang, held in _texts(batch, "lang").items():
-            grams, many = np.unique(np.concatenate([_windows(t) for _, t in held]), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(many)],
-                ["lang", "gram", "count"],
-            )
+            for _, _, windows in _pieces(held):
+                grams, many = np.unique(windows, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(many)],
+                    ["lang", "gram", "count"],
+                )
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
@@ -198,7 +224,7 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordB
 def _asked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, batch in _blocks(batches):
         for lang, held in _texts(batch, "_lang").items():
-            whole = np.unique(np.concatenate([_windows(t) for _, t in held]))
+            whole = np.unique(np.concatenate([np.unique(windows) for _, _, windows in _pieces(held)]))
             for n, grams in _parts(whole):
                 many = len(grams)
                 columns = [
@@ -229,12 +255,15 @@ def _score(blocks: pa.Table, answers: pa.Table) -> pa.Table:
             costs = _costs(mine)
             if costs is None:
                 continue
-            windows = [_windows(t) for _, t in held]
-            grams, at = np.unique(np.concatenate(windows), return_inverse=True)
-            begins = np.cumsum([0, *map(len, windows[:-1])])
-            sums = np.add.reduceat(costs(grams)[at], begins)
-            for (place, _), total, many in zip(held, sums.tolist(), map(len, windows)):
-                scores[place] = total / many
+            totals, many = Counter(), Counter()
+            for places, begins, windows in _pieces(held):
+                grams, at = np.unique(windows, return_inverse=True)
+                sums = np.add.reduceat(costs(grams)[at], begins).tolist()
+                for place, total, begin, end in zip(places, sums, begins, [*begins[1:], len(windows)]):
+                    totals[place] += total
+                    many[place] += end - begin
+            for place, _ in held:
+                scores[place] = totals[place] / many[place]
         wanted = [name for name in batch.schema.names if name not in ("text", "_lang")]
         table = pa.Table.from_batches([batch]).select(wanted)
         parts.append(table.append_column("log_perplexity", pa.array(scores, pa.float64())))

@@ -382,10 +382,12 @@ def test_language_model_equals_its_definition_and_finds_junk(spark):
 
 def test_language_model_in_blocks_of_any_size(spark):
     docs = spark.createDataFrame([(i, "en", "abc " * (i % 7)) for i in range(90)], "doc_id long, lang string, text string")
+    long = spark.createDataFrame([(90, "en", "abc " * 300_000), (91, "en", "abc " * 30_000)], docs.schema)
+    docs = docs.union(long)
     model = perplexity.model_of(perplexity.gram_counts(docs.where("doc_id < 20").select("lang", "text")))
     whole = {r.doc_id: r.log_perplexity for r in perplexity.perplexities(docs.coalesce(1), model).collect()}
     split = {r.doc_id: r.log_perplexity for r in perplexity.perplexities(docs.repartition(13, "doc_id"), model).collect()}
-    assert len(whole) == len(split) == 90
+    assert len(whole) == len(split) == 92 and whole[90] == pytest.approx(whole[91], rel=1e-3)
     assert all(whole[i] == pytest.approx(split[i]) if whole[i] is not None else split[i] is None for i in whole)
 
 
