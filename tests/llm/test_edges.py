@@ -108,3 +108,14 @@ def test_pipeline_stages(spark, folder):
             assert docs.columns == list(corpus_pipeline.COLUMNS)
     assert {r.doc_id for r in docs.collect()} <= {1, 2, 3, 4, 5, None}
     assert corpus_pipeline.run(spark, path).count() == docs.count()
+
+
+def test_mix_keeps_the_texts_of_unnamed_rows(spark):
+    import corpus_pipeline
+
+    rows = [(None, f"word {i} " * (3 + i), "en", "s") for i in range(6)] * 2 + [(i, f"other {i} " * 4, "en", "t") for i in range(6)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("n_chars", F.length("text").cast("long"))
+    found = corpus_pipeline.mix(spark, docs, "").collect()
+    assert all(r.size == len(r.text.split()) for r in found) and len(found) <= len(rows)
+    # The target is 1.5 times all words, so at least half of the unnamed rows are taken.
+    assert sum(r.doc_id is None for r in found) >= 6
