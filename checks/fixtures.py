@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editflow.operators.parse import calendar_fields, typed_edits
+from editflow.session import scratch_path
 from editflow.sources.lines import spread
 
 EDITS = """
@@ -79,9 +80,26 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+# The stream of events comes in so many batches, some events by DELAY later than their time.
+BATCHES = 8
+DELAY = "30 minutes"
+# A watermark that no event of the stream comes later than.
+WATERMARK = "1 hour"
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    """All events in BATCHES batches, one in ten of them late and so out of order."""
+    path = scratch_path(spark, "events")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    begin, end = rows.select(F.unix_micros(F.min("ts").cast("timestamp")), F.unix_micros(F.max("ts").cast("timestamp"))).first()
+    late = F.when(F.col("event_id") % 10 == 0, F.expr(f"interval {DELAY}")).otherwise(F.expr("interval 0 minutes"))
+    arrival = F.unix_micros(F.col("ts").cast("timestamp") + late)
+    place = F.least(F.lit(BATCHES - 1), F.floor((arrival - begin) * BATCHES / (end - begin + 1)))
+    rows = rows.withColumn("_batch", place)
+    for batch in range(BATCHES):  # files are taken in the order in which they were written
+        rows.where(F.col("_batch") == batch).drop("_batch").coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 1)
+    return reader.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def irc_lines(rows: DataFrame) -> DataFrame:

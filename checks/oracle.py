@@ -201,7 +201,8 @@ _CALENDAR = "year, month, week, day, hour, minute, weekday, time, day_minute"
 _JSON_EDIT = """is_robot, channel, epoch_us(ts) as ts, array_to_string(flags, '|') as flags,
   cast(len(flags) as int) as flag_count, is_unpatrolled, page, diff_url, added, deleted, comment, is_new, is_minor,
   delta, "user", namespace"""
-_CLOSED = "bucket + interval 1 hour <= (select max(ts) from typed)"
+# The watermark of the streams stays an hour behind the newest edit.
+_CLOSED = "bucket + interval 2 hour <= (select max(ts) from typed)"
 
 
 def _bucket(interval: str, column: str = "ts") -> str:

@@ -582,7 +582,7 @@ def detect_anomalies(spark, sf_dir):
 @query
 def stream_counts(spark, sf_dir):
     out = scratch_path(spark, "out")
-    stream = counting.stream_counts(_edit_stream(spark, sf_dir), "1 hour", "0 seconds")
+    stream = counting.stream_counts(_edit_stream(spark, sf_dir), "1 hour", fx.WATERMARK)
     _finish(sinks.start(stream, sinks.batch_folder(out), scratch_path(spark, "offsets"), once=True))
     return spark.read.parquet(out).select("bucket", "channel", "n")
 
@@ -590,7 +590,7 @@ def stream_counts(spark, sf_dir):
 @query
 def stream_score(spark, sf_dir):
     out = scratch_path(spark, "out")
-    stream = counting.stream_counts(_edit_stream(spark, sf_dir), "1 hour", "0 seconds")
+    stream = counting.stream_counts(_edit_stream(spark, sf_dir), "1 hour", fx.WATERMARK)
     profile = _profile(_hourly(spark, sf_dir))
     offsets = scratch_path(spark, "offsets")
     _finish(sinks.stream_score(stream, profile, out, offsets, "1 hour", once=True))
@@ -600,9 +600,13 @@ def stream_score(spark, sf_dir):
 
 @query
 def stream_store(spark, sf_dir):
+    """Frames in several batches; those of the first days come a second time."""
     path = scratch_path(spark, "edits")
-    options = _frames_on_disk(spark, bus.encode_bus(fx.edits(spark, sf_dir)))
-    frames = bus.read_bus(spark, options)
+    edits = fx.edits(spark, sf_dir)
+    options = _frames_on_disk(spark, bus.encode_bus(edits).coalesce(3))
+    again = edits.where(F.dayofmonth("ts") <= 5)
+    bus.write_bus(bus.encode_bus(again).coalesce(1), options)
+    frames = bus.read_bus(spark, options | {"maxFilesPerTrigger": "1"})
     _finish(sinks.stream_store(frames, path, scratch_path(spark, "offsets"), once=True))
     return spark.read.schema(STORED).parquet(path)
 
@@ -645,7 +649,7 @@ def on_flush(spark, sf_dir):
         store(batch, batch_id)
         raise ValueError("raised after the counts were stored")
 
-    stream = counting.stream_counts(_edit_stream(spark, sf_dir), "1 hour", "0 seconds")
+    stream = counting.stream_counts(_edit_stream(spark, sf_dir), "1 hour", fx.WATERMARK)
     _finish(sinks.on_flush(stream, flush, scratch_path(spark, "offsets"), once=True))
     return spark.read.parquet(out).select("bucket", "channel", "n")
 
