@@ -113,7 +113,7 @@ left join hourly h on h.channel = s.channel and h.bucket = s.bucket
         """
 select channel, 1 as week, unnest([0, 1, 2]) as cluster,
   unnest([cast(min(n) as double), cast(sum(n) as double) / count(*), cast(max(n) as double)]) as centre
-from hourly where channel <> '#error.wikipedia' group by channel
+from hourly group by channel
 """,
     ),
     "nearest": (
@@ -362,7 +362,8 @@ union all select 'all-messages', null, 'all-messages'
         """
 select epoch_us(bucket) as bucket, h.channel, n, m.week as model_week, least_centre, greatest_centre
 from hourly h join (select channel, week, round(min(centre), 6) as least_centre,
-  round(max(centre), 6) as greatest_centre from profile group by all) m using (channel)
+  round(max(centre), 6) as greatest_centre from profile
+  where channel <> '#error.wikipedia' group by all) m using (channel)
 """,
     )
     q["nearest_centroid"] = _with(

@@ -59,8 +59,8 @@ def _hourly(spark, sf_dir):
 
 
 def _profile(hourly: DataFrame) -> DataFrame:
-    """Least, mean and greatest count of each channel but one, as its model."""
-    stats = hourly.where(F.col("channel") != "#error.wikipedia").groupBy("channel").agg(
+    """Least, mean and greatest count of each channel, as its model."""
+    stats = hourly.groupBy("channel").agg(
         F.array(
             F.min("n").cast("double"), F.sum("n").cast("double") / F.count("*"), F.max("n").cast("double")
         ).alias("centres")
@@ -405,7 +405,8 @@ def recent_window(spark, sf_dir):
 @query
 def attach_model(spark, sf_dir):
     hourly = _hourly(spark, sf_dir)
-    return joins.attach_model(hourly, _profile(hourly)).select(
+    some = _profile(hourly).where(F.col("channel") != "#error.wikipedia")  # one channel has no model
+    return joins.attach_model(hourly, some).select(
         "bucket",
         "channel",
         "n",

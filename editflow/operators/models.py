@@ -21,11 +21,11 @@ EPSILON = 0.05
 
 
 def _centres(cells: DataFrame, k: int, tol: float, seed: int) -> list[float]:
-    """Centres of the column n. Equal counts go in once, weighted by their number."""
+    """Centres of the column n, in order. Equal counts go in once, weighted by their number."""
     weighted = cells.groupBy("n").agg(F.count("*").cast("double").alias("weight"))
     points = VectorAssembler(inputCols=["n"], outputCol="features").transform(weighted)
     trained = KMeans(k=k, tol=tol, seed=seed, weightCol="weight").fit(points)
-    return [float(centre[0]) for centre in trained.clusterCenters()]
+    return sorted(float(centre[0]) for centre in trained.clusterCenters())
 
 
 def fit_channel_model(
