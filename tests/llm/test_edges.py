@@ -110,6 +110,24 @@ def test_pipeline_stages(spark, folder):
     assert corpus_pipeline.run(spark, path).count() == docs.count()
 
 
+def test_pipeline_drops_near_copies_from_80_percent(spark):
+    import corpus_pipeline
+
+    rows = []
+    for i in range(60):
+        base = [f"w{i}x{j}" for j in range(104)]
+        # One word replaced takes 5 of 100 shingles of each: 95 of 105, 90 of 110, 85 of 115 are common.
+        for place, changed in enumerate([(), (20, 60), (20, 40, 60)]):
+            text = " ".join("new" if j in changed else w for j, w in enumerate(base))
+            rows.append((10 * i + place, text if place != 2 or i % 2 else " ".join(base[:50]), "en", "s"))
+    docs = spark.createDataFrame(rows, DOCS).withColumn("n_chars", F.length("text").cast("long"))
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()}
+    assert {10 * i for i in range(60)} <= kept
+    assert not {10 * i + 1 for i in range(60)} & kept
+    # The half of a text has 46 of 100 shingles and stays.
+    assert {10 * i + 2 for i in range(0, 60, 2)} <= kept
+
+
 def test_mix_keeps_the_texts_of_unnamed_rows(spark):
     import corpus_pipeline
 

@@ -90,6 +90,15 @@ def test_near_copies_equal_all_pairs(spark):
     assert len(links) > 10 and links != [(a, b) for a, b in links if sets[a] == sets[b]]
 
 
+def test_matches_follow_the_threshold():
+    assert minhash.least_matches(85) == 20 and minhash.least_matches(80) == 17
+    for percent in (50, 70, 80, 85, 90, 99):
+        matches = minhash.least_matches(percent)
+        share = [math.comb(32, k) * (percent / 100) ** k * (1 - percent / 100) ** (32 - k) for k in range(32)]
+        assert sum(share[:matches]) <= minhash.MISSED < sum(share[: matches + 1])
+    assert minhash.least_matches(100) == 32
+
+
 def repeats_by_hand(texts, length=100):
     seen, out = set(), {}
     for key in sorted(texts):
