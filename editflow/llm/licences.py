@@ -1,8 +1,9 @@
 """Licences in texts, by rules over known sentences.
 
 A text is cut into sentences; each is normalised and mapped to the identifier of a known
-licence sentence, if it is one. A licence rule is an ordered list of identifiers, with at
-most GAP other sentences between two of them. Only built-in expressions.
+licence sentence, if it is one. A newline may end a sentence or be a blank in a known one
+that is wrapped. A licence rule is an ordered list of identifiers, with at most GAP other
+sentences between two of them; bare list numbers are no others. Only built-in expressions.
 """
 
 from __future__ import annotations
@@ -10,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SENTENCE_END = r"\n+|[.!?;][ \t\n\r\f]+"
+# Ends of sentences, and what may be one or a blank.
+SENTENCE_END = r"[.!?;][ \t\n\r\f]+|\n{2,}"
+LINE_END = r"\n"
 GAP = 2
 
 # Sentences of published licences and notices, normalised to lower-case
@@ -46,7 +49,11 @@ SENTENCES = (
     "products derived from this software without specific prior written permission",
     "this source code form is subject to the terms of the mozilla public license v 2 0",
     "all rights reserved",
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+    "following disclaimer in the documentation and or other materials provided with the distribution",
 )
+# Every known sentence has one of these; other texts are not searched.
+HINT = "licens|permission|redistribution|warranty|rights"
 
 # Licences (SPDX identifiers) and the sentences that show them, in order.
 RULES = (
@@ -62,20 +69,39 @@ RULES = (
     ("CC-BY-4.0", (14,)),
     ("CC-BY-4.0", (16,)),
     ("CC-BY-SA-4.0", (15,)),
+    ("BSD-3-Clause", (17, 18, 22, 19)),
     ("BSD-3-Clause", (17, 18, 19)),
     ("BSD-2-Clause", (17, 18)),
     ("MPL-2.0", (20,)),
 )
 
 
-def normalised(sentence: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(sentence, "[^a-zA-Z0-9]+", " ")))
+def pieces(text: Column) -> Column:
+    """Lower-case letters and digits between single spaces, '|' after a sentence, '/' after a line."""
+    ends = F.regexp_replace(F.translate(text, "|/", "~~"), SENTENCE_END, "|")
+    ends = F.regexp_replace(ends, LINE_END, "/")
+    blank = F.lower(F.regexp_replace(ends, "[^a-zA-Z0-9|/]+", " "))
+    return F.concat(F.lit("|"), F.trim(F.regexp_replace(blank, " ?([|/]) ?", "$1")), F.lit("|"))
+
+
+def identified(text: Column) -> Column:
+    """Pieces with known sentences, wrapped or not, replaced by '<' identifier '>'; long ones first."""
+    found = text
+    for i, known in sorted(enumerate(SENTENCES, 1), key=lambda x: -len(x[1])):
+        wrapped = known.replace(" ", "[ /]")
+        found = F.regexp_replace(found, rf"(?<=[|/])(?:[0-9]{{1,2}} )?{wrapped}(?=[|/])", f"<{i}>")
+    return F.when(text.rlike(HINT), found).otherwise(text)
 
 
 def pattern(rule: tuple[int, ...], gap: int = GAP) -> str:
     return rf"[.]{{0,{gap}}}".join(f"<{i}>" for i in rule)
 
 
+def numbered(rule: tuple[int, ...], gap: int = GAP) -> str:
+    """As pattern, with any bare list numbers (#) in between."""
+    return rf"#*(?:[.]#*){{0,{gap}}}".join(f"<{i}>" for i in rule)
+
+
 def licences(docs: DataFrame, gap: int = GAP) -> DataFrame:
     """docs (doc_id, text) with n_sentences, n_known, licences; one row per row of docs.
 
@@ -83,21 +109,20 @@ def licences(docs: DataFrame, gap: int = GAP) -> DataFrame:
     joined by commas; it is empty if none does, and for null and empty texts. Columns of
     docs with these names are replaced, all others stay.
     """
-    known = F.array(*(F.lit(s) for s in SENTENCES))
 
-    def mark(sentence: Column) -> Column:
-        place = F.array_position(known, normalised(sentence))
-        other = F.when(normalised(sentence) == "", "").otherwise(".")
-        return F.when(place > 0, F.concat(F.lit("<"), place.cast("string"), F.lit(">"))).otherwise(other)
+    def mark(piece: Column) -> Column:
+        other = F.when(piece == "", "").when(piece.rlike("^[0-9]{1,2}$"), "#").otherwise(".")
+        return F.when(piece.startswith("<"), piece).otherwise(other)
 
-    sentences = F.split(F.coalesce("text", F.lit("")), SENTENCE_END)
     rows = docs.drop("n_sentences", "n_known", "licences").select(
-        "*", F.inline(F.array(F.struct(F.array_join(F.transform(sentences, mark), "").alias("_marks"))))
+        "*", F.inline(F.array(F.struct(pieces(F.coalesce("text", F.lit(""))).alias("_pieces"))))
     )
-    found = [F.when(F.col("_marks").rlike(pattern(rule, gap)), F.lit(name)) for name, rule in RULES]
+    marks = F.array_join(F.transform(F.split(identified(F.col("_pieces")), "[|/]"), mark), "")
+    rows = rows.select("*", F.inline(F.array(F.struct(marks.alias("_marks"))))).drop("_pieces")
+    found = [F.when(F.col("_marks").rlike(numbered(rule, gap)), F.lit(name)) for name, rule in RULES]
     return rows.select(
         *[c for c in rows.columns if c != "_marks"],
-        (F.regexp_count("_marks", F.lit("<")) + F.regexp_count("_marks", F.lit("[.]"))).cast("long").alias("n_sentences"),
+        F.regexp_count("_marks", F.lit("[<.#]")).cast("long").alias("n_sentences"),
         F.regexp_count("_marks", F.lit("<")).cast("long").alias("n_known"),
         F.array_join(F.array_distinct(F.array_compact(F.array(*found))), ",").alias("licences"),
     )

@@ -6,6 +6,7 @@ import hashlib
 import json
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -326,6 +327,61 @@ def test_licence_rules_want_their_sentences_in_order(spark):
     assert got == {0: ("MIT", 1), 1: ("MIT", 2), 2: ("", 2), 3: ("", 2), 4: ("Apache-2.0,CC-BY-NC-4.0", 2), 5: ("", 0), 6: ("", 0)}
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_published_licences_wrapped_and_numbered(spark):
+    def unwrapped(text):
+        return "\n\n".join(" ".join(part.split()) for part in text.split("\n\n"))
+
+    commented = "".join(f" * {line}\n" for line in GPL.splitlines())
+    bullets = BSD.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")
+    texts = [
+        MIT, GPL, BSD, unwrapped(MIT), unwrapped(GPL), unwrapped(BSD), commented, bullets, MIT.replace("\n", "\r\n"),
+        BSD.replace("1. ", "1) ").replace("2. ", "2) ").replace("3. ", "(3) "), BSD[: BSD.index("3. ")],
+        "A title\nReleased under the MIT License\nand more", MIT.replace("The above", "One. Two. Three. The above"),
+    ]
+    found = licences.licences(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()
+    got = {r.doc_id: r.licences for r in found}
+    bsd = "BSD-3-Clause,BSD-2-Clause"
+    want = ["MIT", "GPL-3.0", bsd, "MIT", "GPL-3.0", bsd, "GPL-3.0", bsd, "MIT", bsd, "BSD-2-Clause", "MIT", ""]
+    assert got == dict(enumerate(want))
+    assert all(re.search(licences.HINT, s) for s in licences.SENTENCES)
+
+
 def plain_model(texts, order=perplexity.ORDER):
     """Chance of a letter after others under interpolated modified Kneser-Ney, straight from its definition."""
     seen = {order: collections.Counter()}
