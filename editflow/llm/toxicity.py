@@ -49,7 +49,12 @@ PLAIN, SWAPPED, REPEATED, DROPPED, SPLIT = 0.05, 1.0, 0.7, 2.5, 0.7
 _JUNK = "#*%&.,;:\"'()[]{}<>~^=?/\\-_!|$+@`"
 _LEAD = "#*%&.,;:\"'()[]{}<>~^=?/\\-_`"
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
-_SPACED = re.compile(r"(?<!\S)\w(?:[ .\-_*]+\w){3,}(?!\S)")
+# Single signs that are, or may stand for, a letter, with anything else between them.
+_SIGN = "(?:[^\\W_]|[" + re.escape("".join(x for x in LEET if not x.isalnum())) + "])"
+_BETWEEN = re.compile(f"(?:(?!{_SIGN})[\\s\\S])+")
+_SPACED = re.compile(rf"(?<![^\W_]){_SIGN}(?:{_BETWEEN.pattern}{_SIGN}){{2,}}(?![^\W_])")
+# Of longer readings, only the last letters are still open.
+OPEN = 128
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -116,6 +121,7 @@ def decode(observed: str, model: CharacterModel) -> str:
     repeat; each sign either gives a letter, repeats the last, parts words, or is junk.
     """
     cost = model.cost
+    settled = ""
     states: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
     for sign in observed:
         letters = [(sign, PLAIN)] if _LETTER.match(sign) else []
@@ -141,8 +147,13 @@ def decode(observed: str, model: CharacterModel) -> str:
             least = min(p for p, _ in after.values())
             after = {s: v for s, v in after.items() if v[0] <= least + 30}
         states = after
+        best = min(states.values())[1]
+        if len(best) > 2 * OPEN:
+            done = best[:-OPEN]
+            states = {k: (v, path[len(done) :]) for k, (v, path) in states.items() if path.startswith(done)}
+            settled += done
     ends = [(price + float(cost[a, b, 0]) * (b > 0), path) for (a, b, _), (price, path) in states.items()]
-    return min(ends)[1].strip()
+    return (settled + min(ends)[1]).strip()
 
 
 def disguised(core: str) -> bool:
@@ -178,19 +189,18 @@ class Reader:
                 self.known[token] = read
             found.update(read)
         for spaced in _SPACED.finditer(text):
-            found.update(both(decode(spaced.group(), self.model)))
+            found.update(both(decode(_BETWEEN.sub(" ", spaced.group()), self.model)))
         return found
 
     def read(self, token: str) -> tuple[str, ...]:
         core = token.rstrip(_JUNK).lstrip(_LEAD)
         if not disguised(core):
             return (core,) if core else ()
-        # Long codes and addresses are read in pieces between signs that hide no letter.
+        # Codes and addresses are read in pieces between signs that hide no letter.
         out = [core]
         for piece in re.split(r"[^\w@$!|+€(\-.*]+|[-.*]{2,}", core):
             if piece:
-                for low in range(0, len(piece), 64):
-                    out.extend(both(decode(piece[low : low + 64], self.model)))
+                out.extend(both(decode(piece, self.model)))
         return tuple(out)
 
 

@@ -9,6 +9,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -480,3 +481,25 @@ def test_toxic_words_are_found_under_disguise(spark):
     found = toxicity.scored(docs, model).collect()
     wrong = [r for r in found if r.held_out and r.predicted != (r.doc_id % 5 == 0)]
     assert len(wrong) <= 2 and 0 < sum(r.held_out for r in found) < 200
+
+
+def letters_model(texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    cells, counts = next(toxicity._trigrams([batch])).columns
+    return toxicity.CharacterModel.of(np.array(cells), np.array(counts, float))
+
+
+def test_combined_disguises_and_words_across_any_edge():
+    rng = random.Random(9)
+    names = "the quick rascal villain house garden paper letter number window reading writing people water".split()
+    model = letters_model([" ".join(rng.choice(names) for _ in range(50)) for _ in range(200)])
+    for disguise in ["r @ s c a l", "r @ $ c a l", "r\n@\t$\nc,a\tl", "(r . 4 . s . c . 4 . l).", "r _ @ * s - c a l !", "v 1 l l a 1 n"]:
+        found = toxicity.Reader(model).words(f"people and {disguise} house")
+        assert found & {"rascal", "villain"}, disguise
+    assert "pap" in toxicity.Reader(model).words("p a p")
+    for lead in range(1, 90):
+        # A word that starts at any place of a long token, after letters that are one word.
+        token = "water." * (lead // 6) + "p" * (lead % 6) + ".r@sc4l." + "window." * 40 + "v1llain"
+        assert {"rascal", "villain"} <= toxicity.Reader(model).words(token), lead
+    long = toxicity.decode("w1ndow." * 500, model).split()
+    assert long == ["window"] * 500
