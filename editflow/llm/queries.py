@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editflow.llm.decontam import contaminated
 from editflow.llm.embeddings import near_vectors
 from editflow.llm.licences import licences, licences_sql
+from editflow.llm.merkle import trial
 from editflow.llm.minhash import near_copies
 from editflow.llm.mixing import mixed
 from editflow.llm.perplexity import quality
+from editflow.llm.pieces import encoded, load
 from editflow.llm.suffix import without_repeats
 from editflow.llm.tables import table
 from editflow.llm.toolcalls import as_messages, linked_calls
 from editflow.llm.toxicity import toxicity
 from editflow.llm.warc import archived
+from editflow.llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +75,26 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trial(table(spark, sf_dir, "documents"))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = load(public_tokenizers.path("piece_bpe_32k.model"))
+    found = encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_near_copies,
@@ -83,6 +107,9 @@ def queries() -> dict[str, Query]:
         op8_quality,
         op9_toxicity,
         op10_near_vectors,
+        op11_manifest,
+        op12_pieces,
+        op13_whitening,
     )
     return {f.__name__: f for f in found}
 
@@ -137,5 +164,82 @@ left join answers r on r.conv_id = t.conv_id and r.turn = t.turn + 1
 """
 
 
+# A tree of runs of 16 per source, one over the sources, and the folds of all paths, level by
+# level. CRC-32 comes from its table of 256 remainders, built by eight shifts.
+_MANIFEST = """
+with recursive crc_steps(i, k, c) as (
+  select i, 0, i::bigint from range(256) r(i)
+  union all
+  select i, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from crc_steps where k < 8
+), crc as (
+  select list(c order by i) as t from crc_steps where k = 8
+), docs as (
+  select doc_id, source, doc_id::varchar as id, lang, n_chars::varchar as n_chars, text,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low
+  from documents
+), heads as (
+  select *, coalesce(strlen(id) || ':' || id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars) || ':' || n_chars, '-') as head,
+         coalesce(xor(list_reduce(
+           list_prepend(4294967295::bigint, [ascii(x)::bigint for x in string_split(id, '')]),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 5 = 0, false) as chosen
+  from docs, crc
+), hashed as (
+  select doc_id, coalesce('=' || source, '') as tree, chosen,
+         sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+         sha256(head || coalesce(strlen(low) || ':' || low, '-')) as found
+  from heads
+), leaves as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as lo from hashed
+), sizes as (
+  select tree, count(*) as n from leaves group by tree
+), grown(tree, level, place, n, digest) as (
+  select tree, 0, lo, n, leaf from leaves join sizes using (tree)
+  union all
+  select tree, level + 1, place // 16, (n + 15) // 16, sha256(string_agg(digest, '' order by place))
+  from grown where n > 1 group by tree, level, place // 16, n
+), subroots as (
+  select tree, digest, row_number() over (order by tree) - 1 as lo, count(*) over () as n from grown where n = 1
+), top(level, place, n, digest) as (
+  select 0, lo, n, digest from subroots
+  union all
+  select level + 1, place // 16, (n + 15) // 16, sha256(string_agg(digest, '' order by place))
+  from top where n > 1 group by level, place // 16, n
+), root as (
+  select digest from top where n = 1
+), inner_sides as (
+  select a.tree, a.level, a.place, coalesce(string_agg(b.digest, '' order by b.place) filter (b.place < a.place), '') as l,
+         coalesce(string_agg(b.digest, '' order by b.place) filter (b.place > a.place), '') as r
+  from grown a join grown b on a.tree = b.tree and a.level = b.level and a.place // 16 = b.place // 16
+  where a.n > 1 group by a.tree, a.level, a.place
+), outer_sides as (
+  select a.level, a.place, coalesce(string_agg(b.digest, '' order by b.place) filter (b.place < a.place), '') as l,
+         coalesce(string_agg(b.digest, '' order by b.place) filter (b.place > a.place), '') as r
+  from top a join top b on a.level = b.level and a.place // 16 = b.place // 16
+  where a.n > 1 group by a.level, a.place
+), paths as (
+  select d.tree, d.lo, s.level, s.l, s.r from leaves d
+  join inner_sides s on s.tree = d.tree and s.place = d.lo >> (4 * s.level)
+  union all
+  select d.tree, d.lo, 100 + s.level, s.l, s.r from leaves d join subroots t using (tree)
+  join outer_sides s on s.place = t.lo >> (4 * s.level)
+), joined as (
+  select tree, lo, list({'l': l, 'r': r} order by level) as path from paths group by tree, lo
+), proven as (
+  select d.doc_id, d.leaf, t.digest as subroot, root.digest as root,
+         sha256(coalesce(array_to_string([s.l || s.r for s in path], ''), '')) as proof_sha256,
+         list_reduce(list_prepend({'l': case when chosen then found else leaf end, 'r': ''}, coalesce(path, [])),
+           lambda a, s: {'l': sha256(s.l || a.l || s.r), 'r': ''}).l as folded_root
+  from leaves d join subroots t using (tree) cross join root left join joined j on j.tree = d.tree and j.lo = d.lo
+)
+select *, folded_root = root as verified from proven
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": _WARC, "op3_tool_calls": _TOOL_CALLS, "op6_licences": licences_sql()}
+    return {
+        "op2_warc": _WARC,
+        "op3_tool_calls": _TOOL_CALLS,
+        "op6_licences": licences_sql(),
+        "op11_manifest": _MANIFEST,
+    }
