@@ -73,9 +73,9 @@ def whitened(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     typed = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
     units = stored(typed.mapInArrow(_whole_numbers, "vec_id long, dims int, packed binary"), "whole")
     distinct = stored(units.groupBy("dims", "packed").agg(F.count("*").alias("rows")).drop("rows"), "fit-list")
-    lengths = sorted((r["dims"], r["n"]) for r in distinct.groupBy("dims").agg(F.count("*").alias("n")).collect())
-    parts = [units.limit(0).mapInArrow(partial(_project, model=None), _OUT)]
-    for dims, n in lengths:
+    lengths = distinct.where("dims > 0").groupBy("dims").agg(F.count("*").alias("n")).collect()
+    parts = [vectors.sparkSession.createDataFrame([], _OUT)]
+    for dims, n in sorted(map(tuple, lengths)):
         model = fit(distinct.where(F.col("dims") == dims).select("packed"), dims, n, components)
         if len(model.values):
             mine = units.where(F.col("dims") == dims).select("vec_id", "packed")
@@ -198,9 +198,7 @@ def _whitened_sums(
     yield pa.RecordBatch.from_arrays([places, pa.array(total)], ["i", "value"])
 
 
-def _project(batches: Iterable[pa.RecordBatch], model: Whitening | None) -> Iterator[pa.RecordBatch]:
-    if model is None:
-        return
+def _project(batches: Iterable[pa.RecordBatch], model: Whitening) -> Iterator[pa.RecordBatch]:
     k, dims = model.components.shape
     turn, mean = model.map, model.mean
     for part, rows in _groups(batches, dims):
