@@ -7,27 +7,29 @@ chunks: marked words. Each is encoded as if it stood alone, so each distinct one
 texts is encoded and decoded only once, by the library itself, and the results are joined
 back to the places where it stands.
 
-Texts travel in packed blocks. What is exchanged besides them is each block's distinct
-chunks, never one row per word of a text.
+Texts are read once, in blocks. A block becomes its distinct chunks, dealt by a hash into
+shards of the chunk table, and for each text the places of its chunks among them. A shard
+sees the chunks of all blocks, looks each distinct one up or encodes it, and answers every
+block in the block's order. A block's answers and places together give its texts.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 from functools import partial
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import sentencepiece
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from editflow.llm.tables import bytes_of, spans, stored
+from editflow.llm.tables import bytes_of, shuffle_width, spans, stored
 
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
@@ -36,7 +38,8 @@ BLOCK_BYTES = 16 << 20
 # So many chunks are handed to the library at once.
 AT_ONCE = 4_096
 _NEW = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
-_TABLE = "chunk string, ids array<int>, plain string"
+# What a block holds besides its shards.
+_PLACES = -1
 
 
 def load(path: str) -> bytes:
@@ -77,20 +80,18 @@ def encoded(docs: DataFrame, model: bytes) -> DataFrame:
     rows = docs.drop("ids", "decoded")
     kept = [f for f in rows.schema.fields if f.name.lower() != "text"]
     rest = F.struct(*[F.col(_quoted(f.name)) for f in kept]) if kept else F.struct(F.lit(0).alias("none"))
-    packed = rows.select(F.col("text").cast("string"), rest.alias("rest"))
-    inner = T.StructType([*packed.schema.fields[1:], *_NEW])
-    blocks = stored(packed.mapInArrow(_packed, "block long, rows binary"), "blocks")
-    held = stored(blocks.mapInArrow(_chunks, "block long, chunk string"), "chunks")
-    table = held.select("chunk").distinct().mapInArrow(partial(_segment, model=model), _TABLE)
-    # The table is written so that a lost executor costs a read, not the encoding.
-    found = held.join(stored(table, "chunk-table"), "chunk")
+    typed = rows.select(F.col("text").cast("string"), rest.alias("rest"))
+    shards = shuffle_width(docs.sparkSession)
+    layout = "block long, shard int, data binary"
+    # Written once: the numbers of the blocks, and their order of chunks, are then fixed.
+    blocks = stored(typed.mapInArrow(partial(_blocks, shards=shards), layout), "blocks")
+    asked = blocks.where(F.col("shard") != _PLACES).repartition(shards, "shard")
+    answers = asked.sortWithinPartitions("shard").mapInArrow(partial(_answers, model=model), layout)
+    places = blocks.where(F.col("shard") == _PLACES)
     # As many partitions as blocks, so that a task holds a few of them however many there are.
-    joined = (
-        blocks.repartition(max(1, blocks.count()), "block")
-        .groupBy("block")
-        .cogroup(found.groupBy("block"))
-        .applyInArrow(_join, inner)
-    )
+    both = places.unionByName(answers).repartition(max(1, places.count()), "block")
+    inner = T.StructType([*typed.schema.fields[1:], *_NEW])
+    joined = both.groupBy("block").applyInArrow(_join, inner)
     return joined.select(*[F.col("rest")[f.name].alias(f.name) for f in kept], "ids", "decoded")
 
 
@@ -119,84 +120,125 @@ def _one(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _press(*parts: bytes | np.ndarray) -> bytes:
+    """Byte strings in one compressed piece, with their number and lengths in front."""
+    raw = [p if isinstance(p, bytes) else p.tobytes() for p in parts]
+    head = np.array([len(raw), *map(len, raw)], np.uint64).tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(raw))
+
+
+def _unpress(data: bytes) -> list[bytes]:
+    whole = zstandard.ZstdDecompressor().decompress(data)
+    many = int(np.frombuffer(whole, np.uint64, 1)[0])
+    ends = 8 * (many + 1) + np.cumsum(np.append(0, np.frombuffer(whole, np.uint64, many, 8))).astype(int)
+    return [whole[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
+
+
+def _strings(parts: list[bytes]) -> tuple[np.ndarray, bytes]:
+    return np.array(list(map(len, parts)), np.uint32), b"".join(parts)
+
+
+def _split(lengths: bytes, whole: bytes) -> list[bytes]:
+    ends = np.append(0, np.cumsum(np.frombuffer(lengths, np.uint32).astype(np.int64))).tolist()
+    return [whole[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def _blocks(batches: Iterable[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """A row of places for each block, and a row of distinct chunks for each of its shards."""
     part = TaskContext.get().partitionId()
-    for place, batch in enumerate(_cut(b for b in batches if b.num_rows)):
+    for number, batch in enumerate(_cut(b for b in batches if b.num_rows)):
+        index: dict[str, int] = {}
+        found, many = [], []
+        for text in batch.column(0):
+            chunks = chunks_of(text.as_py()) if text.is_valid else []
+            many.append(len(chunks))
+            found.append(np.array([index.setdefault(c, len(index)) for c in chunks], np.uint32))
+        raw = [chunk.encode() for chunk in index]
+        dealt = np.array([zlib.crc32(chunk) % shards for chunk in raw], np.int64)
+        # By shard, and in order within it, so that neighbours are alike.
+        order = np.array(sorted(range(len(raw)), key=lambda i: (dealt[i], raw[i])), np.int64)
+        rank = np.empty(len(raw), np.uint32)
+        rank[order] = np.arange(len(raw), dtype=np.uint32)
+        places = rank[np.concatenate(found)] if found else np.zeros(0, np.uint32)
+        if len(raw) <= 1 << 16:
+            places = places.astype(np.uint16)
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_batch(batch)
-        rows = pa.array([sink.getvalue().to_pybytes()], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([part << 32 | place], pa.int64()), rows], ["block", "rows"])
-
+        with pa.ipc.new_stream(sink, batch.schema.remove(0)) as out:
+            out.write_batch(batch.select(["rest"]))
+        rows = [(_PLACES, _press(np.array(many, np.uint32), places, sink.getvalue().to_pybytes()))]
+        edges = np.searchsorted(dealt[order], np.arange(shards + 1))
+        for shard, (begin, end) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+            if begin < end:
+                rows.append((shard, _press(*_strings([raw[i] for i in order[begin:end]]))))
+        for shard, data in rows:
+            yield _row(part << 32 | number, shard, data)
+
+
+def _row(block: int, shard: int, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block], pa.int64()), pa.array([shard], pa.int32()), pa.array([data], pa.binary())],
+        ["block", "shard", "data"],
+    )
 
-def _unpack(packed: pa.Scalar) -> pa.RecordBatch:
-    return pa.ipc.open_stream(packed.as_buffer()).read_next_batch()
 
+def _answers(batches: Iterable[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
+    """Ids and plain text of the chunks that each block has in a shard, in the block's order.
 
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct chunks of each block."""
-    for batch in batches:
-        for block, packed in zip(batch.column(0), batch.column(1)):
-            seen: set[str] = set()
-            for text in _unpack(packed).column(0):
-                if text.is_valid:
-                    seen.update(chunks_of(text.as_py()))
-            for part in _parts(sorted(seen)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block.as_py()] * len(part), pa.int64()), pa.array(part, pa.string())],
-                    ["block", "chunk"],
-                )
-
-
-def _parts(chunks: list[str], limit: int = 1 << 20) -> Iterator[list[str]]:
-    """Runs of chunks with few enough letters for one batch."""
-    part: list[str] = []
-    size = 0
-    for chunk in chunks:
-        part.append(chunk)
-        size += len(chunk) + 8
-        if size >= limit:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
-def _segment(batches: Iterable[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
-    """Ids and plain text of each chunk; the library puts the first marker in front itself."""
+    The table of a shard lives in its task: it grows with the distinct chunks of one shard.
+    """
     processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-    alone = processor.encode("x ")[len(processor.encode("x")) :]
+    table: dict[bytes, tuple[np.ndarray, bytes]] = {}
+    last = None
     for batch in batches:
-        for begin in range(0, batch.num_rows, AT_ONCE):
-            part = batch.column(0).slice(begin, AT_ONCE)
-            texts = [chunk[1:].replace(MARK, " ") for chunk in part.to_pylist()]
-            ids = processor.encode(texts, num_threads=1)
-            # The library gives an empty text no marker; here it is the space that ends a text.
-            ids = [found if text else alone for text, found in zip(texts, ids)]
-            plain = processor.decode(ids, num_threads=1)
-            yield pa.RecordBatch.from_arrays(
-                [part, pa.array(ids, pa.list_(pa.int32())), pa.array(plain, pa.string())],
-                ["chunk", "ids", "plain"],
-            )
-
-
-def _join(blocks: pa.Table, table: pa.Table) -> pa.Table:
-    """Each text's chunks looked up in the block's part of the table, by position."""
-    place = {chunk: i for i, chunk in enumerate(table.column("chunk").to_pylist())}
-    plain = table.column("plain").to_pylist()
-    ids = table.column("ids")
-    flat = pc.list_flatten(ids).to_numpy()
-    first = np.append(0, np.cumsum(pc.list_value_length(ids).to_numpy().astype(np.int64)))
-    parts = []
-    for packed in blocks.column("rows"):
-        batch = _unpack(packed)
-        at = [[place[c] for c in chunks_of(t.as_py())] if t.is_valid else [] for t in batch.column(0)]
-        decoded = pa.array([" ".join([plain[i] for i in found]) for found in at], pa.string())
-        words = np.fromiter(chain.from_iterable(at), np.int64, sum(map(len, at)))
-        many = first[words + 1] - first[words]
-        ends = np.cumsum(many)
-        taken = flat[np.repeat(first[words] - (ends - many), many) + np.arange(many.sum())]
-        upto = np.append(0, ends)[np.cumsum([0, *map(len, at)])]
-        lists = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(taken, pa.int32()))
-        parts.append(pa.table({"rest": batch.column(1), "ids": lists, "decoded": decoded}))
-    return pa.concat_tables(parts)
+        for block, shard, data in zip(*(batch.column(i) for i in range(3))):
+            if shard != last:
+                table, last = {}, shard
+            chunks = _split(*_unpress(data.as_py()))
+            _segment([c for c in chunks if c not in table], table, processor)
+            ids, plain = zip(*[table[c] for c in chunks])
+            lengths = np.array(list(map(len, ids)), np.uint32)
+            yield _row(block.as_py(), shard.as_py(), _press(lengths, np.concatenate(ids), *_strings(list(plain))))
+
+
+def _segment(
+    chunks: list[bytes], table: dict[bytes, tuple[np.ndarray, bytes]], processor: sentencepiece.SentencePieceProcessor
+) -> None:
+    """Put chunks into the table; the library adds the first marker itself."""
+    for begin in range(0, len(chunks), AT_ONCE):
+        part = chunks[begin : begin + AT_ONCE]
+        texts = [chunk.decode()[1:].replace(MARK, " ") for chunk in part]
+        ids = processor.encode(texts, num_threads=1)
+        # The library gives an empty text no marker; here it is the space that ends a text.
+        ids = [found if text else alone(processor) for text, found in zip(texts, ids)]
+        plain = processor.decode(ids, num_threads=1)
+        for chunk, found, text in zip(part, ids, plain):
+            table[chunk] = np.array(found, np.int32), text.encode()
+
+
+def alone(processor: sentencepiece.SentencePieceProcessor) -> list[int]:
+    """Ids of a marker that nothing follows."""
+    return processor.encode("x ")[len(processor.encode("x")) :]
+
+
+def _join(rows: pa.Table) -> pa.Table:
+    """The texts of a block: at each place the ids and the plain text of its chunk."""
+    held = sorted(zip(rows["shard"].to_pylist(), rows["data"].to_pylist()))
+    many, places, rest = _unpress(held[0][1])
+    many = np.frombuffer(many, np.uint32).astype(np.int64)
+    answers = [_unpress(data) for _, data in held[1:]]
+    lengths = np.concatenate([np.frombuffer(a[0], np.uint32) for a in answers] or [np.zeros(0, np.uint32)])
+    flat = np.concatenate([np.frombuffer(a[1], np.int32) for a in answers] or [np.zeros(0, np.int32)])
+    plain = [text.decode() for a in answers for text in _split(a[2], a[3])]
+    first = np.append(0, np.cumsum(lengths.astype(np.int64)))
+    wide = np.uint16 if len(lengths) <= 1 << 16 else np.uint32
+    words = np.frombuffer(places, wide).astype(np.int64)
+    taken = first[words + 1] - first[words]
+    ends = np.cumsum(taken)
+    ids = flat[np.repeat(first[words] - (ends - taken), taken) + np.arange(taken.sum())]
+    edges = np.append(0, np.cumsum(many))
+    upto = np.append(0, ends)[edges]
+    at = words.tolist()
+    decoded = [" ".join([plain[i] for i in at[a:b]]) for a, b in zip(edges.tolist(), edges[1:].tolist())]
+    batch = pa.ipc.open_stream(rest).read_next_batch()
+    lists = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids, pa.int32()))
+    return pa.table({"rest": batch.column(0), "ids": lists, "decoded": pa.array(decoded, pa.string())})
