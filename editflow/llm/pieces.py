@@ -4,13 +4,14 @@ The model's normalised text is the text with a marker (U+2581) in front and in p
 each space. If no piece holds a marker behind another sign, then no piece crosses the place
 before a run of markers that follows another sign. Between such places lie the text's
 chunks: marked words. Each is encoded as if it stood alone, so each distinct one in all
-texts is encoded and decoded only once, by the library itself, and the results are joined
-back to the places where it stands.
+texts is encoded only once, by the library itself, and the results are joined back to the
+places where it stands.
 
 Texts are read once, in blocks. A block becomes its distinct chunks, dealt by a hash into
 shards of the chunk table, and for each text the places of its chunks among them. A shard
 sees the chunks of all blocks, looks each distinct one up or encodes it, and answers every
-block in the block's order. A block's answers and places together give its texts.
+block in the block's order. A block decodes each of its distinct chunks once, by the library
+too; its answers and places together give its texts.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ from pyspark.sql import types as T
 from editflow.llm.tables import bytes_of, shuffle_width, spans, stored
 
 MARK = "▁"
-_CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
+_CHUNK = re.compile(" +[^ ]*")
 # Texts go in blocks of at most so many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 16 << 20
 # So many chunks are handed to the library at once.
@@ -52,7 +54,8 @@ def load(path: str) -> bytes:
 
 def check(processor: sentencepiece.SentencePieceProcessor) -> None:
     """Stop if a piece crosses a whitespace marker, or the model changes texts before it encodes them."""
-    for piece in map(processor.id_to_piece, range(processor.vocab_size())):
+    for number in range(processor.vocab_size()):
+        piece = processor.id_to_piece(number)
         if MARK in piece.lstrip(MARK):
             raise ValueError(f"the piece {piece!r} crosses a whitespace marker")
     for text in (" a  b ", "ﬁ　Ａ é\tz\n"):
@@ -65,8 +68,13 @@ def marked(text: str) -> str:
 
 
 def chunks_of(text: str) -> list[str]:
-    """The marked words of a text in order; together they are its normalised form."""
-    return _CHUNK.findall(marked(text)) if text else []
+    """The marked words of a text in order, each without its first marker, other markers as spaces."""
+    if not text:
+        return []
+    words = text.replace(MARK, " ").split(" ")
+    if "" in words:  # a run of spaces belongs to the word after it
+        return [chunk[1:] for chunk in _CHUNK.findall(" " + text.replace(MARK, " "))]
+    return words
 
 
 def encoded(docs: DataFrame, model: bytes) -> DataFrame:
@@ -91,7 +99,7 @@ def encoded(docs: DataFrame, model: bytes) -> DataFrame:
     # As many partitions as blocks, so that a task holds a few of them however many there are.
     both = places.unionByName(answers).repartition(max(1, places.count()), "block")
     inner = T.StructType([*typed.schema.fields[1:], *_NEW])
-    joined = both.groupBy("block").applyInArrow(_join, inner)
+    joined = both.groupBy("block").applyInArrow(lambda rows: _join(rows, model), inner)
     return joined.select(*[F.col("rest")[f.name].alias(f.name) for f in kept], "ids", "decoded")
 
 
@@ -134,13 +142,17 @@ def _unpress(data: bytes) -> list[bytes]:
     return [whole[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
 
-def _strings(parts: list[bytes]) -> tuple[np.ndarray, bytes]:
-    return np.array(list(map(len, parts)), np.uint32), b"".join(parts)
+def _planes(numbers: np.ndarray) -> bytes:
+    """Whole numbers with their low bytes together, then the next ones: far smaller when compressed."""
+    return np.ascontiguousarray(numbers.astype("<u4")).view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def _split(lengths: bytes, whole: bytes) -> list[bytes]:
-    ends = np.append(0, np.cumsum(np.frombuffer(lengths, np.uint32).astype(np.int64))).tolist()
-    return [whole[a:b] for a, b in zip(ends, ends[1:])]
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def _ends(lengths: np.ndarray) -> np.ndarray:
+    return np.append(0, np.cumsum(lengths))
 
 
 def _blocks(batches: Iterable[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
@@ -152,26 +164,30 @@ def _blocks(batches: Iterable[pa.RecordBatch], shards: int) -> Iterator[pa.Recor
         for text in batch.column(0):
             chunks = chunks_of(text.as_py()) if text.is_valid else []
             many.append(len(chunks))
-            found.append(np.array([index.setdefault(c, len(index)) for c in chunks], np.uint32))
+            found.append(np.array([index.setdefault(c, len(index)) for c in chunks], np.int64))
         raw = [chunk.encode() for chunk in index]
-        dealt = np.array([zlib.crc32(chunk) % shards for chunk in raw], np.int64)
-        # By shard, and in order within it, so that neighbours are alike.
-        order = np.array(sorted(range(len(raw)), key=lambda i: (dealt[i], raw[i])), np.int64)
-        rank = np.empty(len(raw), np.uint32)
-        rank[order] = np.arange(len(raw), dtype=np.uint32)
-        places = rank[np.concatenate(found)] if found else np.zeros(0, np.uint32)
-        if len(raw) <= 1 << 16:
-            places = places.astype(np.uint16)
+        held: list[list[tuple[bytes, int]]] = [[] for _ in range(shards)]
+        for at, chunk in enumerate(raw):
+            held[zlib.crc32(chunk) % shards].append((chunk, at))
+        # Frequent chunks get small numbers; `place` tells where each is among the shards' sorted lists.
+        words = np.concatenate(found) if found else np.zeros(0, np.int64)
+        often = np.argsort(-np.bincount(words, minlength=len(raw)), kind="stable")
+        rank = np.empty(len(raw), np.int64)
+        rank[often] = np.arange(len(raw))
+        for some in held:
+            some.sort()
+        place = np.empty(len(raw), np.int64)
+        place[rank[[at for some in held for _, at in some]]] = np.arange(len(raw))
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, batch.schema.remove(0)) as out:
             out.write_batch(batch.select(["rest"]))
-        rows = [(_PLACES, _press(np.array(many, np.uint32), places, sink.getvalue().to_pybytes()))]
-        edges = np.searchsorted(dealt[order], np.arange(shards + 1))
-        for shard, (begin, end) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
-            if begin < end:
-                rows.append((shard, _press(*_strings([raw[i] for i in order[begin:end]]))))
-        for shard, data in rows:
-            yield _row(part << 32 | number, shard, data)
+        rest = sink.getvalue().to_pybytes()
+        block = part << 32 | number
+        yield _row(block, _PLACES, _press(_planes(np.array(many)), _planes(rank[words]), _planes(place), rest))
+        for shard, some in enumerate(held):
+            if some:
+                chunks = [chunk for chunk, _ in some]
+                yield _row(block, shard, _press(_planes(np.array([len(c) for c in chunks])), b"".join(chunks)))
 
 
 def _row(block: int, shard: int, data: bytes) -> pa.RecordBatch:
@@ -182,37 +198,36 @@ def _row(block: int, shard: int, data: bytes) -> pa.RecordBatch:
 
 
 def _answers(batches: Iterable[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
-    """Ids and plain text of the chunks that each block has in a shard, in the block's order.
+    """Ids of the chunks that each block has in a shard, in the block's order.
 
     The table of a shard lives in its task: it grows with the distinct chunks of one shard.
     """
     processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-    table: dict[bytes, tuple[np.ndarray, bytes]] = {}
+    table: dict[bytes, list[int]] = {}
     last = None
     for batch in batches:
         for block, shard, data in zip(*(batch.column(i) for i in range(3))):
             if shard != last:
                 table, last = {}, shard
-            chunks = _split(*_unpress(data.as_py()))
+            lengths, whole = _unpress(data.as_py())
+            ends = _ends(_numbers(lengths)).tolist()
+            chunks = [whole[a:b] for a, b in zip(ends, ends[1:])]
             _segment([c for c in chunks if c not in table], table, processor)
-            ids, plain = zip(*[table[c] for c in chunks])
-            lengths = np.array(list(map(len, ids)), np.uint32)
-            yield _row(block.as_py(), shard.as_py(), _press(lengths, np.concatenate(ids), *_strings(list(plain))))
+            ids = [table[c] for c in chunks]
+            flat = np.fromiter(chain.from_iterable(ids), np.int64)
+            data = _press(_planes(np.array([len(x) for x in ids])), _planes(flat))
+            yield _row(block.as_py(), shard.as_py(), data)
 
 
 def _segment(
-    chunks: list[bytes], table: dict[bytes, tuple[np.ndarray, bytes]], processor: sentencepiece.SentencePieceProcessor
+    chunks: list[bytes], table: dict[bytes, list[int]], processor: sentencepiece.SentencePieceProcessor
 ) -> None:
-    """Put chunks into the table; the library adds the first marker itself."""
+    """Put the ids of chunks into the table; the library adds the first marker itself."""
     for begin in range(0, len(chunks), AT_ONCE):
         part = chunks[begin : begin + AT_ONCE]
-        texts = [chunk.decode()[1:].replace(MARK, " ") for chunk in part]
-        ids = processor.encode(texts, num_threads=1)
+        ids = processor.encode([chunk.decode() for chunk in part], num_threads=1)
         # The library gives an empty text no marker; here it is the space that ends a text.
-        ids = [found if text else alone(processor) for text, found in zip(texts, ids)]
-        plain = processor.decode(ids, num_threads=1)
-        for chunk, found, text in zip(part, ids, plain):
-            table[chunk] = np.array(found, np.int32), text.encode()
+        table.update((chunk, found if chunk else alone(processor)) for chunk, found in zip(part, ids))
 
 
 def alone(processor: sentencepiece.SentencePieceProcessor) -> list[int]:
@@ -220,25 +235,31 @@ def alone(processor: sentencepiece.SentencePieceProcessor) -> list[int]:
     return processor.encode("x ")[len(processor.encode("x")) :]
 
 
-def _join(rows: pa.Table) -> pa.Table:
+def _join(rows: pa.Table, model: bytes) -> pa.Table:
     """The texts of a block: at each place the ids and the plain text of its chunk."""
     held = sorted(zip(rows["shard"].to_pylist(), rows["data"].to_pylist()))
-    many, places, rest = _unpress(held[0][1])
-    many = np.frombuffer(many, np.uint32).astype(np.int64)
+    many, words, place, rest = _unpress(held[0][1])
     answers = [_unpress(data) for _, data in held[1:]]
-    lengths = np.concatenate([np.frombuffer(a[0], np.uint32) for a in answers] or [np.zeros(0, np.uint32)])
-    flat = np.concatenate([np.frombuffer(a[1], np.int32) for a in answers] or [np.zeros(0, np.int32)])
-    plain = [text.decode() for a in answers for text in _split(a[2], a[3])]
-    first = np.append(0, np.cumsum(lengths.astype(np.int64)))
-    wide = np.uint16 if len(lengths) <= 1 << 16 else np.uint32
-    words = np.frombuffer(places, wide).astype(np.int64)
+    none = [np.zeros(0, np.int64)]
+    first = _ends(np.concatenate([_numbers(a[0]) for a in answers] or none))
+    flat = np.concatenate([_numbers(a[1]) for a in answers] or none)
+    plain = _decoded(flat, first, model)
+    words = _numbers(place)[_numbers(words)]
     taken = first[words + 1] - first[words]
     ends = np.cumsum(taken)
     ids = flat[np.repeat(first[words] - (ends - taken), taken) + np.arange(taken.sum())]
-    edges = np.append(0, np.cumsum(many))
+    edges = _ends(_numbers(many))
     upto = np.append(0, ends)[edges]
     at = words.tolist()
     decoded = [" ".join([plain[i] for i in at[a:b]]) for a, b in zip(edges.tolist(), edges[1:].tolist())]
     batch = pa.ipc.open_stream(rest).read_next_batch()
     lists = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids, pa.int32()))
     return pa.table({"rest": batch.column(0), "ids": lists, "decoded": pa.array(decoded, pa.string())})
+
+
+def _decoded(flat: np.ndarray, first: np.ndarray, model: bytes) -> list[str]:
+    """What the library makes of each chunk's ids; it drops the first marker."""
+    processor = sentencepiece.SentencePieceProcessor(model_proto=model)
+    ids, ends = flat.tolist(), first.tolist()
+    lists = [ids[a:b] for a, b in zip(ends, ends[1:])]
+    return [t for at in range(0, len(lists), AT_ONCE) for t in processor.decode(lists[at : at + AT_ONCE], num_threads=1)]

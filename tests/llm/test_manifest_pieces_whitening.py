@@ -155,10 +155,29 @@ def test_pieces_in_many_blocks(spark, monkeypatch):
     assert {r.doc_id: r.ids for r in found} == {i: library.encode(t) for i, t in enumerate(texts)}
 
 
-def test_a_chunk_table_is_distinct(spark):
-    """Each distinct marked word is handed to the library once."""
+def test_chunks():
+    """Marked words without their first marker."""
     chunks = pieces.chunks_of("the  cat the cat the ")
-    assert chunks == ["▁the", "▁▁cat", "▁the", "▁cat", "▁the", "▁"]
+    assert chunks == ["the", " cat", "the", "cat", "the", ""]
+
+
+def test_a_shard_encodes_each_distinct_chunk_once(monkeypatch):
+    asked = []
+
+    class Counting(sentencepiece.SentencePieceProcessor):
+        def encode(self, texts, **options):
+            asked.extend(texts if isinstance(texts, list) else [])
+            return super().encode(texts, **options)
+
+    monkeypatch.setattr(pieces.sentencepiece, "SentencePieceProcessor", Counting)
+    monkeypatch.setattr(pieces.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    monkeypatch.setattr(pieces, "BLOCK_BYTES", 40)
+    texts = ["the cat and the dog", "the dog  and a cat ", "the end"] * 4
+    batch = pieces.pa.RecordBatch.from_arrays([pieces.pa.array(texts), pieces.pa.array([{"i": 1}] * 12)], ["text", "rest"])
+    rows = [r for r in pieces._blocks([batch], 1) if r.column(1)[0].as_py() != pieces._PLACES]
+    assert len(rows) > 3
+    list(pieces._answers(rows, pieces.load(MODEL)))
+    assert sorted(asked) == sorted({c for t in texts for c in pieces.chunks_of(t)})
 
 
 def test_pieces_must_not_cross_markers():
