@@ -17,6 +17,7 @@ too; its answers and places together give its texts.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import partial
@@ -31,12 +32,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from editflow.llm.tables import bytes_of, shuffle_width, spans, stored
+from editflow.llm.tables import bytes_of, shuffle_width, spans
+from editflow.session import scratch_path
 
 MARK = "▁"
 _CHUNK = re.compile(" +[^ ]*")
 # Texts go in blocks of at most so many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 16 << 20
+# A shard of the table is meant for the chunks of so many bytes of text; there are SHARDS at most.
+SHARD_BYTES = 64 << 20
+SHARDS = 4_096
+BUCKETS = 50_000
+# A shard that has met more distinct chunks than this begins its table anew, so memory is bounded.
+MOST = 2_000_000
 # So many chunks are handed to the library at once.
 AT_ONCE = 4_096
 _NEW = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
@@ -89,20 +97,36 @@ def encoded(docs: DataFrame, model: bytes) -> DataFrame:
     kept = [f for f in rows.schema.fields if f.name.lower() != "text"]
     rest = F.struct(*[F.col(_quoted(f.name)) for f in kept]) if kept else F.struct(F.lit(0).alias("none"))
     typed = rows.select(F.col("text").cast("string"), rest.alias("rest"))
-    shards = shuffle_width(docs.sparkSession)
+    spark = docs.sparkSession
+    size = int(typed.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
+    shards = min(SHARDS, max(shuffle_width(spark), size // SHARD_BYTES))
     layout = "block long, shard int, data binary"
-    # Written once: the numbers of the blocks, and their order of chunks, are then fixed.
-    blocks = stored(typed.mapInArrow(partial(_blocks, shards=shards), layout), "blocks")
+    # Written once: the numbers of the blocks, and their order of chunks, are then fixed. As the
+    # table is in buckets of blocks, only the shards' answers move to meet a block's places.
+    blocks = typed.mapInArrow(partial(_blocks, shards=shards), layout)
+    buckets = min(BUCKETS, max(1, size // BLOCK_BYTES))
+    blocks = bucketed(blocks, buckets)
     asked = blocks.where(F.col("shard") != _PLACES).repartition(shards, "shard")
     answers = asked.sortWithinPartitions("shard").mapInArrow(partial(_answers, model=model), layout)
-    places = blocks.where(F.col("shard") == _PLACES)
-    # As many partitions as blocks, so that a task holds a few of them however many there are.
-    both = places.unionByName(answers).repartition(max(1, places.count()), "block")
+    places = blocks.where(F.col("shard") == _PLACES).select("block", "data")
     inner = T.StructType([*typed.schema.fields[1:], *_NEW])
-    joined = both.groupBy("block").applyInArrow(lambda rows: _join(rows, model), inner)
+    joined = places.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        lambda held, found: _join(held, found, model), inner
+    )
     return joined.select(*[F.col("rest")[f.name].alias(f.name) for f in kept], "ids", "decoded")
 
 
+def bucketed(rows: DataFrame, buckets: int) -> DataFrame:
+    """rows written to the shared folder in buckets of the column block, in order of shard."""
+    spark, name = rows.sparkSession, f"editflow_{uuid.uuid4().hex}"
+    writer = rows.write.bucketBy(buckets, "block").sortBy("shard").option("compression", "zstd")
+    writer.option("path", scratch_path(spark, "blocks")).saveAsTable(name)
+    table = spark.table(name)
+    # The frame knows its files; only the catalogue's entry goes.
+    spark.sql(f"drop table {name}")
+    return table
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -200,14 +224,14 @@ def _row(block: int, shard: int, data: bytes) -> pa.RecordBatch:
 def _answers(batches: Iterable[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
     """Ids of the chunks that each block has in a shard, in the block's order.
 
-    The table of a shard lives in its task: it grows with the distinct chunks of one shard.
+    The table of a shard lives in its task, see MOST.
     """
     processor = sentencepiece.SentencePieceProcessor(model_proto=model)
     table: dict[bytes, list[int]] = {}
     last = None
     for batch in batches:
         for block, shard, data in zip(*(batch.column(i) for i in range(3))):
-            if shard != last:
+            if shard != last or len(table) > MOST:
                 table, last = {}, shard
             lengths, whole = _unpress(data.as_py())
             ends = _ends(_numbers(lengths)).tolist()
@@ -235,11 +259,11 @@ def alone(processor: sentencepiece.SentencePieceProcessor) -> list[int]:
     return processor.encode("x ")[len(processor.encode("x")) :]
 
 
-def _join(rows: pa.Table, model: bytes) -> pa.Table:
+def _join(held: pa.Table, found: pa.Table, model: bytes) -> pa.Table:
     """The texts of a block: at each place the ids and the plain text of its chunk."""
-    held = sorted(zip(rows["shard"].to_pylist(), rows["data"].to_pylist()))
-    many, words, place, rest = _unpress(held[0][1])
-    answers = [_unpress(data) for _, data in held[1:]]
+    many, words, place, rest = _unpress(held["data"][0].as_py())
+    in_order = sorted(zip(found["shard"].to_pylist(), found["data"].to_pylist()))
+    answers = [_unpress(data) for _, data in in_order]
     none = [np.zeros(0, np.int64)]
     first = _ends(np.concatenate([_numbers(a[0]) for a in answers] or none))
     flat = np.concatenate([_numbers(a[1]) for a in answers] or none)
