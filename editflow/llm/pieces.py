@@ -21,7 +21,6 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import partial
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +39,11 @@ _CHUNK = re.compile(" +[^ ]*")
 # Texts go in blocks of at most so many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 16 << 20
 # A shard of the table is meant for the chunks of so many bytes of text; there are SHARDS at most.
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 16 << 20
 SHARDS = 4_096
 BUCKETS = 50_000
 # A shard that has met more distinct chunks than this begins its table anew, so memory is bounded.
-MOST = 2_000_000
+MOST = 500_000
 # So many chunks are handed to the library at once.
 AT_ONCE = 4_096
 _NEW = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
@@ -172,46 +171,51 @@ def _planes(numbers: np.ndarray) -> bytes:
 
 
 def _numbers(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
 def _ends(lengths: np.ndarray) -> np.ndarray:
-    return np.append(0, np.cumsum(lengths))
+    return np.append(0, np.cumsum(lengths, dtype=np.int64))
 
 
 def _blocks(batches: Iterable[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """A row of places for each block, and a row of distinct chunks for each of its shards."""
     part = TaskContext.get().partitionId()
     for number, batch in enumerate(_cut(b for b in batches if b.num_rows)):
-        index: dict[str, int] = {}
-        found, many = [], []
-        for text in batch.column(0):
-            chunks = chunks_of(text.as_py()) if text.is_valid else []
-            many.append(len(chunks))
-            found.append(np.array([index.setdefault(c, len(index)) for c in chunks], np.int64))
-        raw = [chunk.encode() for chunk in index]
-        held: list[list[tuple[bytes, int]]] = [[] for _ in range(shards)]
-        for at, chunk in enumerate(raw):
-            held[zlib.crc32(chunk) % shards].append((chunk, at))
-        # Frequent chunks get small numbers; `place` tells where each is among the shards' sorted lists.
-        words = np.concatenate(found) if found else np.zeros(0, np.int64)
-        often = np.argsort(-np.bincount(words, minlength=len(raw)), kind="stable")
-        rank = np.empty(len(raw), np.int64)
-        rank[often] = np.arange(len(raw))
-        for some in held:
-            some.sort()
-        place = np.empty(len(raw), np.int64)
-        place[rank[[at for some in held for _, at in some]]] = np.arange(len(raw))
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, batch.schema.remove(0)) as out:
-            out.write_batch(batch.select(["rest"]))
-        rest = sink.getvalue().to_pybytes()
-        block = part << 32 | number
-        yield _row(block, _PLACES, _press(_planes(np.array(many)), _planes(rank[words]), _planes(place), rest))
-        for shard, some in enumerate(held):
-            if some:
-                chunks = [chunk for chunk, _ in some]
-                yield _row(block, shard, _press(_planes(np.array([len(c) for c in chunks])), b"".join(chunks)))
+        yield from _block(part << 32 | number, batch, shards)
+
+
+def _block(block: int, batch: pa.RecordBatch, shards: int) -> Iterator[pa.RecordBatch]:
+    index: dict[str, int] = {}
+    found, many = [], []
+    for text in batch.column(0):
+        chunks = chunks_of(text.as_py()) if text.is_valid else []
+        many.append(len(chunks))
+        found.append(np.fromiter([index.setdefault(c, len(index)) for c in chunks], np.int32, len(chunks)))
+    raw = [chunk.encode() for chunk in index]
+    del index
+    words = np.concatenate(found)
+    del found
+    # Frequent chunks get small numbers; `place` tells where each is among the shards' sorted lists.
+    often = np.argsort(-np.bincount(words, minlength=len(raw)), kind="stable")
+    rank = np.empty(len(raw), np.int32)
+    rank[often] = np.arange(len(raw), dtype=np.int32)
+    dealt = np.fromiter((zlib.crc32(chunk) % shards for chunk in raw), np.int32, len(raw))
+    place = np.empty(len(raw), np.int32)
+    by_shard = np.argsort(dealt, kind="stable")
+    edges = np.searchsorted(dealt[by_shard], np.arange(shards + 1))
+    for shard, (begin, end) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+        if begin < end:
+            some = sorted(by_shard[begin:end].tolist(), key=raw.__getitem__)
+            place[rank[some]] = np.arange(begin, end, dtype=np.int32)
+            chunks = [raw[i] for i in some]
+            yield _row(block, shard, _press(_planes(np.array([len(c) for c in chunks])), b"".join(chunks)))
+    del raw
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema.remove(0)) as out:
+        out.write_batch(batch.select(["rest"]))
+    rest = sink.getvalue().to_pybytes()
+    yield _row(block, _PLACES, _press(_planes(np.array(many)), _planes(rank[words]), _planes(place), rest))
 
 
 def _row(block: int, shard: int, data: bytes) -> pa.RecordBatch:
@@ -227,7 +231,7 @@ def _answers(batches: Iterable[pa.RecordBatch], model: bytes) -> Iterator[pa.Rec
     The table of a shard lives in its task, see MOST.
     """
     processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-    table: dict[bytes, list[int]] = {}
+    table: dict[bytes, bytes] = {}
     last = None
     for batch in batches:
         for block, shard, data in zip(*(batch.column(i) for i in range(3))):
@@ -238,20 +242,21 @@ def _answers(batches: Iterable[pa.RecordBatch], model: bytes) -> Iterator[pa.Rec
             chunks = [whole[a:b] for a, b in zip(ends, ends[1:])]
             _segment([c for c in chunks if c not in table], table, processor)
             ids = [table[c] for c in chunks]
-            flat = np.fromiter(chain.from_iterable(ids), np.int64)
-            data = _press(_planes(np.array([len(x) for x in ids])), _planes(flat))
+            flat = np.frombuffer(b"".join(ids), np.int32)
+            data = _press(_planes(np.array([len(x) // 4 for x in ids])), _planes(flat))
             yield _row(block.as_py(), shard.as_py(), data)
 
 
 def _segment(
-    chunks: list[bytes], table: dict[bytes, list[int]], processor: sentencepiece.SentencePieceProcessor
+    chunks: list[bytes], table: dict[bytes, bytes], processor: sentencepiece.SentencePieceProcessor
 ) -> None:
     """Put the ids of chunks into the table; the library adds the first marker itself."""
     for begin in range(0, len(chunks), AT_ONCE):
         part = chunks[begin : begin + AT_ONCE]
         ids = processor.encode([chunk.decode() for chunk in part], num_threads=1)
         # The library gives an empty text no marker; here it is the space that ends a text.
-        table.update((chunk, found if chunk else alone(processor)) for chunk, found in zip(part, ids))
+        for chunk, found in zip(part, ids):
+            table[chunk] = np.array(found if chunk else alone(processor), np.int32).tobytes()
 
 
 def alone(processor: sentencepiece.SentencePieceProcessor) -> list[int]:
@@ -264,18 +269,22 @@ def _join(held: pa.Table, found: pa.Table, model: bytes) -> pa.Table:
     many, words, place, rest = _unpress(held["data"][0].as_py())
     in_order = sorted(zip(found["shard"].to_pylist(), found["data"].to_pylist()))
     answers = [_unpress(data) for _, data in in_order]
-    none = [np.zeros(0, np.int64)]
+    none = [np.zeros(0, np.int32)]
     first = _ends(np.concatenate([_numbers(a[0]) for a in answers] or none))
     flat = np.concatenate([_numbers(a[1]) for a in answers] or none)
     plain = _decoded(flat, first, model)
+    del answers, in_order
     words = _numbers(place)[_numbers(words)]
-    taken = first[words + 1] - first[words]
+    taken = np.diff(first)[words]
     ends = np.cumsum(taken)
-    ids = flat[np.repeat(first[words] - (ends - taken), taken) + np.arange(taken.sum())]
+    at = np.repeat(first[words] - (ends - taken), taken)
+    at += np.arange(len(at))
+    ids = flat[at]
     edges = _ends(_numbers(many))
     upto = np.append(0, ends)[edges]
-    at = words.tolist()
-    decoded = [" ".join([plain[i] for i in at[a:b]]) for a, b in zip(edges.tolist(), edges[1:].tolist())]
+    del at, taken, ends, flat
+    bounds = edges.tolist()
+    decoded = [" ".join([plain[i] for i in words[a:b].tolist()]) for a, b in zip(bounds, bounds[1:])]
     batch = pa.ipc.open_stream(rest).read_next_batch()
     lists = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids, pa.int32()))
     return pa.table({"rest": batch.column(0), "ids": lists, "decoded": pa.array(decoded, pa.string())})
@@ -284,6 +293,9 @@ def _join(held: pa.Table, found: pa.Table, model: bytes) -> pa.Table:
 def _decoded(flat: np.ndarray, first: np.ndarray, model: bytes) -> list[str]:
     """What the library makes of each chunk's ids; it drops the first marker."""
     processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-    ids, ends = flat.tolist(), first.tolist()
-    lists = [ids[a:b] for a, b in zip(ends, ends[1:])]
-    return [t for at in range(0, len(lists), AT_ONCE) for t in processor.decode(lists[at : at + AT_ONCE], num_threads=1)]
+    plain: list[str] = []
+    for at in range(0, len(first) - 1, AT_ONCE):
+        ends = first[at : at + AT_ONCE + 1].tolist()
+        lists = [flat[a:b].tolist() for a, b in zip(ends, ends[1:])]
+        plain += processor.decode(lists, num_threads=1)
+    return plain
