@@ -58,7 +58,7 @@ from {edits_fx}
 """
 
 METRICS = """
-select event_id, ts, event_type as name, cast(floor(value) as int) as value,
+select event_id, ts, event_type as name, cast(floor(value) as int) as value, value as millis,
   concat(case when user_id % 3 = 0 then '+' when user_id % 3 = 1 then '-' else '' end,
          cast(cast(floor(value) as int) as varchar(20))) as setting,
   case when event_id % 4 = 0 then 0.5e0 else 1.0e0 end as rate,
@@ -85,20 +85,25 @@ BATCHES = 8
 DELAY = "30 minutes"
 # A watermark that no event of the stream comes later than.
 WATERMARK = "1 hour"
+# A delay that takes events into later batches, far beyond any watermark.
+LONG_DELAY = "9 days"
+ROWS_PER_FILE = 100_000
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str, delay: str = DELAY) -> DataFrame:
     """All events in BATCHES batches, one in ten of them late and so out of order."""
     path = scratch_path(spark, "events")
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
-    begin, end = rows.select(F.unix_micros(F.min("ts").cast("timestamp")), F.unix_micros(F.max("ts").cast("timestamp"))).first()
-    late = F.when(F.col("event_id") % 10 == 0, F.expr(f"interval {DELAY}")).otherwise(F.expr("interval 0 minutes"))
-    arrival = F.unix_micros(F.col("ts").cast("timestamp") + late)
-    place = F.least(F.lit(BATCHES - 1), F.floor((arrival - begin) * BATCHES / (end - begin + 1)))
-    rows = rows.withColumn("_batch", place)
+    late = F.when(F.col("event_id") % 10 == 0, F.expr(f"interval {delay}")).otherwise(F.expr("interval 0 minutes"))
+    rows = rows.withColumn("_arrival", F.unix_micros(F.col("ts").cast("timestamp") + late))
+    begin, end, total = rows.select(F.min("_arrival"), F.max("_arrival"), F.count("*")).first()
+    place = F.floor((F.col("_arrival") - begin) * BATCHES / (end - begin + 1))
+    # All batches have as many files, so that the stream takes one batch of files at a time.
+    files = max(2, total // BATCHES // ROWS_PER_FILE)
     for batch in range(BATCHES):  # files are taken in the order in which they were written
-        rows.where(F.col("_batch") == batch).drop("_batch").coalesce(1).write.mode("append").parquet(path)
-    reader = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 1)
+        part = rows.where(place == batch).drop("_arrival").repartition(files)
+        part.write.mode("append").parquet(path)
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", files)
     return reader.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -111,9 +111,16 @@ left join hourly h on h.channel = s.channel and h.bucket = s.bucket
     "profile": (
         ["hourly"],
         """
-select channel, 1 as week, unnest([0, 1, 2]) as cluster,
+select channel, 2024 as year, 1 as week, unnest([0, 1, 2]) as cluster,
   unnest([cast(min(n) as double), cast(sum(n) as double) / count(*), cast(max(n) as double)]) as centre
 from hourly group by channel
+""",
+    ),
+    "marked": (
+        ["typed"],
+        """
+select channel as name, time_bucket(interval '30 minutes', ts) as bucket, is_robot from typed
+union all select 'all-messages', time_bucket(interval '30 minutes', ts), is_robot from typed
 """,
     ),
     "nearest": (
@@ -160,22 +167,79 @@ def _kmeans(k: int, steps: int) -> dict[str, tuple[list[str], str]]:
             f"(select channel, cluster, cast(sum(n * w) as double) / cast(sum(w) as double) as centre "
             f"from near{i} group by all) a on a.channel = m.channel and a.cluster = m.cluster",
         )
-    parts["models"] = ([f"step{steps}"], f"select channel, 1 as week, cluster, centre from step{steps}")
+    parts["stepwise"] = ([f"step{steps}"], f"select channel, 2024 as year, 1 as week, cluster, centre from step{steps}")
     return parts
 
 
-CLUSTERS, STEPS = 4, 5
-_PARTS.update(_kmeans(CLUSTERS, STEPS))
-_PARTS["scored"] = (
-    ["filled", "models"],
-    """
+def _best(name: str, k: int, grain: str) -> dict[str, tuple[list[str], str]]:
+    """The best k clusters of the counts of ISO week 1: all beginnings of the last cluster are tried."""
+    return {
+        f"points_{name}": (
+            ["stored"],
+            f"""
+select channel, n, row_number() over (partition by channel order by n) as i, count(*) over (partition by channel) as nd,
+  cast(sum(w) over below as bigint) as mass, cast(sum(w * n) over below as bigint) as first,
+  cast(sum(w * n * n) over below as bigint) as second
+from (select channel, n, count(*) as w from (select channel, {grain}, count(*) as n from stored
+        where week = 1 and isoyear(ts) = (select max(isoyear(ts)) from stored where week = 1) group by all) group by all)
+window below as (partition by channel order by n)
+""",
+        ),
+        f"sums_{name}": (
+            [f"points_{name}"],
+            f"select channel, i, mass, first, second from points_{name} "
+            f"union all select distinct channel, 0, 0, 0, 0 from points_{name}",
+        ),
+        f"splits_{name}": (
+            [f"sums_{name}"],
+            f"""
+with recursive split(channel, runs, i, cost, l) as (
+  select channel, 1, i, cast(second as double) - cast(first as double) * cast(first as double) / cast(mass as double), 0
+  from points_{name}
+  union all
+  select channel, runs, i, best.c, best.l from (
+    select e.channel, d.runs + 1 as runs, e.i, min({{'c': d.cost + (cast(e.second - b.second as double)
+        - cast(e.first - b.first as double) * cast(e.first - b.first as double) / cast(e.mass - b.mass as double)), 'l': d.i}}) as best
+    from split d join sums_{name} b on b.channel = d.channel and b.i = d.i
+    join points_{name} e on e.channel = d.channel and e.i > d.i
+    where d.runs < least({k}, e.nd) group by e.channel, d.runs, e.i)
+) select * from split
+""",
+        ),
+        f"{name}": (
+            [f"splits_{name}"],
+            f"""
+with recursive back(channel, runs, i, l) as (
+  select s.channel, s.runs, s.i, s.l from splits_{name} s join points_{name} p using (channel, i)
+  where s.runs = least({k}, p.nd) and p.i = p.nd
+  union all
+  select s.channel, s.runs, s.i, s.l from back b join splits_{name} s
+    on s.channel = b.channel and s.runs = b.runs - 1 and s.i = b.l
+)
+select channel, 2024 as year, 1 as week, cast(runs - 1 as int) as cluster,
+  cast(e.first - b.first as double) / cast(e.mass - b.mass as double) as centre
+from back r join sums_{name} e using (channel, i) join sums_{name} b on b.channel = r.channel and b.i = r.l
+""",
+        ),
+    }
+
+
+FEW, STEPS = 4, 20
+_PARTS.update(_kmeans(FEW, STEPS))
+_PARTS.update(_best("few", FEW, "weekday, hour"))
+_PARTS.update(_best("hourly_models", 55, "weekday, hour"))
+_PARTS.update(_best("minute_models", 55, "weekday, day_minute"))
+for _scored, _models in (("scored", "hourly_models"), ("scored_few", "few")):
+    _PARTS[_scored] = (
+        ["filled", _models],
+        f"""
 select bucket, channel, n, cluster, centre, abs(n - centre) as distance,
   centre * cast(0.05 as double) < abs(n - centre) as is_anomaly
-from filled join models using (channel)
+from filled join {_models} using (channel)
 where bucket >= (select date_trunc('week', min(ts)) + interval 7 day from typed where weekofyear(ts) = 1)
 qualify row_number() over (partition by bucket, channel order by abs(n - centre), cluster) = 1
 """,
-)
+    )
 
 
 def _with(needed: list[str], query: str) -> str:
@@ -223,6 +287,9 @@ def oracle_sql() -> dict[str, str]:
     q["get_by_id"] = _with(
         ["typed"], f"select {_EDIT_MICROS} from typed where id = (select min(id) from typed)"
     )
+    q["find_edit"] = q["get_by_id"]
+    q["compact_edits"] = _with(["stored"], f"select {_EDIT_MICROS}, {_CALENDAR} from stored")
+    q["stored_total"] = _with(["stored"], "select count(*) as n from stored")
     q["channel_catalog"] = """
 select distinct event_type as code, '#' || event_type || '.wikipedia' as channel from events
 union all select 'all', '#all.wikipedia'
@@ -256,10 +323,13 @@ select id, epoch_us(ts) // 1000 as live_millis, strftime(ts, '%Y-%m-%dT%H:%M:%S.
 from typed
 """,
     )
-    models = "select channel, week, cluster, round(centre, 6) as centre from models"
-    q["fit_all_models"] = _with(["models"], models)
-    q["save_models"] = q["fit_all_models"]
-    q["load_models"] = q["fit_all_models"]
+    models = "select channel, year, week, cluster, round(centre, 6) as centre from {}"
+    q["fit_all_models"] = _with(["minute_models"], models.format("minute_models"))
+    q["fit_channel_model"] = q["fit_all_models"] + " where channel = '#click.wikipedia'"
+    q["fit_few_clusters"] = _with(["few"], models.format("few"))
+    q["fit_models_stepwise"] = _with(["stepwise"], models.format("stepwise"))
+    q["save_models"] = q["fit_few_clusters"]
+    q["load_models"] = q["fit_few_clusters"]
     rollup = f"""
 select {_bucket('10 seconds')} as bucket, 'all-messages' as name, count(*) as n from typed group by 1
 union all
@@ -346,6 +416,11 @@ union all select 'all-messages', null, 'all-messages'
         ["typed"], f"select {_EDIT_MICROS} from typed where channel = '#view.wikipedia'"
     )
     q["filter_week"] = _with(["stored"], "select id, year, week from stored where week = 3")
+    q["sample_metrics"] = _with(
+        ["metrics_fx"],
+        "select event_id, name, cast(0.3 as double) as rate from metrics_fx "
+        "where cast('0x' || md5(event_id || ':42')[1:8] as bigint) < 0.3 * 4294967296",
+    )
     q["every_nth"] = _with(
         ["typed"],
         "select id, position from (select id, row_number() over (order by ts, id) - 1 as position from typed) "
@@ -364,6 +439,19 @@ select epoch_us(bucket) as bucket, h.channel, n, m.week as model_week, least_cen
 from hourly h join (select channel, week, round(min(centre), 6) as least_centre,
   round(max(centre), 6) as greatest_centre from profile
   where channel <> '#error.wikipedia' group by all) m using (channel)
+""",
+    )
+    q["attach_model_before"] = _with(
+        ["hourly"],
+        """
+select epoch_us(h.bucket) as bucket, h.channel, n, model_year, model_week, least_centre, greatest_centre
+from hourly h asof join (
+  select channel, isoyear(monday) as model_year, weekofyear(monday) as model_week, least_centre, greatest_centre,
+    monday + interval 7 day as since
+  from (select channel, date_trunc('week', bucket) as monday, cast(min(n) as double) as least_centre,
+          cast(max(n) as double) as greatest_centre from hourly group by all)
+  where channel <> '#error.wikipedia' or weekofyear(monday) % 2 = 0
+) m on h.channel = m.channel and h.bucket >= m.since
 """,
     )
     q["nearest_centroid"] = _with(
@@ -393,8 +481,13 @@ from hourly h join (select channel, week, round(min(centre), 6) as least_centre,
     )
     q["count_matching"] = _with(
         ["typed"],
-        f"select epoch_us({_bucket('60 seconds')}) as bucket, 'robot-edits' as name, "
-        "cast(count(*) filter (where is_robot) + 2 as bigint) as n from typed group by 1",
+        f"""
+select epoch_us(s.bucket) as bucket, 'robot-edits' as name, coalesce(n, 0) + 2 as n
+from (select unnest(generate_series({_bucket('60 seconds', 'min(ts)')}, {_bucket('60 seconds', 'max(ts)')},
+        interval 1 minute)) as bucket from typed) s
+left join (select {_bucket('60 seconds')} as bucket, count(*) filter (where is_robot) as n from typed group by 1) c
+  on c.bucket = s.bucket
+""",
     )
     q["count_items"] = _with(
         ["json_typed"],
@@ -458,6 +551,25 @@ select epoch_us({_bucket('1 day')}) as bucket, name, count(*) as samples,
   round(cast(sum(value) as double) / count(*), 6) as mean,
   round(quantile_cont(cast(value as double), 0.5), 6) as p50, round(quantile_cont(cast(value as double), 0.9), 6) as p90
 from metrics_fx where kind = 'ms' group by 1, 2
+""",
+    )
+    q["metric_timing_fractions"] = _with(
+        ["metrics_fx"],
+        f"""
+select epoch_us({_bucket('1 day')}) as bucket, name, count(*) as samples, round(min(millis), 6) as least,
+  round(max(millis), 6) as greatest, round(avg(millis), 6) as mean, round(quantile_cont(millis, 0.5), 6) as p50,
+  round(quantile_cont(millis, 0.9), 6) as p90
+from metrics_fx group by 1, 2
+""",
+    )
+    q["metric_sketches"] = _with(
+        ["metrics_fx"],
+        """
+select epoch_us(time_bucket(interval '7 days', ts, timestamp '1970-01-01')) as bucket, name, kind, count(*) as samples,
+  case when kind = 'ms' then round(min(millis), 6) end as least,
+  case when kind = 'ms' then round(max(millis), 6) end as greatest,
+  case when kind = 'ms' then round(avg(millis), 6) end as mean, true as near
+from metrics_fx where kind in ('ms', 's') group by 1, 2, 3
 """,
     )
     q["metric_lines"] = _with(
@@ -485,11 +597,12 @@ from metrics_fx where kind = 'ms' group by 1, 2
     q["clustering_order"] = _with(["stored"], 'select id, year, month, day, time, "user" from stored')
 
     # Anomalies
-    q["detect_anomalies"] = _with(
-        ["scored"],
-        "select epoch_us(bucket) as bucket, channel, n, cluster, round(centre, 6) as centre, "
-        "round(distance, 6) as distance, is_anomaly from scored",
-    )
+    for name, part in (("detect_anomalies", "scored"), ("detect_anomalies_few", "scored_few")):
+        q[name] = _with(
+            [part],
+            "select epoch_us(bucket) as bucket, channel, n, cluster, round(centre, 6) as centre, "
+            f"round(distance, 6) as distance, is_anomaly from {part}",
+        )
 
     # Streaming
     q["stream_counts"] = _with(
@@ -497,6 +610,29 @@ from metrics_fx where kind = 'ms' group by 1, 2
         f"select epoch_us(bucket) as bucket, channel, n from hourly where {_CLOSED}",
     )
     q["on_flush"] = q["stream_counts"]
+    q["stream_tallies"] = _with(
+        ["marked"],
+        """
+select epoch_us(s.bucket) as bucket, s.name, cast(coalesce(n, 0) + 2 as bigint) as n
+from (select name, unnest(generate_series(min(bucket), (select max(ts) from typed) - interval 90 minute,
+        interval 30 minute)) as bucket from marked group by name) s
+left join (select name, bucket, count(*) filter (where is_robot) as n from marked group by all) c
+  on c.name = s.name and c.bucket = s.bucket
+""",
+    )
+    q["stream_gauges"] = q["metric_gauge"]
+    q["stream_latest"] = q["latest_n"]
+    q["stream_numbered"] = q["running_count"]
+    q["stream_every_nth"] = q["every_nth"]
+    q["stream_once"] = _with(
+        ["typed"],
+        """
+select epoch_us(bucket) as bucket, name, n from (
+  select time_bucket(interval '1 hour', ts) as bucket, channel as name, count(*) as n from typed group by 1, 2
+  union all
+  select time_bucket(interval '1 hour', ts) as bucket, 'all-messages' as name, count(*) as n from typed group by 1)
+""",
+    )
     q["stream_score"] = _with(
         ["typed", "hourly", "profile"],
         f"""

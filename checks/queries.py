@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from checks.oracle import CLUSTERS, STEPS
+from checks.oracle import FEW, STEPS
 from editflow.functions import text
 from editflow.operators import counts, filters, joins, metrics, models, parse, series
 from editflow.plans.jobs import train_and_score
-from editflow.schema import BUS, CALENDAR_COLUMNS, EDIT_COLUMNS, STORED
+from editflow.schema import BUS, CALENDAR_COLUMNS, EDIT_COLUMNS
 from editflow.session import configure, materialize, scratch_path
-from editflow.sources import bus, catalog, edits as edit_table, lines, models as model_table
-from editflow.streaming import counting, sinks
+from editflow.sources import bus, catalog, edits as edit_table, lines, log, models as model_table
+from editflow.streaming import counting, feed, sinks, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -66,13 +66,29 @@ def _profile(hourly: DataFrame) -> DataFrame:
         ).alias("centres")
     )
     profile = stats.select(
-        "channel", F.lit(1).alias("week"), F.posexplode("centres").alias("cluster", "centre")
+        "channel", F.lit(2024).alias("year"), F.lit(1).alias("week"), F.posexplode("centres").alias("cluster", "centre")
     )
     return materialize(profile, "profile")
 
 
-def _edit_stream(spark, sf_dir):
-    return parse.typed_edits(fx.irc_lines(fx.event_stream(spark, sf_dir)))
+def _weekly_profiles(hourly: DataFrame) -> DataFrame:
+    """The same for each ISO week; one channel has a model of every other week only."""
+    monday = F.trunc("bucket", "week")
+    stats = hourly.groupBy("channel", monday.alias("monday")).agg(
+        F.array(F.min("n").cast("double"), F.max("n").cast("double")).alias("centres")
+    )
+    week = F.weekofyear("monday")
+    stats = stats.where((F.col("channel") != "#error.wikipedia") | (week % 2 == 0))
+    return stats.select(
+        "channel",
+        F.extract(F.lit("YEAROFWEEK"), F.col("monday")).cast("int").alias("year"),
+        week.alias("week"),
+        F.posexplode("centres").alias("cluster", "centre"),
+    )
+
+
+def _edit_stream(spark, sf_dir, delay=fx.DELAY):
+    return parse.typed_edits(fx.irc_lines(fx.event_stream(spark, sf_dir, delay)))
 
 
 def _frames_on_disk(spark, frames: DataFrame) -> dict[str, str]:
@@ -142,9 +158,7 @@ def get_by_id(spark, sf_dir):
 @query
 def load_models(spark, sf_dir):
     path = scratch_path(spark, "models")
-    trained = models.fit_all_models(
-        fx.stored(spark, sf_dir), 1, CLUSTERS, STEPS, grain="hour", tol=-1.0
-    )
+    trained = materialize(models.fit_all_models(fx.stored(spark, sf_dir), 1, FEW, "hour"), "trained")
     # Saved twice: the second time replaces the first.
     model_table.save_models(trained.withColumn("centre", -F.col("centre")), path)
     model_table.save_models(trained, path)
@@ -154,11 +168,8 @@ def load_models(spark, sf_dir):
 @query
 def save_models(spark, sf_dir):
     path = scratch_path(spark, "models")
-    trained = models.fit_all_models(
-        fx.stored(spark, sf_dir), 1, CLUSTERS, STEPS, grain="hour", tol=-1.0
-    )
-    model_table.save_models(trained, path)
-    return spark.read.parquet(path).select("channel", "week", "cluster", "centre")
+    model_table.save_models(models.fit_all_models(fx.stored(spark, sf_dir), 1, FEW, "hour"), path)
+    return spark.read.parquet(path).select("channel", "year", "week", "cluster", "centre")
 
 
 @query
@@ -175,7 +186,37 @@ def write_edits(spark, sf_dir):
     edit_table.write_edits(edits, path)
     again = edits.where("is_robot").withColumn("comment", F.concat("comment", F.lit(" (again)")))
     edit_table.write_edits(again, path)
-    return spark.read.schema(STORED).parquet(path)
+    return edit_table.read_edits(spark, path)
+
+
+@query
+def find_edit(spark, sf_dir):
+    """The edit with the least id, from the files whose filters may hold it."""
+    path = scratch_path(spark, "edits")
+    edits = fx.edits(spark, sf_dir)
+    edit_table.write_edits(edits, path)
+    wanted = edits.agg(F.min("id")).first()[0]
+    return edit_table.find_edit(spark, path, wanted).select(*EDIT_COLUMNS)
+
+
+@query
+def compact_edits(spark, sf_dir):
+    """Days stored in five batches each, then merged; the rows stay, the files don't."""
+    path = scratch_path(spark, "edits")
+    edits = fx.edits(spark, sf_dir)
+    for part in range(5):
+        edit_table.write_edits(edits.where(F.pmod(F.crc32("id"), F.lit(5)) == part), path)
+    log.compact(spark, path, fan_in=4)
+    return edit_table.read_edits(spark, path)
+
+
+@query
+def stored_total(spark, sf_dir):
+    path = scratch_path(spark, "edits")
+    edits = fx.edits(spark, sf_dir)
+    edit_table.write_edits(edits, path)
+    edit_table.write_edits(edits.where("is_robot"), path)
+    return edit_table.stored_total(spark, path)
 
 
 @query
@@ -386,7 +427,7 @@ def filter_week(spark, sf_dir):
 @query
 def sample_metrics(spark, sf_dir):
     rows = fx.metric_events(fx.events(spark, sf_dir))
-    return filters.sample_metrics(rows, 0.5, seed=42).select("event_id", "name", "rate")
+    return filters.sample_metrics(rows, 0.3, seed=42).select("event_id", "name", "rate")
 
 
 @query
@@ -416,6 +457,22 @@ def attach_model(spark, sf_dir):
     )
 
 
+@query
+def attach_model_before(spark, sf_dir):
+    """Each count with the model of the last week that was over then."""
+    hourly = _hourly(spark, sf_dir)
+    found = joins.attach_model(hourly, _weekly_profiles(hourly), when="before")
+    return found.select(
+        "bucket",
+        "channel",
+        "n",
+        "model_year",
+        "model_week",
+        F.array_min("centres.centre").alias("least_centre"),
+        F.array_max("centres.centre").alias("greatest_centre"),
+    )
+
+
 @query
 def nearest_centroid(spark, sf_dir):
     hourly = _hourly(spark, sf_dir)
@@ -521,6 +578,32 @@ def metric_timing(spark, sf_dir):
     return metrics.metric_timing(_metrics(spark, sf_dir), "1 day")
 
 
+@query
+def metric_timing_fractions(spark, sf_dir):
+    """Samples with fractions, nearly all of them different and close together."""
+    rows = _metrics(spark, sf_dir).withColumn("kind", F.lit("ms"))
+    return metrics.metric_timing(rows, "1 day", value="millis")
+
+
+@query
+def metric_sketches(spark, sf_dir):
+    """Sketches per hour, merged to weeks: exact figures, and whether the others keep to their error."""
+    rows = materialize(_metrics(spark, sf_dir), "metrics")
+    merged = metrics.merged_sketches(metrics.metric_sketches(rows, "1 hour", "millis"), "7 days")
+    found = metrics.sketch_values(merged, [0.5, 0.9])
+    keys = ["bucket", "name", "kind"]
+    exact = rows.withColumn("bucket", F.window("ts", "7 days")["start"]).join(found, keys)
+    near = F.abs(F.max("unique") - F.count_distinct("millis")) <= 5 * metrics.UNIQUE_ERROR * F.max("unique") + 1
+    for p in (50, 90):  # the wanted rank lies, within the error, between the ranks of the found value
+        below, upto = F.count_if(F.col("millis") < F.col(f"p{p}")), F.count_if(F.col("millis") <= F.col(f"p{p}"))
+        error = 2 * metrics.RANK_ERROR
+        inside = (below / F.count("*") <= p / 100 + error) & (upto / F.count("*") >= p / 100 - error)
+        near = F.when(F.first("kind") == "ms", inside).otherwise(near)
+    checked = exact.groupBy(*keys).agg(near.alias("near"))
+    shown = [F.round(F.col(c), 6).alias(c) for c in ("least", "greatest", "mean")]
+    return found.join(checked, keys).select(*keys, "samples", *shown, "near")
+
+
 @query
 def metric_lines(spark, sf_dir):
     return metrics.metric_lines(_metrics(spark, sf_dir)).select("event_id", "line")
@@ -560,21 +643,32 @@ def clustering_order(spark, sf_dir):
 
 @query
 def fit_channel_model(spark, sf_dir):
-    return models.fit_channel_model(
-        fx.stored(spark, sf_dir), "#click.wikipedia", 1, k=CLUSTERS, grain="hour"
-    )
+    return models.fit_channel_model(fx.stored(spark, sf_dir), "#click.wikipedia", 1)
 
 
 @query
 def fit_all_models(spark, sf_dir):
-    return models.fit_all_models(
-        fx.stored(spark, sf_dir), 1, CLUSTERS, STEPS, grain="hour", tol=-1.0
-    )
+    return models.fit_all_models(fx.stored(spark, sf_dir), 1)
+
+
+@query
+def fit_few_clusters(spark, sf_dir):
+    return models.fit_all_models(fx.stored(spark, sf_dir), 1, FEW, "hour")
+
+
+@query
+def fit_models_stepwise(spark, sf_dir):
+    return models.fit_models_stepwise(fx.stored(spark, sf_dir), 1, FEW, STEPS, grain="hour")
 
 
 @query
 def detect_anomalies(spark, sf_dir):
-    return train_and_score(_lines(spark, sf_dir), 1, CLUSTERS, STEPS, tol=-1.0)
+    return train_and_score(_lines(spark, sf_dir), 1)
+
+
+@query
+def detect_anomalies_few(spark, sf_dir):
+    return train_and_score(_lines(spark, sf_dir), 1, FEW)
 
 
 # Streaming
@@ -588,6 +682,71 @@ def stream_counts(spark, sf_dir):
     return spark.read.parquet(out).select("bucket", "channel", "n")
 
 
+@query
+def stream_tallies(spark, sf_dir):
+    """Events nine days late, far beyond the watermark, and intervals without any."""
+    out = scratch_path(spark, "out")
+    edits = _edit_stream(spark, sf_dir, fx.LONG_DELAY)
+    tallies = stateful.stream_tallies(
+        edits, "30 minutes", fx.WATERMARK, start=2, predicate=F.col("is_robot"), totals=True
+    )
+    _finish(sinks.start(tallies, sinks.batch_folder(out), scratch_path(spark, "offsets"), once=True))
+    return stateful.settled(spark.read.parquet(out))
+
+
+@query
+def stream_gauges(spark, sf_dir):
+    """Gauges whose events come up to nine days late; what the batches change is settled at the end."""
+    out = scratch_path(spark, "out")
+    rows = fx.metric_events(fx.event_stream(spark, sf_dir, fx.LONG_DELAY))
+    changes = stateful.stream_gauges(rows, "1 hour", "setting")
+    _finish(sinks.start(changes, sinks.batch_folder(out), scratch_path(spark, "offsets"), once=True))
+    return stateful.gauge_values(spark.read.parquet(out))
+
+
+@query
+def stream_latest(spark, sf_dir):
+    out = scratch_path(spark, "out")
+    changes = feed.stream_latest(_edit_stream(spark, sf_dir, fx.LONG_DELAY).select("id", "ts", "channel"))
+    _finish(sinks.start(changes, sinks.batch_folder(out), scratch_path(spark, "offsets"), once=True))
+    return feed.latest_messages(spark.read.parquet(out)).select("id", "channel", "recency")
+
+
+@query
+def stream_numbered(spark, sf_dir):
+    out = scratch_path(spark, "out")
+    edits = _edit_stream(spark, sf_dir, "0 minutes").select("id", "ts", "channel")
+    _finish(feed.stream_numbered(edits, out, scratch_path(spark, "offsets"), once=True))
+    return spark.read.parquet(f"{out}/rows").select("id", "channel", "message_number")
+
+
+@query
+def stream_every_nth(spark, sf_dir):
+    out = scratch_path(spark, "out")
+    edits = _edit_stream(spark, sf_dir, "0 minutes").select("id", "ts", "channel")
+    numbered = feed.stream_numbered(edits, out, scratch_path(spark, "offsets"), (), out="nth", every=50, once=True)
+    _finish(numbered)
+    return spark.read.parquet(f"{out}/rows").select("id", (F.col("nth") - 1).alias("position"))
+
+
+@query
+def stream_once(spark, sf_dir):
+    """Frames of which a third come again, in later batches: stored once and counted once."""
+    path, out = scratch_path(spark, "edits"), scratch_path(spark, "counts")
+    edits = materialize(fx.edits(spark, sf_dir), "edits")
+    options = {"format": "parquet", "path": scratch_path(spark, "bus")}
+    files = max(2, edits.count() // 3 // fx.ROWS_PER_FILE)
+    third = F.pmod(F.crc32("id"), F.lit(3))
+    for part in (edits.where(third == 0), edits.where(third <= 1), edits):
+        bus.write_bus(bus.encode_bus(part).repartition(files), options)
+    frames = bus.read_bus(spark, options | {"maxFilesPerTrigger": str(files)})
+    counted = sinks.stream_once(
+        frames, path, scratch_path(spark, "offsets"), [sinks.count_sink(out, "1 hour")], once=True
+    )
+    _finish(counted)
+    return stateful.settled(spark.read.parquet(out))
+
+
 @query
 def stream_score(spark, sf_dir):
     out = scratch_path(spark, "out")
@@ -604,12 +763,16 @@ def stream_store(spark, sf_dir):
     """Frames in several batches; those of the first days come a second time."""
     path = scratch_path(spark, "edits")
     edits = fx.edits(spark, sf_dir)
-    options = _frames_on_disk(spark, bus.encode_bus(edits).coalesce(3))
-    again = edits.where(F.dayofmonth("ts") <= 5)
-    bus.write_bus(bus.encode_bus(again).coalesce(1), options)
-    frames = bus.read_bus(spark, options | {"maxFilesPerTrigger": "1"})
-    _finish(sinks.stream_store(frames, path, scratch_path(spark, "offsets"), once=True))
-    return spark.read.schema(STORED).parquet(path)
+    options = {"format": "parquet", "path": scratch_path(spark, "bus")}
+    edits = materialize(edits, "edits")
+    files = max(2, edits.count() // 3 // fx.ROWS_PER_FILE)
+    third = F.pmod(F.crc32("id"), F.lit(3))
+    parts = [edits.where(third == i) for i in range(3)] + [edits.where(F.dayofmonth("ts") <= 5)]
+    for part in parts:
+        bus.write_bus(bus.encode_bus(part).repartition(files), options)
+    frames = bus.read_bus(spark, options | {"maxFilesPerTrigger": str(files)})
+    _finish(sinks.stream_store(frames, path, scratch_path(spark, "offsets"), once=True, compact_every=3))
+    return edit_table.read_edits(spark, path)
 
 
 @query

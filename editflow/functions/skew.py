@@ -1,5 +1,6 @@
 """Joins and windows that stay spread out when one key holds much of the data."""
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -118,3 +119,39 @@ def numbered(
         .withColumn(out, F.col("_place") + F.col("_shift"))
         .drop("_place", "_part", "_shift")
     )
+
+
+def as_of(
+    rows: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, since: str, version: Sequence[str]
+) -> DataFrame:
+    """rows with the columns `version` of the newest version of their keys whose `since` is not after `at`.
+
+    Rows and versions are range-sorted together over keys and time, so a hot key is dealt
+    over many tasks. In each partition a version is carried down to the rows below it, and
+    the last one of a key is carried on to the key's later partitions. Rows before the first
+    version of their keys, or with a null key or time, drop out.
+    """
+    keys, payload = list(keys), F.struct(*version)
+    old = versions.select(
+        *keys, F.col(since).alias("_at"), payload.alias("_version"), F.lit(None).alias("_row")
+    )
+    row = F.struct(*rows.columns)
+    new = rows.where(F.col(at).isNotNull()).select(
+        *keys, F.col(at).alias("_at"), F.lit(None).alias("_version"), row.alias("_row")
+    )
+    both = old.where(F.col("_at").isNotNull()).unionByName(new).where(
+        functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    )
+    # At the same time, versions come before rows: false sorts before true.
+    both = both.withColumn("_is_row", F.col("_row").isNotNull())
+    ranged = placed(both, ["_at", "_is_row"], keys)
+    inside = Window.partitionBy(*keys, "_part").orderBy("_place")
+    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = ranged.withColumn("_here", F.last("_version", ignorenulls=True).over(inside))
+    ends = ranged.groupBy(*keys, "_part").agg(F.max_by("_version", F.when(~F.col("_is_row"), F.col("_place"))).alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.last("_end", ignorenulls=True).over(earlier).alias("_before")
+    before = materialize(ends.select(*keys, "_part", before).where("_before is not null"), "carried")
+    found = lookup_join(carried.where("_is_row"), before, keys + ["_part"], ["_place"], "left")
+    found = found.withColumn("_version", F.coalesce("_here", "_before")).where("_version is not null")
+    return found.select("_row.*", *[F.col("_version")[c].alias(c) for c in version])

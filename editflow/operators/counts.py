@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from editflow.functions.skew import running
 from editflow.operators.filters import filter_channel, filter_week
+from editflow.operators.series import zero_fill
 from editflow.schema import ALL_MESSAGES
 from editflow.session import materialize
 
@@ -44,11 +45,15 @@ def count_rollup(df: DataFrame, interval: str = "10 seconds") -> DataFrame:
 def count_matching(
     df: DataFrame, name: str, predicate: Column, interval: str, start: int = 0
 ) -> DataFrame:
-    """Rows that satisfy the predicate, on top of `start`, per interval that holds any row."""
+    """Rows that satisfy the predicate, on top of `start`, per interval.
+
+    Intervals run from the first row to the last; one without rows has the count `start`.
+    """
     counted = _windowed(df, interval).groupBy("_window").agg(
         (F.count_if(predicate) + F.lit(start)).alias("n")
     )
-    return counted.select(_bucket(), F.lit(name).alias("name"), "n")
+    named = counted.select(_bucket(), F.lit(name).alias("name"), "n")
+    return zero_fill(named, interval, ["name"], start)
 
 
 def count_items(df: DataFrame) -> DataFrame:

@@ -3,29 +3,50 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from editflow.functions.skew import lookup_join
+from editflow.functions.calendar import week_begin
+from editflow.functions.skew import as_of, lookup_join
 from editflow.schema import CATCH_ALL
+from editflow.session import materialize
 
 
-def channel_centres(models: DataFrame) -> DataFrame:
-    """One row per channel: its latest week and the centres by cluster number.
+def model_versions(models: DataFrame) -> DataFrame:
+    """One row per model: channel, model_year, model_week, its centres by cluster number.
 
     A model has at most k centres, so the list is short.
     """
-    per_model = models.groupBy("channel", "week").agg(
-        F.sort_array(F.collect_list(F.struct("cluster", "centre"))).alias("centres")
-    )
-    return per_model.groupBy("channel").agg(
-        F.max("week").alias("model_week"), F.max_by("centres", "week").alias("centres")
-    )
+    return models.groupBy(
+        "channel", F.col("year").alias("model_year"), F.col("week").alias("model_week")
+    ).agg(F.sort_array(F.collect_list(F.struct("cluster", "centre"))).alias("centres"))
 
 
-def attach_model(counts: DataFrame, models: DataFrame) -> DataFrame:
-    """Counts with the model of their channel; channels without a model drop out."""
-    return lookup_join(counts, channel_centres(models), ["channel"], spread=["bucket"])
+def channel_centres(models: DataFrame) -> DataFrame:
+    """One row per channel: the model of its newest ISO year and week."""
+    version = F.struct("model_year", "model_week", "centres")
+    newest = model_versions(models).groupBy("channel").agg(F.max(version).alias("_newest"))
+    return newest.select("channel", "_newest.*")
+
+
+def attach_model(counts: DataFrame, models: DataFrame, when: str = "newest") -> DataFrame:
+    """Counts with the model of their channel; counts without a model drop out.
+
+    when='newest' takes the model of the newest ISO year and week for all counts.
+    when='before' takes the newest model whose week was over when the count's interval
+    began, so that old counts are compared with what was known at their time.
+    """
+    if when == "newest":
+        return lookup_join(counts, channel_centres(models), ["channel"], spread=["bucket"])
+    versions = materialize(model_versions(models), "versions")
+    ends = F.date_add(week_begin(F.col("model_year"), F.col("model_week")), 7).cast("timestamp")
+    found = as_of(
+        counts, versions.withColumn("_since", ends), ["channel"], "bucket", "_since", ["model_year", "model_week"]
+    )
+    # The sort carries the two numbers; the centres are looked up.
+    return lookup_join(found, versions, ["channel", "model_year", "model_week"], spread=["bucket"])
 
 
-def nearest_centroid(counts: DataFrame, models: DataFrame, value: str = "n") -> DataFrame:
+def nearest_centroid(
+    counts: DataFrame, models: DataFrame, value: str = "n", when: str = "newest"
+) -> DataFrame:
     """Cluster, centre and distance nearest to each count; the lowest cluster wins a tie.
 
     The nearest centre is picked from the model's list in the row itself, so no
@@ -40,7 +61,7 @@ def nearest_centroid(counts: DataFrame, models: DataFrame, value: str = "n") ->
         ),
     )
     return (
-        attach_model(counts, models)
+        attach_model(counts, models, when)
         .withColumn("_nearest", F.array_min(distances))
         .select(
             *counts.columns,

@@ -9,15 +9,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from editflow.functions.skew import lookup_join, running
+from editflow.functions.skew import lookup_join, placed, running
 from editflow.session import materialize
 
 # Metric type marks. Fixed values.
 COUNTER, GAUGE, SET, TIMING = "c", "g", "s", "ms"
 
-# Distinct values that share one block when values are ranked.
-VALUE_BLOCK = 1024
-
 
 def _events(events: DataFrame, kind: str, interval: str) -> DataFrame:
     chosen = events.where(F.col("kind") == kind)
@@ -44,25 +41,33 @@ def metric_gauge(
     after it. Across intervals: a running sum of adjustments, and the last
     interval in which the value was set.
     """
-    sent = _events(events, GAUGE, interval).select(
-        "bucket",
-        "name",
-        F.struct(*order).alias("_at"),
-        F.trim(F.col(value).cast("string")).alias("_text"),
-    )
-    adjusts = F.col("_text").rlike(r"\A[+-]")
-    amount = F.col("_text").try_cast("double")
-    latest = F.max(F.when(~adjusts & amount.isNotNull(), F.struct("_at", amount.alias("amount")))).alias("_set")
+    sent = gauge_events(events, interval, value).withColumn("_at", F.struct(*order))
+    amount, adjusts = F.col("amount"), F.col("adjusts")
+    latest = F.max(F.when(~adjusts, F.struct("_at", "amount"))).alias("_set")
     last_set = materialize(sent.groupBy("bucket", "name").agg(latest), "gauges")
     later = F.col("_set").isNull() | (F.col("_at") > F.col("_set._at"))
     per_interval = (
-        lookup_join(sent, last_set, ["bucket", "name"], spread=["_at"])
+        lookup_join(sent.select("bucket", "name", "_at", "amount", "adjusts"), last_set, ["bucket", "name"], spread=["_at"])
         .groupBy("bucket", "name")
         .agg(
             F.max("_set.amount").alias("_base"),
             F.coalesce(F.sum(F.when(adjusts & later, amount)), F.lit(0.0)).alias("_moved"),
         )
     )
+    return chained_gauges(per_interval)
+
+
+def gauge_events(events: DataFrame, interval: str, value: str = "value") -> DataFrame:
+    """Gauge events with bucket, adjusts (whether the text begins with a sign) and amount; others drop out."""
+    text = F.trim(F.col(value).cast("string"))
+    sent = _events(events, GAUGE, interval).withColumns(
+        {"adjusts": text.rlike(r"\A[+-]"), "amount": text.try_cast("double")}
+    )
+    return sent.where("amount is not null")
+
+
+def chained_gauges(per_interval: DataFrame) -> DataFrame:
+    """Values at the ends of intervals, from the last set value and the adjustments after it in each."""
     per_interval = materialize(per_interval, "gauges")
     daily = per_interval.withColumn("_day", F.date_trunc("day", "bucket"))
     summed = running(daily, ["name"], "_day", "bucket", "_moved", "_total").withColumn(
@@ -93,22 +98,24 @@ def metric_timing(
     events: DataFrame,
     interval: str = "10 seconds",
     percentages: Sequence[float] = (0.5, 0.9),
+    value: str = "value",
 ) -> DataFrame:
     """Count, least, greatest, mean and percentiles of millisecond samples.
 
     Percentiles interpolate between the two samples around the rank. Samples are
     first counted per distinct value; the ranks run over those counts in blocks
     of neighbouring values, so no task holds all samples of a metric. Fractions stay.
+    Samples that are null are left out.
     """
     keys = ["bucket", "name"]
-    whole = events.schema["value"].dataType.typeName() in ("byte", "short", "integer", "long")
-    per_value = _events(events, TIMING, interval).groupBy(
-        *keys, F.col("value").cast("bigint" if whole else "double").alias("value")
-    )
-    cells = materialize(per_value.agg(F.count("*").alias("_n")), "samples").withColumn(
-        "_block", F.floor(F.col("value") / VALUE_BLOCK)
+    whole = events.schema[value].dataType.typeName() in ("byte", "short", "integer", "long")
+    sampled = _events(events, TIMING, interval).where(F.col(value).isNotNull())
+    per_value = sampled.groupBy(
+        *keys, F.col(value).cast("bigint" if whole else "double").alias("value")
     )
-    ranked = running(cells, keys, "_block", "value", "_n", "_through")
+    # Range-sorted, so that a block is one partition, however close the values are.
+    cells = placed(per_value.agg(F.count("*").alias("_n")), ["value"], keys).drop("_place")
+    ranked = running(cells, keys, "_part", "value", "_n", "_through")
     totals = cells.groupBy(*keys).agg(F.sum("_n").alias("samples"))
     rows = ranked.join(totals, keys)
     first, through = F.col("_through") - F.col("_n"), F.col("_through")
@@ -146,6 +153,70 @@ def metric_timing(
     )
 
 
+# Size of the sketches. Quantiles: the rank that is returned differs from the wanted one by less
+# than 1.4 % of the samples in 99 of 100 cases. Unique values: a standard error of 0.8 %.
+KLL_K, HLL_LOG_K = 200, 14
+RANK_ERROR, UNIQUE_ERROR = 0.014, 0.008
+
+
+def metric_sketches(events: DataFrame, interval: str = "10 seconds", value: str = "value") -> DataFrame:
+    """Sketches of the timings and sets of each interval: bucket, name, kind, samples, least, greatest, total, sketch.
+
+    They are small whatever the number of samples, and can be merged: see `merged_sketches`
+    and `sketch_values`. Rows are combined in their task before the shuffle.
+    """
+    number = F.col(value).cast("double")
+    timed = F.col("kind") == TIMING
+    rows = events.where(F.col("kind").isin(TIMING, SET) & F.col(value).isNotNull())
+    grouped = rows.groupBy(F.window("ts", interval)["start"].alias("bucket"), "name", "kind").agg(
+        F.count("*").alias("samples"),
+        F.min(number).alias("least"),
+        F.max(number).alias("greatest"),
+        F.sum(number).alias("total"),
+        F.kll_sketch_agg_double(F.when(timed, number), F.lit(KLL_K)).alias("_kll"),
+        F.hll_sketch_agg(F.when(~timed, F.col(value).cast("string")), F.lit(HLL_LOG_K)).alias("_hll"),
+    )
+    sketch = F.when(timed, F.col("_kll")).otherwise(F.col("_hll")).alias("sketch")
+    return grouped.select("bucket", "name", "kind", "samples", "least", "greatest", "total", sketch)
+
+
+def merged_sketches(sketches: DataFrame, interval: str | None = None) -> DataFrame:
+    """One row per bucket, name and kind; with an interval, that of its longer one."""
+    if interval is not None:
+        sketches = sketches.withColumn("bucket", F.window("bucket", interval)["start"])
+    timed = F.col("kind") == TIMING
+    grouped = sketches.groupBy("bucket", "name", "kind").agg(
+        F.sum("samples").alias("samples"),
+        F.min("least").alias("least"),
+        F.max("greatest").alias("greatest"),
+        F.sum("total").alias("total"),
+        F.kll_merge_agg_double(F.when(timed, F.col("sketch")), F.lit(KLL_K)).alias("_kll"),
+        F.hll_union_agg(F.when(~timed, F.col("sketch"))).alias("_hll"),
+    )
+    sketch = F.when(timed, F.col("_kll")).otherwise(F.col("_hll")).alias("sketch")
+    return grouped.select("bucket", "name", "kind", "samples", "least", "greatest", "total", sketch)
+
+
+def sketch_values(sketches: DataFrame, percentages: Sequence[float] = (0.5, 0.9)) -> DataFrame:
+    """Count, least, greatest, mean and about the percentiles of timings; about the unique values of sets."""
+    timed = F.col("kind") == TIMING
+    picks = [
+        F.when(timed, F.kll_sketch_get_quantile_double("sketch", F.lit(float(p)))).alias(f"p{round(p * 100)}")
+        for p in percentages
+    ]
+    return sketches.select(
+        "bucket",
+        "name",
+        "kind",
+        "samples",
+        F.when(timed, F.col("least")).alias("least"),
+        F.when(timed, F.col("greatest")).alias("greatest"),
+        F.when(timed, F.col("total") / F.col("samples")).alias("mean"),
+        *picks,
+        F.when(~timed, F.hll_sketch_estimate("sketch")).alias("unique"),
+    )
+
+
 def metric_lines(df: DataFrame) -> DataFrame:
     """KEY:VALUE|TYPE, and |@RATE for a sampled metric, in column `line`."""
     sampled = F.when(F.col("rate") < 1, F.concat(F.lit("|@"), F.col("rate").cast("string")))

@@ -1,18 +1,24 @@
-"""k-means models of normal activity, and the anomaly rule.
+"""Models of normal activity, and the anomaly rule.
 
-A model is a set of one-dimensional centres per channel and week.
+A model is a set of one-dimensional centres per channel and ISO week: the counts per minute
+of the week in at most k clusters.
 """
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+from collections.abc import Iterable, Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from editflow.operators.counts import week_cells, weekly_minute_counts
-from editflow.operators.filters import filter_week
+from editflow.functions.calendar import iso_year
+from editflow.functions.clusters import best_clusters
+from editflow.operators.counts import GRAINS
+from editflow.operators.filters import filter_channel, filter_week
 from editflow.operators.joins import nearest_centroid
 from editflow.schema import MODEL
-from editflow.session import checkpoint_root
+from editflow.session import materialize, scratch_path, scratch_scope
 
 # Clusters per model, convergence tolerance, anomaly tolerance.
 CLUSTERS = 55
@@ -20,12 +26,44 @@ TOLERANCE = 1e-6
 EPSILON = 0.05
 
 
-def _centres(cells: DataFrame, k: int, tol: float, seed: int) -> list[float]:
-    """Centres of the column n, in order. Equal counts go in once, weighted by their number."""
-    weighted = cells.groupBy("n").agg(F.count("*").cast("double").alias("weight"))
-    points = VectorAssembler(inputCols=["n"], outputCol="features").transform(weighted)
-    trained = KMeans(k=k, tol=tol, seed=seed, weightCol="weight").fit(points)
-    return sorted(float(centre[0]) for centre in trained.clusterCenters())
+def _histogram(df: DataFrame, week: int, grain: str, year: int | None) -> DataFrame:
+    """channel, n, cells: how many cells of the week hold n edits, in the newest year that has the week."""
+    cells = filter_week(df, week, year).groupBy("channel", iso_year().alias("iso_year"), *GRAINS[grain])
+    counted = cells.agg(F.count("*").alias("n")).groupBy("channel", "iso_year", "n")
+    counted = materialize(counted.agg(F.count("*").alias("cells")), "histogram")
+    newest = counted.select(F.max("iso_year")).scalar() if year is None else F.lit(year)
+    return counted.where(F.col("iso_year") == newest)
+
+
+def _best_rows(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        channel, year, cells = [], [], []
+        for name, iso, points in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            values = np.array([p["n"] for p in points], np.int64)
+            centres = best_clusters(values, np.array([p["cells"] for p in points], np.int64), k)
+            cells += list(enumerate(centres))
+            channel += [name] * len(centres)
+            year += [iso] * len(centres)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(channel, pa.string()),
+                pa.array(year, pa.int32()),
+                pa.array([i for i, _ in cells], pa.int32()),
+                pa.array([c for _, c in cells], pa.float64()),
+            ],
+            ["channel", "year", "cluster", "centre"],
+        )
+
+
+def _best(histogram: DataFrame, k: int) -> DataFrame:
+    """Best clusters of every channel at once. A channel's distinct counts are one row.
+
+    A cell of the week is one count, so the list has at most 7 * 1440 entries.
+    """
+    lists = histogram.groupBy("channel", F.col("iso_year").cast("int").alias("year")).agg(
+        F.sort_array(F.collect_list(F.struct("n", "cells"))).alias("points")
+    )
+    return lists.mapInArrow(partial(_best_rows, k=k), "channel string, year int, cluster int, centre double")
 
 
 def fit_channel_model(
@@ -33,17 +71,31 @@ def fit_channel_model(
     channel: str,
     week: int,
     k: int = CLUSTERS,
-    tol: float = TOLERANCE,
-    seed: int = 0,
     grain: str = "minute",
+    year: int | None = None,
 ) -> DataFrame:
-    """Model of one channel and week of an edit table with calendar columns."""
-    cells = weekly_minute_counts(df, channel, week, grain)
-    rows = [(channel, week, i, c) for i, c in enumerate(_centres(cells, k, tol, seed))]
-    return df.sparkSession.createDataFrame(rows, MODEL)
+    """Model of one channel and ISO week of an edit table with calendar columns."""
+    return fit_all_models(filter_channel(df, channel), week, k, grain, year)
 
 
 def fit_all_models(
+    df: DataFrame,
+    week: int,
+    k: int = CLUSTERS,
+    grain: str = "minute",
+    year: int | None = None,
+) -> DataFrame:
+    """Models of all channels of an ISO week at once: the k clusters with the least squared distance.
+
+    Without an ISO year, the newest one counts in which the week has edits. The edits are
+    reduced to (channel, count, number of cells) in one pass. Within a channel the best
+    clusters are found exactly, see `best_clusters`; channels go to different tasks.
+    """
+    found = _best(_histogram(df, week, grain, year), k)
+    return found.select("channel", "year", F.lit(week).cast("int").alias("week"), "cluster", "centre")
+
+
+def fit_models_stepwise(
     df: DataFrame,
     week: int,
     k: int = CLUSTERS,
@@ -52,98 +104,91 @@ def fit_all_models(
     grain: str = "minute",
     year: int | None = None,
 ) -> DataFrame:
-    """Models of all channels of a week at once, by Lloyd's iterations.
+    """The same by Lloyd's iterations, which may end in clusters that are not the best ones.
 
-    The edits are reduced to (channel, count, number of cells) in one pass, at most
-    one row per cell of the week and channel; the iterations run on that. The start
-    is deterministic: evenly spaced ranks among a channel's distinct counts. A
-    cluster without members keeps its centre.
+    The start is deterministic: evenly spaced ranks among a channel's distinct counts. A
+    cluster without members keeps its centre. Stops when no centre moves by more than `tol`.
     """
-    checkpoint_root(df.sparkSession)
-    histogram = (
-        week_cells(filter_week(df, week, year), grain)
-        .groupBy("channel", "n")
-        .agg(F.count("*").alias("cells"))
-        .checkpoint()
-    )
+    spark = df.sparkSession
+    histogram = _histogram(df, week, grain, year)
     values = F.sort_array(F.collect_set("n"))
     ranks = F.transform(
         F.sequence(F.lit(0), F.lit(k - 1)),
         lambda j: F.floor(j * (F.size("_values") - 1) / F.lit(max(k - 1, 1))).cast("int"),
     )
-    centres = (
-        histogram.groupBy("channel")
+    spaced = F.transform(ranks, lambda r: F.get("_values", r).cast("double"))
+    centres = materialize(
+        histogram.groupBy("channel", F.col("iso_year").cast("int").alias("year"))
         .agg(values.alias("_values"))
-        .select(
-            "channel",
-            F.array_distinct(F.transform(ranks, lambda r: F.get("_values", r).cast("double"))).alias(
-                "centres"
-            ),
-        )
-        .checkpoint()
+        .select("channel", "year", F.array_distinct(spaced).alias("centres")),
+        "centres",
     )
-    nearest = F.array_min(
-        F.transform("centres", lambda c, i: F.struct(F.abs(F.col("n") - c), i.alias("cluster")))
-    )
-    for _ in range(iterations):
-        means = (
-            histogram.join(centres, "channel")
-            .groupBy("channel", nearest["cluster"].alias("cluster"))
-            .agg((F.sum(F.col("n") * F.col("cells")) / F.sum("cells")).alias("mean"))
-            .groupBy("channel")
-            .agg(F.map_from_entries(F.collect_list(F.struct("cluster", "mean"))).alias("_means"))
-        )
-        moved = F.transform(
-            "centres", lambda c, i: F.coalesce(F.try_element_at("_means", i), c)
-        )
-        shifts = F.zip_with("centres", "_moved", lambda old, new: F.abs(new - old))
-        stepped = (
-            centres.join(means, "channel")
-            .withColumn("_moved", moved)
-            .select("channel", F.col("_moved").alias("centres"), F.array_max(shifts).alias("_shift"))
-            .checkpoint()
-        )
-        centres = stepped.drop("_shift")
-        if (stepped.agg(F.max("_shift")).first()[0] or 0.0) <= tol:
-            break
-    return centres.select(
+    final = scratch_path(spark, "centres")
+    with scratch_scope(spark):  # the steps' tables go when the last one is stored
+        for _ in range(iterations):
+            stepped = materialize(_step(histogram, centres), "step")
+            centres = stepped.drop("_shift")
+            if (stepped.agg(F.max("_shift")).first()[0] or 0.0) <= tol:
+                break
+        centres.write.parquet(final)
+    return spark.read.schema(centres.schema).parquet(final).select(
         "channel",
+        "year",
         F.lit(week).cast("int").alias("week"),
         F.posexplode("centres").alias("cluster", "centre"),
     )
 
 
+def _step(histogram: DataFrame, centres: DataFrame) -> DataFrame:
+    """centres moved to the means of their clusters, and by how much at most."""
+    nearest = F.array_min(
+        F.transform("centres", lambda c, i: F.struct(F.abs(F.col("n") - c), i.alias("cluster")))
+    )
+    means = (
+        histogram.join(centres, "channel")
+        .groupBy("channel", nearest["cluster"].alias("cluster"))
+        .agg((F.sum(F.col("n") * F.col("cells")) / F.sum("cells")).alias("mean"))
+        .groupBy("channel")
+        .agg(F.map_from_entries(F.collect_list(F.struct("cluster", "mean"))).alias("_means"))
+    )
+    moved = F.transform("centres", lambda c, i: F.coalesce(F.try_element_at("_means", i), c))
+    shifts = F.zip_with("centres", "_moved", lambda old, new: F.abs(new - old))
+    stepped = centres.join(means, "channel").withColumn("_moved", moved)
+    return stepped.select(
+        "channel", "year", F.col("_moved").alias("centres"), F.array_max(shifts).alias("_shift")
+    )
+
+
 def score_distance(df: DataFrame, value: str = "n") -> DataFrame:
     """Distance of each value to its centre."""
     return df.withColumn("distance", F.abs(F.col(value) - F.col("centre")))
 
 
 def clustering_score(
-    df: DataFrame,
-    models: DataFrame | None = None,
-    k: int | None = None,
-    seed: int = 0,
+    df: DataFrame, models: DataFrame | None = None, k: int | None = None
 ) -> DataFrame:
     """Mean distance of the counts to their nearest centre, per channel.
 
-    Without models, the counts are taken as one series and k centres are fitted.
+    Without models, the counts are taken as one series and the best k centres are fitted.
     """
     if models is None:
-        centres = _centres(df, k, TOLERANCE, seed)
-        rows = [("all", 0, i, c) for i, c in enumerate(centres)]
-        models = df.sparkSession.createDataFrame(rows, MODEL)
         df = df.select(F.lit("all").alias("channel"), F.lit(0).alias("bucket"), "n")
+        points = df.groupBy("channel", "n").agg(F.count("*").alias("cells"))
+        models = _best(points.withColumn("iso_year", F.lit(0)), k)
+        models = models.withColumn("week", F.lit(0)).select(*MODEL.fieldNames())
     elif "bucket" not in df.columns:
         df = df.withColumn("bucket", F.xxhash64(*df.columns))
     scored = nearest_centroid(df, models)
     return scored.groupBy("channel").agg(F.avg("distance").alias("score"))
 
 
-def detect_anomalies(counts: DataFrame, models: DataFrame, eps: float = EPSILON) -> DataFrame:
+def detect_anomalies(
+    counts: DataFrame, models: DataFrame, eps: float = EPSILON, when: str = "newest"
+) -> DataFrame:
     """Anomaly iff the distance is greater than the centre's share `eps`.
 
-    Fill empty intervals before scoring: a count of 0 is an anomaly wherever its
-    nearest centre is positive.
+    `when` chooses among several models of a channel, see `attach_model`. Fill empty
+    intervals before scoring: a count of 0 is an anomaly wherever its nearest centre is positive.
     """
-    scored = nearest_centroid(counts, models)
+    scored = nearest_centroid(counts, models, when=when)
     return scored.withColumn("is_anomaly", F.col("centre") * F.lit(eps) < F.col("distance"))

@@ -9,9 +9,9 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editflow.operators.counts import count_by_channel, with_totals
+from editflow.operators.counts import count_by_channel
 from editflow.operators.joins import route_edits
-from editflow.operators.models import CLUSTERS, EPSILON, TOLERANCE, detect_anomalies, fit_all_models
+from editflow.operators.models import CLUSTERS, EPSILON, detect_anomalies, fit_all_models
 from editflow.operators.parse import (
     assign_id,
     calendar_fields,
@@ -35,6 +35,7 @@ from editflow.streaming.sinks import (
     stream_score,
     stream_store,
 )
+from editflow.streaming.stateful import stream_tallies
 
 
 # How long an interval waits for edits that come out of order.
@@ -66,13 +67,16 @@ def store(
     codec="json",
     once=False,
     on_conflict: str = "keep",
+    totals: str | None = None,
 ):
-    """The bus to the stored table.
+    """The bus to the stored table; `totals` gets the number of stored edits after each batch.
 
     Ids are made of the content, so a redelivered edit doesn't differ from the stored
     one, and no day is rewritten for it; on_conflict='replace' rewrites.
     """
-    return stream_store(read_bus(spark, bus), table, checkpoint, codec, once, on_conflict)
+    return stream_store(
+        read_bus(spark, bus), table, checkpoint, codec, once, on_conflict, totals=totals
+    )
 
 
 def count(
@@ -87,16 +91,16 @@ def count(
 ):
     """Counts per interval of every channel and of all messages, as metric rows.
 
-    An error in the store stops the query, and the batch is run again.
-    `dropped_late` of the query gives the edits that came after their interval closed.
+    Empty intervals are reported, too. Edits that come after their interval was reported are
+    rows of their own, which a counter adds up. An error in the store stops the query, and
+    the batch is run again.
     """
     write = batch_folder(path)
 
     def flush(batch: DataFrame, batch_id: int) -> None:
-        # The counts of one interval close together, so its total is complete.
-        write(metric_rows(with_totals(materialize(batch, "counts"))), batch_id)
+        write(metric_rows(batch), batch_id)
 
-    counts = stream_counts(_edits(spark, bus, codec), interval, watermark)
+    counts = stream_tallies(_edits(spark, bus, codec), interval, watermark, totals=True)
     return start(counts, flush, checkpoint, once)
 
 
@@ -110,10 +114,13 @@ def train(
     k: int = CLUSTERS,
     grain: str = "minute",
 ) -> None:
-    """Fit and save the models of one ISO week, for one channel or all."""
-    columns = ["channel", "year", "week", "weekday", "hour", "day_minute"]
+    """Fit and save the models of one ISO week, for one channel or all.
+
+    Without an ISO year, the newest one counts in which the week has edits.
+    """
+    columns = ["channel", "year", "month", "week", "weekday", "hour", "day_minute"]
     edits = read_edits(spark, table, channel, week, columns, year)
-    save_models(fit_all_models(edits, week, k, grain=grain, year=year), model_path)
+    save_models(fit_all_models(edits, week, k, grain, year), model_path)
 
 
 def score(
@@ -156,12 +163,10 @@ def feed(
 def train_and_score(
     lines: DataFrame,
     week: int,
-    k: int,
-    iterations: int = 20,
+    k: int = CLUSTERS,
     interval: str = "1 hour",
     grain: str = "hour",
     eps: float = EPSILON,
-    tol: float = TOLERANCE,
     year: int | None = None,
 ) -> DataFrame:
     """Learn normal activity from one ISO week and score the intervals after it, in one batch.
@@ -176,7 +181,7 @@ def train_and_score(
         begin = datetime.date.max - datetime.timedelta(days=7)
     end = F.lit(begin + datetime.timedelta(days=7)).cast("timestamp")
     trained = edits.where((F.col("ts") >= F.lit(begin).cast("timestamp")) & (F.col("ts") < end))
-    models = fit_all_models(calendar_fields(trained), week, k, iterations, tol, grain)
+    models = fit_all_models(calendar_fields(trained), week, k, grain)
     counts = zero_fill(count_by_channel(edits, interval), interval)
     return detect_anomalies(counts.where(F.col("bucket") >= end), models, eps)
 

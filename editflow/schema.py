@@ -60,9 +60,16 @@ BUS = T.StructType(
     [T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType())]
 )
 
+# Frames as they are read: where they lie on the bus tells the order in which they came.
+FRAMES = T.StructType(
+    BUS.fields + [T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())]
+)
+
+# Year and week are those of ISO 8601: days around New Year may belong to the other year's weeks.
 MODEL = T.StructType(
     [
         T.StructField("channel", T.StringType()),
+        T.StructField("year", T.IntegerType()),
         T.StructField("week", T.IntegerType()),
         T.StructField("cluster", T.IntegerType()),
         T.StructField("centre", T.DoubleType()),

@@ -5,6 +5,7 @@ import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Calendar fields are read in UTC; skewed joins are split and small partitions
@@ -23,6 +24,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keep_state_in_rocksdb(spark: SparkSession) -> None:
+    """Operators with a state of their own need this store; streams started from here on use it."""
+    spark.conf.set(STATE_STORE, ROCKSDB)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 
@@ -64,6 +74,42 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(found.getPath()) for found in file_system.globStatus(jvm_path) or [])
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    file_system, jvm_path = _file_system(spark, path)
+    stream = file_system.open(jvm_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole, unless the path exists; whether this call made it.
+
+    The text is written beside the path and renamed without overwriting. On a file system
+    that renames atomically, such as HDFS, exactly one of several writers succeeds.
+    """
+    draft = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+    file_system, jvm_path = _file_system(spark, draft)
+    stream = file_system.create(jvm_path, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(jvm_path.toUri(), spark._jsc.hadoopConfiguration())
+    modes = getattr(hadoop, "Options$Rename")
+    never = spark.sparkContext._gateway.new_array(modes, 1)
+    never[0] = modes.NONE
+    try:
+        context.rename(context.makeQualified(jvm_path), context.makeQualified(hadoop.Path(path)), never)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        file_system.delete(jvm_path, False)
+        return False
+    return True
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     file_system, jvm_path = _file_system(spark, path)
     file_system.delete(jvm_path, True)

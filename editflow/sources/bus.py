@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from editflow.functions.generate import once
 from editflow.functions.text import flags_to_text, iso_millis
 from editflow.operators.parse import normalize_edits
-from editflow.schema import BUS, WIRE, WIRE_FIELDS
+from editflow.schema import FRAMES, WIRE, WIRE_FIELDS
 
 AVRO_SCHEMA = json.dumps(
     {
@@ -59,11 +59,12 @@ def decode_bus(df: DataFrame, codec: str = "json") -> DataFrame:
 
 
 def read_bus(spark: SparkSession, options: dict[str, str], start: str = "committed") -> DataFrame:
-    """Stream of frames. A restarted query goes on from its checkpoint.
+    """Stream of frames with their partition and offset. A restarted query goes on from its checkpoint.
 
     start='committed' begins a new query with all that the topic holds,
     start='latest' with what comes next. `format` in the options names another
-    source of (key, value), such as a folder of Parquet files.
+    source of (key, value), such as a folder of Parquet files; partition and offset are null
+    where it has none.
     """
     options = dict(options)
     source = options.pop("format", "kafka")
@@ -72,8 +73,8 @@ def read_bus(spark: SparkSession, options: dict[str, str], start: str = "committ
         reader = spark.readStream.format("kafka").option("startingOffsets", first)
         frames = reader.options(**options).load()
     else:
-        frames = spark.readStream.format(source).schema(BUS).options(**options).load()
-    return frames.select("key", "value")
+        frames = spark.readStream.format(source).schema(FRAMES).options(**options).load()
+    return frames.select("key", "value", "partition", "offset")
 
 
 def write_bus(df: DataFrame, options: dict[str, str]):

@@ -1,33 +1,17 @@
-"""The stored edit table: Parquet, partitioned by calendar, one row per key."""
+"""The stored edit table: Parquet, partitioned by calendar, one row per key, under a log of versions."""
 
-import datetime
 import functools
-import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from editflow.functions.calendar import iso_year, months_of_week
 from editflow.operators.filters import filter_channel, filter_week
 from editflow.operators.parse import calendar_fields
 from editflow.operators.series import clustering_order
 from editflow.schema import STORED, STORED_KEY, STORED_PARTITIONS
-from editflow.session import list_paths, materialize, remove_path, scratch_scope
-
-
-@functools.cache
-def _months_of_week(week: int, year: int | None) -> list[int]:
-    """Calendar months in which days of an ISO week number can lie."""
-    # The calendar repeats after 400 years, so these years hold every case.
-    years = range(2000, 2400) if year is None else [year]
-    months = set()
-    for y in years:
-        day = datetime.date(y, 1, 1)
-        while day.year == y:
-            if day.isocalendar().week == week:
-                months.add(day.month)
-            day += datetime.timedelta(days=1)
-    return sorted(months)
+from editflow.session import materialize, scratch_scope
+from editflow.sources import log
 
 
 def read_edits(
@@ -37,117 +21,151 @@ def read_edits(
     week: int | None = None,
     columns: list[str] | None = None,
     year: int | None = None,
+    version: int | None = None,
 ) -> DataFrame:
-    """Scan of the stored table.
+    """Scan of the stored table, as of its newest version or an older one that is kept.
 
-    The channel and week filters reach the Parquet reader; the week also limits
-    the months, and so the folders, that are read.
+    The files are chosen here, so later writes don't change what is read. `year` is an ISO
+    year. The channel and week filters reach the Parquet reader; week and
+    year also limit the folders that are read.
     """
-    edits = spark.read.schema(STORED).parquet(path)
+    folders = F.lit(True)
+    if year is not None:
+        folders = _folders(year, week)
+    elif week is not None:
+        folders = F.col("month").isin(_months(week))
+    found = log.latest(spark, path) if version is None else log.at_version(spark, path, version)
+    if found.number < 0:
+        edits = spark.read.schema(STORED).parquet(path)
+    else:
+        names = log.names_of(log.files(spark, path, found).where(folders))
+        edits = log.read_files(spark, path, names).drop("_file")
+    edits = edits.where(folders)
     if year is not None:
-        edits = edits.where(F.col("year") == year)
+        edits = edits.where(iso_year() == year)
     if week is not None:
-        months = _months_of_week(week, year)
-        edits = filter_week(edits.where(F.col("month").isin(months)), week)
+        edits = filter_week(edits, week)
     if channel is not None:
         edits = filter_channel(edits, channel)
     return edits if columns is None else edits.select(*columns)
 
 
-def get_by_id(df: DataFrame, edit_id: str) -> DataFrame:
-    return df.where(F.col("id") == edit_id).limit(1)
+def _folders(year: int, week: int | None) -> Column:
+    """Filter on the years and months that hold days of an ISO year, or of a week of it."""
+    if week is None:
+        return F.col("year").between(year - 1, year + 1)
+    return functools.reduce(
+        lambda a, b: a | b,
+        [(F.col("year") == y) & (F.col("month") == m) for y, m in months_of_week(year, week)],
+        F.lit(False),
+    )
 
 
-def latest_per_key(df: DataFrame) -> DataFrame:
-    """The newest row of each key. Spark drops older copies in each task before the shuffle."""
-    rest = [c for c in df.columns if c not in STORED_KEY and c != "ts"]
-    newest = Window.partitionBy(*STORED_KEY).orderBy(F.desc("ts"), *[F.desc(c) for c in rest])
-    return df.withColumn("_copy", F.row_number().over(newest)).where("_copy = 1").drop("_copy")
+@functools.cache
+def _months(week: int) -> list[int]:
+    """Calendar months in which days of an ISO week number can lie, in any year."""
+    # The calendar repeats after 400 years, so these years hold every case.
+    return sorted({month for year in range(2000, 2400) for _, month in months_of_week(year, week)})
 
 
-def write_edits(df: DataFrame, path: str, wall: str = "utc", on_conflict: str = "replace") -> None:
-    """Store typed edits; an equal key overwrites.
+def get_by_id(df: DataFrame, edit_id: str) -> DataFrame:
+    return df.where(F.col("id") == edit_id).limit(1)
 
-    Folders without a stored key of the batch are only added to. A folder that
-    holds such a key is rewritten from a copy made beside the table; with
-    on_conflict='keep' the stored row stays and nothing is rewritten. `keep` is
-    the same as `replace` for redelivered edits, which do not differ.
 
-    The copy stays beside the table until the rewrite is through. If it fails half-way,
-    the next write completes it first.
-    """
-    recover(df.sparkSession, path)
-    rows = latest_per_key(calendar_fields(df, wall).select(*STORED.fieldNames()))
-    try:
-        table = df.sparkSession.read.schema(STORED).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        _write(rows, path, "append")
-        return
-    with scratch_scope(df.sparkSession):
-        _upsert(materialize(rows, "batch"), table, path, on_conflict)
+def find_edit(spark: SparkSession, path: str, edit_id: str) -> DataFrame:
+    """The stored rows with an id. Only files are opened whose filter says that they may hold it."""
+    live = log.files(spark, path, log.latest(spark, path))
+    names = log.names_of(live.where(log.may_hold(F.lit(edit_id), F.col("bloom"))))
+    return log.read_files(spark, path, names).drop("_file").where(F.col("id") == edit_id)
 
 
-# Readers of the table pass over names that begin so.
-_PENDING = "_pending-"
+def stored_total(spark: SparkSession, path: str) -> DataFrame:
+    """Number of stored edits, from the manifest alone."""
+    live = log.files(spark, path, log.latest(spark, path))
+    return live.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
 
 
-def recover(spark: SparkSession, path: str) -> None:
-    """Put complete copies of rewritten days into the table, and remove incomplete ones.
+def latest_per_key(df: DataFrame) -> DataFrame:
+    """The last row of each key. Spark drops earlier copies in each task before the shuffle.
 
-    A copy is written before the table is touched, so an incomplete one means that the
-    table still has the days as they were.
+    Frames of a bus have an `offset`: rows of one key come from one partition of the bus, so
+    the greatest offset came last. Rows without one go by their timestamp.
     """
-    for copy in list_paths(spark, f"{path}/{_PENDING}*"):
-        if list_paths(spark, f"{copy}/_SUCCESS"):
-            _write(spark.read.schema(STORED).parquet(copy), path, "overwrite")
-        remove_path(spark, copy)
-
-
-def _upsert(batch: DataFrame, table: DataFrame, path: str, on_conflict: str) -> None:
-    # At most one row per calendar day of the batch.
-    spans = batch.groupBy(*STORED_PARTITIONS).agg(F.min("time"), F.max("time")).collect()
-    if not spans:
-        return
-    days = [tuple(span)[:3] for span in spans]
-    first, last = min(span[3] for span in spans), max(span[4] for span in spans)
-    # Files are sorted by time, so a batch of some minutes meets few row groups.
-    known = (
-        table.where(_in_days(days))
-        .where(F.col("time").between(first, last))
-        .select(*STORED_KEY)
-        .join(batch.select(*STORED_KEY), STORED_KEY, "left_semi")
-    )
-    if on_conflict == "keep":
-        _write(batch.join(known, STORED_KEY, "left_anti"), path, "append")
-        return
-    conflicts = [tuple(row) for row in known.select(*STORED_PARTITIONS).distinct().collect()]
-    if conflicts:
-        held = table.where(_in_days(conflicts)).join(
-            batch.select(*STORED_KEY), STORED_KEY, "left_anti"
-        )
-        merged = held.unionByName(batch.where(_in_days(conflicts)))
-        # The writer marks the copy as complete when all of it is there.
-        merged.write.parquet(f"{path}/{_PENDING}{uuid.uuid4().hex}")
-        recover(batch.sparkSession, path)
-    fresh = [day for day in days if day not in conflicts]
-    if fresh:
-        _write(batch.where(_in_days(fresh)), path, "append")
-
-
-def _in_days(days: list[tuple[int, int, int]]):
-    """Filter on the folders of the days, by month so that it stays short."""
-    by_month: dict[tuple[int, int], list[int]] = {}
-    for year, month, day in days:
-        by_month.setdefault((year, month), []).append(day)
-    parts = [
-        (F.col("year") == year) & (F.col("month") == month) & F.col("day").isin(sorted(listed))
-        for (year, month), listed in sorted(by_month.items())
-    ]
-    return functools.reduce(lambda a, b: a | b, parts)
-
-
-def _write(df: DataFrame, path: str, mode: str) -> None:
-    writer = clustering_order(df).write.mode(mode).partitionBy(*STORED_PARTITIONS)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    arrival = [F.desc_nulls_last("offset")] if "offset" in df.columns else []
+    rest = [c for c in STORED.fieldNames() if c not in STORED_KEY and c != "ts"]
+    newest = Window.partitionBy(*STORED_KEY).orderBy(*arrival, F.desc("ts"), *[F.desc(c) for c in rest])
+    last = df.withColumn("_copy", F.row_number().over(newest)).where("_copy = 1")
+    return last.select(*STORED.fieldNames())
+
+
+def write_edits(
+    df: DataFrame,
+    path: str,
+    wall: str = "utc",
+    on_conflict: str = "replace",
+    batch: tuple[str, int] | None = None,
+) -> None:
+    """Store typed edits; an equal key overwrites, see `latest_per_key` for keys that repeat in df.
+
+    New rows go to new files. With on_conflict='replace', files that hold one of the keys are
+    written anew without it; with 'keep' the stored row stays and nothing is rewritten. `keep`
+    is the same as `replace` for redelivered edits, which do not differ. Files that can't hold
+    a key are not opened.
+
+    All of it becomes visible at once, as the table's next version. If another writer made
+    one meanwhile, the work is done again on top of it. `batch` names a stream and numbers its
+    batch: one that the table has already is passed over.
+    """
+    spark = df.sparkSession
+    with scratch_scope(spark):
+        rows = materialize(latest_per_key(calendar_fields(df, wall)), "batch")
+        if rows.isEmpty():
+            return
+        for _ in range(log.TRIES):
+            base = log.adopt(spark, path)
+            if batch is not None and _applied(base, batch):
+                return
+            if _upsert(rows, path, base, on_conflict, batch):
+                return
+    raise log.Conflict(f"{path}: {log.TRIES} versions were made by others meanwhile")
+
+
+def _applied(base: log.Version, batch: tuple[str, int]) -> bool:
+    return batch[0] in base.applied and base.applied[batch[0]][0] >= batch[1]
+
+
+def first_deliveries(
+    df: DataFrame, path: str, batch: tuple[str, int], wall: str = "utc"
+) -> tuple[DataFrame, bool]:
+    """Store edits; those that the table did not have before, and whether the batch is run again.
+
+    A batch that is run again gives the same rows as before. So whatever is fed with these
+    rows gets each edit once, however long ago its first delivery was.
+    """
+    spark = df.sparkSession
+    again = _applied(log.latest(spark, path), batch)
+    if not again:
+        write_edits(df, path, wall, "keep", batch)
+    done = log.latest(spark, path).applied.get(batch[0])
+    if done is None or done[0] != batch[1]:  # a batch without edits makes no version
+        return spark.createDataFrame([], STORED), again
+    return log.read_folder(spark, path, done[1]), again
+
+
+def _upsert(
+    rows: DataFrame, path: str, base: log.Version, on_conflict: str, batch: tuple[str, int] | None
+) -> bool:
+    """Whether the rows became the table's next version."""
+    spark, keys = rows.sparkSession, rows.select(*STORED_KEY)
+    names = log.holding(keys, log.files(spark, path, base)) if base.segments else []
+    held = log.read_files(spark, path, names)
+    removed: list[str] = []
+    if names and on_conflict == "keep":
+        rows = rows.join(held.select(*STORED_KEY), STORED_KEY, "left_anti")
+    elif names:
+        removed = log.names_of(held.join(keys, STORED_KEY, "left_semi").select(F.col("_file").alias("file")).distinct())
+        rest = log.read_files(spark, path, removed).drop("_file").join(keys, STORED_KEY, "left_anti")
+        rows = rest.unionByName(rows)
+    folder = log.add_files(clustering_order(rows), path)
+    applied = {batch[0]: (batch[1], folder)} if batch else None
+    return log.commit(spark, path, base, f"{folder}/*/*/*/*.parquet", removed, applied) is not None

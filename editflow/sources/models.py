@@ -8,10 +8,10 @@ from editflow.schema import MODEL
 
 
 def save_models(df: DataFrame, path: str) -> None:
-    """Store models by week and channel; a model that is saved again replaces the old one."""
-    writer = df.select(*MODEL.fieldNames()).repartition("week", "channel").write
+    """Store models by ISO year, week and channel; a model that is saved again replaces the old one."""
+    writer = df.select(*MODEL.fieldNames()).repartition("year", "week", "channel").write
     writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("week", "channel").parquet(path)
+    writer.partitionBy("year", "week", "channel").parquet(path)
 
 
 def load_models(spark: SparkSession, path: str) -> DataFrame:

@@ -4,20 +4,21 @@ A batch that is run again after a failure writes the same result: batches go to
 folders of their own, or through the upsert.
 """
 
+import json
 import logging
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editflow.operators.counts import anomaly_counts
+from editflow.operators.counts import anomaly_counts, count_by_channel, with_totals
 from editflow.operators.models import EPSILON, detect_anomalies
-from editflow.operators.parse import split_rejects
+from editflow.operators.parse import edit_from_row, split_rejects
 from editflow.operators.series import zero_fill
-from editflow.session import materialize, remove_path, scratch_scope
+from editflow.session import list_paths, materialize, read_text, remove_path, scratch_scope
 from editflow.sources.bus import decode_bus, encode_bus
-from editflow.sources.edits import write_edits
+from editflow.sources.edits import first_deliveries, stored_total, write_edits
+from editflow.sources.log import compact
 from editflow.sources.models import metric_rows
 
 log = logging.getLogger(__name__)
@@ -70,16 +71,35 @@ def stream_store(
     codec: str = "json",
     once: bool = False,
     on_conflict: str = "replace",
+    compact_every: int = 16,
+    totals: str | None = None,
 ):
-    """Decode frames and upsert them; offsets are committed after the store."""
+    """Decode frames and upsert them; offsets are committed after the store.
+
+    The table knows the last batch of each query, so a batch that is run again is passed
+    over. Every so many batches, small files are merged (0: never). `totals` gets the number
+    of stored edits after each batch, as counter rows.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         good, _ = split_rejects(decode_bus(batch, codec))
-        write_edits(good, path, on_conflict=on_conflict)
+        write_edits(good, path, on_conflict=on_conflict, batch=(query_of(spark, checkpoint), batch_id))
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(spark, path)
+        if totals is not None:
+            now = F.current_timestamp().alias("bucket")
+            total = stored_total(spark, path).select(now, F.lit("inserted").alias("name"), "n")
+            batch_folder(totals)(metric_rows(total), batch_id)
 
     return start(stream, store, checkpoint, once)
 
 
+def query_of(spark: SparkSession, checkpoint: str) -> str:
+    """The identity of the query that a checkpoint belongs to, whatever is started from it."""
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
 def stream_ingest(
     edits: DataFrame,
     bus: Sink,
@@ -87,16 +107,66 @@ def stream_ingest(
     counts: Sink | None = None,
     codec: str = "json",
     once: bool = False,
+    journal: str | None = None,
+    published: Callable[[], DataFrame] | None = None,
 ):
-    """Typed edits with `_ok` to the bus; rejects are counted but not published."""
+    """Typed edits with `_ok` to the bus; rejects are counted but not published.
+
+    With a journal (the path of an edit table) an edit is published once, however often it
+    comes and however late. A batch that failed after a part of it was published is run
+    again: `published` reads the frames that are on the bus, and the rest goes out. Without
+    `published`, such a batch goes out whole; a sink that replaces a batch's frames needs none.
+    """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         good, _ = split_rejects(batch)
-        bus(encode_bus(good, codec), batch_id)
+        if journal is None:
+            bus(encode_bus(good, codec), batch_id)
+            return
+        spark = batch.sparkSession
+        new, again = first_deliveries(good, journal, (query_of(spark, checkpoint), batch_id))
+        frames = encode_bus(edit_from_row(new), codec)
+        if again and published is not None:
+            sent = published().select(_digest().alias("_digest")).distinct()
+            frames = frames.withColumn("_digest", _digest()).join(sent, "_digest", "left_anti").drop("_digest")
+        bus(frames, batch_id)
 
     return fan_out(edits, [publish] + ([counts] if counts else []), checkpoint, once)
 
 
+def _digest() -> Column:
+    return F.md5(F.concat(F.coalesce("key", F.lit(b"")), F.lit(b"|"), "value"))
+
+
+def count_sink(path: str, interval: str = "10 seconds") -> Sink:
+    """A sink that writes what a batch adds to the counts of each interval, channel and of all.
+
+    Sums over the batches are the counts. Nothing waits for a watermark, so no edit is late;
+    fed with first deliveries, no edit counts twice.
+    """
+    write = batch_folder(path)
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        write(with_totals(materialize(count_by_channel(batch, interval), "counts")), batch_id)
+
+    return count
+
+
+def stream_once(
+    stream: DataFrame, path: str, checkpoint: str, sinks: list[Sink], codec: str = "json", once: bool = False
+):
+    """Decode frames, store them, and feed the sinks with the edits that are new to the table."""
+
+    def feed(batch: DataFrame, batch_id: int) -> None:
+        good, _ = split_rejects(decode_bus(batch, codec))
+        query = query_of(batch.sparkSession, checkpoint)
+        new, _ = first_deliveries(good, path, (query, batch_id))
+        for sink in sinks:
+            sink(new, batch_id)
+
+    return start(stream, feed, checkpoint, once)
+
+
 def stream_score(
     counts: DataFrame,
     models: DataFrame | Callable[[], DataFrame],
@@ -120,10 +190,10 @@ def stream_score(
         batch = materialize(batch, "closed")
         if batch.isEmpty():
             return
-        states = _states(spark, f"{path}/state", before=batch_id)
+        states = states_before(spark, f"{path}/state", batch_id)
         rows = batch.select("bucket", "channel", "n")
         if states:
-            seen = spark.read.parquet(f"{path}/state/batch={states[-1]}")
+            seen = spark.read.parquet(states[-1])
             marks = seen.select("bucket", "channel", F.lit(0).cast("bigint").alias("n"))
             done = seen.withColumnRenamed("bucket", "_done")
             new = F.col("_done").isNull() | (F.col("bucket") > F.col("_done"))
@@ -140,20 +210,15 @@ def stream_score(
         reached.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
         # The state before this one is needed if this batch is run again.
         for old in states[:-1]:
-            remove_path(spark, f"{path}/state/batch={old}")
+            remove_path(spark, old)
 
     return start(counts, score, checkpoint, once)
 
 
-def _states(spark, path: str, before: int) -> list[int]:
-    """Numbers of the batches whose state is stored, in order; two at most."""
-    try:
-        listed = spark.read.parquet(path).select("batch").distinct().collect()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
-    return sorted(row.batch for row in listed if row.batch < before)
+def states_before(spark: SparkSession, path: str, batch_id: int) -> list[str]:
+    """Folders of the states that batches before this one stored, in order; two at most."""
+    listed = {int(found.rpartition("=")[2]): found for found in list_paths(spark, f"{path}/batch=*")}
+    return [listed[number] for number in sorted(listed) if number < batch_id]
 
 
 def on_flush(stream: DataFrame, fn: Sink, checkpoint: str, once: bool = False):

@@ -5,9 +5,10 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from editflow.operators import counts
+from editflow.operators import counts, series
 from editflow.plans import jobs
-from editflow.schema import EDIT_COLUMNS, STORED
+from editflow.schema import EDIT_COLUMNS
+from editflow.sources.edits import read_edits
 from editflow.sources.lines import write_json_lines
 from editflow.sources.models import load_models
 from tests.data import edit_frame
@@ -23,19 +24,20 @@ def test_lines_to_anomalies(spark, folder):
     spark.createDataFrame([("no json",)], "value string").write.mode("append").text(landing)
 
     jobs.ingest(spark, landing, bus, folder("offsets"), once=True).awaitTermination()
-    jobs.store(spark, bus, table, folder("offsets"), once=True).awaitTermination()
-    stored = spark.read.schema(STORED).parquet(table)
+    totals = folder("totals")
+    jobs.store(spark, bus, table, folder("offsets"), once=True, totals=totals).awaitTermination()
+    assert [(r["name"], r.value) for r in spark.read.parquet(totals).collect()] == [("inserted", 300)]
+    stored = read_edits(spark, table)
     without_id = [c for c in EDIT_COLUMNS if c != "id"]
     assert sorted(stored.select(*without_id).collect()) == sorted(edits.select(*without_id).collect())
 
     jobs.count(spark, bus, metrics, folder("offsets"), "1 day", "10 seconds", once=True).awaitTermination()
     rows = spark.read.parquet(metrics).collect()
-    expected = Counter()
     newest = edits.agg(F.max("ts")).first()[0]
-    for r in counts.count_by_channel(edits, "1 day").collect():
-        if (newest - r.bucket).total_seconds() >= 86410:
-            expected[r.bucket, r.channel] += r.n
-            expected[r.bucket, "all-messages"] += r.n
+    per_day = counts.count_by_channel(edits, "1 day")
+    both = per_day.selectExpr("bucket", "channel as name", "n").unionByName(counts.count_all(edits, "1 day"))
+    filled = series.zero_fill(both, "1 day", ["name"]).collect()
+    expected = {(r.bucket, r["name"]): r.n for r in filled if (newest - r.bucket).total_seconds() >= 86410}
     assert {(r.bucket, r["name"]): r.value for r in rows} == expected
     assert rows[0].line == f"{rows[0]['name']}:{rows[0].value}|c"
 
@@ -76,6 +78,6 @@ def test_scoring_knows_the_year_of_the_week(spark):
     ]
     lines = spark.createDataFrame(rows, "t string, channel string, raw string")
     lines = lines.select(F.to_timestamp("t").alias("ts"), "channel", "raw")
-    found = jobs.train_and_score(lines, 1, 1, year=2024, interval="1 day", grain="hour")
+    found = jobs.train_and_score(lines, 1, 1, year=2024, interval="1 day")
     got = {str(r.bucket)[:10]: r.n for r in found.where("n > 0").collect()}
     assert got == {"2024-01-09": 2, "2025-01-01": 9}

@@ -47,7 +47,7 @@ def test_counts(spark):
         assert r.inserted == so_far
     matching = counts.count_matching(frame, "hot", F.col("channel") == "#en.wikipedia", "60 seconds", 3)
     assert {seconds(r.bucket): r.n for r in matching.collect()} == {
-        b: per_channel[b, "#en.wikipedia"] + 3 for b in total
+        b: per_channel.get((b, "#en.wikipedia"), 0) + 3 for b in range(min(total), max(total) + 1, 60)
     }
 
 
@@ -119,11 +119,14 @@ def test_channel_and_week_filters(spark):
 
 
 def test_sample_metrics(spark):
-    rows = spark.range(20_000)
+    rows = spark.range(20_000).withColumnRenamed("id", "event_id")
     assert filters.sample_metrics(rows, 1.0).count() == 20_000
     kept = filters.sample_metrics(rows, 0.25, seed=7)
     assert 4500 < kept.count() < 5500
     assert [r.rate for r in kept.select("rate").distinct().collect()] == [0.25]
+    again = filters.sample_metrics(rows.repartition(7), 0.25, seed=7)
+    assert sorted(kept.collect()) == sorted(again.collect())
+    assert sorted(kept.collect()) != sorted(filters.sample_metrics(rows, 0.25, seed=8).collect())
 
 
 def test_clustering_order(spark):

@@ -1,0 +1,284 @@
+"""Streams with a state of their own: whatever the batches and delays, they give what the batch operators give."""
+
+import datetime
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from editflow.operators import counts, metrics, series
+from editflow.operators.parse import split_rejects
+from editflow.schema import BUS, EDIT_COLUMNS
+from editflow.sources import bus, edits as table
+from editflow.streaming import feed, sinks, stateful
+from tests.data import BASE, edit_frame
+
+SCHEMA = "id string, s long, channel string"
+
+
+def arrivals(spark, folder, batches, schema=SCHEMA):
+    """A stream that takes one list of rows after the other."""
+    path = folder("landing")
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    begin = int(BASE.timestamp())
+    return source.withColumn("ts", F.timestamp_seconds(F.col("s") + begin)).drop("s")
+
+
+def run(stream, spark, folder, offsets=None, out=None):
+    out = out or folder("out")
+    query = sinks.start(stream, sinks.batch_folder(out), offsets or folder("offsets"), once=True)
+    query.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def slot(row, seconds):
+    return int((row.bucket.replace(tzinfo=datetime.timezone.utc) - BASE).total_seconds()) // seconds
+
+
+def in_utc(df):
+    """Buckets as seconds after BASE."""
+    return df.withColumn("slot", ((F.unix_seconds("bucket") - int(BASE.timestamp())) / 60).cast("int"))
+
+
+def late_batches(seed, batches=6, per_batch=60):
+    """Minutes of edits; each batch also has some from long before, and one channel begins early but late."""
+    rng = random.Random(seed)
+    out, n = [], 0
+    for batch in range(batches):
+        rows = []
+        for _ in range(per_batch):
+            late = rng.random() < 0.2
+            second = rng.randrange(0, batch * 1200 + 1) if late else batch * 1200 + rng.randrange(0, 1200)
+            rows.append((f"i{n}", second, rng.choice("aaaab")))
+            n += 1
+        out.append(rows)
+    out[-1].append(("z0", 30, "z"))
+    out[3].append(("y1", 4000, "y"))
+    out[4].append(("y0", 100, "y"))
+    return out
+
+
+@pytest.mark.parametrize("start", [0, 5])
+def test_tallies_lose_no_late_edit_and_report_empty_intervals(spark, folder, start):
+    batches = late_batches(1)
+    stream = arrivals(spark, folder, batches)
+    odd = F.substring("id", -1, 1).isin(*"13579")
+    tallies = stateful.stream_tallies(stream, "1 minute", "2 minutes", start, odd, totals=True)
+    found = in_utc(run(tallies, spark, folder)).collect()
+    edits = [row for batch in batches for row in batch]
+    last = (max(s for _, s, _ in edits) - 120) // 60 - 1  # the last interval that the watermark has passed
+    expected = Counter()
+    for name in ("a", "b", "y", "z", "all-messages"):
+        mine = [(i, s) for i, s, c in edits if name in (c, "all-messages")]
+        for minute in range(min(s for _, s in mine) // 60, last + 1):
+            expected[name, minute] = start
+        for i, s in mine:
+            if s // 60 <= last and i[-1] in "13579":
+                expected[name, s // 60] += 1
+    got = Counter()
+    for row in found:
+        got[row["name"], row.slot] += row.n
+    assert dict(got) == dict(expected)
+    first = Counter((r["name"], r.slot) for r in found if not r.late)
+    assert set(first) == set(expected) and set(first.values()) == {1}
+    assert sum(r.n for r in found if r.late) > 20
+    assert {(r["name"], r.slot): r.n for r in in_utc(stateful.settled(spark.createDataFrame(found))).collect()} == expected
+
+
+def test_tallies_go_on_from_their_checkpoint(spark, folder):
+    batches = late_batches(2)
+    path, offsets, out = folder("landing"), folder("offsets"), folder("out")
+    begin = int(BASE.timestamp())
+    for part in (batches[:3], batches[3:]):
+        for rows in part:
+            spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        source = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 2).parquet(path)
+        source = source.withColumn("ts", F.timestamp_seconds(F.col("s") + begin))
+        run(stateful.stream_tallies(source, "1 minute", "2 minutes"), spark, folder, offsets, out)
+    got = Counter()
+    for row in in_utc(spark.read.parquet(out)).collect():
+        got[row["name"], row.slot] += row.n
+    edits = [row for batch in batches for row in batch]
+    last = (max(s for _, s, _ in edits) - 120) // 60 - 1
+    expected = Counter((c, s // 60) for _, s, c in edits if s // 60 <= last)
+    assert +got == expected
+
+
+def test_a_task_sends_one_row_per_name_and_interval(spark):
+    import pyarrow as pa
+
+    rows = pa.table({"name": ["a"] * 5_000 + ["b", None], "slot": [i % 3 for i in range(5_000)] + [7, 7], "n": [1] * 5_002})
+    out = [b.to_pylist() for b in stateful._combine(rows.to_batches(max_chunksize=500), True)]
+    summed = Counter()
+    for row in (r for part in out for r in part):
+        summed[row["name"], row["slot"]] += row["n"]
+    assert len(out) == 1 and sum(map(len, out)) == 3 + 2 + 4
+    assert summed["a", 0] == 1667 and summed["all-messages", 7] == 2 and summed[None, 7] == 1
+
+
+METRIC = "event_id long, s long, name string, kind string, setting string"
+
+
+def test_gauges_of_a_stream_equal_the_batch(spark, folder):
+    """Events in any order over the batches, many at one instant, some that are no gauge."""
+    rng = random.Random(5)
+    rows = [
+        (
+            n, rng.randrange(0, 7200, 100), rng.choice(["g1", "g1", "g2"]), "g" if rng.random() < 0.95 else "c",
+            rng.choice(["+3", "-1", "+0.5", "7", "20", "oops"]) if n % 5 else rng.choice(["+1", "-2"]),
+        )
+        for n in range(400)
+    ]
+    rng.shuffle(rows)
+    stream = arrivals(spark, folder, [rows[i::5] for i in range(5)], METRIC)
+    changes = run(stateful.stream_gauges(stream, "10 minutes", "setting"), spark, folder)
+    assert changes.agg(F.max("revision")).first()[0] > 1
+    batch = spark.createDataFrame(rows, METRIC).withColumn("ts", F.timestamp_seconds(F.col("s") + int(BASE.timestamp())))
+    want = metrics.metric_gauge(batch, "10 minutes", value="setting")
+    key = lambda r: (str(r.bucket), r["name"])
+    got = {key(r): r.value for r in stateful.gauge_values(changes).collect()}
+    assert got == pytest.approx({key(r): r.value for r in want.collect()})
+    assert len(got) > 20
+
+
+def test_sketches_keep_to_their_error(spark):
+    rng = random.Random(8)
+    rows = [(n, rng.randrange(0, 86_400), rng.choice("xy"), "ms", rng.lognormvariate(3, 1)) for n in range(60_000)]
+    rows += [(n, rng.randrange(0, 86_400), "u", "s", float(rng.randrange(30_000))) for n in range(60_000)]
+    frame = spark.createDataFrame(rows, "event_id long, s long, name string, kind string, value double")
+    frame = frame.withColumn("ts", F.timestamp_seconds(F.col("s") + int(BASE.timestamp()))).repartition(7)
+    hourly = metrics.metric_sketches(frame, "1 hour")
+    assert hourly.count() == 3 * 24
+    found = metrics.sketch_values(metrics.merged_sketches(hourly, "1 day"), [0.05, 0.5, 0.9]).collect()
+    assert len(found) == 3
+    for row in found:
+        values = sorted(r[4] for r in rows if r[2] == row["name"])
+        assert row.samples == len(values)
+        if row.kind == "ms":
+            assert (row.least, row.greatest) == (values[0], values[-1])
+            assert row.mean == pytest.approx(sum(values) / len(values))
+            for p, got in ((0.05, row.p5), (0.5, row.p50), (0.9, row.p90)):
+                rank = sum(v <= got for v in values) / len(values)
+                assert abs(rank - p) < 1.5 * metrics.RANK_ERROR
+            assert row.unique is None
+        else:
+            exact = len(set(values))
+            assert abs(row.unique - exact) < 4 * metrics.UNIQUE_ERROR * exact and row.p50 is None
+    # Merging sketches of parts gives the same kind of figures as one sketch of all.
+    halves = metrics.metric_sketches(frame.where("event_id % 2 = 0"), "1 day").unionByName(
+        metrics.metric_sketches(frame.where("event_id % 2 = 1"), "1 day")
+    )
+    again = {r["name"]: r.samples for r in metrics.merged_sketches(halves).collect()}
+    assert again == {r["name"]: r.samples for r in found}
+
+
+def test_percentiles_of_values_close_together_spread_over_partitions(spark):
+    rows = spark.range(40_000).select(
+        F.timestamp_seconds(F.lit(0)).alias("ts"), F.lit("t").alias("name"), F.lit("ms").alias("kind"),
+        (F.col("id") / 40_000).alias("value"),
+    )
+    found = metrics.metric_timing(rows, "1 day").first()
+    assert found.samples == 40_000 and found.p50 == pytest.approx(19_999.5 / 40_000) and found.least == 0
+    nothing = metrics.metric_timing(rows.withColumn("value", F.lit(None).cast("double")), "1 day")
+    assert nothing.collect() == []
+
+
+def message_batches(seed):
+    rng = random.Random(seed)
+    rows = [(f"i{n:04d}", rng.randrange(0, 3000), rng.choice(["hot"] * 6 + ["b", "c"])) for n in range(500)]
+    rng.shuffle(rows)
+    return [rows[i : i + 100] for i in range(0, 500, 100)]
+
+
+def test_latest_messages_of_a_stream(spark, folder):
+    batches = message_batches(3)
+    stream = arrivals(spark, folder, batches)
+    changes = run(feed.stream_latest(stream, 4), spark, folder)
+    whole = spark.createDataFrame([r for b in batches for r in b], SCHEMA)
+    whole = whole.withColumn("ts", F.timestamp_seconds(F.col("s") + int(BASE.timestamp())))
+    want = {(r.channel, r.recency, r.id) for r in series.latest_n(whole, 4).collect()}
+    latest = feed.latest_messages(changes).collect()
+    assert {(r.channel, r.recency, r.id) for r in latest} == want and len(latest) == 12
+    assert all(f'"id":"{r.id}"' in r.message for r in latest)
+
+
+def test_messages_are_numbered_as_they_arrive(spark, folder):
+    batches = message_batches(4)
+    stream, out, offsets = arrivals(spark, folder, batches), folder("out"), folder("offsets")
+    feed.stream_numbered(stream, out, offsets, once=True).awaitTermination()
+    expected, seen = {}, Counter()
+    for batch in batches:
+        for row in sorted(batch, key=lambda r: (r[1], r[0])):
+            seen[row[2]] += 1
+            expected[row[0]] = seen[row[2]]
+    assert {r.id: r.message_number for r in spark.read.parquet(f"{out}/rows").collect()} == expected
+    # Two states at most stay, and a second run finds nothing new.
+    feed.stream_numbered(stream, out, offsets, once=True).awaitTermination()
+    assert spark.read.parquet(f"{out}/state").select("batch").distinct().count() == 2
+    every = folder("every")
+    feed.stream_numbered(stream, every, folder("offsets"), (), every=20, once=True).awaitTermination()
+    in_order = [r[0] for b in batches for r in sorted(b, key=lambda r: (r[1], r[0]))]
+    got = {r.message_number: r.id for r in spark.read.parquet(f"{every}/rows").collect()}
+    assert got == {n + 1: in_order[n] for n in range(0, 500, 20)}
+
+
+def test_a_batch_that_failed_half_way_is_published_once(spark, folder):
+    """The first try sends half of the frames; the second one sends the others. Replays send nothing."""
+    edits = edit_frame(spark, 80)
+    landing, topic, journal, offsets = (folder(x) for x in ("landing", "topic", "journal", "offsets"))
+    options = {"format": "parquet", "path": topic}
+    schema = edits.withColumn("_ok", F.lit(True)).schema
+    edits.limit(50).withColumn("_ok", F.lit(True)).coalesce(1).write.parquet(landing)
+    tries = []
+
+    def send(frames, batch_id):
+        tries.append(frames.count())
+        if len(tries) == 1:
+            bus.write_bus(frames.where(F.crc32("value") % 2 == 0), options)
+            raise OSError("broker")
+        bus.write_bus(frames, options)
+
+    def ingest():
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        return sinks.stream_ingest(
+            source, send, offsets, once=True, journal=journal,
+            published=lambda: spark.read.schema(BUS).parquet(topic),
+        )
+
+    with pytest.raises(Exception, match="broker"):
+        ingest().awaitTermination()
+    assert 0 < spark.read.parquet(topic).count() < 50
+    ingest().awaitTermination()
+    edits.withColumn("_ok", F.lit(True)).coalesce(1).write.mode("append").parquet(landing)  # 50 of them again
+    ingest().awaitTermination()
+    good, _ = split_rejects(bus.decode_bus(spark.read.schema(BUS).parquet(topic)))
+    got = sorted(map(tuple, good.select(*EDIT_COLUMNS).collect()))
+    assert got == sorted(map(tuple, edits.collect()))
+    assert tries[0] == 50 and tries[1] < 50 and tries[2] == 30
+
+
+def test_replays_are_counted_once(spark, folder):
+    edits = edit_frame(spark, 90).withColumn("channel", F.lit("#c"))
+    options = {"format": "parquet", "path": folder("bus")}
+    path, out, offsets, tries = folder("edits"), folder("counts"), folder("offsets"), []
+    count = sinks.count_sink(out, "1 day")
+
+    def flaky(batch, batch_id):
+        tries.append(batch_id)
+        if len(tries) == 2:
+            raise OSError("storage")
+        count(batch, batch_id)
+
+    for part in (edits.limit(40), edits.limit(70), edits):
+        bus.write_bus(bus.encode_bus(part).coalesce(1), options)
+    frames = bus.read_bus(spark, options | {"maxFilesPerTrigger": "1"})
+    with pytest.raises(Exception, match="storage"):
+        sinks.stream_once(frames, path, offsets, [flaky], once=True).awaitTermination()
+    sinks.stream_once(frames, path, offsets, [flaky], once=True).awaitTermination()
+    got = {(r.bucket, r["name"]): r.n for r in stateful.settled(spark.read.parquet(out)).collect()}
+    want = {(r.bucket, r["name"]): r.n for r in counts.count_rollup(edits, "1 day").collect()}
+    assert got == want
+    assert tries == [0, 1, 1, 2] and table.read_edits(spark, path).count() == 90

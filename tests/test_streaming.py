@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from editflow.operators import counts, models, series
-from editflow.schema import BUS, EDIT_COLUMNS, MODEL, STORED
+from editflow.schema import BUS, EDIT_COLUMNS, MODEL
 from editflow.session import checkpoint_root
 from editflow.sources import bus, edits as table
 from editflow.streaming import counting, sinks
@@ -62,7 +62,7 @@ def test_processing_time_counts(spark, folder):
 def test_stream_score_fills_between_batches_and_survives_a_rerun(spark, folder):
     rows = [(f"i{n}", s, c) for n, (_, s, c) in enumerate(skewed_events(300))]
     path, out, offsets = in_files(spark, folder, rows, 6), folder("out"), folder("offsets")
-    trained = spark.createDataFrame([("#en.wikipedia", 1, 0, 2.0), ("#c1.wikipedia", 1, 0, 0.0)], MODEL)
+    trained = spark.createDataFrame([("#en.wikipedia", 2024, 1, 0, 2.0), ("#c1.wikipedia", 2024, 1, 0, 0.0)], MODEL)
     counted = counting.stream_counts(stream(spark, path), "1 hour", "0 seconds")
     sinks.stream_score(counted, trained, out, offsets, "1 hour", once=True).awaitTermination()
     # A second run finds nothing new.
@@ -88,7 +88,7 @@ def test_stream_store_and_restart(spark, folder):
     # The rest arrives together with a redelivery of all frames before it.
     bus.write_bus(bus.encode_bus(edits), options)
     sinks.stream_store(bus.read_bus(spark, options), path, offsets, once=True).awaitTermination()
-    got = spark.read.schema(STORED).parquet(path).select(*EDIT_COLUMNS)
+    got = table.read_edits(spark, path).select(*EDIT_COLUMNS)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, edits.collect()))
 
 
@@ -102,7 +102,7 @@ def test_scratch_tables_go_with_their_batch(spark, folder):
     sinks.stream_store(bus.read_bus(spark, options), path, folder("offsets"), once=True).awaitTermination()
     after = {name for name in os.listdir(root) if "batch" in name or "merged" in name}
     assert after == before
-    assert spark.read.schema(STORED).parquet(path).count() == 60
+    assert table.read_edits(spark, path).count() == 60
 
 
 def test_stream_ingest_counts_but_does_not_publish_rejects(spark, folder):

@@ -4,17 +4,23 @@ import datetime
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from editflow.functions.calendar import months_of_week
 from editflow.operators.parse import split_rejects
 from editflow.schema import BUS, EDIT_COLUMNS, MODEL, STORED, STORED_KEY
 from editflow.session import checkpoint_root
-from editflow.sources import bus, catalog, edits as table, lines, models as model_table
+from editflow.sources import bus, catalog, edits as table, lines, log, models as model_table
 from tests.data import edit_frame, wire_frame
 
 
 def stored(spark, path):
-    return spark.read.schema(STORED).parquet(path)
+    return table.read_edits(spark, path)
+
+
+def file_names(spark, path):
+    return set(log.names_of(log.files(spark, path, log.latest(spark, path))))
 
 
 def rows(df):
@@ -65,19 +71,178 @@ def test_newest_copy_of_a_batch_wins(spark, folder):
     assert [r.comment for r in stored(spark, path).collect()] == ["5"]
 
 
-def test_only_conflicting_days_are_rewritten(spark, folder):
+def test_only_files_that_hold_a_key_are_rewritten(spark, folder):
     path = folder("edits")
     edits = edit_frame(spark, 300)
-    table.write_edits(edits, path)
-    before = {r.f for r in stored(spark, path).select(F.input_file_name().alias("f")).collect()}
-    one = stored(spark, path).limit(1).withColumn("comment", F.lit("again"))
-    day = one.first().asDict()
+    half = F.crc32("id") % 2 == 0
+    table.write_edits(edits.where(half), path)
+    table.write_edits(edits.where(~half), path)
+    before = file_names(spark, path)
+    one = spark.createDataFrame([stored(spark, path).first()], STORED).withColumn("comment", F.lit("again"))
     table.write_edits(one.select(*EDIT_COLUMNS), path)
-    after = {r.f for r in stored(spark, path).select(F.input_file_name().alias("f")).collect()}
-    folder_name = f"year={day['year']}/month={day['month']}/day={day['day']}/"
-    assert {f for f in before if folder_name not in f} <= after
-    assert not {f for f in before if folder_name in f} & after
-    assert stored(spark, path).count() == 300
+    after = file_names(spark, path)
+    assert len(before - after) == 1 and len(after - before) == 1
+    day = one.first().asDict()
+    assert f"year={day['year']}/month={day['month']}/day={day['day']}/" in (before - after).pop()
+    assert stored(spark, path).count() == 300 and stored(spark, path).where("comment = 'again'").count() == 1
+
+
+def test_filters_choose_the_files_that_are_opened(spark, folder, monkeypatch):
+    path = folder("edits")
+    edits = edit_frame(spark, 400)
+    for part in range(4):
+        table.write_edits(edits.where(F.crc32("id") % 4 == part), path)
+    live = log.files(spark, path, log.latest(spark, path))
+    total, ids = live.count(), [r.id for r in edits.collect()]
+    for wanted in ids[:3]:
+        held = log.names_of(live.where(log.may_hold(F.lit(wanted), F.col("bloom"))))
+        inside = log.read_files(spark, path, held).where(F.col("id") == wanted).select("_file").collect()
+        assert len(inside) == 1 and len(held) <= 1 + total // 10
+        assert table.find_edit(spark, path, wanted).count() == 1
+    assert table.find_edit(spark, path, "no such id").count() == 0
+    # No false negatives, and few others.
+    pairs = spark.createDataFrame([(i,) for i in ids], "id string").crossJoin(live.select("file", "bloom"))
+    taken = pairs.where(log.may_hold(F.col("id"), F.col("bloom"))).count()
+    assert 400 <= taken < 400 + 400 * total / 25
+    opened = []
+    read = log.read_files
+    monkeypatch.setattr(log, "read_files", lambda s, p, names: opened.append(names) or read(s, p, names))
+    fresh = edits.limit(5).withColumn("id", F.concat(F.lit("new"), "id"))
+    table.write_edits(fresh, path)
+    assert len(opened[0]) <= 2  # files of five keys that no file holds
+
+
+def test_readers_keep_their_version(spark, folder):
+    path = folder("edits")
+    edits = edit_frame(spark, 80)
+    table.write_edits(edits, path)
+    before = table.read_edits(spark, path)
+    table.write_edits(edits.withColumn("comment", F.lit("again")), path)
+    assert before.where("comment = 'again'").count() == 0 and before.count() == 80
+    assert rows(table.read_edits(spark, path, version=0)) == rows(edits)
+    assert stored(spark, path).where("comment = 'again'").count() == 80
+    assert log.vacuum(spark, path, keep=1) > 0
+    assert stored(spark, path).where("comment = 'again'").count() == 80
+    assert table.stored_total(spark, path).first().n == 80
+
+
+@pytest.mark.parametrize("on_conflict", ["replace", "keep"])
+def test_two_writers(spark, folder, monkeypatch, on_conflict):
+    """Another writer makes a version while this one works; both writes are there."""
+    path = folder("edits")
+    edits = edit_frame(spark, 90)
+    table.write_edits(edits.limit(30), path)
+    mine, commit, calls = edits.withColumn("comment", F.lit("mine")), log.commit, []
+
+    def meanwhile(*args):
+        calls.append(1)
+        if len(calls) == 1:
+            table.write_edits(edits.withColumn("comment", F.lit("theirs")), path)
+        return commit(*args)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(log, "commit", meanwhile)
+        table.write_edits(mine, path, on_conflict=on_conflict)
+    assert len(calls) == 3  # mine in vain, theirs, mine again
+    expected = mine if on_conflict == "replace" else edits.withColumn("comment", F.lit("theirs"))
+    assert rows(stored(spark, path)) == rows(expected)
+    assert log.latest(spark, path).number == 2
+
+
+def test_a_writer_that_never_wins_gives_up(spark, folder, monkeypatch):
+    path = folder("edits")
+    monkeypatch.setattr(log, "TRIES", 2)
+    monkeypatch.setattr(log, "commit", lambda *args: None)
+    with pytest.raises(log.Conflict, match="2 versions"):
+        table.write_edits(edit_frame(spark, 5), path)
+
+
+@pytest.mark.parametrize("step", ["holding", "read_files", "add_files", "describe", "create_once"])
+def test_a_failure_at_any_step_leaves_the_table_as_it_was(spark, folder, monkeypatch, step):
+    path = folder("edits")
+    edits = edit_frame(spark, 60)
+    table.write_edits(edits, path)
+    newer = edits.limit(20).withColumn("comment", F.lit("changed"))
+
+    def fail(*args):
+        raise OSError("storage")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(log, step, fail)
+        with pytest.raises(OSError, match="storage"):
+            table.write_edits(newer, path)
+    assert rows(stored(spark, path)) == rows(edits)
+    table.write_edits(newer, path)
+    expected = newer.unionByName(edits.join(newer.select("id"), "id", "left_anti").select(*EDIT_COLUMNS))
+    assert rows(stored(spark, path)) == rows(expected)
+    log.vacuum(spark, path, keep=1)
+    assert rows(stored(spark, path)) == rows(expected)
+
+
+def test_small_files_are_merged(spark, folder):
+    path = folder("edits")
+    edits = edit_frame(spark, 130).withColumn("ts", F.expr("timestamp'2024-02-01' + make_interval(0, 0, 0, 0, 0, crc32(id) % 1440, 0)"))
+    most = 0
+    for part in range(26):
+        table.write_edits(edits.where(F.crc32("id") % 26 == part), path)
+        log.compact(spark, path, fan_in=3)
+        most = max(most, len(file_names(spark, path)))
+    assert most <= 9  # two of each size class, and those of the newest batch
+    assert rows(stored(spark, path)) == rows(edits)
+    assert log.latest(spark, path).number > 26
+    assert len(log.latest(spark, path).segments) <= log.SEGMENTS + 1
+    assert log.compact(spark, path, fan_in=2, before="2024-02-01") == 0
+
+
+def test_a_batch_of_a_stream_is_stored_once(spark, folder):
+    path = folder("edits")
+    edits = edit_frame(spark, 40)
+    table.write_edits(edits, path, batch=("query", 3))
+    table.write_edits(edits.withColumn("comment", F.lit("again")), path, batch=("query", 3))
+    assert rows(stored(spark, path)) == rows(edits)
+    table.write_edits(edits.withColumn("comment", F.lit("again")), path, batch=("query", 4))
+    table.write_edits(edits, path, batch=("other", 0), on_conflict="keep")
+    assert stored(spark, path).where("comment = 'again'").count() == 40
+    assert {k: v[0] for k, v in log.latest(spark, path).applied.items()} == {"query": 4, "other": 0}
+
+
+def test_first_deliveries(spark, folder):
+    path = folder("edits")
+    edits = edit_frame(spark, 60)
+    new, again = table.first_deliveries(edits.limit(20), path, ("q", 0))
+    assert not again and rows(new) == rows(edits.limit(20))
+    new, again = table.first_deliveries(edits, path, ("q", 1))
+    later = edits.join(edits.limit(20).select("id"), "id", "left_anti")
+    assert not again and rows(new) == rows(later)
+    # The same batch again, and one that holds nothing new.
+    new, again = table.first_deliveries(edits, path, ("q", 1))
+    assert again and rows(new) == rows(later)
+    assert table.first_deliveries(edits, path, ("q", 2))[0].count() == 0
+    assert table.first_deliveries(edits.limit(0), path, ("q", 3))[0].count() == 0
+    assert rows(stored(spark, path)) == rows(edits)
+
+
+def test_a_folder_without_log_is_taken_over(spark, folder):
+    from editflow.operators.parse import calendar_fields
+
+    path = folder("edits")
+    edits = edit_frame(spark, 50)
+    plain = calendar_fields(edits.limit(30)).select(*STORED.fieldNames())
+    plain.write.partitionBy("year", "month", "day").parquet(path)
+    assert rows(stored(spark, path)) == rows(edits.limit(30))
+    table.write_edits(edits.withColumn("comment", F.lit("new")), path, on_conflict="keep")
+    assert stored(spark, path).count() == 50 and stored(spark, path).where("comment = 'new'").count() == 20
+
+
+def test_the_last_arrival_wins(spark, folder):
+    """Among copies with offsets the greatest one, whatever their timestamps and texts."""
+    path = folder("edits")
+    edit = edit_frame(spark, 1).withColumns({"partition": F.lit(0), "offset": F.lit(1).cast("long")})
+    copies = edit
+    for offset, comment in ((7, "last"), (3, "zzz"), (5, "yyy")):
+        copies = copies.union(edit.withColumns({"offset": F.lit(offset).cast("long"), "comment": F.lit(comment)}))
+    table.write_edits(copies, path)
+    assert [r.comment for r in stored(spark, path).collect()] == ["last"]
 
 
 def test_empty_batch(spark, folder):
@@ -90,10 +255,10 @@ def test_empty_batch(spark, folder):
 def test_rows_lie_in_key_order(spark, folder):
     path = folder("edits")
     table.write_edits(edit_frame(spark, 400), path)
-    got = stored(spark, path).select(F.input_file_name().alias("f"), *STORED_KEY).collect()
+    got = log.read_files(spark, path, sorted(file_names(spark, path))).select("_file", *STORED_KEY).collect()
     by_file = {}
     for r in got:
-        by_file.setdefault(r.f, []).append(tuple(r)[1:])
+        by_file.setdefault(r._file, []).append(tuple(r)[1:])
     assert all(keys == sorted(keys) for keys in by_file.values())
 
 
@@ -112,18 +277,36 @@ def test_read_pushes_filters_and_columns(spark, folder):
 
 
 def test_months_of_a_week():
-    assert table._months_of_week(1, None) == [1, 12]
-    assert table._months_of_week(53, None) == [1, 12]
-    assert table._months_of_week(1, 2025) == [1, 12]
-    for week in range(1, 54):
-        for year in (2015, 2020, 2021, 2024):
-            day = datetime.date(year, 1, 1)
-            held = set()
-            while day.year == year:
-                if day.isocalendar().week == week:
-                    held.add(day.month)
-                day += datetime.timedelta(days=1)
-            assert held <= set(table._months_of_week(week, None))
+    assert table._months(1) == [1, 12] and table._months(53) == [1, 12]
+    assert months_of_week(2025, 1) == [(2024, 12), (2025, 1)]
+    assert months_of_week(2024, 53) == []
+    for year in (2015, 2020, 2021, 2024):
+        day = datetime.date(year, 1, 1)
+        while day.year == year:
+            iso = day.isocalendar()
+            assert (day.year, day.month) in months_of_week(iso.year, iso.week)
+            day += datetime.timedelta(days=1)
+
+
+def test_weeks_across_new_year(spark, folder):
+    """Week 1 of 2025 begins on 30 December 2024, week 52 of 2023 ends on 31 December 2023."""
+    path = folder("edits")
+    days = ["2023-12-31", "2024-01-01", "2024-12-29", "2024-12-30", "2024-12-31", "2025-01-01", "2025-01-05", "2025-01-06"]
+    edits = edit_frame(spark, 8).withColumn("_n", F.row_number().over(Window.orderBy("id")))
+    listed = F.array(*[F.lit(f"{d} 12:00:00") for d in days])
+    edits = edits.withColumn("ts", F.get(listed, F.col("_n") - 1).cast("timestamp")).drop("_n")
+    table.write_edits(edits, path)
+
+    def dates(**wanted):
+        return sorted(str(r.ts)[:10] for r in table.read_edits(spark, path, **wanted).collect())
+
+    assert dates(week=1, year=2025) == days[3:7]
+    assert dates(week=1, year=2024) == days[1:2]
+    assert dates(week=52, year=2023) == days[:1]
+    assert dates(week=52, year=2024) == days[2:3]
+    assert dates(year=2024) == days[1:3]
+    assert dates(week=1) == [days[1], *days[3:7]]
+    assert dates(week=53, year=2024) == []
 
 
 def test_bus_round_trip(spark):
@@ -164,16 +347,20 @@ def test_json_lines_and_read_lines(spark, folder):
 def test_models_are_saved_by_week_and_channel(spark, folder):
     path = folder("models")
     assert model_table.load_models(spark, path).count() == 0
-    first = spark.createDataFrame([("#de.wikipedia", 51, 0, 1.5), ("#en.wikipedia", 51, 0, 9.0)], MODEL)
+    first = spark.createDataFrame([("#de.wikipedia", 2024, 51, 0, 1.5), ("#en.wikipedia", 2024, 51, 0, 9.0)], MODEL)
     model_table.save_models(first, path)
-    again = spark.createDataFrame([("#de.wikipedia", 51, 0, 2.5), ("#de.wikipedia", 52, 0, 3.5)], MODEL)
+    again = spark.createDataFrame(
+        [("#de.wikipedia", 2024, 51, 0, 2.5), ("#de.wikipedia", 2024, 52, 0, 3.5), ("#de.wikipedia", 2025, 51, 0, 4.5)],
+        MODEL,
+    )
     model_table.save_models(again, path)
     loaded = model_table.load_models(spark, path)
     assert loaded.schema == MODEL
     assert sorted(map(tuple, loaded.collect())) == [
-        ("#de.wikipedia", 51, 0, 2.5),
-        ("#de.wikipedia", 52, 0, 3.5),
-        ("#en.wikipedia", 51, 0, 9.0),
+        ("#de.wikipedia", 2024, 51, 0, 2.5),
+        ("#de.wikipedia", 2024, 52, 0, 3.5),
+        ("#de.wikipedia", 2025, 51, 0, 4.5),
+        ("#en.wikipedia", 2024, 51, 0, 9.0),
     ]
 
 
@@ -196,23 +383,3 @@ def test_channel_catalog(spark):
 
 def test_checkpoint_root_is_the_session_setting(spark):
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
-
-
-def test_a_rewrite_that_fails_half_way_is_completed_by_the_next_write(spark, folder, monkeypatch):
-    path = folder("edits")
-    edits = edit_frame(spark, 120)
-    table.write_edits(edits, path)
-    newer = edits.limit(20).withColumn("comment", F.lit("changed"))
-
-    def fail(df, path, mode):
-        raise OSError("storage")
-
-    with monkeypatch.context() as broken:
-        broken.setattr(table, "_write", fail)
-        with pytest.raises(OSError, match="storage"):
-            table.write_edits(newer, path)
-    assert rows(stored(spark, path)) == rows(edits)
-    table.write_edits(edits.limit(0), path)
-    expected = newer.unionByName(edits.join(newer.select("id"), "id", "left_anti").select(*EDIT_COLUMNS))
-    assert rows(stored(spark, path)) == rows(expected)
-    assert table.list_paths(spark, f"{path}/_pending-*") == []
