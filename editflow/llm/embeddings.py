@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editflow.llm.graph import components
-from editflow.llm.tables import runs, shuffle_width, stored
+from editflow.llm.tables import runs, sampled, shuffle_width, stored
 
 THRESHOLD = 0.9
 # Centres come from a sample of at most SAMPLE vectors; every vector is indexed.
 SAMPLE = 16_384
+SAMPLE_BYTES = 32 << 20
 PER_CELL = 128
 CELLS = 1_024
 PROBES = 8
@@ -162,7 +163,8 @@ def _links(nodes: DataFrame, threshold: float, sample: int, probes: int, seed: i
 
 def _centres(nodes: DataFrame, sample: int, seed: int) -> np.ndarray:
     """Centres of a bounded sample, by a few rounds of k-means on the sphere."""
-    chosen = nodes.orderBy(F.xxhash64("key"), "key").limit(sample).select("vector").collect()
+    dims = nodes.select("vector").first()["vector"]
+    chosen = sampled(nodes.select("key", "vector"), ["key"], min(sample, SAMPLE_BYTES // len(dims)), "sample")
     points = np.array([np.frombuffer(row.vector) for row in chosen])
     total = nodes.count()
     count = int(min(max(1, total // PER_CELL), CELLS, max(1, len(points) // 4)))

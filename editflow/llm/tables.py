@@ -7,7 +7,8 @@ from collections.abc import Iterable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from editflow.session import scratch_path
 
@@ -40,6 +41,23 @@ def having(rows: DataFrame, wanted: DataFrame, key: str, how: str = "left_semi")
     return rows.join(wanted.hint("broadcast") if small else wanted, key, how)
 
 
+_DRAWS = 1 << 40
+
+
+def sampled(rows: DataFrame, key: Sequence[str], count: int, label: str) -> list[Row]:
+    """`count` rows, the same ones in every run: those with the least hashes of their key.
+
+    Only rows below a cutoff that leaves about twice as many are stored, and those are
+    sorted. So what reaches the driver is bounded by `count`, however many tasks there are.
+    Rows with equal keys count once.
+    """
+    drawn = F.pmod(F.xxhash64(*key), F.lit(_DRAWS))
+    total = rows.agg(F.approx_count_distinct(drawn)).first()[0]
+    cutoff = _DRAWS if total <= 2 * count else _DRAWS * 2 * count // total
+    chosen = rows.withColumn("_drawn", drawn).where(F.col("_drawn") < cutoff).dropDuplicates(["_drawn"])
+    return stored(chosen, label).orderBy("_drawn").limit(count).collect()
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editflow.llm.tables import stored
+from editflow.llm.tables import sampled, stored
 
 VERSION = b"WARC/1.1"
 # A skippable frame with this number holds the dictionary, itself compressed or not.
@@ -82,9 +82,10 @@ def planned(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
 def dictionary(pages: DataFrame, size: int = DICTIONARY_BYTES) -> bytes:
     """Trained on the beginnings of a bounded sample of pages; empty if there is too little text."""
     chosen = pages.where("html is not null").select(
-        F.substring("html", 1, SAMPLE_BYTES).alias("html"), F.xxhash64("page_id", "url").alias("_order")
+        "page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html")
     )
-    samples = [r["html"].encode() for r in chosen.orderBy("_order", "html").limit(SAMPLE_PAGES).collect()]
+    found = sampled(chosen, ["page_id", "url"], SAMPLE_PAGES, "sample")
+    samples = [r["html"].encode() for r in found]
     samples = [s for s in samples if s]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes() if len(samples) >= 8 else b""
