@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editflow.functions.skew import numbered
-from editflow.llm.tables import bytes_of, having, shuffle_width, stored
+from editflow.llm.tables import bytes_of, having, sampled, shuffle_width, stored
 from editflow.llm.words import keys, mix
 
 LENGTH = 100
@@ -53,7 +53,7 @@ _COVER = "doc long, start long, n int"
 _MARKER, _SINGLE, _FREQUENT = 0, 1, 2
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, letters: bool = False) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept.
 
     Every byte covered by a string of `length` bytes that also starts earlier, in a text
@@ -61,7 +61,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Null texts are empty. Rows with equal doc_id and text are one document, and each
     gets its result; rows with equal doc_id and different texts are ordered by a digest
     of the text. Rows without doc_id are compared with nothing and stay whole. Other
-    columns are ignored.
+    columns are ignored. With `letters`, kept also leaves out what a cut leaves of a letter
+    of several bytes, so that it is UTF-8; n_removed and n_spans stay those of the bytes.
     """
     rows = docs.select(
         F.col("doc_id").cast("long"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text")
@@ -75,7 +76,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     else:
         texts = named.select(F.col("doc_id").alias("doc"), "text")
     words = dictionary(texts)
-    result = cut(texts, repeats(texts, length, words), length, words)
+    result = cut(texts, repeats(texts, length, words), length, words, letters)
     if repeated:
         each = named.select("doc_id", F.sha2("text", 256).alias("digest"))
         result = each.join(order, ["doc_id", "digest"]).join(result, "doc").drop("doc", "digest")
@@ -117,14 +118,16 @@ def repeats(texts: DataFrame, length: int = LENGTH, words: bytes = b"") -> DataF
     return covers.select("doc", "start", "n")
 
 
-def cut(texts: DataFrame, covers: DataFrame, length: int = LENGTH, words: bytes = b"") -> DataFrame:
+def cut(
+    texts: DataFrame, covers: DataFrame, length: int = LENGTH, words: bytes = b"", letters: bool = False
+) -> DataFrame:
     """doc, n_bytes, n_removed, n_spans, kept of every text."""
     per_doc = covers.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("covers"))
     per_doc = stored(per_doc, "covers")
     ids = per_doc.select("doc")
     joined = packed(having(texts, ids, "doc"), words).join(per_doc, "doc")
     less = joined.mapInArrow(
-        partial(_cut, length=length, words=words),
+        partial(_cut, length=length, words=words, letters=letters),
         "doc long, n_bytes long, n_removed long, n_spans long, kept binary",
     )
     whole = having(texts, ids, "doc", "left_anti").select(
@@ -138,8 +141,8 @@ def cut(texts: DataFrame, covers: DataFrame, length: int = LENGTH, words: bytes
 
 
 def dictionary(texts: DataFrame) -> bytes:
-    beginnings = texts.select(F.substring("text", 1, SAMPLE_BYTES).alias("text"), F.xxhash64("doc").alias("h"))
-    rows = beginnings.orderBy("h", "text").limit(SAMPLE_TEXTS).collect()
+    beginnings = texts.select("doc", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
+    rows = sampled(beginnings, ["doc"], SAMPLE_TEXTS, "sample")
     samples = [bytes(r["text"]) for r in rows if r["text"]]
     try:
         return zstandard.train_dictionary(64 << 10, samples).as_bytes() if len(samples) > 50 else b""
@@ -511,10 +514,16 @@ def _partition(index: np.ndarray, group: np.ndarray, word: np.ndarray) -> tuple[
     return index[more], number[more]
 
 
+def _whole_letters(piece: bytes) -> bytes:
+    """A piece of UTF-8 without the parts of letters at its ends."""
+    return piece.decode("utf-8", "ignore").encode()
+
+
 def _cut(
-    batches: Iterable[pa.RecordBatch], length: int, words: bytes
+    batches: Iterable[pa.RecordBatch], length: int, words: bytes, letters: bool
 ) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdDecompressor(_dictionary(words))
+    whole = _whole_letters if letters else bytes
     for batch in batches:
         out: list[tuple] = []
         for row in range(batch.num_rows):
@@ -527,14 +536,14 @@ def _cut(
                 order = np.argsort(start, kind="stable")
                 for low, high in zip(start[order].tolist(), (start + n + length - 1)[order].tolist()):
                     if begin < 0 or low > end:
-                        pieces.append(text[end:low])
+                        pieces.append(whole(text[end:low]))
                         spans += 1
                         removed += high - low
                         begin, end = low, high
                     elif high > end:
                         removed += high - end
                         end = high
-            pieces.append(text[end:])
+            pieces.append(whole(text[end:]))
             out.append((len(text), removed, spans, b"".join(pieces)))
         columns = list(zip(*out)) or [(), (), (), ()]
         yield pa.RecordBatch.from_arrays(
