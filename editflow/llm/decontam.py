@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import partial
 
@@ -32,8 +32,10 @@ K1, B = 1.2, 0.75
 # Units with at least this share of their own BM25 score are retrieved.
 THRESHOLD = 0.5
 SHINGLE = 5
-# Items with at least this share of their shingles in the text are contamination.
+# Items with at least this share of their shingles in the text are contamination, if it also
+# holds this share of the question's and of the answer's: a question with another answer isn't.
 OVERLAP = 0.8
+PART = 0.5
 BLOCK = 16
 # Text of items that one index holds; more items make more indexes, each over all texts.
 INDEX_BYTES = 32 << 20
@@ -67,6 +69,25 @@ def item_of(item_id: int, text: bytes) -> Item:
     return Item(item_id, question | across, answer)
 
 
+def bags_of(text: bytes) -> list[Counter[int]]:
+    """Word hashes of each unit of an item."""
+    words, bags = split(text), []
+    for low in range(0, len(words), UNIT):
+        part = b" ".join(words[low : low + UNIT])
+        hashes, _ = word_hashes(np.frombuffer(part, np.uint8), np.array([0, len(part)]))
+        bags.append(Counter(hashes.tolist()))
+    return bags
+
+
+@dataclass
+class Statistics:
+    """Number of units and of their words, and of the units that hold a term."""
+
+    units: int
+    words: int
+    held: Mapping[int, int]
+
+
 @dataclass
 class Index:
     """Postings sorted by unit, with the largest impact per term and per term and block."""
@@ -83,26 +104,25 @@ class Index:
     block_most: np.ndarray
 
     @classmethod
-    def of(cls, rows: list[tuple[int, bytes]]) -> Index:
+    def of(cls, rows: list[tuple[int, bytes]], known: Statistics | None = None) -> Index:
+        """`known` are the statistics of all units, if rows are only a part of the items."""
         items, unit_item, bags = [], [], []
         for item_id, text in rows:
-            words = split(text)
-            if not words:
-                continue
-            for low in range(0, len(words), UNIT):
-                part = b" ".join(words[low : low + UNIT])
-                hashes, _ = word_hashes(np.frombuffer(part, np.uint8), np.array([0, len(part)]))
-                bags.append(Counter(hashes.tolist()))
-                unit_item.append(len(items))
-            items.append(item_of(item_id, text))
+            mine = bags_of(text)
+            if mine:
+                bags += mine
+                unit_item += [len(items)] * len(mine)
+                items.append(item_of(item_id, text))
         lengths = np.array([sum(b.values()) for b in bags], float)
-        mean = lengths.mean() if len(lengths) else 1.0
-        held: Counter[int] = Counter(t for b in bags for t in b)
+        if known is None:
+            held = Counter(t for b in bags for t in b)
+            known = Statistics(len(bags), int(lengths.sum()), held)
+        mean, held = known.words / max(known.units, 1), known.held
         postings: dict[int, list[tuple[int, float]]] = defaultdict(list)
         for unit, bag in enumerate(bags):
             norm = K1 * (1 - B + B * lengths[unit] / mean)
             scores = {
-                t: math.log(1 + (len(bags) - held[t] + 0.5) / (held[t] + 0.5)) * n * (K1 + 1) / (n + norm)
+                t: math.log(1 + (known.units - held[t] + 0.5) / (held[t] + 0.5)) * n * (K1 + 1) / (n + norm)
                 for t, n in bag.items()
             }
             full = sum(scores.values())
@@ -196,35 +216,71 @@ def contaminated(
     threshold: float = THRESHOLD,
     overlap: float = OVERLAP,
     index_bytes: int = INDEX_BYTES,
+    part: float = PART,
 ) -> DataFrame:
     """One row per document and benchmark item that it contains.
 
     docs (doc_id, text) and items (item_id, text); returns doc_id, item_id, score (best
     BM25 share of a unit), question, answer and overlap: the shares of the question's,
     the answer's and all shingles of the item found in the document. Pairs with
-    overlap >= `overlap` are returned. Null and empty texts and items contain nothing and
+    overlap >= `overlap`, of which the question and the answer each are found by `part` or
+    more, are returned. Null and empty texts and items contain nothing and
     are contained in nothing; rows without an id are compared, too. Repeated rows give
     repeated rows. Columns besides these are ignored.
 
-    Items larger than `index_bytes` together are dealt to several indexes.
+    Items larger than `index_bytes` together are dealt to several indexes, which all score by
+    the statistics of all items. The result doesn't depend on it.
     """
     rows = items.select(F.col("item_id").cast("long"), F.encode("text", "UTF-8").alias("text"))
     rows = stored(rows.where(F.octet_length("text") > 0), "items")
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(1, math.ceil(size / index_bytes))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    dealt = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int").alias("shard")
+    rows = rows.select("item_id", "text", dealt)
+    terms = stored(_terms(rows), "terms") if shards > 1 else None
     found = None
     for shard in range(shards):
-        part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
-        held = sorted(((r["item_id"], bytes(r["text"])) for r in part.collect()), key=repr)
-        index = Index.of(held)
-        one = texts.mapInArrow(partial(_search, index=index, threshold=threshold, overlap=overlap), _FOUND)
+        held = sorted(((r["item_id"], bytes(r["text"])) for r in rows.where(F.col("shard") == shard).collect()), key=repr)
+        index = Index.of(held, None if terms is None else _statistics(terms, shard))
+        search = partial(_search, index=index, threshold=threshold, overlap=overlap, least=part)
+        one = texts.mapInArrow(search, _FOUND)
         found = one if found is None else found.unionByName(one)
     return found
 
 
+def _terms(rows: DataFrame) -> DataFrame:
+    """term, units, words, shards: units that hold a term; of the null term all units and their words."""
+    each = rows.select("text", "shard").mapInArrow(_bags, "term long, units long, words long, shard int")
+    grouped = each.groupBy("term").agg(
+        F.sum("units").alias("units"), F.sum("words").alias("words"), F.collect_set("shard").alias("shards")
+    )
+    return grouped
+
+
+def _bags(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out: list[tuple] = []
+        for text, shard in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            bags = bags_of(text)
+            held = Counter(t for bag in bags for t in bag)
+            out += [(int(np.uint64(t).astype(np.int64)), n, 0, shard) for t, n in held.items()]
+            out.append((None, len(bags), sum(sum(b.values()) for b in bags), shard))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32())
+        columns = [pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 4, kinds)]
+        yield pa.RecordBatch.from_arrays(columns, ["term", "units", "words", "shard"])
+
+
+def _statistics(terms: DataFrame, shard: int) -> Statistics:
+    """Of all units, for the terms of one shard: no more than its items' text holds."""
+    mine = terms.where("term is not null").where(F.array_contains("shards", shard)).collect()
+    whole = terms.where("term is null").first()
+    held = {int(np.int64(r["term"]).astype(np.uint64)): r["units"] for r in mine}
+    return Statistics(whole["units"], whole["words"], held)
+
+
 def _search(
-    batches: Iterable[pa.RecordBatch], index: Index, threshold: float, overlap: float
+    batches: Iterable[pa.RecordBatch], index: Index, threshold: float, overlap: float, least: float
 ) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "item_id", "score", "question", "answer", "overlap"]
     for batch in batches:
@@ -250,7 +306,7 @@ def _search(
                     text = part[starts[low + row] - starts[low] : starts[low + row + 1] - starts[low]]
                     shingled = (row, _shingles(split(text.tobytes())))
                 checked = _verify(index.items[item], shingled[1])
-                if checked[2] >= overlap:
+                if checked[2] >= overlap and min(checked[:2]) >= least:
                     out.append((ids[low + row].as_py(), index.items[item].item_id, x, *checked))
         if out:
             yield pa.RecordBatch.from_arrays(
@@ -261,19 +317,17 @@ def _search(
 
 def _verify(item: Item, shingles: frozenset[bytes]) -> tuple[float, float, float]:
     """Shares of the question's, the answer's and all shingles; a part without words counts as found."""
-    whole = item.question | item.answer
-
-    def short(part: frozenset[bytes]) -> bool:
-        return len(part) == 1 and next(iter(part)).count(b" ") < SHINGLE - 1
 
     def share(part: frozenset[bytes]) -> float:
         if not part:
             return 1.0
-        if short(part):  # fewer words than a shingle: anywhere inside one
-            words = b" " + next(iter(part)) + b" "
-            return float(any(words in b" " + s + b" " for s in shingles))
-        return len(part & shingles) / len(part)
+        full = [s for s in part if s.count(b" ") == SHINGLE - 1]
+        if full:
+            return sum(s in shingles for s in full) / len(full)
+        # Fewer words than a shingle: anywhere inside one.
+        return float(all(any(b" " + p + b" " in b" " + s + b" " for s in shingles) for p in part))
 
     question, answer = share(item.question), share(item.answer)
-    full = frozenset(s for s in whole if s.count(b" ") == SHINGLE - 1)
-    return question, answer, share(full) if full else min(question, answer)
+    whole = item.question | item.answer
+    full = any(s.count(b" ") == SHINGLE - 1 for s in whole)
+    return question, answer, share(whole) if full else min(question, answer)
