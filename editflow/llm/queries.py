@@ -130,7 +130,8 @@ from d left join f on d.digest = f.digest
 """
 
 
-# Turns of others than the assistant are calls, each after the one up to three turns before.
+# Turns of others than the assistant are calls, each after the last one before it; an answer
+# belongs to the last call before it, and the first answer of a call is its result.
 _TOOL_CALLS = """
 with recursive asks as (
   select conv_id, turn, min(coalesce(role, '')) as role, min(coalesce(text, '')) as text
@@ -138,16 +139,17 @@ with recursive asks as (
   where conv_id is not null and turn is not null and role is distinct from 'assistant'
   group by conv_id, turn
 ), before as (
-  select a.conv_id, a.turn, max(b.turn) as named
-  from asks a join asks b on a.conv_id = b.conv_id and b.turn between a.turn - 3 and a.turn - 1
-  group by a.conv_id, a.turn
+  select * from (select conv_id, turn, lag(turn) over (partition by conv_id order by turn) as named from asks)
+  where named is not null
 ), chain as (
   select conv_id, turn, 0::bigint as level from asks
   where (conv_id, turn) not in (select (conv_id, turn) from before)
   union all
   select b.conv_id, b.turn, c.level + 1 from before b join chain c on b.conv_id = c.conv_id and b.named = c.turn
 ), answers as (
-  select conv_id, turn, min(text) as text from conversations where role = 'assistant' group by conv_id, turn
+  select a.conv_id, k.turn as named, min((a.turn, a.text)) as first
+  from (select conv_id, turn, min(text) as text from conversations where role = 'assistant' group by conv_id, turn) a
+  asof join asks k on a.conv_id = k.conv_id and a.turn > k.turn group by a.conv_id, k.turn
 ), told as (
   select *, length(text)::bigint as chars,
          len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::bigint as words
@@ -158,9 +160,9 @@ select t.conv_id, t.turn, t.turn::varchar as call_id,
        c.level,
        '{"chars":' || chars || ',"role":"' || t.role || '","words":' || words || '}' as arguments,
        chars >= 1 and words >= 1 and t.role in ('user', 'system') as valid,
-       r.turn as result_turn, length(r.text)::bigint as result_chars
+       r.first[1] as result_turn, length(r.first[2])::bigint as result_chars
 from told t join chain c using (conv_id, turn)
-left join answers r on r.conv_id = t.conv_id and r.turn = t.turn + 1
+left join answers r on r.conv_id = t.conv_id and r.named = t.turn
 """
 
 

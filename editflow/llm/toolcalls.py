@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from editflow.functions.skew import as_of
 from editflow.llm.tables import stored
 
 # Per tool and argument: its type, whether it must be there, and the least number or the
@@ -40,8 +41,10 @@ def as_messages(turns: DataFrame) -> DataFrame:
     """Plain conversations (conv_id, turn, role, text) as messages of calls and results.
 
     Each turn that is not an assistant's asks for an answer: a call whose arguments
-    describe its text, after the call of the turn before it that was one. Each
-    assistant's turn is the result of the call one turn earlier.
+    describe its text, after the last call before it. Each assistant's turn is a result of
+    the last call before it, however many answers lie between; `linked_calls` takes the
+    earliest of a call's results, of several at one turn the one with the smallest text.
+    Answers before the first call belong to nothing.
     """
     text = F.coalesce("text", F.lit(""))
     call = F.col("turn").cast("string")
@@ -54,15 +57,8 @@ def as_messages(turns: DataFrame) -> DataFrame:
         )
     )
     asks = turns.where("turn is not null and conv_id is not null and not (role <=> 'assistant')")
-    ids = asks.groupBy("conv_id", "turn").agg(F.count("*").alias("_n")).drop("_n")
-    earlier = ids.select("conv_id", F.col("turn").alias("_before"))
-    # The latest earlier ask is at most a few turns back: no window over a whole conversation.
-    steps = [
-        asks.select("conv_id", "turn").distinct()
-        .withColumn("_before", F.col("turn") - d).join(earlier, ["conv_id", "_before"])
-        for d in (1, 2, 3)
-    ]
-    before = reduce(DataFrame.unionByName, steps).groupBy("conv_id", "turn").agg(F.max("_before").alias("_before"))
+    ids = stored(asks.groupBy("conv_id", "turn").agg(F.count("*").alias("_n")).drop("_n"), "asks")
+    before = _asked_before(ids, ids).withColumnRenamed("_named", "_before")
     asked = asks.join(before, ["conv_id", "turn"], "left").select(
         "conv_id",
         "turn",
@@ -80,17 +76,28 @@ def as_messages(turns: DataFrame) -> DataFrame:
             )
         ).alias("text"),
     )
-    answered = turns.where("turn is not null and conv_id is not null and role = 'assistant'").select(
+    answers = turns.where("turn is not null and conv_id is not null and role = 'assistant'")
+    linked = _asked_before(answers.select("conv_id", "turn", "text"), ids)
+    answered = linked.select(
         "conv_id",
         "turn",
         F.lit("tool").alias("role"),
-        F.to_json(F.struct((F.col("turn") - 1).cast("string").alias("tool_call_id"), F.col("text").alias("content"))).alias(
-            "text"
-        ),
+        F.to_json(F.struct(F.col("_named").cast("string").alias("tool_call_id"), F.col("text").alias("content"))).alias("text"),
     )
     return asked.unionByName(answered)
 
 
+def _asked_before(turns: DataFrame, asks: DataFrame) -> DataFrame:
+    """turns with _named, the last ask of their conversation before them, however far back.
+
+    A range sort over conversations and turns, so that a long conversation is dealt over many
+    tasks; turns without an earlier ask drop out.
+    """
+    rows = turns.withColumn("_at", F.col("turn") - 1)
+    versions = asks.select("conv_id", F.col("turn").alias("_since"), F.col("turn").alias("_named"))
+    return as_of(rows, versions, ["conv_id"], "_at", "_since", ["_named"]).drop("_at")
+
+
 def linked_calls(messages: DataFrame, schemas: Mapping[str, Mapping[str, tuple]] = SCHEMAS) -> DataFrame:
     """One row per call: conv_id, turn, call_id, name, level, arguments, valid, result_turn, result.
 
