@@ -503,3 +503,107 @@ def test_combined_disguises_and_words_across_any_edge():
         assert {"rascal", "villain"} <= toxicity.Reader(model).words(token), lead
     long = toxicity.decode("w1ndow." * 500, model).split()
     assert long == ["window"] * 500
+
+
+def test_samples_reach_the_driver_within_bounds(spark):
+    """500 partitions and a limit of 16 MB for what tasks send: dictionaries and centres still come."""
+    conf = spark.sparkContext._jsc.sc().conf()
+    before = conf.get("spark.driver.maxResultSize", "1g")
+    letters = F.concat_ws(" ", F.sequence(F.col("id"), F.col("id") + 400))
+    rows = spark.range(0, 6_000, 1, 500).select(
+        F.col("id").alias("page_id"), F.col("id").cast("string").alias("url"), letters.alias("html")
+    )
+    texts = rows.select(F.col("page_id").alias("doc"), F.encode("html", "UTF-8").alias("text"))
+    vectors = spark.range(0, 20_000, 1, 500).select(
+        F.col("id").alias("vec_id"),
+        F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.sin(F.col("id") * i)).alias("embedding"),
+    )
+    units = vectors.mapInArrow(embeddings._scale, embeddings._UNIT).where("key is not null")
+    conf.set("spark.driver.maxResultSize", "16m")
+    try:
+        assert len(warc.dictionary(rows)) > 0 and len(suffix.dictionary(texts)) > 0
+        assert embeddings._centres(units, embeddings.SAMPLE, 1).shape[1] == 64
+    finally:
+        conf.set("spark.driver.maxResultSize", before)
+
+
+def test_a_sample_is_the_same_in_every_run(spark):
+    from editflow.llm.tables import sampled
+
+    rows = spark.range(5_000).withColumn("copy", F.lit(1))
+    first = {r.id for r in sampled(rows, ["id"], 100, "s")}
+    assert len(first) == 100 and first == {r.id for r in sampled(rows.repartition(13), ["id"], 100, "s")}
+    assert len(sampled(rows.limit(7), ["id"], 100, "s")) == 7
+    assert len(sampled(rows, ["copy"], 100, "s")) == 1
+
+
+def test_scores_do_not_depend_on_the_number_of_indexes(spark):
+    rng = random.Random(11)
+    items = [(i, " ".join(words(rng, rng.randrange(8, 150), 300)) + ". " + " ".join(words(rng, 9, 300))) for i in range(60)]
+    texts = [(i, " ".join(words(rng, 60)) + " " + rng.choice(items)[1] + " " + " ".join(words(rng, 30))) for i in range(80)]
+    docs = spark.createDataFrame(texts, DOCS)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(tuple, decontam.contaminated(docs, table).collect()))
+    many = sorted(map(tuple, decontam.contaminated(docs, table, index_bytes=3_000).collect()))
+    assert len(one) >= 80 and one == many
+
+
+def test_a_question_with_another_answer_is_no_contamination(spark):
+    question = "what is the name of the long river that runs through the green valley of the north"
+    items = spark.createDataFrame([(1, question + "? it is called the silver water by all who live there")], "item_id long, text string")
+    rows = [
+        (1, "so " + question + "? it is called the silver water by all who live there indeed"),
+        (2, "so " + question + "? nobody has ever told me anything about that at all indeed"),
+        (3, "so people say it is called the silver water by all who live there indeed"),
+    ]
+    found = decontam.contaminated(spark.createDataFrame(rows, DOCS), items, overlap=0.4).collect()
+    assert [(r.doc_id, r.question, r.answer) for r in found] == [(1, 1.0, 1.0)]
+
+
+def test_an_ask_any_number_of_turns_back(spark):
+    roles = ["assistant", "user"] + ["assistant"] * 4 + ["user", "assistant", "user"] + ["assistant"] * 60 + ["system"]
+    turns = [("c", i, role, f"text {i}", "mine") for i, role in enumerate(roles)]
+    turns += [("d", 5, "assistant", "early", "x"), ("d", None, "user", "lost", "x"), (None, 1, "user", "lost", "x")]
+    turns += [("c", 2, "assistant", "a smaller text", "tie")]
+    frame = spark.createDataFrame(turns, "conv_id string, turn int, role string, text string, call_id string")
+    rows = toolcalls.linked_calls(toolcalls.as_messages(frame)).collect()
+    got = {r.turn: (r.level, r.result_turn, r.result) for r in rows}
+    assert got == {1: (0, 2, "a smaller text"), 6: (1, 7, "text 7"), 8: (2, 9, "text 9"), 69: (3, None, None)}
+
+
+def test_cut_letters_go_and_replacement_signs_stay(spark):
+    """A repeated string of 100 bytes ends inside a letter of two bytes; U+FFFD elsewhere is text."""
+    line = "x" * 99
+    rows = [(1, line + "é first"), (2, "keep � sign " + line + "è second �")]
+    found = suffix.without_repeats(spark.createDataFrame(rows, DOCS), letters=True).collect()
+    kept = {r.doc_id: (bytes(r.kept).decode(), r.n_removed) for r in found}
+    assert kept == {1: (rows[0][1], 0), 2: ("keep � sign  second �", 100)}
+
+
+def test_pipeline_stages_one_by_one(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rng = random.Random(2)
+    base = " ".join(words(rng, 60))
+    line = " ".join(words(rng, 30, 9_999))
+    rows = [
+        (1, base, "en", "s", 1), (2, base + " end", "en", "s", 1), (2, " ".join(words(rng, 40)), "en", "s", 1),
+        (3, "one � " + line, "en", "t", 1), (4, "two � " + line, "en", None, 1), (None, base, "en", "s", 1),
+        (5, None, None, None, None), (6, "", "en", "s", 0),
+    ]
+    docs = spark.createDataFrame(rows, schema).withColumn("kept", F.lit(1))
+    spark.createDataFrame([(1, " ".join(words(rng, 20)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    copies = pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    assert copies.columns == list(pipeline.COLUMNS)
+    first = min([rows[1], rows[2]], key=lambda r: hashlib.sha256(r[1].encode()).hexdigest())
+    assert {r.doc_id for r in copies.collect()} == {1, 3, 5, 6, None} | ({2} if first is rows[2] else set())
+    again = pipeline.drop_near_copies(spark, docs.repartition(5), str(tmp_path))
+    assert sorted(map(str, copies.collect())) == sorted(map(str, again.collect()))
+    cut = pipeline.cut_repeats(spark, docs.where("doc_id in (3, 4)"), str(tmp_path)).collect()
+    texts = {r.doc_id: (r.text, r.n_chars) for r in cut}
+    assert texts[3] == (rows[3][1], 1)
+    assert texts[4][0].startswith("two") and "�" in rows[4][1] and texts[4][1] == len(texts[4][0]) < 12
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
