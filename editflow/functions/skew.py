@@ -122,14 +122,21 @@ def numbered(
 
 
 def as_of(
-    rows: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, since: str, version: Sequence[str]
+    rows: DataFrame,
+    versions: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    since: str,
+    version: Sequence[str],
+    how: str = "inner",
 ) -> DataFrame:
     """rows with the columns `version` of the newest version of their keys whose `since` is not after `at`.
 
     Rows and versions are range-sorted together over keys and time, so a hot key is dealt
     over many tasks. In each partition a version is carried down to the rows below it, and
     the last one of a key is carried on to the key's later partitions. Rows before the first
-    version of their keys, or with a null key or time, drop out.
+    version of their keys drop out, with how='left' they stay with nulls; rows with a null key
+    or time drop out.
     """
     keys, payload = list(keys), F.struct(*version)
     old = versions.select(
@@ -153,5 +160,7 @@ def as_of(
     before = F.last("_end", ignorenulls=True).over(earlier).alias("_before")
     before = materialize(ends.select(*keys, "_part", before).where("_before is not null"), "carried")
     found = lookup_join(carried.where("_is_row"), before, keys + ["_part"], ["_place"], "left")
-    found = found.withColumn("_version", F.coalesce("_here", "_before")).where("_version is not null")
+    found = found.withColumn("_version", F.coalesce("_here", "_before"))
+    if how == "inner":
+        found = found.where("_version is not null")
     return found.select("_row.*", *[F.col("_version")[c].alias(c) for c in version])
