@@ -56,10 +56,15 @@ def as_messages(turns: DataFrame) -> DataFrame:
             F.length(text).alias("chars"),
         )
     )
-    asks = turns.where("turn is not null and conv_id is not null and not (role <=> 'assistant')")
-    ids = stored(asks.groupBy("conv_id", "turn").agg(F.count("*").alias("_n")).drop("_n"), "asks")
-    before = _asked_before(ids, ids).withColumnRenamed("_named", "_before")
-    asked = asks.join(before, ["conv_id", "turn"], "left").select(
+    kept = turns.where("turn is not null and conv_id is not null").select(
+        "conv_id", "turn", "role", F.col("text").cast("string")
+    )
+    asks = kept.where("not (role <=> 'assistant')").groupBy("conv_id", "turn").agg(F.count("*").alias("_n"))
+    versions = asks.select("conv_id", F.col("turn").alias("_since"), F.col("turn").alias("_named"))
+    # One range sort over conversations and turns, so that a long conversation is dealt over many tasks.
+    rows = kept.withColumn("_at", F.col("turn") - 1)
+    linked = stored(as_of(rows, versions, ["conv_id"], "_at", "_since", ["_named"], "left"), "linked")
+    asked = linked.where("not (role <=> 'assistant')").select(
         "conv_id",
         "turn",
         F.lit("assistant").alias("role"),
@@ -70,15 +75,13 @@ def as_messages(turns: DataFrame) -> DataFrame:
                         call.alias("id"),
                         name.alias("name"),
                         arguments.alias("arguments"),
-                        F.array_compact(F.array(F.col("_before").cast("string"))).alias("after"),
+                        F.array_compact(F.array(F.col("_named").cast("string"))).alias("after"),
                     )
                 ).alias("tool_calls")
             )
         ).alias("text"),
     )
-    answers = turns.where("turn is not null and conv_id is not null and role = 'assistant'")
-    linked = _asked_before(answers.select("conv_id", "turn", "text"), ids)
-    answered = linked.select(
+    answered = linked.where("role = 'assistant' and _named is not null").select(
         "conv_id",
         "turn",
         F.lit("tool").alias("role"),
@@ -87,17 +90,6 @@ def as_messages(turns: DataFrame) -> DataFrame:
     return asked.unionByName(answered)
 
 
-def _asked_before(turns: DataFrame, asks: DataFrame) -> DataFrame:
-    """turns with _named, the last ask of their conversation before them, however far back.
-
-    A range sort over conversations and turns, so that a long conversation is dealt over many
-    tasks; turns without an earlier ask drop out.
-    """
-    rows = turns.withColumn("_at", F.col("turn") - 1)
-    versions = asks.select("conv_id", F.col("turn").alias("_since"), F.col("turn").alias("_named"))
-    return as_of(rows, versions, ["conv_id"], "_at", "_since", ["_named"]).drop("_at")
-
-
 def linked_calls(messages: DataFrame, schemas: Mapping[str, Mapping[str, tuple]] = SCHEMAS) -> DataFrame:
     """One row per call: conv_id, turn, call_id, name, level, arguments, valid, result_turn, result.
 
