@@ -1,15 +1,13 @@
 """Toxicity of texts whose words may be disguised.
 
-Noisy channel: a writer's word became leetspeak, was spaced out, or had letters
-repeated or junk signs added. The observed signs form a lattice of possible letters;
-Viterbi decoding under a character trigram model of the corpus picks the likeliest
-reading. The words of the restored text are scored by a logistic regression on word
-beginnings that the labelled rows show to be typical of toxic texts.
+Words are restored first, see `deobfuscate`. The restored text is scored by a logistic
+regression on whole words and word beginnings that the labelled rows show to be typical of
+toxic texts. Each text is read twice: for the letters and disguised strings of the corpus,
+and for the score.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -17,264 +15,131 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from editflow.functions.skew import lookup_join
+from editflow.llm.deobfuscate import Signs, both, parts, readings, survey
 from editflow.llm.tables import stored
 
-# The classifier is fitted on at most SAMPLE labelled rows, and has at most FEATURES inputs.
+# The classifier is fitted on about SAMPLE labelled rows at most, and has at most FEATURES inputs.
 SAMPLE = 200_000
 FEATURES = 4_000
 LEAST_DOCS = 3
 FOLDS = 5
+# Word beginnings of so many letters are inputs, besides whole words.
+BEGINNINGS = (4, 5, 6, 8)
+# Rows whose words are counted at once, and counts that a task holds.
+ROWS, HELD = 512, 1_500_000
 
-# Letters of the character model: 0 is everything between words, 1 to 26 are a to z, then
-# come the letters from U+00DF to U+00FF, and one class for all others. With a fixed
-# alphabet the model has at most LETTERS ** 3 numbers, however much text it has seen.
-LETTERS = 60
-_CLASS = np.zeros(0x250, np.int64)
-_CLASS[97:123] = np.arange(1, 27)
-_CLASS[0xDF:0x100] = np.arange(27, 60)
-_CLASS[0xF7] = 0
-_OTHER = LETTERS - 1
-
-# What a sign may stand for.
-LEET = {
-    "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "ø": "o",
-}
-# Costs, in nats, of what the channel does to a letter.
-PLAIN, SWAPPED, REPEATED, DROPPED, SPLIT = 0.05, 1.0, 0.7, 2.5, 0.7
-_JUNK = "#*%&.,;:\"'()[]{}<>~^=?/\\-_!|$+@`"
-_LEAD = "#*%&.,;:\"'()[]{}<>~^=?/\\-_`"
-_TRIPLE = re.compile(r"([^\W\d_])\1\1")
-# Single signs that are, or may stand for, a letter, with anything else between them.
-_SIGN = "(?:[^\\W_]|[" + re.escape("".join(x for x in LEET if not x.isalnum())) + "])"
-_BETWEEN = re.compile(f"(?:(?!{_SIGN})[\\s\\S])+")
-_SPACED = re.compile(rf"(?<![^\W_]){_SIGN}(?:{_BETWEEN.pattern}{_SIGN}){{2,}}(?![^\W_])")
-# Of longer readings, only the last letters are still open.
-OPEN = 128
-_LETTER = re.compile(r"[^\W\d_]")
-
-
-def _classes(text: str) -> np.ndarray:
-    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    out = np.full(len(points), _OTHER)
-    known = points < len(_CLASS)
-    out[known] = _CLASS[points[known]]
-    return out
-
-
-def _letter(sign: str) -> int:
-    point = ord(sign)
-    return int(_CLASS[point]) if point < len(_CLASS) else _OTHER
 
-
-@dataclass
-class CharacterModel:
-    """Cost of a letter after two others, interpolated from three, two and one."""
-
-    cost: np.ndarray
-
-    @classmethod
-    def of(cls, cells: np.ndarray, counts: np.ndarray) -> CharacterModel:
-        three = np.zeros(LETTERS**3)
-        three[cells] = counts
-        three = three.reshape(LETTERS, LETTERS, LETTERS)
-        two, one = three.sum(0), three.sum((0, 1))
-        first = (one + 1) / (one.sum() + LETTERS)
-        second = (two + 5 * first) / (two.sum(1, keepdims=True) + 5)
-        third = (three + 5 * second) / (three.sum(2, keepdims=True) + 5)
-        return cls(-np.log(third).astype(np.float32))
-
-
-def character_counts(docs: DataFrame) -> DataFrame:
-    """cell, count: trigrams of letters over all texts, combined in each task first."""
-    rows = docs.select(F.col("text").cast("string")).mapInArrow(_trigrams, "cell int, count long")
-    return rows.groupBy("cell").agg(F.sum("count").alias("count"))
-
-
-def _trigrams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(LETTERS**3, np.int64)
-    for batch in batches:
-        for text in batch.column(0):
-            if text.is_valid:
-                c = _classes(f" {text.as_py().lower()}  ")
-                cells = (c[:-2] * LETTERS + c[1:-1]) * LETTERS + c[2:]
-                # Only what ends in a letter, or the end of a word.
-                cells = cells[(c[2:] > 0) | (c[1:-1] > 0)]
-                if len(cells) > 1 << 14:
-                    total += np.bincount(cells, minlength=len(total))
-                else:
-                    np.add.at(total, cells, 1)
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["cell", "count"]
-    )
-
-
-def decode(observed: str, model: CharacterModel) -> str:
-    """The likeliest reading of observed signs; a space in it parts words.
-
-    States are the last two letters and whether the last sign was a letter that may
-    repeat; each sign either gives a letter, repeats the last, parts words, or is junk.
-    """
-    cost = model.cost
-    settled = ""
-    states: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
-    for sign in observed:
-        letters = [(sign, PLAIN)] if _LETTER.match(sign) else []
-        letters += [(x, SWAPPED) for x in LEET.get(sign, "")]
-        after: dict[tuple[int, int, str], tuple[float, str]] = {}
-
-        def reach(state: tuple[int, int, str], price: float, path: str) -> None:
-            if state not in after or price < after[state][0]:
-                after[state] = (price, path)  # noqa: B023
-
-        for (a, b, last), (price, path) in states.items():
-            for x, channel in letters:
-                c = _letter(x)
-                reach((b, c, x), price + channel + float(cost[a, b, c]), path + x)
-                if x == last:
-                    reach((a, b, last), price + channel + REPEATED, path)
-            if not letters or sign in LEET:
-                reach((a, b, last), price + (SPLIT if not letters else DROPPED), path)
-            if not letters and b:
-                reach((b, 0, ""), price + float(cost[a, b, 0]), path + " ")
-        # Readings with equal states are merged above; the costliest can't win any more.
-        if len(after) > 256:
-            least = min(p for p, _ in after.values())
-            after = {s: v for s, v in after.items() if v[0] <= least + 30}
-        states = after
-        best = min(states.values())[1]
-        if len(best) > 2 * OPEN:
-            done = best[:-OPEN]
-            states = {k: (v, path[len(done) :]) for k, (v, path) in states.items() if path.startswith(done)}
-            settled += done
-    ends = [(price + float(cost[a, b, 0]) * (b > 0), path) for (a, b, _), (price, path) in states.items()]
-    return (settled + min(ends)[1]).strip()
-
-
-def disguised(core: str) -> bool:
-    """Whether a word without surrounding signs mixes letters with others, or repeats one thrice."""
-    if core.isalpha():
-        return _TRIPLE.search(core) is not None
-    return _LETTER.search(core) is not None
-
-
-def both(reading: str) -> list[str]:
-    """The words of a reading, and all of them as one word."""
-    words = reading.split()
-    return [*words, "".join(words)] if len(words) > 1 else words
-
-
-@dataclass
-class Reader:
-    """Words of a text as meant, with a bounded memory of words read before."""
-
-    model: CharacterModel
-    known: dict[str, tuple[str, ...]] = field(default_factory=dict)
-    most: int = 400_000
-
-    def words(self, text: str) -> set[str]:
-        text = text.lower()
-        found: set[str] = set()
-        for token in set(text.split()):
-            read = self.known.get(token)
-            if read is None:
-                read = self.read(token)
-                if len(self.known) >= self.most:
-                    self.known.clear()
-                self.known[token] = read
-            found.update(read)
-        for spaced in _SPACED.finditer(text):
-            found.update(both(decode(_BETWEEN.sub(" ", spaced.group()), self.model)))
-        return found
-
-    def read(self, token: str) -> tuple[str, ...]:
-        core = token.rstrip(_JUNK).lstrip(_LEAD)
-        if not disguised(core):
-            return (core,) if core else ()
-        # Codes and addresses are read in pieces between signs that hide no letter.
-        out = [core]
-        for piece in re.split(r"[^\w@$!|+€(\-.*]+|[-.*]{2,}", core):
-            if piece:
-                out.extend(both(decode(piece, self.model)))
-        return tuple(out)
-
-
-def beginnings(words: Iterable[str]) -> set[str]:
-    """What the classifier sees of words: the whole word, and its first 4, 5, 6 and 8 letters."""
-    found = set()
-    for word in words:
-        found.add(f"{word[:32]}$")
-        for n in (4, 5, 6, 8):
-            if len(word) > n:
-                found.add(word[:n])
-    return found
+def beginnings(word: str) -> list[str]:
+    """What the classifier sees of a word: the whole of it, and its first letters."""
+    return [f"{word}$", *(word[:n] for n in BEGINNINGS if len(word) > n)]
 
 
 @dataclass
 class ToxicityModel:
-    characters: CharacterModel
     index: dict[str, int]
     weights: np.ndarray
     bias: float
+    heads: set[str] = field(default_factory=set)
+
+    def __post_init__(self) -> None:
+        # The first four letters of all words that have an input, or the whole of shorter ones.
+        self.heads = {x.removesuffix("$")[:4] for x in self.index}
+
+    def hits(self, words: Iterable[str]) -> set[int]:
+        some = [word for word in words if word[:4] in self.heads]
+        return {self.index[x] for word in some for x in beginnings(word) if x in self.index}
 
-    def hits(self, reader: Reader, memory: dict[str, tuple[int, ...]], text: str | None) -> set[int]:
-        if not text or not self.index:
-            return set()
-        out: set[int] = set()
-        for word in reader.words(text):
-            at = memory.get(word)
-            if at is None:
-                at = tuple(self.index[b] for b in beginnings((word,)) if b in self.index)
-                if len(memory) >= reader.most:
-                    memory.clear()
-                memory[word] = at
-            if at:
-                out.update(at)
-        return out
-
-    def score(self, hits: set[int]) -> float:
-        logit = self.bias + float(self.weights[list(hits)].sum()) if hits else self.bias
+    def score(self, hits: Iterable[int]) -> float:
+        logit = self.bias + float(self.weights[list(hits)].sum())
         return float(1 / (1 + np.exp(-np.clip(logit, -50, 50))))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """text, toxic of the rows to learn from: crc32 of the id leaves a remainder other than 0.
 
-    At most `sample` labels, chosen by a hash of the id, so the table of labels is small.
+    If there are more than `sample` labels, those whose ids' hashes lie below a cutoff that
+    leaves about so many, so the table of labels is small.
     """
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
     known = known.where("doc_id is not null and toxic is not null")
     known = known.where(F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0)
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    known = stored(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labels")
+    total = known.count()
+    if total > sample:
+        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < (1 << 40) * sample // total)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.join(F.broadcast(stored(known, "labels")), "doc_id").select("text", "toxic")
+    return texts.join(F.broadcast(known), "doc_id").select("text", "toxic")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
-    counts = character_counts(docs).collect()  # at most LETTERS ** 3 rows
-    characters = CharacterModel.of(
-        np.array([r["cell"] for r in counts], np.int64), np.array([r["count"] for r in counts], np.float64)
-    )
-    learn = labelled(docs, labels, sample)
-    schema = "feature string, toxic long, clean long"
-    tally = learn.mapInArrow(partial(_tally, characters=characters), schema)
+def _scan(batches: Iterable[pa.RecordBatch], model: ToxicityModel | None) -> Iterator[pa.RecordBatch]:
+    """Rows without text, with a number, the words or the model's inputs among them, and the strings to decode."""
+    task, number = TaskContext.get().partitionId() << 33, 0
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        rest = batch.schema.remove(at)
+        for low in range(0, batch.num_rows, ROWS):
+            part = batch.slice(low, ROWS)
+            signs = Signs.of(part.column(at).to_pylist())
+            spaced, tripled = signs.spaced(), signs.tripled()
+            found, strings = [], []
+            for i, text in enumerate(signs.texts):
+                words, hidden = parts(text, i in spaced, i in tripled)
+                found.append(sorted(words) if model is None else sorted(model.hits(words)))
+                strings.append(sorted(hidden))
+            numbers = np.arange(number, number + part.num_rows) + task
+            number += part.num_rows
+            kind = pa.string() if model is None else pa.int32()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(part.column(name) for name in rest.names),
+                    pa.array(numbers),
+                    pa.array(found, pa.list_(kind)),
+                    pa.array(strings, pa.list_(pa.string())),
+                ],
+                names=[*rest.names, "_row", "_found", "_strings"],
+            )
+
+
+def scanned(docs: DataFrame, model: ToxicityModel | None = None) -> DataFrame:
+    """docs without text, stored, with _row, _found (words, or inputs of the model) and _strings."""
+    kept = [f for f in docs.schema.fields if f.name != "text"]
+    found = T.ArrayType(T.StringType() if model is None else T.IntegerType())
+    new = [("_row", T.LongType()), ("_found", found), ("_strings", T.ArrayType(T.StringType()))]
+    layout = T.StructType([*kept, *[T.StructField(name, kind) for name, kind in new]])
+    return stored(docs.mapInArrow(partial(_scan, model=model), layout), "scanned")
+
+
+def _with_readings(rows: DataFrame, known: DataFrame, value: str) -> DataFrame:
+    """rows with _more, the values that the table (string, value) has of their strings."""
+    asked = rows.select("_row", F.explode("_strings").alias("string"))
+    met = lookup_join(asked, known, ["string"], spread=["_row"])
+    more = met.groupBy("_row").agg(F.collect_set(value).alias("_more"))
+    return rows.join(more, "_row", "left")
+
+
+def fit(docs: DataFrame, labels: DataFrame, known: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
+    """The classifier; known (string, reading) are the readings of the corpus' disguised strings."""
+    learn = _with_readings(scanned(labelled(docs, labels, sample)), known, "reading")
+    learn = stored(learn.select("toxic", "_found", "_more"), "learn")
+    tally = learn.mapInArrow(_tally, "feature string, toxic long, clean long")
     tally = tally.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     tally = stored(tally.where((F.col("feature") == "") | (F.col("toxic") >= LEAST_DOCS)), "tally")
     total = tally.where("feature = ''").first()
     if total is None or not total["toxic"] or not total["clean"]:
         share = 0.0 if total is None or not total["toxic"] else 1.0
-        return ToxicityModel(characters, {}, np.zeros(0), 20.0 * (2 * share - 1))
+        return ToxicityModel({}, np.zeros(0), 20.0 * (2 * share - 1))
     rate = (F.col("toxic") + 0.5) / total["toxic"] / ((F.col("clean") + 0.5) / total["clean"])
     typical = tally.where(F.col("feature") != "").withColumn("rate", rate).where("rate > 8")
     typical = typical.orderBy((F.col("toxic") * F.log("rate")).desc(), "feature").limit(FEATURES)
     names = [r["feature"] for r in typical.select("feature").collect()]
-    model = ToxicityModel(characters, {x: i for i, x in enumerate(names)}, np.zeros(len(names)), 0.0)
+    model = ToxicityModel({x: i for i, x in enumerate(names)}, np.zeros(len(names)), 0.0)
     rows = learn.mapInArrow(partial(_inputs, model=model), "toxic int, hits array<int>, rows long")
     merged = rows.groupBy("toxic", "hits").agg(F.sum("rows").alias("rows")).collect()
     merged.sort(key=lambda r: (r["toxic"], r["hits"]))
@@ -282,41 +147,56 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
     return model
 
 
-def _tally(
-    batches: Iterable[pa.RecordBatch], characters: CharacterModel
-) -> Iterator[pa.RecordBatch]:
-    reader = Reader(characters)
-    seen: list[Counter[str]] = [Counter(), Counter()]
+def _read_words(more: list[str] | None) -> list[str]:
+    return [word for reading in more or () for word in both(reading)]
 
-    def out() -> pa.RecordBatch:
-        names = sorted(seen[1].keys() | seen[0].keys())
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(names, pa.string()),
-                pa.array([seen[1][x] for x in names], pa.int64()),
-                pa.array([seen[0][x] for x in names], pa.int64()),
-            ],
-            ["feature", "toxic", "clean"],
-        )
 
+def _tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of each kind that hold a feature; the empty feature stands for all texts."""
+    held: list[pa.Table] = []
+    size = 0
     for batch in batches:
-        for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-            tally = seen[int(toxic > 0)]
-            tally[""] += 1
-            tally.update(beginnings(reader.words(text.as_py() or "")))
-        if len(seen[0]) > 1_000_000:
-            yield out()
-            seen = [Counter(), Counter()]
-    yield out()
+        for low in range(0, batch.num_rows, ROWS):
+            part = batch.slice(low, ROWS)
+            toxic = pc.cast(pc.greater(part.column(0), 0), pa.int64())
+            hidden = [(i, w) for i, more in enumerate(part.column(2).to_pylist()) for w in _read_words(more)]
+            rows = np.concatenate([pc.list_parent_indices(part.column(1)), [i for i, _ in hidden]]).astype(np.int64)
+            words = pa.concat_arrays([pc.list_flatten(part.column(1)), pa.array([w for _, w in hidden], pa.string())])
+            length = pc.utf8_length(words).to_numpy(zero_copy_only=False)
+            features = [pc.binary_join_element_wise(words, "$", "")]
+            owners = [rows]
+            for n in BEGINNINGS:
+                longer = length > n
+                features.append(pc.utf8_slice_codeunits(words.filter(pa.array(longer)), 0, n))
+                owners.append(rows[longer])
+            owner = pa.array(np.concatenate(owners))
+            pairs = pa.table({"row": owner, "feature": pa.concat_arrays(features)})
+            pairs = pairs.group_by(["row", "feature"]).aggregate([])
+            marked = pa.table({"feature": pairs["feature"], "toxic": toxic.take(pairs["row"])})
+            whole = pa.table({"feature": pa.array([""] * part.num_rows, pa.string()), "toxic": toxic})
+            both_kinds = pa.concat_tables([marked, whole]).append_column(
+                "clean", pc.subtract(1, pa.concat_tables([marked, whole])["toxic"])
+            )
+            held.append(_summed(both_kinds))
+            size += len(held[-1])
+            if size > HELD:
+                yield from _summed(pa.concat_tables(held)).to_batches()
+                held, size = [], 0
+    if held:
+        yield from _summed(pa.concat_tables(held)).to_batches()
+
+
+def _summed(counts: pa.Table) -> pa.Table:
+    summed = counts.group_by("feature").aggregate([("toxic", "sum"), ("clean", "sum")])
+    return pa.table({"feature": summed["feature"], "toxic": summed["toxic_sum"], "clean": summed["clean_sum"]})
 
 
 def _inputs(batches: Iterable[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:
-    reader = Reader(model.characters)
-    memory: dict[str, tuple[int, ...]] = {}
     for batch in batches:
-        toxic = [int(x > 0) for x in batch.column(1).to_pylist()]
-        hits = [sorted(model.hits(reader, memory, t.as_py())) for t in batch.column(0)]
-        counted = Counter(zip(toxic, map(tuple, hits)))
+        toxic = [int(x > 0) for x in batch.column(0).to_pylist()]
+        words = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+        hits = [tuple(sorted(model.hits([*shown, *_read_words(more)]))) for shown, more in words]
+        counted = Counter(zip(toxic, hits))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([x for x, _ in counted], pa.int32()),
@@ -346,37 +226,53 @@ def _regress(rows: list, features: int, steps: int = 400, ridge: float = 1.0) ->
     return weights, float(bias)
 
 
-def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """docs with held_out, score (0 to 1) and predicted (1 if score >= 0.5).
+def scored(docs: DataFrame, model: ToxicityModel, known: DataFrame) -> DataFrame:
+    """docs without text, with held_out, score (0 to 1), predicted (1 if score >= 0.5, else 0).
 
-    Only text is an input of the score; null and empty texts score like texts without
-    any typical word. held_out is false without doc_id. Columns of docs with these
-    names are replaced, all others stay.
+    Null and empty texts score as texts without any input. Columns of docs with the names of
+    new ones are replaced, all others but text stay. Equal texts have equal scores.
     """
-    held_out = F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0
-    rows = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False))).drop("score", "predicted")
-    schema = T.StructType(
-        [*rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    )
-    return rows.mapInArrow(partial(_score, model=model), schema)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(False))
+    rows = docs.withColumns({"held_out": held_out, "text": F.col("text").cast("string")})
+    rows = scanned(rows.drop("score", "predicted", "_row", "_found", "_strings", "_more"), model)
+    # Of all readings, few have an input of the model.
+    typical = known.mapInArrow(partial(_hit_readings, model=model), "string string, hit int")
+    rows = _with_readings(rows, stored(typical, "typical"), "hit").drop("_strings", "_row")
+    kept = [f for f in rows.schema.fields if f.name not in ("_found", "_more")]
+    layout = [*kept, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    return rows.mapInArrow(partial(_score, model=model), T.StructType(layout))
+
+
+def _hit_readings(batches: Iterable[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = [
+            (string, hit)
+            for string, reading in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for hit in sorted(model.hits(both(reading)))
+        ]
+        strings, hits = zip(*pairs) if pairs else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(strings, pa.string()), pa.array(hits, pa.int32())], ["string", "hit"])
 
 
 def _score(batches: Iterable[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:
-    reader = Reader(model.characters)
-    memory: dict[str, tuple[int, ...]] = {}
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index("text"))
-        scores = np.array([model.score(model.hits(reader, memory, t.as_py())) for t in texts], float)
+        rows = pa.Table.from_batches([batch])
+        hits = zip(rows["_found"].to_pylist(), rows["_more"].to_pylist())
+        scores = np.array([model.score(sorted({*shown, *(more or ())})) for shown, more in hits], float)
+        rows = rows.drop_columns(["_found", "_more"])
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
-            names=[*batch.schema.names, "score", "predicted"],
+            [*(c.combine_chunks() for c in rows.columns), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
+            names=[*rows.column_names, "score", "predicted"],
         )
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """docs (doc_id, text) with held_out, score, predicted; fitted on its labelled rows.
+    """docs (doc_id, text) without text, with held_out, score, predicted; fitted on its labelled rows.
 
     Without labelled rows of both kinds, every row scores near 0, or near 1 if all are
     toxic. Rows of labels with nulls are ignored; of repeated ids the higher label counts.
+    See `scored` for nulls and clashing columns.
     """
-    return scored(docs, fit(docs, labels, sample))
+    trigrams, strings = survey(docs)
+    known = readings(strings, trigrams)
+    return scored(docs, fit(docs, labels, known, sample), known)

@@ -14,7 +14,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from editflow.llm import decontam, embeddings, licences, minhash, mixing, perplexity, suffix, toolcalls, toxicity, warc
+from editflow.llm import decontam, deobfuscate, embeddings, licences, minhash, mixing, perplexity, suffix, toolcalls, toxicity, warc
 from editflow.llm.graph import components
 from editflow.llm.words import shingle_hashes, shingle_set, word_hashes
 
@@ -471,40 +471,118 @@ def toxic_table(spark, n=400):
     return spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int")
 
 
-def test_toxic_words_are_found_under_disguise(spark):
-    docs, labels = toxic_table(spark)
-    model = toxicity.fit(docs, labels)
-    reader = toxicity.Reader(model.characters)
-    for disguise in ["v1ll@in", "v i l l a i n", "viiiillain", "r4$cal###", "r.a.s.c.a.l", "Rascal!!"]:
-        text = f"the house of {disguise} and some trees {disguise}"
-        assert model.hits(reader, {}, text) and reader.words(disguise) & {"villain", "rascal"}, disguise
-    found = toxicity.scored(docs, model).collect()
-    wrong = [r for r in found if r.held_out and r.predicted != (r.doc_id % 5 == 0)]
-    assert len(wrong) <= 2 and 0 < sum(r.held_out for r in found) < 200
+def words_meant(text, letters):
+    signs = deobfuscate.Signs.of([text])
+    words, strings = deobfuscate.parts(signs.texts[0], bool(signs.spaced()), bool(signs.tripled()))
+    return words | {w for s in strings for w in deobfuscate.both(deobfuscate.decode(s, letters))}
+
 
+def letters_of(texts):
+    """The model of some texts, counted letter by letter."""
+    counts, total, seen = collections.Counter(), 0, set()
+    for text in texts:
+        codes = [0, 0, *(ord(x) if re.match(r"[^\W\d_]", x) else 0 for x in text.lower()), 0, 0]
+        for a, b, c in zip(codes, codes[1:], codes[2:]):
+            if b or c:
+                counts.update(deobfuscate.Letters.keys(a, b, c))
+                total += 1
+                seen.add(c)
+    return deobfuscate.Letters(dict(counts), total, len(seen) + 1)
 
-def letters_model(texts):
-    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
-    cells, counts = next(toxicity._trigrams([batch])).columns
-    return toxicity.CharacterModel.of(np.array(cells), np.array(counts, float))
+
+def test_toxic_words_are_found_under_disguise(spark):
+    docs, labels = toxic_table(spark)
+    disguises = ["v1ll@in", "v i l l a i n", "viiiillain", "r4$cal###", "r.a.s.c.a.l", "Rascal!!", "plain trees"]
+    more = [(5 * (1_000 + i), f"the house of {d} and some trees {d}") for i, d in enumerate(disguises)]
+    docs = docs.unionByName(spark.createDataFrame(more, DOCS)).withColumn("score", F.lit("mine"))
+    found = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    assert [found[i].predicted for i, _ in more] == [1] * 6 + [0]
+    wrong = [r for i, r in found.items() if i < 400 and r.held_out and r.predicted != (i % 5 == 0)]
+    assert len(found) == 407 and len(wrong) <= 2 and 0 < sum(r.held_out for r in found.values()) < 200
 
 
 def test_combined_disguises_and_words_across_any_edge():
     rng = random.Random(9)
     names = "the quick rascal villain house garden paper letter number window reading writing people water".split()
-    model = letters_model([" ".join(rng.choice(names) for _ in range(50)) for _ in range(200)])
+    model = letters_of([" ".join(rng.choice(names) for _ in range(50)) for _ in range(200)])
     for disguise in ["r @ s c a l", "r @ $ c a l", "r\n@\t$\nc,a\tl", "(r . 4 . s . c . 4 . l).", "r _ @ * s - c a l !", "v 1 l l a 1 n"]:
-        found = toxicity.Reader(model).words(f"people and {disguise} house")
+        found = words_meant(f"people and {disguise} house", model)
         assert found & {"rascal", "villain"}, disguise
-    assert "pap" in toxicity.Reader(model).words("p a p")
+    assert "pap" in words_meant("p a p", model)
     for lead in range(1, 90):
         # A word that starts at any place of a long token, after letters that are one word.
         token = "water." * (lead // 6) + "p" * (lead % 6) + ".r@sc4l." + "window." * 40 + "v1llain"
-        assert {"rascal", "villain"} <= toxicity.Reader(model).words(token), lead
-    long = toxicity.decode("w1ndow." * 500, model).split()
+        assert {"rascal", "villain"} <= words_meant(token, model), lead
+    long = deobfuscate.decode("w1ndow." * 500, model).split()
     assert long == ["window"] * 500
 
 
+def test_letters_of_any_script():
+    rng = random.Random(3)
+    model = letters_of([" ".join(rng.choice("мерзавец дом зелёный сад окно человек большой".split()) for _ in range(40)) for _ in range(50)])
+    assert "мерзавец" in words_meant("ммммерзавец", model)
+    assert "мерзавец" in words_meant("м е р з а в е ц", model)
+    assert deobfuscate.decode("мер*завец", model) == "мерзавец"
+
+
+def all_readings(observed, letters):
+    """Every way to read a short string, with its cost."""
+    best = {}
+
+    def go(at, a, b, last, price, text):
+        if at == len(observed):
+            price += letters(a, b, 0) if b else 0.0
+            text = text.strip()
+            best[text] = min(price, best.get(text, math.inf))
+            return
+        for (x, y, new), channel, read, scored in deobfuscate._steps((a, b, last), observed[at], deobfuscate._options(observed[at])):
+            go(at + 1, x, y, new, price + channel + (letters(a, b, scored) if scored >= 0 else 0.0), text + read)
+
+    go(0, 0, 0, "", 0.0, "")
+    return best
+
+
+def test_decoding_against_all_readings():
+    rng = random.Random(6)
+    model = letters_of(["all the small boats sail slowly past the old castle", "good tea is best"])
+    for _ in range(150):
+        observed = "".join(rng.choice("aalst1!0@$5|. *é") for _ in range(rng.randrange(1, 8)))
+        readings = all_readings(observed, model)
+        found = deobfuscate.decode(observed, model)
+        assert readings[found] == pytest.approx(min(readings.values())), observed
+        # The trigrams that a block asks for are all that a decoding needs.
+        asked = {key for gram in deobfuscate.passed(observed) for key in deobfuscate.Letters.keys(*gram)}
+        part = deobfuscate.Letters({k: v for k, v in model.counts.items() if k in asked}, model.total, model.alphabet)
+        assert deobfuscate.decode(observed, part) == found
+
+
+def test_the_cheap_look_finds_what_the_pattern_finds():
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("ab 1@$.,-é_\n€ ") for _ in range(rng.randrange(30))) for _ in range(3_000)]
+    signs = deobfuscate.Signs.of(texts)
+    assert signs.spaced() == {i for i, t in enumerate(texts) if deobfuscate._SPACED.search(t.lower())}
+    assert signs.tripled() == {i for i, t in enumerate(texts) if deobfuscate._TRIPLE.search(t.lower())}
+
+
+def test_letters_and_readings_of_a_corpus(spark, monkeypatch):
+    """Counted over many texts and in blocks, as letter by letter at once."""
+    rng = random.Random(8)
+    names = "the quick rascal villain house мерзавец größe 漢字 paper".split()
+    disguises = ["v1ll@in", "r 4 s c a l", "мммерзавец", "gr0ße", "ho-use", "漢 字 漢 字"]
+    texts = [" ".join(rng.choice(names) for _ in range(30)) + " " + rng.choice(disguises) for _ in range(200)] + [None, "", "\n"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(6)
+    monkeypatch.setattr(deobfuscate, "BLOCK", 2)
+    trigrams, strings = deobfuscate.survey(docs)
+    model = letters_of([t or "" for t in texts])
+    got = {(deobfuscate.TRI, r.gram): r["count"] for r in trigrams.collect()}
+    assert got == {k: v for k, v in model.counts.items() if k[0] == deobfuscate.TRI}
+    grams = {(r.kind, r.key): r["count"] for r in deobfuscate.gram_table(trigrams).collect()}
+    assert grams == model.counts
+    read = {r.string: r.reading for r in deobfuscate.readings(strings, trigrams).collect()}
+    assert read == {s: deobfuscate.decode(s, model) for s in read} and len(read) >= 6
+    assert read["v1ll@in"] == "villain"
+
+
 def test_samples_reach_the_driver_within_bounds(spark):
     """500 partitions and a limit of 16 MB for what tasks send: dictionaries and centres still come."""
     conf = spark.sparkContext._jsc.sc().conf()
