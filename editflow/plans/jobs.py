@@ -9,7 +9,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editflow.operators.counts import count_by_channel
+from editflow.operators.counts import count_by_channel, with_totals
 from editflow.operators.joins import route_edits
 from editflow.operators.models import CLUSTERS, EPSILON, detect_anomalies, fit_all_models
 from editflow.operators.parse import (
@@ -32,6 +32,7 @@ from editflow.streaming.sinks import (
     for_each_edit,
     start,
     stream_ingest,
+    stream_once,
     stream_score,
     stream_store,
 )
@@ -88,14 +89,22 @@ def count(
     watermark: str = WATERMARK,
     codec="json",
     once=False,
+    table: str | None = None,
 ):
     """Counts per interval of every channel and of all messages, as metric rows.
 
     Empty intervals are reported, too. Edits that come after their interval was reported are
     rows of their own, which a counter adds up. An error in the store stops the query, and
-    the batch is run again.
+    the batch is run again. With `table`, edits are stored there and only first deliveries
+    count, however late a frame comes again; each batch then reports what it adds.
     """
     write = batch_folder(path)
+    if table is not None:
+        def add(batch: DataFrame, batch_id: int) -> None:
+            counted = materialize(count_by_channel(batch, interval), "counts")
+            write(metric_rows(with_totals(counted)), batch_id)
+
+        return stream_once(read_bus(spark, bus), table, checkpoint, [add], codec, once)
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         write(metric_rows(batch), batch_id)
@@ -137,9 +146,9 @@ def score(
 ):
     """Counts of the bus against the saved models; a channel without a model is not scored.
 
-    The models are loaded for each batch, so that a later `train` counts without a restart.
+    A frame that comes again within the watermark counts once. The models are loaded for each batch, so that a later `train` counts without a restart.
     """
-    counts = stream_counts(_edits(spark, bus, codec), interval, watermark)
+    counts = stream_counts(_edits(spark, bus, codec), interval, watermark, unique=["id"])
     return stream_score(counts, lambda: load_models(spark, model_path), path, checkpoint, interval, eps, once)
 
 

@@ -3,6 +3,7 @@
 import datetime
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -203,10 +204,39 @@ def test_late_edits_are_counted_as_dropped(spark, folder):
         frame = spark.createDataFrame([(at(event[1]), event[2])], "ts timestamp, channel string")
         frame.coalesce(1).write.parquet(f"{path}/p={place}")
     source = spark.readStream.schema("ts timestamp, channel string").option("maxFilesPerTrigger", 1)
+    listener = counting.LateRows()
+    spark.streams.addListener(listener)
     counted = counting.stream_counts(source.parquet(f"{path}/*"), "1 hour", "0 seconds")
     query = sinks.start(counted, lambda batch, batch_id: batch.count(), folder("offsets"), once=True)
     query.awaitTermination()
     assert counting.dropped_late(query) == 1
+    for _ in range(100):  # the listener is told a little later
+        if listener.dropped.get(str(query.id)):
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(listener)
+    assert listener.dropped[str(query.id)] == 1
+
+
+def test_replayed_frames_count_once(spark, folder):
+    from editflow.plans import jobs
+
+    edits = edit_frame(spark, 60).withColumn("channel", F.lit("#c"))
+    options = {"format": "parquet", "path": folder("bus")}
+    bus.write_bus(bus.encode_bus(edits), options)
+    bus.write_bus(bus.encode_bus(edits.limit(30)), options)
+    metrics = folder("metrics")
+    jobs.count(
+        spark, options, metrics, folder("offsets"), "1 day", once=True, table=folder("edits")
+    ).awaitTermination()
+    got = {(r.bucket, r["name"]): r.value for r in spark.read.parquet(metrics).collect()}
+    assert got == {(r.bucket, r["name"]): r.n for r in counts.count_rollup(edits, "1 day").collect()}
+    # A stream of counts drops the copies that come within the watermark.
+    rows = [(f"i{n}", n * 60, "#c.wikipedia") for n in range(200)]
+    path, out = in_files(spark, folder, rows + rows, 4), folder("out")
+    counted = counting.stream_counts(stream(spark, path), "1 hour", "10 minutes", unique=["id"])
+    sinks.start(counted, sinks.batch_folder(out), folder("offsets"), once=True).awaitTermination()
+    assert {r.n for r in spark.read.parquet(out).collect()} == {60}
 
 
 def test_an_error_in_the_store_of_counts_stops_the_count_job(spark, folder, monkeypatch):
