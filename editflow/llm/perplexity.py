@@ -5,16 +5,15 @@ units, each as it is, so that an n-gram is one 64-bit number), one per language.
 tables grow with the trusted texts and stay in shards, dealt by language and n-gram:
 continuation counts, discounts, context totals and shares come from joins of them.
 
-Texts are scored in blocks of at most BLOCK bytes. Each block sends its distinct n-grams to
-the shards, gets back the shares of those that the model has, and meets its texts again,
-which were packed meanwhile. So a task holds a block and its part of the model, never the
+Texts are scored in blocks of at most BLOCK bytes, packed and stored. Each block sends its
+distinct n-grams to the shards, and what comes back, the shares of those that the model
+has, meets the block where it lies. So a task holds a block and its part of the model, never the
 whole model. A text is kept if its perplexity is at most that of a quantile of its
 language's trusted texts.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -26,8 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from editflow.llm.tables import bytes_of, having, spans, stored
-from editflow.llm.words import mix
+from editflow.llm.tables import bucketed, bytes_of, having, spans, stored
 
 ORDER = 4
 UNIT = 16
@@ -194,53 +192,57 @@ def model_of(counts: DataFrame) -> DataFrame:
 def perplexities(docs: DataFrame, model: DataFrame) -> DataFrame:
     """docs without text, with log_perplexity: null for null and empty texts, and for languages without a model.
 
-    docs is read twice and must give the same rows in the same order, as a stored table
-    does; if it does not, the job stops.
+    docs is read once: its blocks are numbered and stored, so that a lost executor changes
+    neither. They lie in buckets; only the model's answers move to meet them.
     """
     rows = docs.drop("log_perplexity", "_lang").withColumn("_lang", _language())
     rows = rows.withColumn("text", F.col("text").cast("string"))
-    asked = rows.select("_lang", "text").mapInArrow(_asked, "block long, lang string, n int, gram long")
+    packed = rows.mapInArrow(_packed, "block long, rows binary")
+    blocks = bucketed(packed, _block_count(rows), "block")
+    asked = blocks.mapInArrow(_asked, "block long, lang string, n int, gram long")
     answers = asked.join(model, ["lang", "n", "gram"], "left")
     # The empty gram of each block and language stays, with or without a model.
     answers = answers.where("n = 0 or share is not null or rest is not null").select(
         "block", "lang", "n", "gram", F.col("share").cast("float"), F.col("rest").cast("float")
     )
-    packed = rows.mapInArrow(_packed, "block long, rows binary")
     kept = [field for field in rows.schema.fields if field.name not in ("text", "_lang")]
     schema = StructType([*kept, StructField("log_perplexity", DoubleType())])
-    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, schema)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, schema)
 
 
-def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """Blocks with a number made of their partition, place and content."""
-    part = TaskContext.get().partitionId()
-    for place, batch in enumerate(_cut(batches)):
-        data, starts = bytes_of(batch.column(batch.schema.get_field_index("text")))
-        crc = zlib.crc32(np.diff(starts).tobytes(), zlib.crc32(data))
-        number = mix(mix(np.array([part << 32 | place], np.uint64)) ^ np.uint64(crc))
-        yield int(number.view(np.int64)[0]), batch
+def _block_count(rows: DataFrame) -> int:
+    """About the number of blocks, so that a task holds a few of them however many there are."""
+    return int(rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]) // BLOCK
 
 
 def _asked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block, batch in _blocks(batches):
-        for lang, held in _texts(batch, "_lang").items():
-            whole = np.unique(np.concatenate([np.unique(windows) for _, _, windows in _pieces(held)]))
-            for n, grams in _parts(whole):
-                many = len(grams)
-                columns = [
-                    pa.array(np.full(many, block)), pa.array([lang] * many, pa.string()),
-                    pa.array(np.full(many, n, np.int32)), pa.array(grams.view(np.int64)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["block", "lang", "n", "gram"])
+    for held in batches:
+        for block, packed in zip(held.column("block").to_pylist(), held.column("rows")):
+            yield from _asked_by(block, pa.ipc.open_stream(packed.as_buffer()).read_next_batch())
+
+
+def _asked_by(block: int, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for lang, held in _texts(batch, "_lang").items():
+        whole = np.unique(np.concatenate([np.unique(windows) for _, _, windows in _pieces(held)]))
+        for n, grams in _parts(whole):
+            many = len(grams)
+            columns = [
+                pa.array(np.full(many, block)), pa.array([lang] * many, pa.string()),
+                pa.array(np.full(many, n, np.int32)), pa.array(grams.view(np.int64)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "lang", "n", "gram"])
 
 
 def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block, batch in _blocks(batches):
+    """Blocks with a number made of their partition and place."""
+    part = TaskContext.get().partitionId()
+    for place, batch in enumerate(_cut(batches)):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
             out.write_batch(batch)
-        packed = pa.array([sink.getvalue().to_pybytes()], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), packed], ["block", "rows"])
+        packed = sink.getvalue().to_pybytes()
+        columns = [pa.array([part << 32 | place]), pa.array([packed], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["block", "rows"])
 
 
 def _score(blocks: pa.Table, answers: pa.Table) -> pa.Table:
@@ -250,8 +252,6 @@ def _score(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         scores: list[float | None] = [None] * batch.num_rows
         for lang, held in _texts(batch, "_lang").items():
             mine = answers.filter(pc.equal(answers.column("lang"), lang))
-            if mine.num_rows == 0:
-                raise ValueError("the documents came in another order when they were read again")
             costs = _costs(mine)
             if costs is None:
                 continue

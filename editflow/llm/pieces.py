@@ -17,7 +17,6 @@ too; its answers and places together give its texts.
 from __future__ import annotations
 
 import re
-import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import partial
@@ -31,8 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from editflow.llm.tables import bytes_of, shuffle_width, spans
-from editflow.session import scratch_path
+from editflow.llm.tables import bucketed, bytes_of, shuffle_width, spans
 
 MARK = "▁"
 _CHUNK = re.compile(" +[^ ]*")
@@ -41,7 +39,6 @@ BLOCK_BYTES = 16 << 20
 # A shard of the table is meant for the chunks of so many bytes of text; there are SHARDS at most.
 SHARD_BYTES = 16 << 20
 SHARDS = 4_096
-BUCKETS = 50_000
 # A shard that has met more distinct chunks than this begins its table anew, so memory is bounded.
 MOST = 500_000
 # So many chunks are handed to the library at once.
@@ -103,8 +100,7 @@ def encoded(docs: DataFrame, model: bytes) -> DataFrame:
     # Written once: the numbers of the blocks, and their order of chunks, are then fixed. As the
     # table is in buckets of blocks, only the shards' answers move to meet a block's places.
     blocks = typed.mapInArrow(partial(_blocks, shards=shards), layout)
-    buckets = min(BUCKETS, max(1, size // BLOCK_BYTES))
-    blocks = bucketed(blocks, buckets)
+    blocks = bucketed(blocks, size // BLOCK_BYTES, "block")
     asked = blocks.where(F.col("shard") != _PLACES).repartition(shards, "shard")
     answers = asked.sortWithinPartitions("shard").mapInArrow(partial(_answers, model=model), layout)
     places = blocks.where(F.col("shard") == _PLACES).select("block", "data")
@@ -115,17 +111,6 @@ def encoded(docs: DataFrame, model: bytes) -> DataFrame:
     return joined.select(*[F.col("rest")[f.name].alias(f.name) for f in kept], "ids", "decoded")
 
 
-def bucketed(rows: DataFrame, buckets: int) -> DataFrame:
-    """rows written to the shared folder in buckets of the column block, in order of shard."""
-    spark, name = rows.sparkSession, f"editflow_{uuid.uuid4().hex}"
-    writer = rows.write.bucketBy(buckets, "block").sortBy("shard").option("compression", "zstd")
-    writer.option("path", scratch_path(spark, "blocks")).saveAsTable(name)
-    table = spark.table(name)
-    # The frame knows its files; only the catalogue's entry goes.
-    spark.sql(f"drop table {name}")
-    return table
-
-
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

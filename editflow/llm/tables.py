@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -27,6 +28,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BUCKETS = 50_000
+
+
+def bucketed(rows: DataFrame, buckets: int, key: str) -> DataFrame:
+    """Write rows to the shared folder in buckets of a key and read them back.
+
+    A join or group by the key then moves the other side only.
+    """
+    spark, name = rows.sparkSession, f"editflow_{uuid.uuid4().hex}"
+    writer = rows.write.bucketBy(min(BUCKETS, max(1, buckets)), key).option("compression", "zstd")
+    writer.option("path", scratch_path(spark, "buckets")).saveAsTable(name)
+    found = spark.table(name)
+    # The frame knows its files; only the catalogue's entry goes.
+    spark.sql(f"drop table {name}")
+    return found
+
+
 # A table of keys with no more rows than this (16 bytes each) may be sent to all executors.
 BROADCAST_KEYS = 2_000_000
 
