@@ -383,6 +383,54 @@ def test_published_licences_wrapped_and_numbered(spark):
     assert all(re.search(licences.HINT, s) for s in licences.SENTENCES)
 
 
+NOTICES = {
+    "Released under the MIT license, see file.": "MIT",
+    "This file is released under the MIT License.": "MIT",
+    "The software is distributed under the terms of the GNU General Public License, version 2. Thanks!": "GPL-2.0",
+    "3. All files are available under the ISC Licence; see the LICENSE file for details.": "ISC",
+    "Available under CC BY-SA 4.0": "CC-BY-SA-4.0",
+    "the MIT license is short": "",
+    "We released the book under pressure.": "",
+}
+ISC = """Copyright someone
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+LGPL = """  This library is free software; you can redistribute it and/or
+  modify it under the terms of the GNU Lesser General Public
+  License as published by the Free Software Foundation; either
+  version 2.1 of the License, or (at your option) any later version.
+"""
+
+
+def test_notices_lead_ins_and_headings(spark):
+    texts = [*NOTICES, ISC, LGPL, "MIT License\n" + MIT, "1.\n2.\n" + BSD]
+    want = [*NOTICES.values(), "ISC", "LGPL-2.1", "MIT", "BSD-3-Clause,BSD-2-Clause"]
+    found = licences.licences(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()
+    got = {r.doc_id: r.licences for r in found}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_licences_against_sql(spark, tmp_path):
+    """Wrapped and numbered texts, headings, null and empty ones, mixed by chance."""
+    from checks import compare
+    from editflow.llm import queries
+
+    rng = random.Random(4)
+    blocks = [MIT, GPL, BSD, ISC, LGPL, *NOTICES, "Some prose. More of it\nover two lines.", "1.\n2.\n", "\n\n", "12", ""]
+    texts = ["\n".join(rng.choice(blocks) for _ in range(rng.randrange(1, 7))) for _ in range(120)] + [None, ""]
+    spark.createDataFrame(list(enumerate(texts)), DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    connection = compare.duckdb.connect()
+    connection.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    result = connection.execute(queries.oracle_sql()["op6_licences"])
+    want = compare.rows_of([c[0] for c in result.description], result.fetchall())
+    got = queries.op6_licences(spark, str(tmp_path))
+    assert compare.rows_of(got.columns, got.collect()) == want
+    assert len({r[1] for r in want[1]}) > 5
+
+
 def plain_model(texts, order=perplexity.ORDER):
     """Chance of a letter after others under interpolated modified Kneser-Ney, straight from its definition."""
     seen = {order: collections.Counter()}
