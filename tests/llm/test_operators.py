@@ -78,7 +78,10 @@ def test_components_of_chains_and_stars(spark):
     assert got == {n: want[n] for pair in links for n in pair if pair[0] != pair[1]}
 
 
-def test_near_copies_equal_all_pairs(spark):
+@pytest.mark.parametrize("block", [minhash.BLOCK, 3])
+def test_near_copies_equal_all_pairs(spark, monkeypatch, block):
+    """With blocks of three, nearly all postings are split by a second coordinate."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
     texts = dict(enumerate(near_texts()))
     sets = {i: shingle_set(t.encode()) for i, t in texts.items()}
     links = [
@@ -92,6 +95,29 @@ def test_near_copies_equal_all_pairs(spark):
     assert len(links) > 10 and links != [(a, b) for a, b in links if sets[a] == sets[b]]
 
 
+def test_a_wide_posting_is_split_so_that_only_likely_pairs_meet(spark, monkeypatch):
+    """200 texts share a passage and so many coordinates, but only ten pairs of them are near copies."""
+    rng = random.Random(5)
+    passage = words(rng, 60, 5_000)
+    texts = {}
+    for i in range(200):
+        own = words(rng, 60, 50_000)
+        texts[i] = " ".join(own + passage)
+        if i % 20 == 0:
+            own[30] = "other"
+            texts[1_000 + i] = " ".join(own + passage)
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    docs = spark.createDataFrame(list(texts.items()), DOCS)
+    signed = minhash.signatures(docs).collect()
+    nodes = spark.createDataFrame([(r.doc_id, r.signature) for r in signed], "doc_id long, signature array<long>")
+    posted = nodes.select("doc_id", F.posexplode("signature").alias("coord", "value"))
+    parts = minhash._split(posted, nodes, 20).collect()
+    met = collections.Counter((r.coord, r.value, r.coord2, r.value2) for r in parts)
+    assert sum(n * n for n in met.values()) < 200 * 200
+    found = {r.doc_id: r.component_id for r in minhash.near_copies(docs).collect()}
+    assert {i for i, top in found.items() if i != top} == {1_000 + i for i in range(0, 200, 20)}
+
+
 def test_matches_follow_the_threshold():
     assert minhash.least_matches(85) == 20 and minhash.least_matches(80) == 17
     for percent in (50, 70, 80, 85, 90, 99):
