@@ -187,9 +187,6 @@ def stream_score(
 
     def score(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = materialize(batch, "closed")
-        if batch.isEmpty():
-            return
         states = states_before(spark, f"{path}/state", batch_id)
         rows = batch.select("bucket", "channel", "n")
         if states:
@@ -202,6 +199,8 @@ def stream_score(
         else:
             filled = zero_fill(rows, interval)
         filled = materialize(filled, "filled")
+        if filled.isEmpty():
+            return
         known = materialize(models(), "models") if callable(models) else models
         batch_folder(f"{path}/scored")(detect_anomalies(filled, known, eps), batch_id)
         scored = spark.read.parquet(f"{path}/scored/batch={batch_id}")
