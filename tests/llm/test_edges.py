@@ -137,3 +137,61 @@ def test_mix_keeps_the_texts_of_unnamed_rows(spark):
     assert all(r.size == len(r.text.split()) for r in found) and len(found) <= len(rows)
     # The target is 1.5 times all words, so at least half of the unnamed rows are taken.
     assert sum(r.doc_id is None for r in found) >= 6
+
+
+def test_long_passages_and_clashing_columns_of_benchmark_items(spark):
+    """An item of 9,000 words in a text of 60,000; columns named as the results; items that share an id."""
+    item = " ".join(f"w{i}" for i in range(9_000))
+    docs = spark.createDataFrame([(1, LONG + " " + item + " " + LONG), (2, LONG)], "doc_id long, text string")
+    docs = docs.withColumns({c: F.lit("mine") for c in ("item_id", "score", "question", "answer", "overlap")})
+    items = spark.createDataFrame([(7, item), (7, "another short item of some words")], "item_id long, text string")
+    items = items.withColumns({c: F.lit("mine") for c in ("doc_id", "shard", "units")})
+    found = decontam.contaminated(docs, items).collect()
+    assert [(r.doc_id, r.item_id, r.overlap) for r in found] == [(1, 7, 1.0)]
+
+
+def test_pages_with_any_signs(spark):
+    """Signs beyond the basic plane, zero bytes and a page of a megabyte come back as they were."""
+    pages = ["\U0001f600" * 100, "a\x00b" * 100, "x" * 1_000_000, "\ud7ff\ue000" * 60, "\r\n\r\nWARC/1.1\r\n" * 20]
+    frame = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").withColumn("url", F.lit("u\r\nX: 1"))
+    found = {r.page_id: bytes(r.payload).decode() for r in warc.archived(frame).collect()}
+    assert found == dict(enumerate(pages))
+
+
+def test_vectors_at_the_threshold(spark):
+    """Links are those that double precision gives, on both sides of 0.9 and at it."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    rows = [(0, [1.0, 0.0, 0.0, 0.0]), (1, [9.0, 3.0, 3.0, 1.0]), (2, [9.0, 3.0, 3.0, 1.001]), (3, [9.0, 3.0, 3.0, 0.999])]
+    for i in range(4, 40):
+        along, across = float(rng.choice([0.8999, 0.9, 0.9001])), rng.normal(size=3)
+        across *= np.sqrt(1 - along**2) / np.linalg.norm(across)
+        rows.append((i, [along, *across.tolist()]))
+    unit = np.array([v for _, v in rows])
+    unit = unit / np.abs(unit).max(1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    links = unit @ unit.T >= 0.9
+    found = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    near = {r.vec_id: r.n_links for r in found}
+    # Products that differ from 0.9 by rounding alone may fall on either side.
+    unsure = (np.abs(unit @ unit.T - 0.9) < 1e-12).sum(1)
+    assert all(abs(near[i] - (links[i].sum() - 1)) <= unsure[i] for i in near)
+    assert near[0] >= 12
+
+
+def test_rates_of_the_mix_are_tilted_alike(spark):
+    """Entropy balancing: in a source the odds of a word are one exponential of the size, whatever the sizes."""
+    import math
+
+    rows = [(i, "w " * (1 + i % 17), "s") for i in range(300)] + [(1_000 + i, "w " * (5 + i % 3), "t") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mixed(docs).collect()
+    for source in "st":
+        rates = {r.size: r.rate for r in found if r.source == source and 0 < r.rate < 2}
+        odds = sorted((n, math.log(rate / (2 - rate))) for n, rate in rates.items())
+        slopes = [(b - a) / (m - n) for (n, a), (m, b) in zip(odds, odds[1:])]
+        assert len(odds) > 2 and max(slopes) - min(slopes) < 1e-3
+        expected = sum(r.rate * r.size for r in found if r.source == source)
+        target = next(r.target for r in found if r.source == source)
+        assert abs(expected - target) < 0.01 * target
