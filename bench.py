@@ -17,8 +17,9 @@ from editflow.session import configure
 HEADLINE = """
 parse_irc parse_json_edits decode_bus write_edits read_edits count_by_channel count_rollup inserted_total
 weekly_minute_counts zero_fill moving_average running_count latest_n every_nth route_edits
-fit_all_models detect_anomalies metric_gauge metric_timing dedupe_redelivery
-stream_counts stream_store stream_score
+attach_model_before fit_all_models detect_anomalies metric_gauge metric_timing metric_sketches dedupe_redelivery
+find_edit compact_edits stream_counts stream_tallies stream_gauges stream_latest stream_numbered stream_once
+stream_store stream_score
 """.split()
 
 

@@ -42,7 +42,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="editflow-")
     if context.getCheckpointDir() is None:
