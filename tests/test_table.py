@@ -183,13 +183,13 @@ def test_small_files_are_merged(spark, folder):
     path = folder("edits")
     edits = edit_frame(spark, 130).withColumn("ts", F.expr("timestamp'2024-02-01' + make_interval(0, 0, 0, 0, 0, crc32(id) % 1440, 0)"))
     most = 0
-    for part in range(26):
-        table.write_edits(edits.where(F.crc32("id") % 26 == part), path)
+    for part in range(14):
+        table.write_edits(edits.where(F.crc32("id") % 14 == part), path)
         log.compact(spark, path, fan_in=3)
         most = max(most, len(file_names(spark, path)))
-    assert most <= 9  # two of each size class, and those of the newest batch
+    assert most <= 7  # two of each size class, and those of the newest batch
     assert rows(stored(spark, path)) == rows(edits)
-    assert log.latest(spark, path).number > 26
+    assert log.latest(spark, path).number > 14
     assert len(log.latest(spark, path).segments) <= log.SEGMENTS + 1
     assert log.compact(spark, path, fan_in=2, before="2024-02-01") == 0
 
