@@ -2,7 +2,7 @@
 
 from checks import fixtures
 
-# The layout of a change line, in the second engine's regular expressions.
+# Fixed value: the layout of a change line, in the second engine's regular expressions.
 _LINE = (
     r"\A\x0314\[\[\x0307(.+?)\x0314\]\]\x034 (.*?)\x0310.*\x0302(http.+?)"
     r"\x03.+\x0303(.+?)\x03.+\x03 (\(([+-]\d+)\).*|.+) \x0310(.+)\x03\z"
