@@ -759,3 +759,25 @@ def test_pipeline_stages_one_by_one(spark, tmp_path):
     assert texts[4][0].startswith("two") and "�" in rows[4][1] and texts[4][1] == len(texts[4][0]) < 12
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
+def test_quality_thresholds_by_hand(spark):
+    """Per language, the least step of 1/500 that holds the quantile of the trusted texts; other texts are compared with it."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(words(rng, rng.randrange(5, 40), 60)), rng.choice(["en", "de", None])) for i in range(150)]
+    rows += [(200 + i, "zq" * (3 + i), "en") for i in range(10)] + [(300, "lonely text", "xx"), (301, None, "en"), (302, "", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 150, 2)] + [(201, 0), (301, 1), (999, 1)], "doc_id long, quality int")
+    found = {r.doc_id: r for r in perplexity.quality(docs, labels, 0.9).collect()}
+    assert len(found) == len(rows)
+    for lang in ("en", "de", None):
+        mine = [found[i] for i, _, name in rows if name == lang]
+        steps = sorted(
+            math.ceil(r.log_perplexity * perplexity.STEPS) for r in mine if r.doc_id < 150 and r.doc_id % 2 == 0
+        )
+        limit = next(s for k, s in enumerate(steps, 1) if k >= 0.9 * len(steps)) / perplexity.STEPS
+        for r in mine:
+            assert r.threshold == pytest.approx(limit)
+            assert r.kept == (r.log_perplexity is not None and r.log_perplexity <= r.threshold)
+    assert found[300].kept and found[300].threshold is None and not found[301].kept and not found[302].kept
+    assert not any(found[200 + i].kept for i in range(10))
