@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from editflow.llm.tables import runs, stored
+from editflow.llm.tables import bytes_of, runs, spans, stored
 
 # What a sign may stand for.
 LEET = {
@@ -48,6 +48,8 @@ _ALNUM, _SWAP, _IS_LETTER, _UNKNOWN = 1, 2, 4, 128
 _KINDS = np.full(0x110000, _UNKNOWN, np.uint8)
 _POINT = 21  # bits
 _MASK = (1 << _POINT) - 1
+# Bytes of the texts that are looked at together; a longer text comes alone.
+BYTES = 2 << 20
 # Signs that are counted at once, distinct trigrams that a task holds, strings of one block.
 COUNTED, HELD, BLOCK = 1 << 21, 1_000_000, 2_000
 
@@ -277,8 +279,8 @@ def _survey(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _rows([None] * len(strings), sorted(strings), np.ones(len(strings), np.int64))
 
     for batch in batches:
-        for low in range(0, batch.num_rows, 512):
-            signs = Signs.of(batch.column(0).slice(low, 512).to_pylist())
+        for low, high in spans(bytes_of(batch.column(0))[1], BYTES):
+            signs = Signs.of(batch.column(0).slice(low, high - low).to_pylist())
             for keys, many in signs.trigrams():
                 grams.append(keys)
                 counts.append(many)

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from editflow.functions.skew import lookup_join
-from editflow.llm.deobfuscate import Signs, both, parts, readings, survey
-from editflow.llm.tables import stored
+from editflow.llm.deobfuscate import BYTES, Signs, both, parts, readings, survey
+from editflow.llm.tables import bytes_of, spans, stored
 
 # The classifier is fitted on about SAMPLE labelled rows at most, and has at most FEATURES inputs.
 SAMPLE = 200_000
@@ -84,8 +84,8 @@ def _scan(batches: Iterable[pa.RecordBatch], model: ToxicityModel | None) -> Ite
     for batch in batches:
         at = batch.schema.get_field_index("text")
         rest = batch.schema.remove(at)
-        for low in range(0, batch.num_rows, ROWS):
-            part = batch.slice(low, ROWS)
+        for low, high in spans(bytes_of(batch.column(at))[1], BYTES):
+            part = batch.slice(low, high - low)
             signs = Signs.of(part.column(at).to_pylist())
             spaced, tripled = signs.spaced(), signs.tripled()
             found, strings = [], []
