@@ -33,7 +33,7 @@ FOLDS = 5
 # Word beginnings of so many letters are inputs, besides whole words.
 BEGINNINGS = (4, 5, 6, 8)
 # Rows whose words are counted at once, and counts that a task holds.
-ROWS, HELD = 512, 1_500_000
+ROWS, HELD = 128, 300_000
 
 
 def beginnings(word: str) -> list[str]:
@@ -180,8 +180,9 @@ def _tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(_summed(both_kinds))
             size += len(held[-1])
             if size > HELD:
-                yield from _summed(pa.concat_tables(held)).to_batches()
+                yield from _summed(pa.concat_tables(held)).to_batches(max_chunksize=50_000)
                 held, size = [], 0
+                pa.default_memory_pool().release_unused()
     if held:
         yield from _summed(pa.concat_tables(held)).to_batches()
 
