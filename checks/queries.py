@@ -203,7 +203,7 @@ def find_edit(spark, sf_dir):
 def compact_edits(spark, sf_dir):
     """Days stored in five batches each, then merged; the rows stay, the files don't."""
     path = scratch_path(spark, "edits")
-    edits = fx.edits(spark, sf_dir)
+    edits = materialize(fx.edits(spark, sf_dir), "parsed")
     for part in range(5):
         edit_table.write_edits(edits.where(F.pmod(F.crc32("id"), F.lit(5)) == part), path)
     log.compact(spark, path, fan_in=4)

@@ -10,7 +10,7 @@ from editflow.operators.filters import filter_channel, filter_week
 from editflow.operators.parse import calendar_fields
 from editflow.operators.series import clustering_order
 from editflow.schema import STORED, STORED_KEY, STORED_PARTITIONS
-from editflow.session import materialize, scratch_scope
+from editflow.session import remove_path, scratch_scope
 from editflow.sources import log
 
 
@@ -93,7 +93,8 @@ def latest_per_key(df: DataFrame) -> DataFrame:
     """
     arrival = [F.desc_nulls_last("offset")] if "offset" in df.columns else []
     rest = [c for c in STORED.fieldNames() if c not in STORED_KEY and c != "ts"]
-    newest = Window.partitionBy(*STORED_KEY).orderBy(*arrival, F.desc("ts"), *[F.desc(c) for c in rest])
+    # By id first: rows are sorted by the first bytes of it, the other columns hardly ever decide.
+    newest = Window.partitionBy(*reversed(STORED_KEY)).orderBy(*arrival, F.desc("ts"), *[F.desc(c) for c in rest])
     last = df.withColumn("_copy", F.row_number().over(newest)).where("_copy = 1")
     return last.select(*STORED.fieldNames())
 
@@ -118,14 +119,24 @@ def write_edits(
     """
     spark = df.sparkSession
     with scratch_scope(spark):
-        rows = materialize(latest_per_key(calendar_fields(df, wall)), "batch")
-        if rows.isEmpty():
+        base = log.adopt(spark, path)
+        if batch is not None and _applied(base, batch):
+            return
+        # The files of the batch, in the table's order. They stay as they are if no key is stored yet.
+        fresh = log.add_files(clustering_order(latest_per_key(calendar_fields(df, wall))), path)
+        if log.read_folder(spark, path, fresh).isEmpty():
+            remove_path(spark, f"{path}/{fresh}")
             return
         for _ in range(log.TRIES):
-            base = log.adopt(spark, path)
-            if batch is not None and _applied(base, batch):
-                return
-            if _upsert(rows, path, base, on_conflict, batch):
+            folder, removed = _merged(spark, path, base, fresh, on_conflict)
+            applied = {batch[0]: (batch[1], folder)} if batch else None
+            done = log.commit(spark, path, base, f"{folder}/*/*/*/*.parquet", removed, applied)
+            if done is None:
+                base = log.adopt(spark, path)
+            passed = done is None and batch is not None and _applied(base, batch)
+            if passed or (done is not None and folder != fresh):
+                remove_path(spark, f"{path}/{fresh}")
+            if passed or done is not None:
                 return
     raise log.Conflict(f"{path}: {log.TRIES} versions were made by others meanwhile")
 
@@ -152,20 +163,18 @@ def first_deliveries(
     return log.read_folder(spark, path, done[1]), again
 
 
-def _upsert(
-    rows: DataFrame, path: str, base: log.Version, on_conflict: str, batch: tuple[str, int] | None
-) -> bool:
-    """Whether the rows became the table's next version."""
-    spark, keys = rows.sparkSession, rows.select(*STORED_KEY)
-    names = log.holding(keys, log.files(spark, path, base)) if base.segments else []
-    held = log.read_files(spark, path, names)
-    removed: list[str] = []
-    if names and on_conflict == "keep":
-        rows = rows.join(held.select(*STORED_KEY), STORED_KEY, "left_anti")
-    elif names:
-        removed = log.names_of(held.join(keys, STORED_KEY, "left_semi").select(F.col("_file").alias("file")).distinct())
-        rest = log.read_files(spark, path, removed).drop("_file").join(keys, STORED_KEY, "left_anti")
-        rows = rest.unionByName(rows)
-    folder = log.add_files(clustering_order(rows), path)
-    applied = {batch[0]: (batch[1], folder)} if batch else None
-    return log.commit(spark, path, base, f"{folder}/*/*/*/*.parquet", removed, applied) is not None
+def _merged(
+    spark: SparkSession, path: str, base: log.Version, fresh: str, on_conflict: str
+) -> tuple[str, list[str]]:
+    """The folder of what a version gets from the fresh files, and the files that it loses."""
+    if not base.segments:
+        return fresh, []
+    rows = log.read_folder(spark, path, fresh)
+    matched = log.matching(spark, path, rows.select(*STORED_KEY), log.files(spark, path, base))
+    hit, stored = log.names_of(matched.select("file").distinct()), matched.select(*STORED_KEY)
+    if not hit:
+        return fresh, []
+    if on_conflict == "keep":
+        return log.add_files(clustering_order(rows.join(stored, STORED_KEY, "left_anti")), path), []
+    rest = log.read_files(spark, path, hit).drop("_file").join(stored, STORED_KEY, "left_anti")
+    return log.add_files(clustering_order(rest.unionByName(rows)), path), hit

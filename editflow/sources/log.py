@@ -28,6 +28,8 @@ LOG = "_log"
 SEGMENTS = 20
 # A writer whose version was taken by others tries again so often.
 TRIES = 20
+# As many keys as are sent to all tasks, 8 bytes each.
+FEW_KEYS = 1_000_000
 # Files of so many bytes are not merged any more.
 WHOLE = 256 << 20
 # Bits per id and probes per id: about one id in 80 is taken for a member of a file wrongly.
@@ -85,12 +87,14 @@ def read_files(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
 
 def _read(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     reader = spark.read.schema(STORED).option("basePath", path)
-    return reader.parquet(*[f"{path}/{n}" for n in names]).select(*STORED.fieldNames(), _name().alias("_file"))
+    # All of these names have as many parts.
+    name = F.substring_index("_metadata.file_path", "/", -1 - names[0].count("/"))
+    return reader.parquet(*[f"{path}/{n}" for n in names]).select(*STORED.fieldNames(), name.alias("_file"))
 
 
-def _name() -> Column:
+def _name(column: str) -> Column:
     """A file's path below the table."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"((commit=[^/]+/)?year=[^/]+/month=.*)\z", 1)
+    return F.regexp_extract(column, r"((commit=[^/]+/)?year=[^/]+/month=.*)\z", 1)
 
 
 def adopt(spark: SparkSession, path: str) -> Version:
@@ -118,7 +122,9 @@ def add_files(rows: DataFrame, path: str) -> str:
 def read_folder(spark: SparkSession, path: str, folder: str) -> DataFrame:
     """Rows of the files that one commit added."""
     found = list_paths(spark, f"{path}/{folder}/*/*/*/*.parquet")
-    return read_files(spark, path, [f[f.rindex("commit=") :] for f in found]).drop("_file")
+    if not found:
+        return spark.createDataFrame([], STORED)
+    return _read(spark, path, [f[f.rindex("commit=") :] for f in found]).drop("_file")
 
 
 def describe(spark: SparkSession, path: str, pattern: str) -> DataFrame:
@@ -126,23 +132,26 @@ def describe(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     if not list_paths(spark, pattern):
         return spark.createDataFrame([], FILE)
     rows = spark.read.schema(STORED).option("basePath", path).parquet(pattern)
-    rows = rows.select(
-        _name().alias("file"), F.col("_metadata.file_size").alias("bytes"), *STORED_PARTITIONS, "time", "id"
-    )
-    ranges = rows.groupBy("file", "bytes", *STORED_PARTITIONS).agg(
+    whole, size = F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("bytes")
+    rows = rows.select(whole, size, *STORED_PARTITIONS, "time", "id")
+    ranges = rows.groupBy("_path", "bytes", *STORED_PARTITIONS).agg(
         F.count("*").alias("rows"), F.min("time").alias("least"), F.max("time").alias("greatest")
     )
-    ranges = materialize(ranges.withColumn("_words", _words(F.col("rows"))), "ranges")
-    sized = lookup_join(rows.select("file", "id"), ranges.select("file", "_words"), ["file"], spread=["id"])
-    bits = sized.select("file", F.explode(_probes(F.col("id"), F.col("_words"))).alias("bit"))
+    # Files go by a number: their paths would be longer than all else in the rows of the bits.
+    ranges = ranges.withColumns(
+        {"file": _name("_path"), "_words": _words(F.col("rows")), "_no": F.monotonically_increasing_id()}
+    )
+    ranges = materialize(ranges, "ranges")
+    sized = lookup_join(rows.select("_path", "id"), ranges.select("_path", "_no", "_words"), ["_path"], spread=["id"])
+    bits = sized.select("_no", F.explode(_probes(F.col("id"), F.col("_words"))).alias("bit"))
     one = F.expr("shiftleft(1L, cast(bit % 64 as int))")
-    marks = bits.select("file", F.shiftright("bit", 6).alias("word"), one.alias("mark"))
+    marks = bits.select("_no", F.shiftright("bit", 6).alias("word"), one.alias("mark"))
     # A word without marks is there, too, so that a word's place is its number.
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_words") - 1))
-    none = ranges.select("file", every.alias("word"), F.lit(0).cast("long").alias("mark"))
-    words = marks.unionByName(none).groupBy("file", "word").agg(F.bit_or("mark").alias("set"))
-    held = words.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("word", "set")))["set"].alias("bloom"))
-    return ranges.join(held, "file").select(*_RANGES, "bloom", F.lit(False).alias("removed"))
+    none = ranges.select("_no", every.alias("word"), F.lit(0).cast("long").alias("mark"))
+    words = marks.unionByName(none).groupBy("_no", "word").agg(F.bit_or("mark").alias("set"))
+    held = words.groupBy("_no").agg(F.sort_array(F.collect_list(F.struct("word", "set")))["set"].alias("bloom"))
+    return ranges.join(held, "_no").select(*_RANGES, "bloom", F.lit(False).alias("removed"))
 
 
 def _words(rows: Column) -> Column:
@@ -165,8 +174,8 @@ def may_hold(edit_id: Column, bloom: Column) -> Column:
     )
 
 
-def holding(keys: DataFrame, live: DataFrame) -> list[str]:
-    """The live files that may hold one of the keys (STORED_KEY), by day, time and id.
+def holding(keys: DataFrame, live: DataFrame) -> DataFrame:
+    """Keys (STORED_KEY), each with the live files that may hold it, by day, time and id.
 
     Days with their least and greatest time choose files first; then each key meets the
     files of its day and slot of the day, and its id their filters.
@@ -176,11 +185,24 @@ def holding(keys: DataFrame, live: DataFrame) -> list[str]:
     near = materialize(near.drop("_from", "_upto"), "near")
     slots = F.sequence(_slot(F.col("least")), _slot(F.col("greatest")))
     ranges = near.select(*STORED_PARTITIONS, "file", "least", "greatest", F.explode(slots).alias("slot"))
-    asked = keys.select(*STORED_PARTITIONS, "time", "id", _slot(F.col("time")).alias("slot"))
+    asked = keys.withColumn("slot", _slot(F.col("time")))
     pairs = lookup_join(asked, ranges, [*STORED_PARTITIONS, "slot"], spread=["id"])
-    pairs = pairs.where(F.col("time").between(F.col("least"), F.col("greatest"))).select("file", "id")
+    pairs = pairs.where(F.col("time").between(F.col("least"), F.col("greatest"))).select("file", *STORED_KEY)
     found = lookup_join(pairs, near.select("file", "bloom"), ["file"], spread=["id"])
-    return names_of(found.where(may_hold(F.col("id"), F.col("bloom"))).select("file").distinct())
+    return found.where(may_hold(F.col("id"), F.col("bloom"))).select("file", *STORED_KEY)
+
+
+def matching(spark: SparkSession, path: str, keys: DataFrame, live: DataFrame) -> DataFrame:
+    """The keys (STORED_KEY) that are stored, each with its file. Other files are not opened."""
+    maybe = materialize(holding(keys, live), "maybe")
+    held = read_files(spark, path, names_of(maybe.select("file").distinct())).select(*STORED_KEY, "_file")
+    if maybe.count() <= FEW_KEYS:
+        # Mostly wrong members of the filters. What else the files hold is not moved for them.
+        digest = F.xxhash64(*STORED_KEY).alias("_digest")
+        few = F.broadcast(maybe.select(digest).distinct())
+        held = held.withColumn("_digest", digest).join(few, "_digest", "left_semi").drop("_digest")
+    stored = held.join(maybe.select(*STORED_KEY), STORED_KEY, "left_semi")
+    return materialize(stored.withColumnRenamed("_file", "file"), "stored")
 
 
 def _slot(second: Column) -> Column:
