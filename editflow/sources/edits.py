@@ -13,6 +13,9 @@ from editflow.schema import STORED, STORED_KEY, STORED_PARTITIONS
 from editflow.session import materialize, scratch_scope
 from editflow.sources import log
 
+# As many keys as are sent to all tasks, 8 bytes each.
+FEW_KEYS = 1_000_000
+
 
 def read_edits(
     spark: SparkSession,
@@ -99,6 +102,20 @@ def latest_per_key(df: DataFrame) -> DataFrame:
     return last.select(*STORED.fieldNames())
 
 
+def _one_per_key(rows: DataFrame) -> DataFrame:
+    """`latest_per_key` of a stored frame. Only rows whose key comes again are moved and sorted."""
+    same = rows.groupBy(log.digest().alias("_digest")).agg(F.count("*").alias("_n"))
+    again = materialize(same.where("_n > 1").select("_digest"), "again")
+    copies = again.count()
+    if not copies:
+        return rows.select(*STORED.fieldNames())
+    if copies > FEW_KEYS:
+        return materialize(latest_per_key(rows), "latest")
+    marked, listed = rows.withColumn("_digest", log.digest()), F.broadcast(again)
+    latest = materialize(latest_per_key(marked.join(listed, "_digest", "left_semi").drop("_digest")), "latest")
+    return marked.join(listed, "_digest", "left_anti").select(*STORED.fieldNames()).unionByName(latest)
+
+
 def write_edits(
     df: DataFrame,
     path: str,
@@ -119,9 +136,11 @@ def write_edits(
     """
     spark = df.sparkSession
     with scratch_scope(spark):
-        rows = materialize(latest_per_key(calendar_fields(df, wall)), "batch")
+        offset = [c for c in df.columns if c == "offset"]
+        rows = materialize(calendar_fields(df, wall).select(*STORED.fieldNames(), *offset), "batch")
         if rows.isEmpty():
             return
+        rows = _one_per_key(rows)
         for _ in range(log.TRIES):
             base = log.adopt(spark, path)
             if batch is not None and _applied(base, batch):
@@ -157,16 +176,56 @@ def _upsert(
     rows: DataFrame, path: str, base: log.Version, on_conflict: str, batch: tuple[str, int] | None
 ) -> bool:
     """Whether the rows became the table's next version."""
-    spark, keys = rows.sparkSession, rows.select(*STORED_KEY)
-    names = log.holding(keys, log.files(spark, path, base)) if base.segments else []
-    held = log.read_files(spark, path, names)
+    spark, keep = rows.sparkSession, on_conflict == "keep"
     removed: list[str] = []
-    if names and on_conflict == "keep":
-        rows = rows.join(held.select(*STORED_KEY), STORED_KEY, "left_anti")
-    elif names:
-        removed = log.names_of(held.join(keys, STORED_KEY, "left_semi").select(F.col("_file").alias("file")).distinct())
-        rest = log.read_files(spark, path, removed).drop("_file").join(keys, STORED_KEY, "left_anti")
-        rows = rest.unionByName(rows)
-    folder = log.add_files(clustering_order(rows), path)
+    ordered = None
+    if base.segments:
+        asked = log.holding(rows.select(*STORED_KEY), log.files(spark, path, base))
+        names = log.names_of(asked.select("file").distinct())
+        held = log.read_files(spark, path, names).select(*STORED_KEY, "_file")
+        if names and keep:
+            ordered = _merged(rows, _asked_few(held, asked), keep)
+        elif names:
+            removed = _files_of(held, asked)
+        if removed:
+            ordered = _merged(rows, log.read_files(spark, path, removed).drop("_file"), keep)
+    folder = log.add_files(clustering_order(rows) if ordered is None else ordered, path)
     applied = {batch[0]: (batch[1], folder)} if batch else None
     return log.commit(spark, path, base, f"{folder}/*/*/*/*.parquet", removed, applied) is not None
+
+
+def _asked_few(held: DataFrame, asked: DataFrame) -> DataFrame:
+    """Stored keys that may be asked for; all of them if more are asked for than are sent to each task."""
+    if asked.count() > FEW_KEYS:
+        return held.select(*STORED_KEY)
+    few = F.broadcast(asked.select("digest"))
+    held = held.withColumn("digest", log.digest()).join(few, "digest", "left_semi")
+    return materialize(held.select(*STORED_KEY), "held")
+
+
+def _files_of(held: DataFrame, asked: DataFrame) -> list[str]:
+    """The files that hold a key whose digest is asked for."""
+    # Files go by a number: their paths would be longer than all else that is moved.
+    numbers = held.select(log.digest().alias("digest"), F.xxhash64("_file").alias("_no"))
+    wanted = asked.select("digest")
+    wanted = F.broadcast(wanted) if asked.count() <= FEW_KEYS else wanted
+    found = numbers.join(wanted, "digest", "left_semi").select("_no").distinct()
+    listed = asked.select("file").distinct().withColumn("_no", F.xxhash64("file"))
+    return log.names_of(listed.join(found, "_no", "left_semi"))
+
+
+def _merged(rows: DataFrame, old: DataFrame, keep: bool) -> DataFrame:
+    """Rows of a batch (one per key) and stored ones in the table's order; of a key, only those that stay.
+
+    With `keep`, `old` are keys: what is stored under them stays where it is. Rows are moved and
+    sorted once, for this and for the files alike. A key with a null is equal to none.
+    """
+    both = old.withColumn("_old", F.lit(True)).unionByName(rows.withColumn("_old", F.lit(False)), allowMissingColumns=True)
+    first = F.desc("_old") if keep else F.asc("_old")
+    # Equal keys lie in one range, so the window moves nothing.
+    window = Window.partitionBy(*STORED_KEY).orderBy(first).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    unlike = functools.reduce(lambda a, b: a | b, [F.col(c).isNull() for c in STORED_KEY])
+    stays = unlike | (F.first("_old").over(window) == F.col("_old"))
+    both = both.repartitionByRange(*STORED_KEY).withColumn("_stays", stays).where("_stays")
+    both = both.where(~F.col("_old")) if keep else both
+    return both.select(*STORED.fieldNames()).sortWithinPartitions(*STORED_KEY)

@@ -9,6 +9,7 @@ A writer prepares its files, then creates the next version's file, which only on
 can. The other one has lost nothing: it looks at the new version and does its work again.
 """
 
+import functools
 import json
 import math
 import uuid
@@ -163,15 +164,19 @@ def _probes(edit_id: Column, words: Column) -> Column:
 
 def may_hold(edit_id: Column, bloom: Column) -> Column:
     """False only if no row of the filter's file has the id."""
-    words = F.size(bloom).cast("long")
-    return F.forall(
-        _probes(edit_id, words),
-        lambda bit: F.getbit(F.get(bloom, F.shiftright(bit, 6).cast("int")), (bit % 64).cast("int")) == 1,
-    )
+    bits = [F.get(_probes(edit_id, F.size(bloom).cast("long")), F.lit(i)) for i in range(PROBES)]
+    # One condition for each probe: Spark compiles these, but not a function over a list.
+    found = [F.getbit(F.get(bloom, F.shiftright(b, 6).cast("int")), (b % 64).cast("int")) == 1 for b in bits]
+    return functools.reduce(lambda a, b: a & b, found)
+
+
+def digest() -> Column:
+    """A number for a row's key. Equal keys have equal ones; others hardly ever."""
+    return F.xxhash64(*STORED_KEY)
 
 
-def holding(keys: DataFrame, live: DataFrame) -> list[str]:
-    """The live files that may hold one of the keys (STORED_KEY), by day, time and id.
+def holding(keys: DataFrame, live: DataFrame) -> DataFrame:
+    """Live files, each with the digests of the keys (STORED_KEY) that it may hold, by day, time and id.
 
     Days with their least and greatest time choose files first; then each key meets the
     files of its day and slot of the day, and its id their filters.
@@ -181,11 +186,11 @@ def holding(keys: DataFrame, live: DataFrame) -> list[str]:
     near = materialize(near.drop("_from", "_upto"), "near")
     slots = F.sequence(_slot(F.col("least")), _slot(F.col("greatest")))
     ranges = near.select(*STORED_PARTITIONS, "file", "least", "greatest", F.explode(slots).alias("slot"))
-    asked = keys.select(*STORED_PARTITIONS, "time", "id", _slot(F.col("time")).alias("slot"))
+    asked = keys.select(*STORED_PARTITIONS, "time", "id", _slot(F.col("time")).alias("slot"), digest().alias("digest"))
     pairs = lookup_join(asked, ranges, [*STORED_PARTITIONS, "slot"], spread=["id"])
-    pairs = pairs.where(F.col("time").between(F.col("least"), F.col("greatest"))).select("file", "id")
+    pairs = pairs.where(F.col("time").between(F.col("least"), F.col("greatest"))).select("file", "id", "digest")
     found = lookup_join(pairs, near.select("file", "bloom"), ["file"], spread=["id"])
-    return names_of(found.where(may_hold(F.col("id"), F.col("bloom"))).select("file").distinct())
+    return materialize(found.where(may_hold(F.col("id"), F.col("bloom"))).select("file", "digest"), "asked")
 
 
 def _slot(second: Column) -> Column:

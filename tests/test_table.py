@@ -113,6 +113,49 @@ def test_filters_choose_the_files_that_are_opened(spark, folder, monkeypatch):
     assert len(opened[0]) <= 2  # files of five keys that no file holds
 
 
+@pytest.mark.parametrize("few", [0, 1_000_000])
+@pytest.mark.parametrize("on_conflict", ["replace", "keep"])
+def test_many_and_few_keys_give_the_same_rows(spark, folder, monkeypatch, on_conflict, few):
+    """Keys that are stored, come twice, are new or hold a null, sent to each task or moved."""
+    monkeypatch.setattr(table, "FEW_KEYS", few)
+    path = folder("edits")
+    edits = edit_frame(spark, 120).localCheckpoint()
+    nameless = edits.where(F.crc32("id") % 5 == 0).withColumn("user", F.lit(None).cast("string"))
+    named = edits.where(F.crc32("id") % 5 != 0)
+    old, late = F.crc32("id") % 2 == 0, F.col("ts") + F.expr("interval 1 microsecond")
+    table.write_edits(named.where(old).unionByName(nameless), path)
+    mine = named.unionByName(nameless).withColumn("comment", F.lit("mine"))
+    copies = mine.where(F.crc32("id") % 3 == 0).withColumns({"ts": late, "comment": F.lit("copy")})
+    table.write_edits(mine.unionByName(copies), path, on_conflict=on_conflict)
+    newest = mine.where(F.crc32("id") % 3 != 0).unionByName(copies)
+    expected = newest if on_conflict == "replace" else newest.where(~old).unionByName(named.where(old))
+    # A key with a null is equal to no stored one, so its edits are there twice.
+    expected = expected.where("user is not null").unionByName(nameless).unionByName(newest.where("user is null"))
+    assert rows(stored(spark, path)) == rows(expected)
+
+
+def test_only_copies_are_sorted_for_the_newest(spark, folder, monkeypatch):
+    seen, latest = [], table.latest_per_key
+    monkeypatch.setattr(table, "latest_per_key", lambda df: seen.append(df.count()) or latest(df))
+    edits, path = edit_frame(spark, 200), folder("edits")
+    table.write_edits(edits, path)
+    assert seen == []
+    ids = sorted(r.id for r in edits.select("id").collect())
+    table.write_edits(edits.unionByName(edits.where(F.col("id") <= ids[2])), path)
+    assert seen == [6]  # three edits that come twice
+    assert rows(stored(spark, path)) == rows(edits)
+
+
+@pytest.mark.parametrize("keep", [False, True])
+def test_stored_rows_and_a_batch_are_moved_once(spark, folder, keep):
+    path = folder("edits")
+    table.write_edits(edit_frame(spark, 50), path)
+    batch = stored(spark, path)
+    plan = table._merged(batch, batch.select(*STORED_KEY) if keep else batch, keep)
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan and "Join" not in plan
+
+
 def test_lines_are_parsed_once(spark, folder, monkeypatch):
     """What compact_edits stores in five parts is parsed before, not again by each write."""
     tables = folder("tables")
