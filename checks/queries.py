@@ -733,12 +733,12 @@ def stream_every_nth(spark, sf_dir):
 def stream_once(spark, sf_dir):
     """Frames of which a third come again, in later batches: stored once and counted once."""
     path, out = scratch_path(spark, "edits"), scratch_path(spark, "counts")
-    edits = materialize(fx.edits(spark, sf_dir), "edits")
+    edits = fx.edits(spark, sf_dir).withColumn("third", F.pmod(F.crc32("id"), F.lit(3)))
+    encoded = materialize(bus.encode_bus(edits, keep=["third"]), "encoded")
     options = {"format": "parquet", "path": scratch_path(spark, "bus")}
-    files = max(2, edits.count() // 3 // fx.ROWS_PER_FILE)
-    third = F.pmod(F.crc32("id"), F.lit(3))
-    for part in (edits.where(third == 0), edits.where(third <= 1), edits):
-        bus.write_bus(bus.encode_bus(part).repartition(files), options)
+    files = max(2, encoded.count() // 3 // fx.ROWS_PER_FILE)
+    for part in (encoded.where("third = 0"), encoded.where("third <= 1"), encoded):
+        bus.write_bus(part.drop("third").repartition(files), options)
     frames = bus.read_bus(spark, options | {"maxFilesPerTrigger": str(files)})
     counted = sinks.stream_once(
         frames, path, scratch_path(spark, "offsets"), [sinks.count_sink(out, "1 hour")], once=True

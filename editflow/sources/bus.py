@@ -5,6 +5,7 @@ Spark says so when they are missing.
 """
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,15 +36,15 @@ def _wire_record():
     return F.struct(*columns)
 
 
-def encode_bus(df: DataFrame, codec: str = "json") -> DataFrame:
-    """Typed edits to frames. The key is the channel in UTF-8."""
+def encode_bus(df: DataFrame, codec: str = "json", keep: Sequence[str] = ()) -> DataFrame:
+    """Typed edits to frames, beside the columns to keep. The key is the channel in UTF-8."""
     if codec == "avro":
         from pyspark.sql.avro.functions import to_avro
 
         value = to_avro(_wire_record(), AVRO_SCHEMA)
     else:
         value = F.encode(F.to_json(_wire_record()), "UTF-8")
-    return df.select(F.encode("channel", "UTF-8").alias("key"), value.alias("value"))
+    return df.select(*keep, F.encode("channel", "UTF-8").alias("key"), value.alias("value"))
 
 
 def decode_bus(df: DataFrame, codec: str = "json") -> DataFrame:

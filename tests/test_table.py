@@ -24,6 +24,15 @@ def file_names(spark, path):
     return set(log.names_of(log.files(spark, path, log.latest(spark, path))))
 
 
+def event_rows(spark):
+    """Sixty events of one type; the lines of two of them are no edits."""
+    at = F.timestamp_seconds(1_704_067_200 + F.col("id") * 7_000).cast("timestamp_ntz")
+    return spark.range(60).select(
+        F.col("id").alias("event_id"), at.alias("ts"), (F.col("id") % 7).alias("user_id"),
+        F.lit("click").alias("event_type"), F.lit(2.5).alias("value"), F.lit("{}").alias("props"),
+    )
+
+
 def rows(df):
     return sorted(map(tuple, df.select(*EDIT_COLUMNS).collect()), key=repr)
 
@@ -175,6 +184,28 @@ def test_lines_are_parsed_once(spark, folder, monkeypatch):
     assert len(plans) == 5 and not any("regexp" in plan for plan in plans)
 
 
+def test_stream_once_encodes_frames_once(spark, folder, monkeypatch):
+    tables, plans, write = folder("tables"), [], bus.write_bus
+    event_rows(spark).write.parquet(f"{tables}/events.parquet")
+
+    def noted(frames, options):
+        plans.append(frames._jdf.queryExecution().optimizedPlan().toString())
+        return write(frames, options)
+
+    monkeypatch.setattr(bus, "write_bus", noted)
+    counted = queries()["stream_once"](spark, tables)
+    assert sum(r["n"] for r in counted.collect()) == 2 * 58  # its channel, and all
+    assert len(plans) == 3 and not any("to_json" in p or "regexp" in p for p in plans)
+
+
+def test_encoded_frames_keep_columns(spark):
+    edits = edit_frame(spark, 20).withColumn("part", F.crc32("id") % 3)
+    frames = bus.encode_bus(edits, keep=["part"])
+    assert frames.columns == ["part", "key", "value"]
+    parts = bus.decode_bus(frames).select("part", F.crc32("id") % 3).collect()
+    assert len(parts) == 20 and all(a == b for a, b in parts)
+
+
 def test_readers_keep_their_version(spark, folder):
     path = folder("edits")
     edits = edit_frame(spark, 80)
