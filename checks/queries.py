@@ -182,10 +182,10 @@ def channel_catalog(spark, sf_dir):
 def write_edits(spark, sf_dir):
     """Store all edits, then the robots' edits again with another comment."""
     path = scratch_path(spark, "edits")
-    edits = fx.edits(spark, sf_dir)
-    edit_table.write_edits(edits, path)
+    edits = materialize(fx.edits(spark, sf_dir), "parsed")
+    edit_table.write_edits(edits, path, frozen=True)
     again = edits.where("is_robot").withColumn("comment", F.concat("comment", F.lit(" (again)")))
-    edit_table.write_edits(again, path)
+    edit_table.write_edits(again, path, frozen=True)
     return edit_table.read_edits(spark, path)
 
 

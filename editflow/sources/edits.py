@@ -122,6 +122,7 @@ def write_edits(
     wall: str = "utc",
     on_conflict: str = "replace",
     batch: tuple[str, int] | None = None,
+    frozen: bool = False,
 ) -> None:
     """Store typed edits; an equal key overwrites, see `latest_per_key` for keys that repeat in df.
 
@@ -133,11 +134,15 @@ def write_edits(
     All of it becomes visible at once, as the table's next version. If another writer made
     one meanwhile, the work is done again on top of it. `batch` names a stream and numbers its
     batch: one that the table has already is passed over.
+
+    df is looked at several times, so it is written out first. `frozen` says that it reads files
+    that stay as they are, with nothing dear or random on top: then it is read as it is.
     """
     spark = df.sparkSession
     with scratch_scope(spark):
         offset = [c for c in df.columns if c == "offset"]
-        rows = materialize(calendar_fields(df, wall).select(*STORED.fieldNames(), *offset), "batch")
+        rows = calendar_fields(df, wall).select(*STORED.fieldNames(), *offset)
+        rows = rows if frozen else materialize(rows, "batch")
         if rows.isEmpty():
             return
         rows = _one_per_key(rows)

@@ -165,6 +165,17 @@ def test_stored_rows_and_a_batch_are_moved_once(spark, folder, keep):
     assert plan.count("Exchange") == 1 and "rangepartitioning" in plan and "Join" not in plan
 
 
+def test_a_frozen_frame_is_not_copied(spark, folder, monkeypatch):
+    labels, copy = [], table.materialize
+    monkeypatch.setattr(table, "materialize", lambda df, label: labels.append(label) or copy(df, label))
+    edits, path = edit_frame(spark, 30), folder("edits")
+    table.write_edits(edits, path, frozen=True)
+    assert "batch" not in labels
+    table.write_edits(edits, path)
+    assert "batch" in labels
+    assert rows(stored(spark, path)) == rows(edits)
+
+
 def test_lines_are_parsed_once(spark, folder, monkeypatch):
     """What compact_edits stores in five parts is parsed before, not again by each write."""
     tables = folder("tables")
@@ -184,6 +195,20 @@ def test_lines_are_parsed_once(spark, folder, monkeypatch):
     assert len(plans) == 5 and not any("regexp" in plan for plan in plans)
 
 
+def test_write_edits_parses_lines_once(spark, folder, monkeypatch):
+    """Both writes read what was parsed before, as it is."""
+    tables, seen, write = folder("tables"), [], table.write_edits
+    event_rows(spark).write.parquet(f"{tables}/events.parquet")
+
+    def noted(df, *args, **kwargs):
+        seen.append(("regexp" in df._jdf.queryExecution().optimizedPlan().toString(), kwargs))
+        write(df, *args, **kwargs)
+
+    monkeypatch.setattr(table, "write_edits", noted)
+    assert queries()["write_edits"](spark, tables).count() == 58
+    assert seen == [(False, {"frozen": True})] * 2
+
+
 def test_stream_once_encodes_frames_once(spark, folder, monkeypatch):
     tables, plans, write = folder("tables"), [], bus.write_bus
     event_rows(spark).write.parquet(f"{tables}/events.parquet")
